@@ -91,3 +91,60 @@ def sharegpt_training_text(
     taken before standardising, in key order."""
     capped = first_rows(df, [key], max_samples)
     return render_messages(standardize_roles(capped, conv_col), template=template, keep=[key])
+
+
+def tree_samples(
+    spark,
+    root: str,
+    repo: str | None = None,
+    *,
+    max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
+    max_chars: int = DEFAULT_MAX_CHARS,
+    max_samples: int | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Message samples of one source tree: ``repo, path, chunk_idx, messages``.
+
+    Name and size filters run on the listing, before any content is read. With
+    ``max_samples`` only the first files in path order are read: every readable
+    kept file yields at least one sample, so N files suffice unless some cannot
+    be read; then further files are read in rounds until N samples exist or the
+    tree is exhausted (only counts reach the driver).
+    """
+    from quire.sources.tree import list_tree, read_contents, readable
+
+    listing = select_source_files(list_tree(spark, root, repo), max_file_bytes)
+
+    def samples_of(files_listing: DataFrame) -> DataFrame:
+        files, _ = readable(read_contents(files_listing, root, num_partitions))
+        chunks = chunk_files(files.select("repo", "path", "text"), "text", max_chars, keys=["repo", "path"])
+        return file_messages(chunks, keys=SAMPLE_KEYS)
+
+    if max_samples is None:
+        return samples_of(listing)
+    if max_samples <= 0:
+        raise ValueError(f"max_samples must be positive or None, got {max_samples}")
+
+    rounds: list[DataFrame] = []
+    have, after = 0, None
+    while have < max_samples:
+        todo = listing if after is None else listing.where(F.col("path") > F.lit(after))
+        batch = todo.orderBy("path").limit(max_samples - have).select("repo", "path", "size")
+        last = batch.agg(F.max("path").alias("last"), F.count(F.lit(1)).alias("n")).first()
+        if not last or last["n"] == 0:
+            break
+        part = samples_of(batch)
+        rounds.append(part)
+        have += part.count()
+        after = last["last"]
+    if not rounds:
+        return samples_of(listing.limit(0))
+    out = rounds[0]
+    for r in rounds[1:]:
+        out = out.unionByName(r)
+    return out.orderBy("path", "chunk_idx").limit(max_samples)
+
+
+def tree_training_text(spark, root: str, repo: str | None = None, *, template: ChatTemplate = DEFAULT_TEMPLATE, **kw) -> DataFrame:
+    """Source-tree flow straight from a directory: ``repo, path, chunk_idx, text``."""
+    return render_messages(tree_samples(spark, root, repo, **kw), template=template, keep=SAMPLE_KEYS)
