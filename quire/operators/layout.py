@@ -1,0 +1,22 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-spread ``df`` by ``keys`` over the cluster's default parallelism, but
+    only when it has fewer partitions than that.
+
+    CPU-heavy row-local stages (regex chunking, segmentation) should run on every
+    core. Large inputs already arrive in many splits, so for them this is a no-op
+    and adds no shuffle; a small or unsplittable input (one row group, one file)
+    is cheap to shuffle and would otherwise run in a single task. Hashing on keys
+    (not round-robin) keeps the placement deterministic under task retries
+    without an extra sort.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if not keys or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)

@@ -163,6 +163,7 @@ def with_language_system_prompt(
 def explode_messages(df: DataFrame, keys: list[str], messages_col: str = "messages") -> DataFrame:
     """Flat view ``keys..., msg_idx, role, content`` (0-based position)."""
     return (
-        df.select(*keys, F.posexplode(messages_col).alias("msg_idx", "_m"))
+        df.select(*keys, F.posexplode_outer(messages_col).alias("msg_idx", "_m"))
+        .where(F.col("msg_idx").isNotNull())
         .select(*keys, F.col("msg_idx").cast("bigint").alias("msg_idx"), F.col("_m.role").alias("role"), F.col("_m.content").alias("content"))
     )

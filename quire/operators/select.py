@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quire.functions.chunk import DEFAULT_MAX_CHARS, chunk_text
 from quire.functions.text import has_source_extension, in_vcs_dir
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
+from quire.operators.layout import spread
 
 # Largest key set broadcast by ``first_groups``; larger caps use a shuffle semi-join.
 BROADCAST_KEY_LIMIT = 1_000_000
@@ -123,7 +124,7 @@ def corpus_report(
     def cnt(c):
         return F.count_if(c).cast("bigint")
 
-    return files.groupBy("repo").agg(
+    return spread(files, ["path"]).groupBy("repo").agg(
         F.count(F.lit(1)).cast("bigint").alias("files_in"),
         cnt(kept).alias("files_kept"),
         cnt(vcs).alias("skipped_vcs"),
