@@ -27,6 +27,7 @@ from quire.plans import chat as CH
 from quire.plans import prepare as PR
 from quire.plans import train as TR
 from quire.sources import tables as TB
+from quire.streaming.completions import segment_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -173,6 +174,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         TR.sample_id(_training_text(s, d)).select("sample_id", "text"), "sample_id"
     ).select("sample_id", "epoch", "step", "micro")
     q["over_length_samples"] = lambda s, d: SH.flag_over_length(_conv_text(s, d)).select("conv_id", "n_tokens", "over_limit")
+    # approximate quantiles: no exact SQL counterpart, so no oracle (rows-only check)
+    q["length_summary"] = lambda s, d: SH.length_summary(_conv_text(s, d))
 
     # --- completions -----------------------------------------------------------
     q["completion_segments"] = lambda s, d: SG.completion_segments(_completions(s, d)).withColumn(
@@ -181,6 +184,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["final_answers"] = lambda s, d: SG.completion_parts(_completions(s, d))
     q["tool_calls"] = lambda s, d: SG.tool_calls(_completions(s, d)).withColumn("pos", F.col("pos").cast("bigint"))
     q["render_transcript"] = lambda s, d: SG.transcripts(_completions(s, d))
+    # the stateful streaming segmenter, fed the completions cut into pieces; on
+    # batch input it must give exactly the whole-text segmentation
+    q["stream_segments"] = lambda s, d: segment_stream(TB.completion_chunks(_completions(s, d))).withColumn(
+        "pos", F.col("pos").cast("bigint")
+    )
 
     # --- composed flows ----------------------------------------------------------
     q["training_text"] = lambda s, d: _training_text(s, d).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
@@ -474,6 +482,7 @@ select conv_id, cast(ceil(length(text) / 4) as bigint) as n_tokens, ceil(length(
 
     seg = _segments_sql()
     o["completion_segments"] = f"with {seg} select completion_id, pos, channel, content, closed from segments"
+    o["stream_segments"] = o["completion_segments"]
     o["tool_calls"] = f"with {seg} select completion_id, pos, content as call, closed from segments where channel = 'tool'"
     o["final_answers"] = f"""with {seg}
 select c.completion_id,

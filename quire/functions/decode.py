@@ -28,4 +28,7 @@ def _decode_utf8_ignore(content: pd.Series) -> pd.Series:
 
 def decode_utf8_lenient(content: Column) -> Column:
     """``binary`` → ``string``: drop malformed UTF-8, normalise newlines, keep a BOM."""
+    from quire.session import ship_package
+
+    ship_package()
     return _decode_utf8_ignore(content)

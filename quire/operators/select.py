@@ -73,6 +73,9 @@ def first_groups(df: DataFrame, key: str, n: int | None) -> DataFrame:
     n = int(n)
     key_type = df.schema[key].dataType.simpleString()
     if key_type in ("bigint", "int", "smallint", "tinyint"):
+        from quire.session import ship_package
+
+        ship_package(df.sparkSession)
         candidates = df.select(F.col(key).cast("bigint").alias(key)).mapInPandas(
             _local_smallest_keys(key, n), f"{key} bigint"
         )

@@ -56,7 +56,7 @@ def training_batches(
     """Budget rows with ``epoch``, ``step`` (1-based) and ``micro`` (1..accum).
 
     A table smaller than the budget is passed over again: the epoch count
-    ``ceil(budget / count)`` is a scalar subquery, each row is expanded by a
+    ``ceil(budget / min(count, budget))`` is a scalar subquery, each row is expanded by a
     generator over ``sequence(0, epochs-1)`` (a single element for any table at
     least as large as the budget), and epoch ``e`` is ordered with seed ``seed+e``.
     The top-k keeps only ``budget`` rows, so numbering them needs no shuffle of
@@ -66,7 +66,10 @@ def training_batches(
     budget = int(max_steps) * per_step
     if budget <= 0:
         raise ValueError("training budget must be positive")
-    n = df.select(F.count(F.lit(1)).alias("n")).scalar()
+    # Only min(count, budget) matters: a table at least as large as the budget
+    # needs one pass. Counting a limited plan lets every task stop early instead
+    # of running the whole upstream pipeline a second time.
+    n = df.limit(budget).select(F.count(F.lit(1)).alias("n")).scalar()
     epochs = F.greatest(F.lit(1), F.ceil(F.lit(budget) / n).cast("int"))
     expanded = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))
     picked = (

@@ -54,3 +54,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for a streaming query, under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make this package importable by Python workers on every executor.
+
+    Arrow UDFs, ``mapInPandas`` and stateful processors run package code in
+    worker processes; ``addPyFile`` distributes a zip of the package through
+    Spark itself. Done once per SparkContext.
+    """
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="quire-pkg-"), "quire.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, dirnames, filenames in os.walk(pkg_dir):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for f in filenames:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))

@@ -41,6 +41,15 @@ def scan_conversations(spark: SparkSession, path: str, split: str | None = None,
     return df
 
 
+MESSAGES_SCHEMA = "messages array<struct<role:string,content:string>>"
+
+
+def from_rows(spark: SparkSession, rows: list[dict], schema: str = MESSAGES_SCHEMA) -> DataFrame:
+    """A small DataFrame from in-memory rows with a fixed schema (e.g. hand-written
+    message lists). Large inputs belong in files read by Spark, not the driver."""
+    return spark.createDataFrame(rows, schema)
+
+
 def write_prepared(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split") -> None:
     """Persist a prepared table. An existing target is replaced only with
     ``overwrite=True``; otherwise the write fails (Spark's ``errorifexists``)."""
@@ -50,6 +59,16 @@ def write_prepared(df: DataFrame, out_dir: str, *, overwrite: bool = True, split
     writer.parquet(out_dir)
 
 
+def write_prepared_counted(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split") -> int:
+    """Write and return the number of rows written, counted by an observation
+    during the same job (the table is not computed a second time to count it)."""
+    from pyspark.sql import Observation
+
+    obs = Observation("prepared")
+    write_prepared(df.observe(obs, F.count(F.lit(1)).alias("rows")), out_dir, overwrite=overwrite, split_col=split_col)
+    return int(obs.get["rows"])
+
+
 def load_prepared(spark: SparkSession, in_dir: str, prefer: str = "train", split_col: str = "split") -> DataFrame:
     """Reload a prepared table; with several splits take ``prefer`` if present, else
     the least split name. A missing folder fails with a clear message."""
@@ -134,16 +153,23 @@ def completions(conversations: DataFrame) -> DataFrame:
 
 def completion_chunks(completions_df: DataFrame) -> DataFrame:
     """Completions cut into pieces of ``1 + id % 97`` characters, ``is_last`` on the
-    last one: ``completion_id, seq (0-based), chunk, is_last``."""
-    width = F.col("completion_id") % 97 + 1
-    n = F.greatest(F.lit(1), F.ceil(F.length("text") / width).cast("int"))
+    last one: ``completion_id, seq (0-based), chunk, is_last``.
+
+    The pieces come from one linear regex pass (``.{1,w}`` repeated) rather than
+    a substring per piece, which would rescan the text from its start each time.
+    An empty text is a single empty piece so that its stream still ends.
+    """
+    width = (F.col("completion_id") % 97 + 1).cast("string")
+    pieces = F.regexp_extract_all(F.col("text"), F.concat(F.lit("(?s).{1,"), width, F.lit("}")), 0)
+    arr = F.when(F.length("text") == 0, F.array(F.lit(""))).otherwise(pieces)
     return (
-        completions_df.select("completion_id", "text", width.alias("_w"), n.alias("_n"))
-        .select("completion_id", "text", "_w", "_n", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("seq"))
+        completions_df.select("completion_id", arr.alias("_p"))
+        .select("completion_id", F.size("_p").alias("_n"), F.posexplode_outer("_p").alias("seq", "chunk"))
+        .where(F.col("seq").isNotNull())
         .select(
             "completion_id",
             F.col("seq").cast("int").alias("seq"),
-            F.substring("text", F.col("seq") * F.col("_w") + 1, F.col("_w")).alias("chunk"),
+            "chunk",
             (F.col("seq") == F.col("_n") - 1).alias("is_last"),
         )
     )

@@ -175,6 +175,9 @@ class SourceTreeDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from quire.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(SourceTreeDataSource)
 
 
@@ -208,6 +211,9 @@ def read_contents(listing: DataFrame, root: str, num_partitions: int | None = No
     cannot be read get null text. The listing is spread by path over
     ``num_partitions`` tasks first (a shuffle of small metadata rows only), so one
     big directory does not end up in one reading task."""
+    from quire.session import ship_package
+
+    ship_package(listing.sparkSession)
     n = num_partitions or max(1, listing.sparkSession.sparkContext.defaultParallelism * 2)
     spread = listing.repartition(int(n), "path")
     return spread.mapInPandas(_reader(root), FILES_SCHEMA)

@@ -41,6 +41,7 @@ _CURSOR = StructType(
         StructField("next_seq", IntegerType()),
         StructField("next_pos", IntegerType()),
         StructField("last_seq", IntegerType()),
+        StructField("n_pending", IntegerType()),
     ]
 )
 _PIECE_KEY = StructType([StructField("seq", IntegerType())])
@@ -68,25 +69,29 @@ class CompletionSegmenter(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """Pieces of this trigger are joined in memory; only pieces that arrive
+        ahead of a gap are written to state, so state traffic per key and trigger
+        is constant plus the out-of-order pieces."""
         cid = int(key[0])
         if self.cursor.exists():
-            buf, next_seq, next_pos, last_seq = self.cursor.get()
+            buf, next_seq, next_pos, last_seq, n_pending = self.cursor.get()
         else:
-            buf, next_seq, next_pos, last_seq = "", 0, 0, -1
+            buf, next_seq, next_pos, last_seq, n_pending = "", 0, 0, -1, 0
+        waiting: dict[int, str] = {}
+        if n_pending:
+            waiting = {k[0]: v[0] for k, v in self.pending.iterator()}
+            self.pending.clear()
         for pdf in rows:
             for seq, chunk, is_last in zip(pdf["seq"], pdf["chunk"], pdf["is_last"]):
                 seq = int(seq)
                 if seq < next_seq:
                     continue  # already consumed (a replayed piece)
-                self.pending.updateValue((seq,), (chunk if chunk is not None else "", bool(is_last)))
+                waiting[seq] = chunk if chunk is not None else ""
                 if is_last:
                     last_seq = seq
-        # append contiguous pieces
         parts = [buf]
-        while self.pending.containsKey((next_seq,)):
-            chunk, _ = self.pending.getValue((next_seq,))
-            self.pending.removeKey((next_seq,))
-            parts.append(chunk)
+        while next_seq in waiting:
+            parts.append(waiting.pop(next_seq))
             next_seq += 1
         buf = "".join(parts)
         done = last_seq >= 0 and next_seq > last_seq
@@ -96,11 +101,12 @@ class CompletionSegmenter(StatefulProcessor):
         next_pos += len(out)
         if done:
             self.cursor.clear()
-            self.pending.clear()
             self._clear_timers()
-        else:
-            self.cursor.update((rest, next_seq, next_pos, last_seq))
-            self._arm_timer(timerValues)
+            return
+        for seq, chunk in waiting.items():
+            self.pending.updateValue((seq,), (chunk, seq == last_seq))
+        self.cursor.update((rest, next_seq, next_pos, last_seq, len(waiting)))
+        self._arm_timer(timerValues)
 
     def _clear_timers(self) -> None:
         if self.idle_timeout_ms is None:
@@ -118,8 +124,8 @@ class CompletionSegmenter(StatefulProcessor):
         """Abandoned completion: flush what is there (pieces after a gap included, in order)."""
         if not self.cursor.exists():
             return
-        buf, next_seq, next_pos, _ = self.cursor.get()
-        waiting = sorted(((k[0], v[0]) for k, v in self.pending.iterator()))
+        buf, next_seq, next_pos, _, n_pending = self.cursor.get()
+        waiting = sorted(((k[0], v[0]) for k, v in self.pending.iterator())) if n_pending else []
         text = buf + "".join(c for _, c in waiting)
         out, _ = consume(text, final=True)
         if out:
@@ -137,7 +143,11 @@ def segment_stream(pieces: DataFrame, idle_timeout_ms: int | None = None) -> Dat
     One shuffle by completion id; the per-key work is a regex pass over that
     completion's unconsumed text. Requires the RocksDB state store provider.
     """
+    from quire.session import ship_package
+
     spark = pieces.sparkSession
+    ship_package(spark)
+    _ = spark.streams.active  # starts the state-store coordinator (also needed for batch input)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     time_mode = "ProcessingTime" if idle_timeout_ms is not None else "None"
     return pieces.groupBy("completion_id").transformWithStateInPandas(

@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from quire.sources.tables import load_prepared, write_prepared
+from quire.sources.tables import from_rows, load_prepared, write_prepared, write_prepared_counted
 
 
 def test_write_reload_pick_split(spark):
@@ -23,3 +23,10 @@ def test_write_reload_pick_split(spark):
 def test_missing_dir(spark):
     with pytest.raises(FileNotFoundError):
         load_prepared(spark, "/tmp/quire-definitely-missing-dir")
+
+
+def test_counted_write_and_rows(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="quire-sink-"), "ds")
+    df = from_rows(spark, [{"messages": [{"role": "user", "content": "hi"}]}] * 3)
+    assert write_prepared_counted(df, out) == 3
+    assert spark.read.parquet(out).count() == 3
