@@ -60,7 +60,7 @@ class ChatTemplate:
 
 
 @dataclass(frozen=True)
-class HarmonyTemplate(ChatTemplate):
+class ChannelTemplate(ChatTemplate):
     """Default template built from the channel markers of the completions.
 
     * non-assistant: ``<|start|>{role}<|message|>{content}<|end|>``
@@ -93,7 +93,7 @@ class HarmonyTemplate(ChatTemplate):
         return F.lit(M.START_ASSISTANT)
 
 
-DEFAULT_TEMPLATE = HarmonyTemplate()
+DEFAULT_TEMPLATE = ChannelTemplate()
 
 
 def _with_thinking(df: DataFrame, messages_col: str) -> bool:
