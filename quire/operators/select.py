@@ -116,24 +116,31 @@ def corpus_report(
     of all files is already reduced to one row per map task before the shuffle).
     """
     path, size = F.col("path"), F.col("size")
-    vcs = in_vcs_dir(path)
-    bad_ext = ~vcs & ~has_source_extension(path)
-    empty = ~vcs & ~bad_ext & (size <= 0)
-    too_big = ~vcs & ~bad_ext & (size > int(max_file_bytes))
-    kept = ~vcs & ~bad_ext & ~empty & ~too_big
+    # one reason per file, first failing check wins (evaluated once per row)
+    reason = (
+        F.when(in_vcs_dir(path), F.lit("vcs"))
+        .when(~has_source_extension(path), F.lit("extension"))
+        .when(size <= 0, F.lit("empty"))
+        .when(size > int(max_file_bytes), F.lit("too_big"))
+        .otherwise(F.lit("kept"))
+    )
+    kept = F.col("reason") == "kept"
     pieces = F.when(kept, F.size(chunk_text(F.col(text_col), max_chars))).otherwise(F.lit(0))
     chars = F.when(kept, F.length(F.col(text_col))).otherwise(F.lit(0))
 
-    def cnt(c):
-        return F.count_if(c).cast("bigint")
+    def cnt(r: str):
+        return F.count_if(F.col("reason") == r).cast("bigint")
 
-    return spread(files, ["path"]).groupBy("repo").agg(
+    per_file = spread(files, ["path"]).select("repo", reason.alias("reason"), text_col).select(
+        "repo", "reason", pieces.alias("pieces"), chars.alias("chars")
+    )
+    return per_file.groupBy("repo").agg(
         F.count(F.lit(1)).cast("bigint").alias("files_in"),
-        cnt(kept).alias("files_kept"),
-        cnt(vcs).alias("skipped_vcs"),
-        cnt(bad_ext).alias("skipped_extension"),
-        cnt(empty).alias("skipped_empty"),
-        cnt(too_big).alias("skipped_too_big"),
-        F.sum(pieces).cast("bigint").alias("chunks"),
-        F.sum(chars).cast("bigint").alias("characters"),
+        cnt("kept").alias("files_kept"),
+        cnt("vcs").alias("skipped_vcs"),
+        cnt("extension").alias("skipped_extension"),
+        cnt("empty").alias("skipped_empty"),
+        cnt("too_big").alias("skipped_too_big"),
+        F.sum("pieces").cast("bigint").alias("chunks"),
+        F.sum("chars").cast("bigint").alias("characters"),
     )
