@@ -1,0 +1,69 @@
+"""End to end: tree / conversations → prepared Parquet → reload → training plan;
+chat inputs → requests. Reruns and partition counts do not change the rows."""
+
+import os
+import tempfile
+
+import pytest
+
+from quire.plans import jobs, prepare, train
+from quire.sources import tables as TB
+from quire.sources.tables import load_prepared
+
+from conftest import SF_SMALL
+from test_tree import make_tree
+
+
+def _new_dir():
+    return tempfile.mkdtemp(prefix="quire-job-")
+
+
+def test_prepare_tree_then_plan(spark):
+    root = make_tree({"a.py": ("x = 1\n" * 3000).encode(), "docs/b.md": b"# hi\n", "c.txt": b"no"})
+    out = os.path.join(_new_dir(), "ds")
+    n, first = jobs.prepare_dataset(spark, "repo:owner/name", out, tree=root, max_chars=12_000)
+    assert n == 3  # a.py: 18000 chars → 2 pieces; docs/b.md → 1
+    assert first.startswith("<|start|>user<|message|>Repository: repo:owner/name\nFile: a.py (chunk 1/2)")
+    plan_dir = os.path.join(_new_dir(), "plan")
+    assert jobs.plan_training(spark, out, plan_dir) == 120  # 3 samples → 40 epochs
+    rows = spark.read.parquet(plan_dir).collect()
+    assert {r.epoch for r in rows} == set(range(40)) and max(r.step for r in rows) == 30
+
+
+def test_prepare_needs_tree_for_git_spec(spark):
+    with pytest.raises(ValueError):
+        jobs.prepare_dataset(spark, "git@host:o/r.git", os.path.join(_new_dir(), "x"))
+
+
+def test_prepare_conversations_and_default_name(spark, tmp_path):
+    conv = TB.read_table(spark, SF_SMALL, "conversations")
+    src = os.path.join(_new_dir(), "sg")
+    TB.sharegpt_conversations(conv).write.parquet(src)
+    n, first = jobs.prepare_dataset(spark, src, out_root=str(tmp_path), max_samples=10)
+    assert n == 10 and first.startswith("<|start|>")
+    slug_dir = [d for d in os.listdir(tmp_path)][0]
+    assert slug_dir.endswith("__train")
+    flat = os.path.join(_new_dir(), "flat")
+    conv.write.parquet(flat)
+    n2, _ = jobs.prepare_dataset(spark, flat, os.path.join(_new_dir(), "o2"))
+    assert n2 == conv.select("conv_id").distinct().count()
+    assert load_prepared(spark, os.path.join(tmp_path, slug_dir)).count() == 10
+
+
+def test_requests_job(spark):
+    inputs = os.path.join(_new_dir(), "in")
+    TB.chat_inputs(TB.read_table(spark, SF_SMALL, "conversations")).write.parquet(inputs)
+    out = os.path.join(_new_dir(), "req")
+    n = jobs.build_requests(spark, inputs, out)
+    assert n == 3 * spark.read.parquet(inputs).where("trim(user_text) != ''").count()
+
+
+def test_result_independent_of_partitioning(spark):
+    docs = TB.read_table(spark, SF_SMALL, "documents")
+    a = prepare.training_text(TB.source_files(docs), max_chars=500)
+    b = prepare.training_text(TB.source_files(docs.repartition(7)), max_chars=500)
+    ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
+    assert ra == rb and ra == sorted(map(tuple, a.collect()))
+    pa = train.training_plan(a).collect()
+    pb = train.training_plan(b).collect()
+    assert sorted(map(tuple, pa)) == sorted(map(tuple, pb))
