@@ -6,8 +6,10 @@ micro-batches. Per completion the state holds the text not yet emitted (raw text
 since the last closed segment plus at most one open segment), the next expected
 ``seq``, the next output position and out-of-order pieces waiting for their
 turn. Rows are emitted as segments close; the piece flagged ``is_last`` flushes
-the rest and clears the state. An optional processing-time timeout flushes
-completions whose last piece never arrives.
+the rest and clears the state (with a timeout set, a one-row tombstone stays
+until the timer fires, so a replayed piece cannot reopen a finished completion).
+An optional processing-time timeout flushes completions whose last piece never
+arrives.
 
 The output equals the batch segmentation of the whole text for any cutting
 (``quire.streaming.segmenter``).
@@ -42,6 +44,7 @@ _CURSOR = StructType(
         StructField("next_pos", IntegerType()),
         StructField("last_seq", IntegerType()),
         StructField("n_pending", IntegerType()),
+        StructField("done", BooleanType()),
     ]
 )
 _PIECE_KEY = StructType([StructField("seq", IntegerType())])
@@ -49,8 +52,9 @@ _PIECE = StructType([StructField("chunk", StringType()), StructField("is_last",
 
 
 class CompletionSegmenter(StatefulProcessor):
-    def __init__(self, idle_timeout_ms: int | None = None):
+    def __init__(self, idle_timeout_ms: int | None = None, retain_finished_ms: int | None = None):
         self.idle_timeout_ms = idle_timeout_ms
+        self.retain_finished_ms = retain_finished_ms if retain_finished_ms is not None else idle_timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -74,7 +78,11 @@ class CompletionSegmenter(StatefulProcessor):
         is constant plus the out-of-order pieces."""
         cid = int(key[0])
         if self.cursor.exists():
-            buf, next_seq, next_pos, last_seq, n_pending = self.cursor.get()
+            buf, next_seq, next_pos, last_seq, n_pending, finished = self.cursor.get()
+            if finished:  # replayed pieces of a finished completion are ignored
+                for _ in rows:
+                    pass
+                return
         else:
             buf, next_seq, next_pos, last_seq, n_pending = "", 0, 0, -1, 0
         waiting: dict[int, str] = {}
@@ -100,12 +108,16 @@ class CompletionSegmenter(StatefulProcessor):
             yield self._emit(cid, out, next_pos)
         next_pos += len(out)
         if done:
-            self.cursor.clear()
-            self._clear_timers()
+            self.pending.clear()
+            if self.idle_timeout_ms is None:
+                self.cursor.clear()
+            else:  # keep a tombstone so late duplicates stay harmless; the timer drops it
+                self.cursor.update(("", next_seq, next_pos, last_seq, 0, True))
+                self._arm_timer(timerValues, self.retain_finished_ms)
             return
         for seq, chunk in waiting.items():
             self.pending.updateValue((seq,), (chunk, seq == last_seq))
-        self.cursor.update((rest, next_seq, next_pos, last_seq, len(waiting)))
+        self.cursor.update((rest, next_seq, next_pos, last_seq, len(waiting), False))
         self._arm_timer(timerValues)
 
     def _clear_timers(self) -> None:
@@ -114,17 +126,21 @@ class CompletionSegmenter(StatefulProcessor):
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
 
-    def _arm_timer(self, timerValues) -> None:
+    def _arm_timer(self, timerValues, after_ms: int | None = None) -> None:
         if self.idle_timeout_ms is None:
             return
         self._clear_timers()
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + int(self.idle_timeout_ms))
+        delay = self.idle_timeout_ms if after_ms is None else after_ms
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + int(delay))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Abandoned completion: flush what is there (pieces after a gap included, in order)."""
         if not self.cursor.exists():
             return
-        buf, next_seq, next_pos, _, n_pending = self.cursor.get()
+        buf, next_seq, next_pos, _, n_pending, finished = self.cursor.get()
+        if finished:
+            self.cursor.clear()
+            return
         waiting = sorted(((k[0], v[0]) for k, v in self.pending.iterator())) if n_pending else []
         text = buf + "".join(c for _, c in waiting)
         out, _ = consume(text, final=True)
@@ -137,9 +153,15 @@ class CompletionSegmenter(StatefulProcessor):
         pass
 
 
-def segment_stream(pieces: DataFrame, idle_timeout_ms: int | None = None) -> DataFrame:
+def segment_stream(
+    pieces: DataFrame, idle_timeout_ms: int | None = None, retain_finished_ms: int | None = None
+) -> DataFrame:
     """``completion_id, seq, chunk, is_last`` stream → segment rows (append mode).
 
+    ``idle_timeout_ms``: flush a completion whose last piece has not arrived after
+    this long without new pieces; ``retain_finished_ms``: how long a finished
+    completion keeps its tombstone (default: the idle timeout).
+
     One shuffle by completion id; the per-key work is a regex pass over that
     completion's unconsumed text. Requires the RocksDB state store provider.
     """
@@ -151,7 +173,7 @@ def segment_stream(pieces: DataFrame, idle_timeout_ms: int | None = None) -> Dat
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     time_mode = "ProcessingTime" if idle_timeout_ms is not None else "None"
     return pieces.groupBy("completion_id").transformWithStateInPandas(
-        statefulProcessor=CompletionSegmenter(idle_timeout_ms),
+        statefulProcessor=CompletionSegmenter(idle_timeout_ms, retain_finished_ms),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode=time_mode,

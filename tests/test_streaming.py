@@ -51,3 +51,46 @@ def test_prepare_stream_equals_batch(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "t")).select("id", "text").collect())
     want = sorted(tuple(r) for r in sharegpt_training_text(spark.read.schema(SHAREGPT_SCHEMA).parquet(src)).collect())
     assert got == want and len(got) == conv.select("conv_id").distinct().count()
+
+
+def test_timeout_flushes_abandoned_and_ignores_replays(spark):
+    """With a processing-time timeout: a completion whose last piece never comes is
+    flushed (open segment stripped); a replayed piece of a finished one is ignored.
+    Timers keep no-data batches running, so the test polls instead of waiting for
+    the stream to go idle."""
+    import time
+
+    schema = "completion_id long, seq int, chunk string, is_last boolean"
+    src = tempfile.mkdtemp(prefix="quire-timeout-src-")
+    first = [(1, 0, "<|channel|>analysis<|message|>abc", False), (2, 0, "hello", True)]
+    spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (
+        segment_stream(stream, idle_timeout_ms=500, retain_finished_ms=600_000).writeStream.format("memory").queryName("segs_timeout")
+        .option("checkpointLocation", tempfile.mkdtemp(prefix="quire-ckpt-to-"))
+        .outputMode("append").trigger(processingTime="200 milliseconds").start()
+    )
+
+    def poll(cond, limit=150):
+        deadline = time.time() + limit
+        while time.time() < deadline:
+            assert q.exception() is None, q.exception()
+            rows = sorted(tuple(r) for r in spark.table("segs_timeout").collect())
+            if cond(rows):
+                return rows
+            time.sleep(0.5)
+        return sorted(tuple(r) for r in spark.table("segs_timeout").collect())
+
+    try:
+        rows = poll(lambda rs: any(r[0] == 1 for r in rs))
+        assert (1, 0, "analysis", "abc", False) in rows
+        seen = sum(p["numInputRows"] for p in q.recentProgress)
+        spark.createDataFrame([(2, 0, "hello", True)], schema).coalesce(1).write.mode("append").parquet(src)
+        deadline = time.time() + 150
+        while time.time() < deadline and sum(p["numInputRows"] for p in q.recentProgress) <= seen:
+            time.sleep(0.5)
+        time.sleep(1)
+        rows = sorted(tuple(r) for r in spark.table("segs_timeout").collect())
+    finally:
+        q.stop()
+    assert [r for r in rows if r[0] == 2] == [(2, 0, "raw", "hello", True)]
