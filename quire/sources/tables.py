@@ -71,15 +71,29 @@ def write_prepared_counted(df: DataFrame, out_dir: str, *, overwrite: bool = Tru
 
 def load_prepared(spark: SparkSession, in_dir: str, prefer: str = "train", split_col: str = "split") -> DataFrame:
     """Reload a prepared table; with several splits take ``prefer`` if present, else
-    the least split name. A missing folder fails with a clear message."""
+    the least split name. A missing folder fails with a clear message.
+
+    The split names are the ``split=...`` folder names under ``in_dir`` (one
+    directory listing, a handful of names), so the choice becomes a literal
+    filter and Spark prunes every other partition at planning time.
+    """
+    from urllib.parse import unquote
+
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(in_dir)  # noqa: SLF001
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
     if not fs.exists(jvm_path):
         raise FileNotFoundError(f"Dataset dir not found: {in_dir}. Run the preparation first.")
+    prefix = split_col + "="
+    splits = sorted(
+        unquote(st.getPath().getName()[len(prefix):])
+        for st in fs.listStatus(jvm_path)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )
     df = spark.read.parquet(in_dir)
-    if split_col in df.columns:
-        df = pick_split(df, split_col, prefer).drop(split_col)
-    return df
+    if not splits:
+        return pick_split(df, split_col, prefer).drop(split_col) if split_col in df.columns else df
+    chosen = prefer if prefer in splits else splits[0]
+    return df.where(F.col(split_col) == F.lit(chosen)).drop(split_col)
 
 
 # ---------------------------------------------------------------------------

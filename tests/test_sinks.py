@@ -30,3 +30,47 @@ def test_counted_write_and_rows(spark):
     df = from_rows(spark, [{"messages": [{"role": "user", "content": "hi"}]}] * 3)
     assert write_prepared_counted(df, out) == 3
     assert spark.read.parquet(out).count() == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scan_split_prunes_partitions(spark):
+    from quire.sources.tables import scan_conversations
+
+    out = os.path.join(tempfile.mkdtemp(prefix="quire-scan-"), "conv")
+    df = spark.createDataFrame(
+        [(1, 0, "user", "a", "train"), (1, 1, "assistant", "b", "train"), (2, 0, "user", "c", "test")],
+        "conv_id long, turn long, role string, text string, split string",
+    )
+    df.write.partitionBy("split").parquet(out)
+    got = scan_conversations(spark, out, split="test")
+    assert [r.text for r in got.collect()] == ["c"]
+    assert "PartitionFilters: [isnotnull(split" in got._jdf.queryExecution().executedPlan().toString() or \
+        "split#" in str(got._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_load_prepared_prunes_partitions(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="quire-dpp-"), "ds")
+    df = spark.createDataFrame([(str(i), s) for i in range(20) for s in ("train", "test", "zz")], "text string, split string")
+    write_prepared(df, out)
+    loaded = load_prepared(spark, out)
+    assert loaded.count() == 20
+    plan = _plan(loaded)
+    assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan and "= train)" in plan
+
+
+def test_decode_udf_on_binary_and_file_samples(spark):
+    from pyspark.sql import functions as F
+
+    from quire.functions.decode import decode_utf8_lenient
+    from quire.plans.prepare import file_samples
+
+    rows = [("r", "a.py", 7, bytes.fromhex("78FF79EFBFBD7A")), ("r", "b.md", 1, b"\xff"), ("r", "c.py", 8, b"a\r\nb\rc\n")]
+    df = spark.createDataFrame(rows, "repo string, path string, size long, content binary")
+    got = dict(df.select("path", decode_utf8_lenient(F.col("content"))).collect())
+    assert got == {"a.py": "xy�z", "b.md": "", "c.py": "a\nb\nc\n"}
+    samples = {r.path: [(m.role, m.content) for m in r.messages] for r in file_samples(df).collect()}
+    assert samples["b.md"][1] == ("assistant", "")  # a file of only bad bytes is still one (empty) sample
+    assert samples["c.py"][1] == ("assistant", "a\nb\nc\n")
