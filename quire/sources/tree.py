@@ -182,39 +182,61 @@ def register(spark: SparkSession) -> None:
 
 
 def list_tree(spark: SparkSession, root: str, repo: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Listing of a tree; the walk is spread over ``num_partitions`` listing tasks
+    (default: the cluster's default parallelism)."""
     register(spark)
     reader = spark.read.format("sourcetree").option("path", root)
     if repo is not None:
         reader = reader.option("repo", repo)
-    if num_partitions is not None:
-        reader = reader.option("numPartitions", str(num_partitions))
+    n = num_partitions or spark.sparkContext.defaultParallelism
+    reader = reader.option("numPartitions", str(n)).option("listingBudget", str(max(64, 4 * n)))
     return reader.load()
 
 
-def _reader(root: str):
+# Bytes of file text per output batch of the reading step, and per reading task.
+OUTPUT_BATCH_BYTES = 32 << 20
+TASK_BYTES = 128 << 20
+
+
+def _reader(root: str, batch_bytes: int = OUTPUT_BATCH_BYTES):
     def read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, abs_root = _open(root)
         for pdf in batches:
-            texts = []
-            for p in pdf["path"]:
+            start, acc, texts = 0, 0, []
+            for i, p in enumerate(pdf["path"]):
                 try:
-                    texts.append(decode_bytes(fs.read(fs.join(abs_root, p))))
+                    t = decode_bytes(fs.read(fs.join(abs_root, p)))
                 except OSError:
-                    texts.append(None)
-            yield pdf.assign(text=texts)
+                    t = None
+                texts.append(t)
+                acc += len(t) if t else 0
+                if acc >= batch_bytes:  # bound the Arrow batch by bytes, not rows
+                    yield pdf.iloc[start : i + 1].assign(text=texts)
+                    start, acc, texts = i + 1, 0, []
+            if start < len(pdf):
+                yield pdf.iloc[start:].assign(text=texts)
 
     return read_batches
 
 
 def read_contents(listing: DataFrame, root: str, num_partitions: int | None = None) -> DataFrame:
     """Read and decode the files of a (filtered) listing: adds ``text``; files that
-    cannot be read get null text. The listing is spread by path over
-    ``num_partitions`` tasks first (a shuffle of small metadata rows only), so one
-    big directory does not end up in one reading task."""
+    cannot be read get null text.
+
+    The listing is spread by path over tasks first (a shuffle of small metadata
+    rows only), so one big directory does not end up in one reading task. Without
+    ``num_partitions`` the task count follows the listed bytes (about
+    ``TASK_BYTES`` per task, at least the default parallelism): one metadata-only
+    aggregate on the listing. Output batches are cut by bytes.
+    """
     from quire.session import ship_package
 
-    ship_package(listing.sparkSession)
-    n = num_partitions or max(1, listing.sparkSession.sparkContext.defaultParallelism * 2)
+    spark = listing.sparkSession
+    ship_package(spark)
+    n = num_partitions
+    if n is None:
+        total = listing.agg(F.sum("size").alias("b")).first()["b"] or 0
+        n = max(spark.sparkContext.defaultParallelism, -(-int(total) // TASK_BYTES))
     spread = listing.repartition(int(n), "path")
     return spread.mapInPandas(_reader(root), FILES_SCHEMA)
 

@@ -67,3 +67,16 @@ def test_tree_flow_and_early_stop(spark):
     assert rows[1][2].startswith("<|start|>user<|message|>Repository: owner/name\nFile: b.py (chunk 1/2)\n\n")
     first2 = tree_samples(spark, root, "owner/name", max_samples=2)
     assert [(r.path, r.chunk_idx) for r in first2.collect()] == [("a.md", 1), ("b.py", 1)]
+
+
+def test_reader_cuts_batches_by_bytes():
+    import pandas as pd
+
+    from quire.sources.tree import _reader
+
+    root = make_tree({f"f{i}.py": b"x" * 100 for i in range(10)})
+    pdf = pd.DataFrame({"repo": ["r"] * 11, "path": [f"f{i}.py" for i in range(10)] + ["gone.py"], "size": [100] * 11})
+    out = list(_reader(root, batch_bytes=250)(iter([pdf])))
+    assert [len(b) for b in out] == [3, 3, 3, 2]
+    merged = pd.concat(out)
+    assert list(merged["path"]) == list(pdf["path"]) and merged["text"].isna().sum() == 1
