@@ -153,12 +153,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["request_params_greedy"] = lambda s, d: CH.generation_requests(_chat_inputs(s, d), do_sample=False).drop("prompt")
 
     # --- selection, counts, report --------------------------------------------
-    q["first_samples"] = lambda s, d: SL.first_rows(
-        TP.render_messages(_small_samples(s, d), keep=PR.SAMPLE_KEYS), ["path", "chunk_idx"], FIRST_N_SAMPLES
+    q["first_samples"] = lambda s, d: TP.render_messages(
+        PR.file_samples(
+            _source_files(s, d), max_file_bytes=SMALL_MAX_FILE_BYTES, max_chars=SMALL_MAX_CHARS,
+            max_samples=FIRST_N_SAMPLES, cap_per_repo=False,
+        ),
+        keep=PR.SAMPLE_KEYS,
     ).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
     q["first_conversations"] = lambda s, d: SL.first_groups(_t(s, d, "conversations"), "conv_id", FIRST_N_CONVERSATIONS)
-    q["first_samples_per_repo"] = lambda s, d: SL.first_rows_per_group(
-        _small_samples(s, d), "repo", ["path", "chunk_idx"], PER_REPO_SAMPLES
+    q["first_samples_per_repo"] = lambda s, d: PR.file_samples(
+        _source_files(s, d), max_file_bytes=SMALL_MAX_FILE_BYTES, max_chars=SMALL_MAX_CHARS,
+        max_samples=PER_REPO_SAMPLES, cap_per_repo=True,
     ).select("repo", "path", F.col("chunk_idx").cast("bigint").alias("chunk_idx"))
     q["first_sample"] = lambda s, d: SL.first_row(_training_text(s, d), ["repo", "path", "chunk_idx"]).withColumn(
         "chunk_idx", F.col("chunk_idx").cast("bigint")

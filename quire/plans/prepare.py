@@ -14,7 +14,7 @@ from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.decode import decode_utf8_lenient
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES, chunk_files, select_source_files
 from quire.operators.messages import file_messages, standardize_roles, turns_to_messages
-from quire.operators.select import first_groups, first_rows, first_rows_per_group
+from quire.operators.select import BROADCAST_KEY_LIMIT, first_groups, first_rows, first_rows_per_group
 from quire.operators.template import DEFAULT_TEMPLATE, ChatTemplate, render_messages
 
 SAMPLE_KEYS = ["repo", "path", "chunk_idx"]
@@ -37,6 +37,8 @@ def file_samples(
     kept = select_source_files(files, max_file_bytes)
     if "text" not in kept.columns:
         kept = kept.withColumn("text", decode_utf8_lenient(F.col("content"))).drop("content")
+    if max_samples is not None:
+        kept = _first_files(kept, max_samples, cap_per_repo)
     chunks = chunk_files(kept.select("repo", "path", "text"), "text", max_chars, keys=["repo", "path"])
     samples = file_messages(chunks, keys=SAMPLE_KEYS)
     if max_samples is not None:
@@ -48,6 +50,21 @@ def file_samples(
     return samples
 
 
+def _first_files(kept: DataFrame, n: int, per_repo: bool) -> DataFrame:
+    """Early stop: every kept file with text yields at least one sample, so the
+    first ``n`` samples in (path, chunk_idx) order come from the first ``n`` files
+    in path order. The choice is made on (repo, path) only and joined back, so
+    only those files are chunked; the exact cap on samples follows."""
+    keys = kept.where(F.col("text").isNotNull()).select("repo", "path")
+    if per_repo:
+        first = first_rows_per_group(keys, "repo", ["path"], n)  # at most n per repo: Spark sizes the join
+    else:
+        first = first_rows(keys, ["path"], n)
+        if n <= BROADCAST_KEY_LIMIT:  # at most n keys: a proven bound
+            first = F.broadcast(first)
+    return kept.join(first, ["repo", "path"], "left_semi")
+
+
 def training_text(
     files: DataFrame,
     *,
