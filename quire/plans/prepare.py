@@ -105,8 +105,19 @@ def sharegpt_training_text(
     template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> DataFrame:
     """Nested ShareGPT rows (one conversation per row) → ``key, text``; the cap is
-    taken before standardising, in key order."""
-    capped = first_rows(df, [key], max_samples)
+    taken before standardising, in key order (``key`` identifies a conversation).
+
+    The first N are chosen on the key column alone (a top-k over one column, at
+    most N keys, so broadcast-safe) and joined back, rather than a top-k that
+    would hold N whole conversations per task.
+    """
+    if max_samples is None:
+        capped = df
+    else:
+        first = first_rows(df.select(key), [key], max_samples)
+        if max_samples <= BROADCAST_KEY_LIMIT:
+            first = F.broadcast(first)
+        capped = df.join(first, key, "left_semi")
     return render_messages(standardize_roles(capped, conv_col), template=template, keep=[key])
 
 
