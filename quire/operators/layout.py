@@ -5,18 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the relations a plan reads (file sizes for file sources),
+    from the optimizer's leaf statistics; nothing is executed."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()  # noqa: SLF001
+    total = 0
+    while leaves.hasNext():
+        total += int(str(leaves.next().stats().sizeInBytes()))
+    return total
+
+
 def spread(df: DataFrame, keys: list[str]) -> DataFrame:
     """Hash-spread ``df`` by ``keys`` over the cluster's default parallelism, but
-    only when it has fewer partitions than that.
+    only when its input would arrive in fewer splits than that.
 
     CPU-heavy row-local stages (regex chunking, segmentation) should run on every
     core. Large inputs already arrive in many splits, so for them this is a no-op
     and adds no shuffle; a small or unsplittable input (one row group, one file)
-    is cheap to shuffle and would otherwise run in a single task. Hashing on keys
-    (not round-robin) keeps the placement deterministic under task retries
-    without an extra sort.
+    is cheap to shuffle and would otherwise run in a single task. The split count
+    is estimated as ``input bytes / spark.sql.files.maxPartitionBytes`` from leaf
+    statistics, so deciding runs nothing (counting RDD partitions would, under
+    adaptive execution, run every upstream stage). Hashing on keys (not
+    round-robin) keeps the placement deterministic under task retries without an
+    extra sort.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if not keys or df.rdd.getNumPartitions() >= target:
+    if not keys:
+        return df
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())  # noqa: SLF001
+    est_splits = -(-input_bytes(df) // max(1, split_bytes))
+    if est_splits >= target:
         return df
     return df.repartition(target, *keys)

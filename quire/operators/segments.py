@@ -71,14 +71,27 @@ def _raw_items(raws: Column) -> Column:
     return F.filter(items, lambda s: s["content"] != "")
 
 
-def segment_array(text: Column) -> Column:
+_EXPR_CACHE: dict[tuple, Column] = {}
+
+
+def segment_array(text: Column | str) -> Column:
     """Ordered segments of a whole completion; empty raw pieces are dropped and
     ``pos`` is dense from 0. Empty or null text gives an empty array.
 
+    Given a column *name*, the (unresolved, reusable) expression is built once per
+    SparkContext: it takes several hundred client calls to construct.
+
     ``split`` yields one more element than ``regexp_extract_all`` (raw text before,
     between and after the segments), so raw piece ``i`` sorts at ``2i`` and segment
     ``i`` at ``2i+1``.
     """
+    if isinstance(text, str):
+        from pyspark import SparkContext
+
+        key = (id(SparkContext._active_spark_context), text)
+        if key not in _EXPR_CACHE:
+            _EXPR_CACHE[key] = segment_array(F.col(text))
+        return _EXPR_CACHE[key]
     segs = F.regexp_extract_all(text, F.lit(M.SEGMENT_PATTERN), 0)
     raws = F.split(text, M.SEGMENT_PATTERN, -1)
     ordered = F.array_sort(F.concat(_raw_items(raws), _segment_items(segs)))
@@ -99,7 +112,7 @@ def completion_segments(completions: DataFrame, id_col: str = "completion_id", t
     """
     return (
         spread(completions, [id_col])
-        .select(F.col(id_col), F.inline_outer(segment_array(F.col(text_col))))
+        .select(F.col(id_col), F.inline_outer(segment_array(text_col)))
         .where(F.col("pos").isNotNull())
     )
 
@@ -131,7 +144,7 @@ def _joined(segments: Column, channel: str) -> Column:
 def completion_parts(completions: DataFrame, id_col: str = "completion_id", text_col: str = "text") -> DataFrame:
     """Per completion: thinking text, final answer, whether a final exists and
     whether it was cut off (some segment left open)."""
-    segs = segment_array(F.col(text_col))
+    segs = segment_array(text_col)
     return spread(completions, [id_col]).select(F.col(id_col), segs.alias("_s")).select(
         F.col(id_col),
         _joined(F.col("_s"), "analysis").alias("thinking"),
@@ -152,6 +165,6 @@ def tool_calls(completions: DataFrame, id_col: str = "completion_id", text_col:
 
 def transcripts(completions: DataFrame, id_col: str = "completion_id", text_col: str = "text") -> DataFrame:
     """``id, transcript``: the display text of each completion."""
-    return spread(completions, [id_col]).select(F.col(id_col), segment_array(F.col(text_col)).alias("_s")).select(
+    return spread(completions, [id_col]).select(F.col(id_col), segment_array(text_col).alias("_s")).select(
         F.col(id_col), render_transcript(F.col("_s")).alias("transcript")
     )
