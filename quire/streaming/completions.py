@@ -77,7 +77,8 @@ class CompletionSegmenter(StatefulProcessor):
         ahead of a gap are written to state, so state traffic per key and trigger
         is constant plus the out-of-order pieces."""
         cid = int(key[0])
-        if self.cursor.exists():
+        existed = self.cursor.exists()
+        if existed:
             buf, next_seq, next_pos, last_seq, n_pending, finished = self.cursor.get()
             if finished:  # replayed pieces of a finished completion are ignored
                 for _ in rows:
@@ -89,6 +90,7 @@ class CompletionSegmenter(StatefulProcessor):
         if n_pending:
             waiting = {k[0]: v[0] for k, v in self.pending.iterator()}
             self.pending.clear()
+            n_pending = 0
         for pdf in rows:
             for seq, chunk, is_last in zip(pdf["seq"], pdf["chunk"], pdf["is_last"]):
                 seq = int(seq)
@@ -108,9 +110,11 @@ class CompletionSegmenter(StatefulProcessor):
             yield self._emit(cid, out, next_pos)
         next_pos += len(out)
         if done:
-            self.pending.clear()
+            if n_pending:
+                self.pending.clear()
             if self.idle_timeout_ms is None:
-                self.cursor.clear()
+                if existed:  # a completion seen whole in one trigger never touched state
+                    self.cursor.clear()
             else:  # keep a tombstone so late duplicates stay harmless; the timer drops it
                 self.cursor.update(("", next_seq, next_pos, last_seq, 0, True))
                 self._arm_timer(timerValues, self.retain_finished_ms)
