@@ -5,10 +5,9 @@ must agree with it."""
 import random
 import re
 
-from pyspark.sql import functions as F
 
 from quire.functions import markers as M
-from quire.operators.segments import completion_segments, segment_array, transcripts
+from quire.operators.segments import completion_segments, transcripts
 from quire.streaming.segmenter import consume, segments as py_segments
 
 STARTS = [  # checked in this order at the leftmost candidate position

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from quire.functions.decode import decode_bytes
 from quire.operators.files import select_source_files
