@@ -37,8 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only where it is unset (a bare local session, as in
-    tests) is a fresh folder made and handed to the SparkContext.
+    Read from the session; only where it is unset on a local master (tests) is a
+    fresh folder made and handed to the SparkContext. Unset on a cluster is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get(CHECKPOINT_CONF, None)
@@ -47,6 +47,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                f"{CHECKPOINT_CONF} is not set: on a cluster it must name shared storage "
+                "(a machine-local folder would not survive the loss of an executor or the driver)"
+            )
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quire-ckpt-"))
     return os.path.dirname(sc.getCheckpointDir().rstrip("/"))
 

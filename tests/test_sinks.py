@@ -74,3 +74,11 @@ def test_decode_udf_on_binary_and_file_samples(spark):
     samples = {r.path: [(m.role, m.content) for m in r.messages] for r in file_samples(df).collect()}
     assert samples["b.md"][1] == ("assistant", "")  # a file of only bad bytes is still one (empty) sample
     assert samples["c.py"][1] == ("assistant", "a\nb\nc\n")
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from quire.session import CHECKPOINT_CONF, checkpoint_dir, stream_checkpoint
+
+    d = checkpoint_dir(spark)
+    assert d == spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    assert stream_checkpoint(spark, "x").startswith(d)
