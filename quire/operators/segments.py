@@ -88,7 +88,8 @@ def segment_array(text: Column | str) -> Column:
     if isinstance(text, str):
         from pyspark import SparkContext
 
-        key = (id(SparkContext._active_spark_context), text)
+        sc = SparkContext._active_spark_context
+        key = (sc.applicationId, sc.startTime, text)  # a new context never reuses a key
         if key not in _EXPR_CACHE:
             _EXPR_CACHE[key] = segment_array(F.col(text))
         return _EXPR_CACHE[key]
