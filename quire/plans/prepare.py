@@ -35,10 +35,11 @@ def file_samples(
     per repo by default (each source-tree run covers one repo).
     """
     kept = select_source_files(files, max_file_bytes)
-    if "text" not in kept.columns:
-        kept = kept.withColumn("text", decode_utf8_lenient(F.col("content"))).drop("content")
+    body = "text" if "text" in kept.columns else "content"
     if max_samples is not None:
-        kept = _first_files(kept, max_samples, cap_per_repo)
+        kept = _first_files(kept, max_samples, cap_per_repo, body)
+    if body == "content":  # decode only what survived the filters (and the first-N choice)
+        kept = kept.withColumn("text", decode_utf8_lenient(F.col("content"))).drop("content")
     chunks = chunk_files(kept.select("repo", "path", "text"), "text", max_chars, keys=["repo", "path"])
     samples = file_messages(chunks, keys=SAMPLE_KEYS)
     if max_samples is not None:
@@ -50,12 +51,13 @@ def file_samples(
     return samples
 
 
-def _first_files(kept: DataFrame, n: int, per_repo: bool) -> DataFrame:
-    """Early stop: every kept file with text yields at least one sample, so the
-    first ``n`` samples in (path, chunk_idx) order come from the first ``n`` files
-    in path order. The choice is made on (repo, path) only and joined back, so
-    only those files are chunked; the exact cap on samples follows."""
-    keys = kept.where(F.col("text").isNotNull()).select("repo", "path")
+def _first_files(kept: DataFrame, n: int, per_repo: bool, body: str = "text") -> DataFrame:
+    """Early stop: every kept file with a body yields at least one sample (decoding
+    non-null bytes never gives null), so the first ``n`` samples in (path,
+    chunk_idx) order come from the first ``n`` such files in path order. The
+    choice is made on (repo, path) only and joined back, so only those files are
+    decoded and chunked; the exact cap on samples follows."""
+    keys = kept.where(F.col(body).isNotNull()).select("repo", "path")
     if per_repo:
         first = first_rows_per_group(keys, "repo", ["path"], n)  # at most n per repo: Spark sizes the join
     else:

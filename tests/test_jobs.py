@@ -67,3 +67,12 @@ def test_result_independent_of_partitioning(spark):
     pa = train.training_plan(a).collect()
     pb = train.training_plan(b).collect()
     assert sorted(map(tuple, pa)) == sorted(map(tuple, pb))
+
+
+def test_first_n_on_binary_content_decodes_only_chosen_files(spark):
+    rows = [("r", f"f{i:02d}.py", 4, f"x{i}\r\n".encode()) for i in range(30)]
+    df = spark.createDataFrame(rows, "repo string, path string, size long, content binary")
+    got = prepare.file_samples(df, max_samples=3, cap_per_repo=False).collect()
+    assert [(r.path, r.messages[1].content) for r in got] == [("f00.py", "x0\n"), ("f01.py", "x1\n"), ("f02.py", "x2\n")]
+    plan = prepare.file_samples(df, max_samples=3, cap_per_repo=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("LeftSemi")  # decoded after the first-N join
