@@ -40,24 +40,36 @@ FIRST_N_CONVERSATIONS = 50
 PER_REPO_SAMPLES = 5
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def _view(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived view is defined once per session and folder (DataFrames are immutable)."""
+    sc = spark.sparkContext
+    key = (sc.applicationId, sc.startTime, d, name)
+    if key not in _VIEWS:
+        _VIEWS[key] = build()
+    return _VIEWS[key]
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return TB.read_table(spark, d, name)
+    return _view(spark, d, name, lambda: TB.read_table(spark, d, name))
 
 
 def _source_files(spark, d):
-    return TB.source_files(_t(spark, d, "documents"))
+    return _view(spark, d, "source_files", lambda: TB.source_files(_t(spark, d, "documents")))
 
 
 def _specs(spark, d):
-    return TB.dataset_specs(_t(spark, d, "pages"))
+    return _view(spark, d, "specs", lambda: TB.dataset_specs(_t(spark, d, "pages")))
 
 
 def _completions(spark, d):
-    return TB.completions(_t(spark, d, "conversations"))
+    return _view(spark, d, "completions", lambda: TB.completions(_t(spark, d, "conversations")))
 
 
 def _chat_inputs(spark, d):
-    return TB.chat_inputs(_t(spark, d, "conversations"))
+    return _view(spark, d, "chat_inputs", lambda: TB.chat_inputs(_t(spark, d, "conversations")))
 
 
 def _small_samples(spark, d):
