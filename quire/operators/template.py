@@ -96,6 +96,35 @@ class ChannelTemplate(ChatTemplate):
 DEFAULT_TEMPLATE = ChannelTemplate()
 
 
+_EXPR_CACHE: dict[tuple, Column] = {}
+
+
+def _render_expr(
+    template: ChatTemplate, messages_col: str, add_generation_prompt: bool, effort_col: str | None, has_thinking: bool
+) -> Column:
+    """The render expression for a column name, built once per SparkContext (it takes
+    many client calls to construct; unresolved expressions are plan-independent)."""
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    try:
+        key = (sc.applicationId, sc.startTime, template, messages_col, add_generation_prompt, effort_col, has_thinking)
+        hash(key)
+    except TypeError:  # an unhashable custom template: build every time
+        key = None
+    if key is not None and key in _EXPR_CACHE:
+        return _EXPR_CACHE[key]
+    expr = template.render(
+        F.col(messages_col),
+        add_generation_prompt=add_generation_prompt,
+        effort=F.col(effort_col) if effort_col else None,
+        has_thinking=has_thinking,
+    )
+    if key is not None:
+        _EXPR_CACHE[key] = expr
+    return expr
+
+
 def _with_thinking(df: DataFrame, messages_col: str) -> bool:
     elem = df.schema[messages_col].dataType.elementType
     return "thinking" in elem.fieldNames()
@@ -112,7 +141,7 @@ def render_messages(
     """Render each message list to one ``text`` column (no generation prompt)."""
     require_messages(df, messages_col)
     keep = [c for c in (keep if keep is not None else df.columns) if c != messages_col and c != out_col]
-    text = template.render(F.col(messages_col), has_thinking=_with_thinking(df, messages_col))
+    text = _render_expr(template, messages_col, False, None, _with_thinking(df, messages_col))
     return df.select(*keep, text.alias(out_col))
 
 
@@ -127,10 +156,7 @@ def render_prompts(
     """Render a generation prompt: the messages, the optional effort preamble and
     the opening of an assistant turn."""
     require_messages(df, messages_col)
-    effort = F.col(effort_col) if effort_col else None
-    prompt = template.render(
-        F.col(messages_col), add_generation_prompt=True, effort=effort, has_thinking=_with_thinking(df, messages_col)
-    )
+    prompt = _render_expr(template, messages_col, True, effort_col, _with_thinking(df, messages_col))
     keep = [c for c in df.columns if c != messages_col]
     return df.select(*keep, prompt.alias(out_col))
 
