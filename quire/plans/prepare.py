@@ -141,6 +141,7 @@ def tree_samples(
     be read; then further files are read in rounds until N samples exist or the
     tree is exhausted (only counts reach the driver).
     """
+    from quire.session import checkpoint_dir
     from quire.sources.tree import list_tree, read_contents, readable
 
     listing = select_source_files(list_tree(spark, root, repo), max_file_bytes)
@@ -155,6 +156,7 @@ def tree_samples(
     if max_samples <= 0:
         raise ValueError(f"max_samples must be positive or None, got {max_samples}")
 
+    checkpoint_dir(spark)  # the cluster's shared folder (a temporary one only for local tests)
     rounds: list[DataFrame] = []
     have, after = 0, None
     while have < max_samples:
@@ -163,7 +165,9 @@ def tree_samples(
         last = batch.agg(F.max("path").alias("last"), F.count(F.lit(1)).alias("n")).first()
         if not last or last["n"] == 0:
             break
-        part = samples_of(batch)
+        # at most n samples per round: checkpointed to the shared folder so the
+        # files are read once, and the count below does not recompute them
+        part = samples_of(batch).checkpoint(eager=True)
         rounds.append(part)
         have += part.count()
         after = last["last"]
