@@ -42,6 +42,12 @@ def chunk_text(text: Column, max_chars: int = DEFAULT_MAX_CHARS) -> Column:
     return F.when(F.length(text) <= max_chars, F.array(text)).otherwise(pieces)
 
 
+def chunk_count(text: Column, max_chars: int = DEFAULT_MAX_CHARS) -> Column:
+    """Number of pieces, counted by the same pattern without building the pieces."""
+    n = F.regexp_count(text, F.lit(chunk_pattern(max_chars)))
+    return F.when(F.length(text) <= max_chars, F.lit(1)).otherwise(n)
+
+
 def chunk_label(idx: Column, cnt: Column) -> Column:
     """``""`` for a single piece, else ``" (chunk i/n)"``."""
     return F.when(cnt == 1, F.lit("")).otherwise(F.format_string(" (chunk %d/%d)", idx, cnt))

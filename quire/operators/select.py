@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.chunk import DEFAULT_MAX_CHARS, chunk_text
+from quire.functions.chunk import DEFAULT_MAX_CHARS, chunk_count
 from quire.functions.text import has_source_extension, in_vcs_dir
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
 from quire.operators.layout import spread
@@ -125,7 +125,7 @@ def corpus_report(
         .otherwise(F.lit("kept"))
     )
     kept = F.col("reason") == "kept"
-    pieces = F.when(kept, F.size(chunk_text(F.col(text_col), max_chars))).otherwise(F.lit(0))
+    pieces = F.when(kept, chunk_count(F.col(text_col), max_chars)).otherwise(F.lit(0))
     chars = F.when(kept, F.length(F.col(text_col))).otherwise(F.lit(0))
 
     def cnt(r: str):
