@@ -97,6 +97,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """One entry per operator of SURVEY §2 (see COVERAGE.md) and per composed flow;
+    each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame."""
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
     # --- sources -----------------------------------------------------------
@@ -372,6 +374,9 @@ segments as (
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL per query over the pre-registered tables; every query but
+    ``length_summary`` (approximate quantiles) has one. Recursive CTEs restate the
+    chunking rule independently of the Spark regex."""
     o: dict[str, str] = {}
     o["scan_conversations"] = "select conv_id, turn, role, text from conversations"
     o["pick_split"] = """select doc_id, lang from documents
