@@ -79,3 +79,31 @@ def test_reader_cuts_batches_by_bytes():
     assert [len(b) for b in out] == [3, 3, 3, 2]
     merged = pd.concat(out)
     assert list(merged["path"]) == list(pdf["path"]) and merged["text"].isna().sum() == 1
+
+
+def test_tree_flow_equals_table_flow(spark):
+    """Documents written out as a tree give exactly the rows of the table-based flow."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from quire.plans.prepare import training_text
+    from quire.sources import tables as TB
+
+    from conftest import SF_SMALL
+
+    t = pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["doc_id", "text", "source"]).to_pydict()
+    exts = [".py", ".md", ".txt", ".PY"]
+    root = make_tree({
+        f"{src}/d{d % 7}/f{d}{exts[d % 4]}": txt.encode() for d, txt, src in zip(t["doc_id"], t["text"], t["source"])
+    })
+    docs = TB.read_table(spark, SF_SMALL, "documents")
+    ext = F.element_at(F.array(*[F.lit(e) for e in exts]), (F.col("doc_id") % 4 + 1).cast("int"))
+    files = docs.select(
+        F.lit("t").alias("repo"),
+        F.concat(F.col("source"), F.lit("/d"), (F.col("doc_id") % 7).cast("string"), F.lit("/f"),
+                 F.col("doc_id").cast("string"), ext).alias("path"),
+        F.octet_length("text").cast("bigint").alias("size"), "text")
+    a = tree_training_text(spark, root, "t", max_chars=500)
+    b = training_text(files, max_chars=500)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
