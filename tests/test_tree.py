@@ -107,3 +107,13 @@ def test_tree_flow_equals_table_flow(spark):
     b = training_text(files, max_chars=500)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_uri_root_uses_arrow_filesystem(spark):
+    files = {"a.py": b"x = 1\n", "pkg/__init__.py": b"", "docs/b.md": b"# b\n", ".git/c.py": b"no", "d.txt": b"t"}
+    root = make_tree(files)
+    uri = "file://" + root
+    listing = list_tree(spark, uri, repo="r")
+    assert sorted(r.path for r in listing.collect()) == sorted(f for f in files if not f.startswith(".git/"))
+    got = sorted((r.path, r.chunk_idx) for r in tree_training_text(spark, uri, "r").collect())
+    assert got == [("a.py", 1), ("docs/b.md", 1)]  # empty __init__.py and .txt are filtered
