@@ -76,3 +76,16 @@ def test_first_n_on_binary_content_decodes_only_chosen_files(spark):
     assert [(r.path, r.messages[1].content) for r in got] == [("f00.py", "x0\n"), ("f01.py", "x1\n"), ("f02.py", "x2\n")]
     plan = prepare.file_samples(df, max_samples=3, cap_per_repo=False)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("LeftSemi")  # decoded after the first-N join
+
+
+def test_cli_prepare_from_json_lines(spark, capsys):
+    conv = TB.read_table(spark, SF_SMALL, "conversations")
+    src = os.path.join(_new_dir(), "conv.jsonl")
+    conv.coalesce(1).write.json(src)
+    out = os.path.join(_new_dir(), "prepared")
+    jobs.main(["prepare", "--dataset", src, "--out", out, "--max-samples", "7"])
+    printed = capsys.readouterr().out
+    assert "Samples: 7" in printed and "First formatted sample:" in printed
+    plan_out = os.path.join(_new_dir(), "plan")
+    jobs.main(["plan", "--dataset-dir", out, "--out", plan_out, "--max-steps", "2"])
+    assert "Planned samples: 8" in capsys.readouterr().out
