@@ -193,7 +193,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         TR.sample_id(_training_text(s, d)).select("sample_id", "text"), "sample_id"
     ).select("sample_id", "epoch", "step", "micro")
     q["over_length_samples"] = lambda s, d: SH.flag_over_length(_conv_text(s, d)).select("conv_id", "n_tokens", "over_limit")
-    # approximate quantiles: no exact SQL counterpart, so no oracle (rows-only check)
+    # approximate quantiles (relative error 1e-4): at these sizes they are the exact
+    # elements of rank ceil(p * n), which the oracle computes
     q["length_summary"] = lambda s, d: SH.length_summary(_conv_text(s, d))
 
     # --- completions -----------------------------------------------------------
@@ -374,9 +375,9 @@ segments as (
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query over the pre-registered tables; every query but
-    ``length_summary`` (approximate quantiles) has one. Recursive CTEs restate the
-    chunking rule independently of the Spark regex."""
+    """DuckDB SQL per query over the pre-registered tables. Recursive CTEs restate
+    the chunking rule independently of the Spark regex; ``length_summary`` compares
+    approximate quantiles with exact ranks (equal at test sizes)."""
     o: dict[str, str] = {}
     o["scan_conversations"] = "select conv_id, turn, role, text from conversations"
     o["pick_split"] = """select doc_id, lang from documents
@@ -499,6 +500,15 @@ top as (select sample_id, epoch, md5(cast(3407 + epoch as varchar) || ':' || sam
 rn as (select *, row_number() over (order by epoch, k, sample_id) - 1 as rn from top)
 select sample_id, cast(epoch as bigint) as epoch, cast(rn // 4 + 1 as bigint) as step,
        cast((rn // 1) % 4 + 1 as bigint) as micro from rn"""
+    o["length_summary"] = f"""with {_CONV_TEXT},
+t as (select cast(ceil(length(text) / 4) as bigint) as n from conv_text),
+r as (select n, row_number() over (order by n) as rk, count(*) over () as cnt from t)
+select cast(count(*) as bigint) as samples,
+       (select n from r where rk = greatest(1, cast(ceil(0.5 * cnt) as bigint)) limit 1) as p50,
+       (select n from r where rk = greatest(1, cast(ceil(0.9 * cnt) as bigint)) limit 1) as p90,
+       (select n from r where rk = greatest(1, cast(ceil(0.99 * cnt) as bigint)) limit 1) as p99,
+       cast(max(n) as bigint) as max_tokens
+from t"""
     o["over_length_samples"] = f"""with {_CONV_TEXT}
 select conv_id, cast(ceil(length(text) / 4) as bigint) as n_tokens, ceil(length(text) / 4) > 4096 as over_limit from conv_text"""
 

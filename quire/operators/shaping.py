@@ -107,8 +107,13 @@ def flag_over_length(
 def length_summary(df: DataFrame, text_col: str = "text", count_tokens: Callable[[Column], Column] = approx_tokens) -> DataFrame:
     """Approximate token-length quantiles (p50, p90, p99, max) in one aggregate."""
     n = count_tokens(F.col(text_col))
+    q = F.percentile_approx(n, [0.5, 0.9, 0.99])
     return df.agg(
         F.count(F.lit(1)).cast("bigint").alias("samples"),
-        F.percentile_approx(n, [0.5, 0.9, 0.99]).alias("p50_p90_p99"),
+        q.alias("_q"),
         F.max(n).cast("bigint").alias("max_tokens"),
+    ).select(
+        "samples",
+        *[F.col("_q")[i].cast("bigint").alias(name) for i, name in enumerate(("p50", "p90", "p99"))],
+        "max_tokens",
     )
