@@ -6,6 +6,8 @@ build generation requests.
     spark-submit --py-files quire.zip quire/plans/jobs.py plan --dataset-dir prepared/ --out plan/
     spark-submit --py-files quire.zip quire/plans/jobs.py requests --inputs chat_inputs/ --out requests/
 
+(``quire.zip`` is the package folder zipped from the repository root: ``zip -r quire.zip quire``.)
+
 Each job is one DataFrame program; the only values that reach the driver are a
 row count (observed during the write) and the first sample for the log.
 """
