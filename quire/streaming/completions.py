@@ -109,9 +109,7 @@ class CompletionSegmenter(StatefulProcessor):
         if out:
             yield self._emit(cid, out, next_pos)
         next_pos += len(out)
-        if done:
-            if n_pending:
-                self.pending.clear()
+        if done:  # (pending pieces were loaded and cleared above)
             if self.idle_timeout_ms is None:
                 if existed:  # a completion seen whole in one trigger never touched state
                     self.cursor.clear()
