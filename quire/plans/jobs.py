@@ -55,8 +55,9 @@ def prepare_dataset(
     out_root: str = "prepared",
 ) -> tuple[int, str | None]:
     """Route by spec: a git spec reads the source tree at ``tree`` (already checked
-    out on a shared mount); anything else is a conversation table (ShareGPT-like
-    rows with ``conversations``, or flat turns ``conv_id, turn, role, text``).
+    out on a shared mount); anything else is a conversation table: rows with
+    ``messages`` (role, content, optional thinking), ShareGPT-like rows with
+    ``conversations``, or flat turns ``conv_id, turn, role, text``.
     Writes ``text`` partitioned by ``split``; returns (rows, first sample)."""
     spec = F.lit(dataset)
     target = out or os.path.join(out_root, _scalar(spark, output_name(spec, F.lit(split))))
@@ -71,9 +72,12 @@ def prepare_dataset(
         df = read_any(spark, dataset)
         if "split" in df.columns:
             df = df.where(F.col("split") == split)
-        if "conversations" in df.columns:
+        if "conversations" in df.columns or "messages" in df.columns:
             key = "id" if "id" in df.columns else df.columns[0]
-            text = prepare.sharegpt_training_text(df, key=key, max_samples=max_samples)
+            if "messages" in df.columns:  # already role/content (optionally thinking)
+                text = prepare.messages_training_text(df, key=key, max_samples=max_samples)
+            else:
+                text = prepare.sharegpt_training_text(df, key=key, max_samples=max_samples)
             order = [key]
         else:
             text = prepare.conversation_training_text(df, max_samples=max_samples)

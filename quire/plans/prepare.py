@@ -123,6 +123,26 @@ def sharegpt_training_text(
     return render_messages(standardize_roles(capped, conv_col), template=template, keep=[key])
 
 
+def messages_training_text(
+    df: DataFrame,
+    *,
+    key: str = "id",
+    messages_col: str = "messages",
+    max_samples: int | None = None,
+    template: ChatTemplate = DEFAULT_TEMPLATE,
+) -> DataFrame:
+    """Rows that already carry ``messages`` (role, content and optionally
+    ``thinking``) → ``key, text``; capped on the key column like the other flows."""
+    if max_samples is None:
+        capped = df
+    else:
+        first = first_rows(df.select(key), [key], max_samples)
+        if max_samples <= BROADCAST_KEY_LIMIT:
+            first = F.broadcast(first)
+        capped = df.join(first, key, "left_semi")
+    return render_messages(capped, messages_col, template=template, keep=[key])
+
+
 def tree_samples(
     spark,
     root: str,

@@ -89,3 +89,23 @@ def test_cli_prepare_from_json_lines(spark, capsys):
     plan_out = os.path.join(_new_dir(), "plan")
     jobs.main(["plan", "--dataset-dir", out, "--out", plan_out, "--max-steps", "2"])
     assert "Planned samples: 8" in capsys.readouterr().out
+
+
+def test_prepare_messages_with_thinking(spark):
+    import json
+
+    src = os.path.join(_new_dir(), "mt.jsonl")
+    with open(src, "w") as fh:
+        for i in range(4):
+            fh.write(json.dumps({"id": i, "messages": [
+                {"role": "system", "content": "reasoning language: French", "thinking": None},
+                {"role": "user", "content": f"q{i}", "thinking": None},
+                {"role": "assistant", "content": f"a{i}", "thinking": f"t{i}"}]}) + "\n")
+    out = os.path.join(_new_dir(), "o")
+    n, first = jobs.prepare_dataset(spark, src, out, max_samples=3)
+    assert n == 3
+    assert first == (
+        "<|start|>system<|message|>reasoning language: French<|end|><|start|>user<|message|>q0<|end|>"
+        "<|start|>assistant<|channel|>analysis<|message|>t0<|end|>"
+        "<|start|>assistant<|channel|>final<|message|>a0<|return|>"
+    )
