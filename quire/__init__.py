@@ -21,6 +21,7 @@ _EXPORTS = {
     "tree_training_text": "quire.plans.prepare",
     "conversation_training_text": "quire.plans.prepare",
     "sharegpt_training_text": "quire.plans.prepare",
+    "messages_training_text": "quire.plans.prepare",
     "file_samples": "quire.plans.prepare",
     "training_plan": "quire.plans.train",
     "generation_requests": "quire.plans.chat",
