@@ -16,6 +16,7 @@ from quire.operators.template import DEFAULT_TEMPLATE, ChatTemplate, render_mess
 from quire.session import stream_checkpoint
 
 SHAREGPT_SCHEMA = "id bigint, conversations array<struct<from:string,value:string>>"
+MESSAGES_SCHEMA = "id bigint, messages array<struct<role:string,content:string,thinking:string>>"
 
 
 def conversation_text_stream(
@@ -31,6 +32,8 @@ def conversation_text_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     rows = reader.load(source_dir)
+    if "messages" in rows.columns:  # already role/content (optionally thinking)
+        return render_messages(rows, template=template, keep=["id"])
     return render_messages(standardize_roles(rows), template=template, keep=["id"])
 
 

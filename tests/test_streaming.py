@@ -94,3 +94,19 @@ def test_timeout_flushes_abandoned_and_ignores_replays(spark):
     finally:
         q.stop()
     assert [r for r in rows if r[0] == 2] == [(2, 0, "raw", "hello", True)]
+
+
+def test_prepare_stream_with_messages_rows(spark):
+    from quire.operators.template import render_messages
+    from quire.streaming.prepare import MESSAGES_SCHEMA
+
+    rows = [(i, [("user", f"q{i}", None), ("assistant", f"a{i}", f"t{i}")]) for i in range(5)]
+    df = spark.createDataFrame(rows, MESSAGES_SCHEMA)
+    src = tempfile.mkdtemp(prefix="quire-prep-msg-")
+    df.write.mode("overwrite").parquet(src)
+    out = tempfile.mkdtemp(prefix="quire-prep-msg-out-")
+    q = start_prepare_stream(spark, src, os.path.join(out, "t"), schema=MESSAGES_SCHEMA,
+                             name=f"prep-msg-{random.randint(0, 10**9)}")
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "t")).collect())
+    assert got == sorted(tuple(r) for r in render_messages(df, keep=["id"]).collect())
