@@ -10,14 +10,16 @@ from quire.functions import markers as M
 from quire.operators.segments import completion_segments, transcripts
 from quire.streaming.segmenter import consume, segments as py_segments
 
-STARTS = [  # checked in this order at the leftmost candidate position
-    (M.ANALYSIS_START, "analysis"),
-    (M.FINAL_START, "final"),
-    (M.START_ASSISTANT + M.COMMENTARY_START, "commentary"),
-    (M.COMMENTARY_START, "commentary"),
-    (M.START_ASSISTANT + M.TOOL_START, "tool"),
-    (M.TOOL_START, "tool"),
-]
+# Start markers and the channel each opens; at any position at most one of them
+# matches in full, so the scanner needs no priority among them.
+STARTS = {
+    M.ANALYSIS_START: "analysis",
+    M.FINAL_START: "final",
+    M.START_ASSISTANT + M.COMMENTARY_START: "commentary",
+    M.COMMENTARY_START: "commentary",
+    M.START_ASSISTANT + M.TOOL_START: "tool",
+    M.TOOL_START: "tool",
+}
 ENDS = {"analysis": M.ANALYSIS_END, "commentary": M.ANALYSIS_END, "tool": M.TOOL_END, "final": M.FINAL_END}
 
 
@@ -28,23 +30,25 @@ def strip(t):
 
 
 def scan(text):
-    """Whole-text scanner: raw text until the leftmost start marker, then the
-    segment until its end marker (or the end of text)."""
+    """Whole-text scanner: raw text up to the leftmost position where a start
+    marker matches, then the segment up to its end marker (or the end of text)."""
     out, i = [], 0
-    while True:
-        cands = [(text.find(s, i), s, ch) for s, ch in STARTS]
-        cands = [c for c in cands if c[0] != -1]
-        if not cands:
-            r = strip(text[i:])
-            if r:
-                out.append(("raw", r, True))
-            break
-        idx = min(c[0] for c in cands)
-        r = strip(text[i:idx])
+
+    def raw(piece):
+        r = strip(piece)
         if r:
             out.append(("raw", r, True))
-        s, ch = next((s, ch) for s, ch in STARTS if text.startswith(s, idx))
-        j = idx + len(s)
+
+    while True:
+        hits = [(text.find(s, i), s) for s in STARTS if text.find(s, i) != -1]
+        if not hits:
+            raw(text[i:])
+            break
+        idx = min(h[0] for h in hits)
+        start = max((s for h, s in hits if h == idx), key=len)
+        raw(text[i:idx])
+        ch = STARTS[start]
+        j = idx + len(start)
         e = text.find(ENDS[ch], j)
         if e == -1:
             out.append((ch, strip(text[j:]), False))
