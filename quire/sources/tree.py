@@ -226,15 +226,20 @@ def read_contents(listing: DataFrame, root: str, num_partitions: int | None = No
     The listing is spread by path over tasks first (a shuffle of small metadata
     rows only), so one big directory does not end up in one reading task. Without
     ``num_partitions`` the task count follows the listed bytes (about
-    ``TASK_BYTES`` per task, at least the default parallelism): one metadata-only
-    aggregate on the listing. Output batches are cut by bytes.
+    ``TASK_BYTES`` per task, at least the default parallelism), taken from the
+    checkpointed listing. Output batches are cut by bytes.
     """
-    from quire.session import ship_package
+    from quire.session import checkpoint_dir, ship_package
 
     spark = listing.sparkSession
     ship_package(spark)
     n = num_partitions
     if n is None:
+        # The listing is materialised once in the shared checkpoint folder: sizing
+        # the tasks and reading then share one walk of the tree (and its lineage
+        # is cut, so a lost executor does not re-walk it).
+        checkpoint_dir(spark)
+        listing = listing.checkpoint(eager=True)
         total = listing.agg(F.sum("size").alias("b")).first()["b"] or 0
         n = max(spark.sparkContext.defaultParallelism, -(-int(total) // TASK_BYTES))
     spread = listing.repartition(int(n), "path")
