@@ -84,8 +84,21 @@ def prepare_dataset(
             order = ["conv_id"]
     out_df = text.withColumn("split", F.lit(split))
     n = write_prepared_counted(out_df.select(*order, "text", "split"), target, overwrite=overwrite)
-    first = first_row(spark.read.parquet(target), order).select(text_preview("text").alias("p")).first()
-    return n, (first["p"] if first else None)
+    return n, first_preview(spark.read.parquet(target), order)
+
+
+def first_preview(table: DataFrame, order: list[str]) -> str | None:
+    """Preview of the first sample: the first key is found on the key columns alone
+    (a top-k that never reads ``text``), then that one row is fetched with an
+    equality filter that Parquet can push down to row groups."""
+    key = first_row(table.select(*order), order).first()
+    if key is None:
+        return None
+    cond = F.lit(True)
+    for c in order:
+        cond = cond & (F.col(c) == F.lit(key[c]))
+    row = table.where(cond).select(text_preview("text").alias("p")).first()
+    return row["p"] if row else None
 
 
 def plan_training(
