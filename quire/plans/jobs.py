@@ -123,13 +123,16 @@ def build_requests(
     out: str,
     *,
     efforts: bool = True,
+    effort: str | None = None,
+    max_new_tokens: int = 512,
     do_sample: bool = True,
     temperature: float = 0.7,
     top_p: float = 0.9,
 ) -> int:
     """``id, developer, user_text`` rows → one generation request per input (and effort level)."""
     reqs = chat.generation_requests(
-        read_any(spark, inputs), efforts=efforts, do_sample=do_sample, temperature=temperature, top_p=top_p
+        read_any(spark, inputs), efforts=efforts, effort=effort, max_new_tokens=max_new_tokens,
+        do_sample=do_sample, temperature=temperature, top_p=top_p,
     )
     return write_prepared_counted(reqs, out, split_col=None)
 
@@ -156,7 +159,9 @@ def main(argv: list[str] | None = None) -> None:
     c = sub.add_parser("requests")
     c.add_argument("--inputs", required=True)
     c.add_argument("--out", required=True)
-    c.add_argument("--no-efforts", action="store_true")
+    c.add_argument("--no-efforts", action="store_true", help="one request per input instead of the effort grid")
+    c.add_argument("--reasoning-effort", choices=["low", "medium", "high"], default=None)
+    c.add_argument("--max-new-tokens", type=int, default=512)
     c.add_argument("--greedy", action="store_true")
     c.add_argument("--temperature", type=float, default=0.7)
     c.add_argument("--top-p", type=float, default=0.9)
@@ -171,7 +176,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "plan":
         print(f"Planned samples: {plan_training(spark, args.dataset_dir, args.out, max_steps=args.max_steps, batch_size=args.batch_size, grad_accum=args.grad_accum, seed=args.seed)}")
     else:
-        print(f"Requests: {build_requests(spark, args.inputs, args.out, efforts=not args.no_efforts, do_sample=not args.greedy, temperature=args.temperature, top_p=args.top_p)}")
+        n = build_requests(
+            spark, args.inputs, args.out, efforts=not args.no_efforts, effort=args.reasoning_effort,
+            max_new_tokens=args.max_new_tokens, do_sample=not args.greedy, temperature=args.temperature, top_p=args.top_p,
+        )
+        print(f"Requests: {n}")
 
 
 if __name__ == "__main__":

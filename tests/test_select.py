@@ -109,3 +109,16 @@ def test_spread_only_when_input_splits_are_few(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert spread(docs, []) is docs
+
+
+def test_single_effort_requests(spark):
+    from quire.plans.chat import generation_requests
+
+    df = spark.createDataFrame([(1, None, "hi"), (2, "dev", "  ")], "id long, developer string, user_text string")
+    r = generation_requests(df, efforts=False, effort="high", max_new_tokens=64).collect()
+    assert len(r) == 1 and r[0].effort == "high" and r[0].max_new_tokens == 64
+    assert r[0].prompt == "<|start|>system<|message|>Reasoning: high<|end|><|start|>user<|message|>hi<|end|><|start|>assistant"
+    r = generation_requests(df, efforts=False).collect()[0]
+    assert r.effort is None and r.prompt == "<|start|>user<|message|>hi<|end|><|start|>assistant" and r.max_new_tokens == 512
+    with pytest.raises(ValueError):
+        generation_requests(df, efforts=False, effort="extreme")
