@@ -24,7 +24,14 @@ from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.text import is_git_spec, output_name, text_preview
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
 from quire.operators.select import first_row
-from quire.operators.shaping import DEFAULT_BATCH_SIZE, DEFAULT_GRAD_ACCUM, DEFAULT_MAX_STEPS, DEFAULT_SEED
+from quire.operators.shaping import (
+    DEFAULT_BATCH_SIZE,
+    DEFAULT_GRAD_ACCUM,
+    DEFAULT_MAX_SEQ_LENGTH,
+    DEFAULT_MAX_STEPS,
+    DEFAULT_SEED,
+    flag_over_length,
+)
 from quire.plans import chat, prepare, train
 from quire.sources.tables import load_prepared, write_prepared_counted
 
@@ -110,10 +117,13 @@ def plan_training(
     batch_size: int = DEFAULT_BATCH_SIZE,
     grad_accum: int = DEFAULT_GRAD_ACCUM,
     seed: int = DEFAULT_SEED,
+    max_seq_length: int = DEFAULT_MAX_SEQ_LENGTH,
 ) -> int:
-    """Reload a prepared table (``train`` split if present) and write the batches a run consumes."""
+    """Reload a prepared table (``train`` split if present) and write the batches a
+    run consumes, each sample flagged when it exceeds ``max_seq_length`` tokens."""
     samples = load_prepared(spark, dataset_dir)
     plan = train.training_plan(samples, max_steps=max_steps, batch_size=batch_size, grad_accum=grad_accum, seed=seed)
+    plan = flag_over_length(plan, max_seq_length=max_seq_length)
     return write_prepared_counted(plan, out, split_col=None)
 
 
@@ -156,6 +166,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
     b.add_argument("--grad-accum", type=int, default=DEFAULT_GRAD_ACCUM)
     b.add_argument("--seed", type=int, default=DEFAULT_SEED)
+    b.add_argument("--max-seq-length", type=int, default=DEFAULT_MAX_SEQ_LENGTH)
     c = sub.add_parser("requests")
     c.add_argument("--inputs", required=True)
     c.add_argument("--out", required=True)
@@ -174,7 +185,11 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(f"First formatted sample:\n\n{first}\n\nSamples: {n}")
     elif args.cmd == "plan":
-        print(f"Planned samples: {plan_training(spark, args.dataset_dir, args.out, max_steps=args.max_steps, batch_size=args.batch_size, grad_accum=args.grad_accum, seed=args.seed)}")
+        n = plan_training(
+            spark, args.dataset_dir, args.out, max_steps=args.max_steps, batch_size=args.batch_size,
+            grad_accum=args.grad_accum, seed=args.seed, max_seq_length=args.max_seq_length,
+        )
+        print(f"Planned samples: {n}")
     else:
         n = build_requests(
             spark, args.inputs, args.out, efforts=not args.no_efforts, effort=args.reasoning_effort,

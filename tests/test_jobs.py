@@ -28,6 +28,7 @@ def test_prepare_tree_then_plan(spark):
     assert jobs.plan_training(spark, out, plan_dir) == 120  # 3 samples → 40 epochs
     rows = spark.read.parquet(plan_dir).collect()
     assert {r.epoch for r in rows} == set(range(40)) and max(r.step for r in rows) == 30
+    assert all(r.n_tokens > 0 and r.over_limit == (r.n_tokens > 4096) for r in rows)
 
 
 def test_prepare_needs_tree_for_git_spec(spark):
