@@ -91,10 +91,7 @@ def conversation_training_text(
     role standardisation → render: ``conv_id, text``."""
     capped = first_groups(turns, key, max_samples)
     msgs = turns_to_messages(capped, key=key)
-    as_sharegpt = msgs.select(
-        key, F.transform("messages", lambda m: F.struct(m["role"].alias("from"), m["content"].alias("value"))).alias("conversations")
-    )
-    std = standardize_roles(as_sharegpt)
+    std = standardize_roles(msgs, "messages", from_field="role", value_field="content")
     return render_messages(std, template=template, keep=[key])
 
 
