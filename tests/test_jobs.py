@@ -110,3 +110,15 @@ def test_prepare_messages_with_thinking(spark):
         "<|start|>assistant<|channel|>analysis<|message|>t0<|end|>"
         "<|start|>assistant<|channel|>final<|message|>a0<|return|>"
     )
+
+
+def test_first_preview_empty_and_json_scan(spark):
+    from quire.sources.tables import scan_conversations
+
+    empty = spark.createDataFrame([], "conv_id long, text string")
+    assert jobs.first_preview(empty, ["conv_id"]) is None
+    src = os.path.join(_new_dir(), "conv_json")
+    spark.createDataFrame([(1, 0, "user", "hi", "train"), (2, 0, "user", "yo", "test")],
+                          "conv_id long, turn long, role string, text string, split string").write.json(src)
+    got = scan_conversations(spark, src, split="test", fmt="json").collect()
+    assert [(r.conv_id, r.text) for r in got] == [(2, "yo")]
