@@ -179,9 +179,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _source_files(s, d), max_file_bytes=SMALL_MAX_FILE_BYTES, max_chars=SMALL_MAX_CHARS,
         max_samples=PER_REPO_SAMPLES, cap_per_repo=True,
     ).select("repo", "path", F.col("chunk_idx").cast("bigint").alias("chunk_idx"))
-    q["first_sample"] = lambda s, d: SL.first_row(_training_text(s, d), ["repo", "path", "chunk_idx"]).withColumn(
-        "chunk_idx", F.col("chunk_idx").cast("bigint")
-    )
+    # first row in (repo, path, chunk_idx) order; only the first file is chunked
+    q["first_sample"] = lambda s, d: TP.render_messages(
+        PR.file_samples(_source_files(s, d), max_samples=1, cap_per_repo=False, file_order=("repo", "path")),
+        keep=PR.SAMPLE_KEYS,
+    ).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
     q["sample_count"] = lambda s, d: SL.sample_count(_training_text(s, d))
     q["corpus_report"] = lambda s, d: SL.corpus_report(_source_files(s, d), SMALL_MAX_FILE_BYTES, SMALL_MAX_CHARS)
 

@@ -27,41 +27,44 @@ def file_samples(
     max_chars: int = DEFAULT_MAX_CHARS,
     max_samples: int | None = None,
     cap_per_repo: bool = True,
+    file_order: tuple[str, ...] = ("path",),
 ) -> DataFrame:
     """Files (``repo, path, size`` and ``text`` or binary ``content``) → message samples
     ``repo, path, chunk_idx, messages``.
 
-    With ``max_samples`` the first N samples in (path, chunk_idx) order are kept,
-    per repo by default (each source-tree run covers one repo).
+    With ``max_samples`` the first N samples in (``file_order``, chunk_idx) order are
+    kept, per repo by default (each source-tree run covers one repo).
     """
+    order = list(file_order)
     kept = select_source_files(files, max_file_bytes)
     body = "text" if "text" in kept.columns else "content"
     if max_samples is not None:
-        kept = _first_files(kept, max_samples, cap_per_repo, body)
+        kept = _first_files(kept, max_samples, cap_per_repo, body, order)
     if body == "content":  # decode only what survived the filters (and the first-N choice)
         kept = kept.withColumn("text", decode_utf8_lenient(F.col("content"))).drop("content")
     chunks = chunk_files(kept.select("repo", "path", "text"), "text", max_chars, keys=["repo", "path"])
     samples = file_messages(chunks, keys=SAMPLE_KEYS)
     if max_samples is not None:
         samples = (
-            first_rows_per_group(samples, "repo", ["path", "chunk_idx"], max_samples)
+            first_rows_per_group(samples, "repo", order + ["chunk_idx"], max_samples)
             if cap_per_repo
-            else first_rows(samples, ["path", "chunk_idx"], max_samples)
+            else first_rows(samples, order + ["chunk_idx"], max_samples)
         )
     return samples
 
 
-def _first_files(kept: DataFrame, n: int, per_repo: bool, body: str = "text") -> DataFrame:
+def _first_files(kept: DataFrame, n: int, per_repo: bool, body: str = "text", order: list[str] | None = None) -> DataFrame:
     """Early stop: every kept file with a body yields at least one sample (decoding
     non-null bytes never gives null), so the first ``n`` samples in (path,
     chunk_idx) order come from the first ``n`` such files in path order. The
     choice is made on (repo, path) only and joined back, so only those files are
     decoded and chunked; the exact cap on samples follows."""
+    order = order or ["path"]
     keys = kept.where(F.col(body).isNotNull()).select("repo", "path")
     if per_repo:
-        first = first_rows_per_group(keys, "repo", ["path"], n)  # at most n per repo: Spark sizes the join
+        first = first_rows_per_group(keys, "repo", order, n)  # at most n per repo: Spark sizes the join
     else:
-        first = first_rows(keys, ["path"], n)
+        first = first_rows(keys, order, n)
         if n <= BROADCAST_KEY_LIMIT:  # at most n keys: a proven bound
             first = F.broadcast(first)
     return kept.join(first, ["repo", "path"], "left_semi")
