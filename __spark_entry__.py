@@ -217,6 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["conversation_training_text"] = lambda s, d: _conv_text(s, d)
     q["training_plan"] = lambda s, d: TR.training_plan(_conv_text(s, d))
     q["generation_requests"] = lambda s, d: CH.generation_requests(_chat_inputs(s, d))
+    q.update(_llm_queries()[0])
     return q
 
 
@@ -555,4 +556,20 @@ select id, effort, '<|start|>system<|message|>Reasoning: ' || effort || '<|end|>
        cast(max_new_tokens as bigint) as max_new_tokens, true as do_sample,
        cast(0.7 as double) as temperature, cast(0.9 as double) as top_p
 from body, {efforts}"""
+    o.update(_llm_queries()[1])
     return o
+
+
+def _llm_queries() -> tuple[dict, dict]:
+    """The training-data operators and the pipeline, where their subpackage is installed."""
+    from importlib.util import find_spec
+
+    if find_spec("quire.llm") is None or find_spec("corpus_pipeline") is None:
+        return {}, {}
+    import corpus_pipeline
+    from quire.llm import queries as llm
+
+    oracles = dict(llm.ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, oracles
