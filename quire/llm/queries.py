@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, toxicity
+from quire.llm import mixing, passages, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,5 +24,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("t_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.col("t_spans").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op6_toxicity)}
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.without_repeats(docs, prefix="p_").select(
+        "doc_id", F.col("p_n_bytes").alias("n_bytes"), (F.col("p_n_bytes") - F.octet_length("p_kept")).alias("n_removed"),
+        F.size("p_spans").cast("long").alias("n_spans"), F.sha2("p_kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix, op6_toxicity, op8_suffix_array)}
 ORACLES: dict[str, str] = {}
