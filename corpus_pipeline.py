@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, toxicity
+from quire.llm import mixing, neardup, passages, pieces, toxicity
 from quire.llm.common import saved
+from quire.llm.queries import TOKENIZERS
+
+#: About 45 words: any passage of over 50 words that repeats holds such a string.
+PASSAGE_BYTES = 240
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,14 +29,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("qt_score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, the one with the least id."""
+    return neardup.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that repeat in what is left are cut; documents of which nothing is left go."""
+    return passages.cut_documents(docs, length=PASSAGE_BYTES)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words the mix takes, a row per document: its taken words, repeats included."""
     return mixing.Mix(docs).documents(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as SentencePiece ids, with whether they decode to the normalised text."""
+    model = pieces.model_bytes(f"{TOKENIZERS}/piece_bpe_32k.model")
+    keep = [c for c in docs.columns if c in ("doc_id", "text", "lang", "source", "n_chars")]
+    return pieces.encode(docs.select(*keep), model, check="round_trip")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeats),
     ("mix_sources", mix_sources),
+    ("sentencepiece", encode),
 ]
 
 

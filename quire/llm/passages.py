@@ -288,3 +288,23 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     j = j.withColumn(prefix + "x", apply(col(text), F.col(prefix + "r")))
     return j.select(*(docs[c] for c in docs.columns), *(F.col(f"{prefix}x.{c}").alias(prefix + c) for c in ("n_bytes", "spans", "kept")))
+
+
+def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, n_chars: str = "n_chars") -> DataFrame:
+    """``docs`` with their repeated passages cut from the text (and ``n_chars`` counted anew, if there).
+
+    A code point of which the cut leaves only some bytes goes too. Documents that lose all but
+    white space go; all others stay, those without a repeat unchanged.
+    """
+    j = without_repeats(docs, doc_id, text, length, prefix="psg_")
+
+    @F.pandas_udf("string")
+    def decoded(column):
+        return column.map(lambda x: None if x is None else bytes(x).decode(errors="ignore"))
+
+    hit = F.size("psg_spans") > 0
+    j = j.withColumn("psg_text", F.when(hit, decoded(F.col("psg_kept"))).otherwise(col(text)))
+    j = j.where(~hit | (F.regexp_replace("psg_text", r"\s+", "") != "")).withColumn(text, F.col("psg_text"))
+    if n_chars in docs.columns:
+        j = j.withColumn(n_chars, F.when(hit, F.length("psg_text").cast(docs.schema[n_chars].dataType)).otherwise(col(n_chars)))
+    return j.select(*docs.columns)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, passages, toxicity
+from quire.llm import fingerprints, mixing, neardup, passages, pieces, token_counts, toxicity
+
+from quire.llm.common import saved
+
+#: Folder of the vocabulary files.
+TOKENIZERS = os.environ.get("QUIRE_TOKENIZERS", "/opt/tokenizers")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +23,21 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(_read(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(_read(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs, pieces.model_bytes(f"{TOKENIZERS}/piece_bpe_32k.model"), check="round_trip")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = pieces.model_bytes(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return token_counts.limits(saved(token_counts.histogram(_read(spark, sf_dir, "documents"), ranks), "lengths"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     crf = toxicity.trained(docs, _read(spark, sf_dir, "labels"))
@@ -24,6 +46,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("t_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.col("t_spans").alias("spans"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = neardup.classes(_read(spark, sf_dir, "documents"))
+    return c.select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"), (F.col("id") == F.col("class")).alias("kept"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return passages.without_repeats(docs, prefix="p_").select(
@@ -31,5 +58,5 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("p_spans").cast("long").alias("n_spans"), F.sha2("p_kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op6_toxicity, op8_suffix_array)}
+QUERIES = {f.__name__: f for f in (op1_mix, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array)}
 ORACLES: dict[str, str] = {}

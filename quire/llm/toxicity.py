@@ -41,7 +41,7 @@ MIN_GAIN = 8.0
 MARGIN = 1.0
 KEEP = 0.15
 WINDOW = 24
-MAX_WINDOWS = 20_000
+MAX_WINDOWS = 6_000
 THRESHOLD = 0.3
 SPAN_AT = 0.5
 FLOOR = 1e-3
@@ -89,7 +89,7 @@ class Crf:
         self.knots = (self.knots[0], tuple(np.maximum.accumulate(self.knots[1])))
         return self
 
-    def fit(self, x: np.ndarray, y: np.ndarray, size: np.ndarray, steps: int = 200, l2: float = 0.002) -> "Crf":
+    def fit(self, x: np.ndarray, y: np.ndarray, size: np.ndarray, steps: int = 120, l2: float = 0.002) -> "Crf":
         """Gradient ascent (Adam) on the log-likelihood of windows ``x`` (features of each token), ``y`` (states), of ``size`` tokens."""
         n, width, deep = x.shape
         v = len(self.words) + 1
