@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import fingerprints, mixing, neardup, passages, pieces, token_counts, toxicity
+from quire.llm import embeddings, fingerprints, mixing, neardup, passages, pieces, quotes, token_counts, toxicity, warc
 
 from quire.llm.common import saved
 
@@ -23,6 +23,21 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(_read(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def quoting_mail(conversations: DataFrame) -> DataFrame:
+    """The turns as mail that quotes: each body holds the turn before last (marked twice), the last turn (marked
+    once) and the turn's own text."""
+    c = conversations.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(
+        F.min(F.struct("role", F.coalesce("text", F.lit("")).alias("text"))).alias("m")).select("conv_id", "turn", "m.role", "m.text")
+    back = lambda k: c.select("conv_id", (F.col("turn") + k).alias("turn"), quotes.quoted(F.col("text"), k).alias(f"q{k}"))
+    return c.join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "role", F.concat_ws("\n", "q2", "q1", "text").alias("body"))
+
+
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = quoting_mail(_read(spark, sf_dir, "conversations"))
+    return quotes.conversations(mail).withColumnsRenamed({"conv": "conv_id"})
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(_read(spark, sf_dir, "documents"))
 
@@ -58,5 +73,23 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("p_spans").cast("long").alias("n_spans"), F.sha2("p_kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array)}
+def damaged(records: DataFrame) -> DataFrame:
+    """A replica of an archive in which known records are altered, cut short or lost, by their page ids."""
+    n = F.octet_length("record")
+    k = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(101))
+    flipped = F.expr("concat(substring(record, 1, length(record) - 5), cast('#' as binary), substring(record, -4, 4))")
+    cut = F.expr("substring(record, 1, cast(length(record) div 2 as int))")
+    return records.where(k != 13).withColumn("record", F.when((k == 7) & (n > 5), flipped).when(k == 11, cut).otherwise(F.col("record")))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.archived(_read(spark, sf_dir, "pages"))
+    return warc.findings(archive, damaged(archive))
+
+
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.range_join(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix, op2_quotes, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array, op9_warc, op10_embeddings)}
 ORACLES: dict[str, str] = {}
