@@ -98,7 +98,7 @@ def _same_parts(s: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -
 def _doubled(r: np.ndarray) -> np.ndarray:
     """Suffix order of the names ``r`` by doubling the compared length: for alphabets too wide for buckets."""
     m = len(r)
-    rank = r.astype(np.int64)
+    rank = np.unique(r, return_inverse=True)[1].astype(np.int64)
     step = 1
     while True:
         after = np.full(m, 0, np.int64)
