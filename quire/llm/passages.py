@@ -220,11 +220,11 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = docs.schema[doc_id].dataType.simpleString()
     r = saved(d.where(F.octet_length("text") >= length).mapInArrow(
         _scan(length, gram), f"key long, seg long, doc {kind}, th long, lo long, n int"), "passage-runs")
-    many = r.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     first = F.min(F.struct("doc", "th", "lo", "n"))
-    segs = saved(r.join(many, "key", "left_semi").groupBy("key", "seg").agg(F.count("*").alias("m"), first.alias("rep")), "passage-segs")
-    kinds = segs.groupBy("key").agg(F.count("*").alias("d")).where("d > 1")
-    want = segs.join(kinds, "key").select("key", "seg", "m", "rep.*", (F.col("d") > hot).alias("hot"))
+    every = r.groupBy("key", "seg").agg(F.count("*").alias("m"), first.alias("rep"))
+    kinds = every.groupBy("key").agg(F.count("*").alias("d"))
+    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs")
+    want = segs.where("d > 1").select("key", "seg", "m", "rep.*", (F.col("d") > hot).alias("hot"))
     by_doc = want.groupBy("doc", "th").agg(F.collect_list(F.struct("key", "seg", "lo", "n", "m", "hot")).alias("want"))
     got = d.join(by_doc, d["doc"].eqNullSafe(by_doc["doc"]) & (d["th"] == by_doc["th"])).select("text", "want")
     parts = saved(got.mapInArrow(_fetch(length), "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
