@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from quire.functions.chunk import DEFAULT_MAX_CHARS, chunk_label, chunk_text
 from quire.functions.text import has_source_extension, in_vcs_dir
-from quire.operators.layout import spread
 
 DEFAULT_MAX_FILE_BYTES = 250_000
 
@@ -49,7 +48,7 @@ def chunk_files(
     ``posexplode`` over the piece array: a narrow generator, no window or shuffle.
     The ``_outer`` form is used on purpose: for a plain generator the optimizer
     infers a ``size(array) > 0`` filter and pushes it below the projection, which
-    would run the chunking regex twice. Pieces are never empty for a non-null
+    would run the chunking twice. Pieces are never empty for a non-null
     text, so dropping the null row of a null text afterwards is equivalent.
     """
     if max_chars <= 0:
@@ -57,8 +56,7 @@ def chunk_files(
     keys = keys if keys is not None else [c for c in df.columns if c not in (text_col, "content")]
     pieces = chunk_text(F.col(text_col), max_chars)
     return (
-        spread(df, keys)
-        .select(*keys, pieces.alias("_pieces"))
+        df.select(*keys, pieces.alias("_pieces"))
         .select(*keys, F.size("_pieces").alias("chunk_cnt"), F.posexplode_outer("_pieces").alias("_pos", "chunk"))
         .where(F.col("_pos").isNotNull())
         .select(*keys, (F.col("_pos") + 1).alias("chunk_idx"), "chunk_cnt", "chunk")

@@ -112,11 +112,13 @@ def turns_to_messages(
 
     ``collect_list`` has no order, so the turn number travels inside the struct and
     ``array_sort`` orders by it. The partial aggregate runs map-side; one output row
-    holds one conversation, which is bounded by the model's context length.
+    holds one conversation, which is bounded by the model's context length. A turn
+    without a key belongs to no conversation and fails the task that meets it.
     """
+    keyed = F.coalesce(F.col(key), F.raise_error(F.lit(f"a turn has no {key}")).cast(turns.schema[key].dataType))
     packed = F.struct(F.col(order).alias("o"), F.col(role_col).alias("role"), F.col(text_col).alias("content"))
     return (
-        turns.groupBy(key)
+        turns.groupBy(keyed.alias(key))
         .agg(F.array_sort(F.collect_list(packed)).alias("_t"))
         .select(key, F.transform("_t", lambda t: message(t["role"], t["content"])).alias(out_col))
     )

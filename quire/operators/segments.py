@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import markers as M
 from quire.functions.text import strip_markers
-from quire.operators.layout import spread
 
 SEGMENT_TYPE = "array<struct<pos:int,channel:string,content:string,closed:boolean>>"
 
@@ -112,8 +111,7 @@ def completion_segments(completions: DataFrame, id_col: str = "completion_id", t
     optimizer add a ``size(array) > 0`` filter that evaluates the segmentation twice.
     """
     return (
-        spread(completions, [id_col])
-        .select(F.col(id_col), F.inline_outer(segment_array(text_col)))
+        completions.select(F.col(id_col), F.inline_outer(segment_array(text_col)))
         .where(F.col("pos").isNotNull())
     )
 
@@ -146,7 +144,7 @@ def completion_parts(completions: DataFrame, id_col: str = "completion_id", text
     """Per completion: thinking text, final answer, whether a final exists and
     whether it was cut off (some segment left open)."""
     segs = segment_array(text_col)
-    return spread(completions, [id_col]).select(F.col(id_col), segs.alias("_s")).select(
+    return completions.select(F.col(id_col), segs.alias("_s")).select(
         F.col(id_col),
         _joined(F.col("_s"), "analysis").alias("thinking"),
         _joined(F.col("_s"), "final").alias("final"),
@@ -166,6 +164,6 @@ def tool_calls(completions: DataFrame, id_col: str = "completion_id", text_col:
 
 def transcripts(completions: DataFrame, id_col: str = "completion_id", text_col: str = "text") -> DataFrame:
     """``id, transcript``: the display text of each completion."""
-    return spread(completions, [id_col]).select(F.col(id_col), segment_array(text_col).alias("_s")).select(
+    return completions.select(F.col(id_col), segment_array(text_col).alias("_s")).select(
         F.col(id_col), render_transcript(F.col("_s")).alias("transcript")
     )

@@ -3,24 +3,23 @@
 "First N" is always an explicit order plus ``limit`` so the planner emits
 ``TakeOrderedAndProject`` (per-partition top-k, then one bounded merge) rather
 than a full sort; per-group caps use ``row_number() <= n``, which Spark plans as
-a ``WindowGroupLimit`` that trims each partition before the shuffle.
+a ``WindowGroupLimit`` that trims each partition before the shuffle. Large groups
+are cut in two levels (by salt, then by group), so no task takes the first rows of
+every other task of a hot group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.chunk import DEFAULT_MAX_CHARS, chunk_count
 from quire.functions.text import has_source_extension, in_vcs_dir
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
-from quire.operators.layout import spread
 
-# Largest key set broadcast by ``first_groups``; larger caps use a shuffle semi-join.
-BROADCAST_KEY_LIMIT = 1_000_000
+# First level of a two-level first-N: this many independent tasks per group.
+SALTS = 64
 
 
 def _check_cap(n: int | None) -> None:
@@ -41,50 +40,75 @@ def first_row(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*order).limit(1)
 
 
-def first_rows_per_group(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
-    """First ``n`` rows per ``group`` in ``order``."""
-    _check_cap(n)
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(n)).drop("_rn")
+def _salt(cols: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(SALTS))
 
 
-def _local_smallest_keys(key: str, n: int):
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = pd.Series([], dtype="int64")
-        for pdf in batches:
-            best = pd.Series(pd.concat([best, pdf[key]]).drop_duplicates().nsmallest(n).values)
-        yield pd.DataFrame({key: best})
+def first_rows_per_group(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
+    """First ``n`` rows per ``group`` in ``order`` (which should tell rows apart; ties are cut at will).
 
-    return fn
+    Cut to ``n`` per (group, salt) first, so a group with a third of all rows is
+    reduced by many tasks before its last window sees ``SALTS * n`` rows at most.
+    """
+    _check_cap(n)
+    level = df.withColumn("_salt", _salt(order))
+    for keys in ([group, "_salt"], [group]):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        level = level.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= int(n)).drop("_rn")
+    return level.drop("_salt")
 
 
 def first_groups(df: DataFrame, key: str, n: int | None) -> DataFrame:
     """All rows of the ``n`` smallest values of ``key`` (first N conversations of
-    a flat turns table). ``None`` = all.
+    a flat turns table). ``None`` = all. Rows with a null key are in no group and
+    are left out of a capped result.
 
-    Each partition first reduces its keys to its own ``n`` smallest distinct
-    values, so only ``n`` keys per partition reach the exchange; the global
-    ``n`` smallest are then taken and, as their number is bounded by ``n``,
-    broadcast into a semi-join.
+    One path for keys of every type, in the JVM: each salt keeps its ``n`` smallest
+    distinct keys (trimmed per partition before the exchange), the ``n`` smallest of
+    those are taken, and they are joined back as a semi-join that Spark sizes.
     """
     _check_cap(n)
     if n is None:
         return df
     n = int(n)
-    key_type = df.schema[key].dataType.simpleString()
-    if key_type in ("bigint", "int", "smallint", "tinyint"):
-        from quire.session import ship_package
-
-        ship_package(df.sparkSession)
-        candidates = df.select(F.col(key).cast("bigint").alias(key)).mapInPandas(
-            _local_smallest_keys(key, n), f"{key} bigint"
-        )
-    else:
-        candidates = df.select(key)
-    top = candidates.distinct().orderBy(key).limit(n)
-    if n <= BROADCAST_KEY_LIMIT:
-        top = F.broadcast(top)
-    return df.join(top, on=key, how="left_semi")
+    w = Window.partitionBy("_salt").orderBy(key)
+    keys = df.where(F.col(key).isNotNull()).select(key).withColumn("_salt", _salt([key]))
+    keys = keys.withColumn("_rn", F.dense_rank().over(w)).where(F.col("_rn") <= n).select(key).distinct()
+    return df.join(keys.orderBy(key).limit(n), on=key, how="left_semi")
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """``df`` with ``src_file`` and ``src_row``: a row's place in stored order.
+
+    Parquet tables carry it (file path and row index). Any other table is written
+    once to the shared checkpoint folder, which fixes the numbers of its rows.
+    A table that has both columns already stays as it is.
+    """
+    if {"src_file", "src_row"} <= set(df.columns):
+        return df
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
+    except AnalysisException:
+        from quire.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        return df.select("*", F.lit("").alias("src_file"), F.monotonically_increasing_id().alias("src_row")).checkpoint(eager=True)
+
+
+def first_rows_exact(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    """Exactly the first ``n`` rows (all, if there are fewer), whatever their values:
+    by ``order`` (nulls last), then by stored position, which also breaks ties.
+
+    The choice is a top-k over the order and position columns alone; the rows are
+    joined back by position, so whole conversations never travel through it.
+    """
+    _check_cap(n)
+    if n is None:
+        return df
+    placed = with_position(df)
+    by = [F.col(c).asc_nulls_last() for c in [*(c for c in order if c not in ("src_file", "src_row")), "src_file", "src_row"]]
+    first = placed.orderBy(*by).limit(int(n)).select("src_file", "src_row")
+    return placed.join(first, ["src_file", "src_row"], "left_semi").select(*df.columns)
 
 
 def pick_split(df: DataFrame, split_col: str = "split", prefer: str = "train") -> DataFrame:
@@ -131,7 +155,7 @@ def corpus_report(
     def cnt(r: str):
         return F.count_if(F.col("reason") == r).cast("bigint")
 
-    per_file = spread(files, ["path"]).select("repo", reason.alias("reason"), text_col).select(
+    per_file = files.select("repo", reason.alias("reason"), text_col).select(
         "repo", "reason", pieces.alias("pieces"), chars.alias("chars")
     )
     return per_file.groupBy("repo").agg(

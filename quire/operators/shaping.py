@@ -16,6 +16,8 @@ DEFAULT_GRAD_ACCUM = 4
 DEFAULT_MAX_SEQ_LENGTH = 4096
 CHARS_PER_TOKEN = 4
 # ---------------------------------------------------------------------------
+# Order keys are numbered within buckets of their first four hexadecimal digits.
+BUCKET_DIGITS = 4
 
 
 def order_key(seed: int | Column, sample_id: Column, epoch: Column | None = None) -> Column:
@@ -35,13 +37,32 @@ def training_budget(
     grad_accum: int = DEFAULT_GRAD_ACCUM,
     seed: int = DEFAULT_SEED,
 ) -> DataFrame:
-    """The ``max_steps * batch * accum`` samples a run consumes, in seeded order
-    (one pass; see ``training_batches`` for re-use across epochs). Top-k, no sort."""
+    """The ``max_steps * batch * accum`` samples a run consumes: the first in seeded order
+    (one pass; see ``training_batches`` for re-use across epochs). Chosen on ids alone."""
     budget = int(max_steps) * int(batch_size) * int(grad_accum)
+    picked = _numbered(df.select(id_col).withColumn("epoch", F.lit(0)), id_col, seed, budget)
+    return df.join(picked.where(F.col("_rn") < budget).select(id_col), id_col, "left_semi")
+
+
+def _numbered(keys: DataFrame, id_col: str, seed: int, budget: int) -> DataFrame:
+    """``id, epoch, _rn``: the place of each key in the order (epoch, order key, id), for places
+    that can lie below ``budget``.
+
+    Keys are hashes, so their leading digits cut each epoch into even buckets: a bucket's first
+    place follows from the buckets' counts (at most 16^BUCKET_DIGITS rows an epoch), and places
+    within a bucket are one window each. No task sees more than a bucket, whatever the budget;
+    buckets that start beyond it never reach the window.
+    """
     if budget <= 0:
         raise ValueError("training budget must be positive")
-    key = order_key(seed, F.col(id_col))
-    return df.withColumn("_k", key).orderBy("_k", id_col).limit(budget).drop("_k")
+    k = keys.withColumn("_k", order_key(seed, F.col(id_col), F.col("epoch"))).withColumn("_b", F.left("_k", F.lit(BUCKET_DIGITS)))
+    counts = k.groupBy("epoch", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    per_epoch = counts.groupBy("epoch").agg(F.sum("_n").alias("_e"))
+    before = F.sum("_n").over(Window.partitionBy("epoch").orderBy("_b")) - F.col("_n")
+    base = F.col("epoch") * F.col("_e")  # every epoch holds the same rows
+    first = counts.join(per_epoch, "epoch").select("epoch", "_b", (base + before).alias("_first")).where(F.col("_first") < budget)
+    w = Window.partitionBy("epoch", "_b").orderBy("_k", id_col)
+    return k.join(first, ["epoch", "_b"]).select(id_col, "epoch", (F.col("_first") + F.row_number().over(w) - 1).alias("_rn"))
 
 
 def training_batches(
@@ -55,36 +76,31 @@ def training_batches(
 ) -> DataFrame:
     """Budget rows with ``epoch``, ``step`` (1-based) and ``micro`` (1..accum).
 
-    A table smaller than the budget is passed over again: the epoch count
-    ``ceil(budget / min(count, budget))`` is a scalar subquery, each row is expanded by a
-    generator over ``sequence(0, epochs-1)`` (a single element for any table at
-    least as large as the budget), and epoch ``e`` is ordered with seed ``seed+e``.
-    The top-k keeps only ``budget`` rows, so numbering them needs no shuffle of
-    the input.
+    ``id_col`` tells rows apart. A table smaller than the budget is passed over again: the
+    epoch count ``ceil(budget / min(count, budget))`` is a scalar subquery, each id is expanded
+    by a generator over ``sequence(0, epochs-1)`` (a single element for any table at least as
+    large as the budget), and epoch ``e`` is ordered with seed ``seed+e``. Rows are chosen and
+    numbered on their ids alone; all other columns are joined to the chosen ids at the end.
     """
     per_step = int(batch_size) * int(grad_accum)
     budget = int(max_steps) * per_step
     if budget <= 0:
         raise ValueError("training budget must be positive")
-    # Only min(count, budget) matters: a table at least as large as the budget
-    # needs one pass. Counting a limited plan lets every task stop early instead
-    # of running the whole upstream pipeline a second time.
-    n = df.limit(budget).select(F.count(F.lit(1)).alias("n")).scalar()
+    # Only min(count, budget) matters: counting a limited plan lets every task stop early.
+    ids = df.select(id_col)
+    n = ids.limit(budget).select(F.count(F.lit(1)).alias("n")).scalar()
     epochs = F.greatest(F.lit(1), F.ceil(F.lit(budget) / n).cast("int"))
-    expanded = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))
-    picked = (
-        expanded.withColumn("_k", order_key(seed, F.col(id_col), F.col("epoch")))
-        .orderBy("epoch", "_k", id_col)
-        .limit(budget)
-    )
-    rn = F.row_number().over(Window.orderBy("epoch", "_k", id_col)) - 1
-    return (
-        picked.withColumn("_rn", rn)
-        .withColumn("epoch", F.col("epoch").cast("bigint"))
-        .withColumn("step", (F.floor(F.col("_rn") / per_step) + 1).cast("bigint"))
-        .withColumn("micro", (F.floor(F.col("_rn") / int(batch_size)) % int(grad_accum) + 1).cast("bigint"))
-        .drop("_k", "_rn")
+    expanded = ids.withColumn("epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))
+    picked = _numbered(expanded, id_col, seed, budget).where(F.col("_rn") < budget)
+    numbered = picked.select(
+        id_col,
+        F.col("epoch").cast("bigint").alias("epoch"),
+        (F.floor(F.col("_rn") / per_step) + 1).cast("bigint").alias("step"),
+        (F.floor(F.col("_rn") / int(batch_size)) % int(grad_accum) + 1).cast("bigint").alias("micro"),
     )
+    if df.columns == [id_col]:
+        return numbered
+    return df.join(numbered, id_col)
 
 
 def approx_tokens(text: Column) -> Column:

@@ -50,7 +50,8 @@ class ChatTemplate:
 
         def one(m: Column, i: Column) -> Column:
             thinking = m["thinking"] if has_thinking else F.lit(None).cast("string")
-            return self.message(m["role"], F.coalesce(m["content"], F.lit("")), thinking, i == n - 1)
+            role = F.coalesce(m["role"], F.raise_error(F.lit("a message has no role")).cast("string"))
+            return self.message(role, F.coalesce(m["content"], F.lit("")), thinking, i == n - 1)
 
         body = F.array_join(F.transform(messages, one), "")
         parts = [self.preamble(effort), body]
@@ -164,7 +165,7 @@ def render_prompts(
 def require_messages(df: DataFrame, messages_col: str = "messages") -> None:
     """Fail at plan time when the ``messages`` column is missing."""
     if messages_col not in df.columns:
-        raise ValueError(f"Expected a '{messages_col}' column; found {df.columns}")
+        raise ValueError(f"no column '{messages_col}' with messages among {df.columns}")
 
 
 def effort_grid(df: DataFrame, levels=EFFORT_LEVELS, caps=EFFORT_MAX_NEW_TOKENS) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.text import is_git_spec, output_name, text_preview
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
-from quire.operators.select import first_row
+from quire.operators.select import with_position
 from quire.operators.shaping import (
     DEFAULT_BATCH_SIZE,
     DEFAULT_GRAD_ACCUM,
@@ -32,8 +32,9 @@ from quire.operators.shaping import (
     DEFAULT_SEED,
     flag_over_length,
 )
+from quire.operators.template import DEFAULT_DO_SAMPLE, DEFAULT_MAX_NEW_TOKENS, DEFAULT_TEMPERATURE, DEFAULT_TOP_P, EFFORT_LEVELS
 from quire.plans import chat, prepare, train
-from quire.sources.tables import load_prepared, write_prepared_counted
+from quire.sources.tables import load_prepared, open_table, write_prepared
 
 
 def _scalar(spark: SparkSession, col) -> object:
@@ -41,13 +42,6 @@ def _scalar(spark: SparkSession, col) -> object:
     return spark.range(1).select(col.alias("v")).first()["v"]
 
 
-def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet folder/file, or JSON lines by extension."""
-    if path.endswith((".json", ".jsonl")):
-        return spark.read.json(path)
-    return spark.read.parquet(path)
-
-
 def prepare_dataset(
     spark: SparkSession,
     dataset: str,
@@ -60,6 +54,7 @@ def prepare_dataset(
     max_chars: int = DEFAULT_MAX_CHARS,
     overwrite: bool = True,
     out_root: str = "prepared",
+    skipped: prepare.SkipCounts | None = None,
 ) -> tuple[int, str | None]:
     """Route by spec: a git spec reads the source tree at ``tree`` (already checked
     out on a shared mount); anything else is a conversation table: rows with
@@ -72,38 +67,38 @@ def prepare_dataset(
         if not tree:
             raise ValueError("a git spec needs the checked-out tree (--tree); cloning is not part of this engine")
         text = prepare.tree_training_text(
-            spark, tree, dataset, max_samples=max_samples, max_file_bytes=max_file_bytes, max_chars=max_chars
+            spark, tree, dataset, max_samples=max_samples, max_file_bytes=max_file_bytes, max_chars=max_chars,
+            skipped=skipped,
         )
         order = ["repo", "path", "chunk_idx"]
     else:
-        df = read_any(spark, dataset)
+        df = open_table(spark, dataset)
         if "split" in df.columns:
             df = df.where(F.col("split") == split)
         if "conversations" in df.columns or "messages" in df.columns:
-            key = "id" if "id" in df.columns else df.columns[0]
-            if "messages" in df.columns:  # already role/content (optionally thinking)
-                text = prepare.messages_training_text(df, key=key, max_samples=max_samples)
-            else:
-                text = prepare.sharegpt_training_text(df, key=key, max_samples=max_samples)
-            order = [key]
+            # a row is told by its place in stored order; an id, where there is one, comes first in the order
+            df = with_position(df)
+            order = (["id"] if "id" in df.columns else []) + ["src_file", "src_row"]
+            flow = prepare.messages_training_text if "messages" in df.columns else prepare.sharegpt_training_text
+            text = flow(df, key=order, max_samples=max_samples)
         else:
             text = prepare.conversation_training_text(df, max_samples=max_samples)
             order = ["conv_id"]
     out_df = text.withColumn("split", F.lit(split))
-    n = write_prepared_counted(out_df.select(*order, "text", "split"), target, overwrite=overwrite)
-    return n, first_preview(spark.read.parquet(target), order)
+    n = write_prepared(out_df.select(*order, "text", "split"), target, overwrite=overwrite)
+    return n, first_preview(load_prepared(spark, target, prefer=split), order) if n else None
 
 
 def first_preview(table: DataFrame, order: list[str]) -> str | None:
     """Preview of the first sample: the first key is found on the key columns alone
     (a top-k that never reads ``text``), then that one row is fetched with an
     equality filter that Parquet can push down to row groups."""
-    key = first_row(table.select(*order), order).first()
+    key = table.select(*order).orderBy(*(F.col(c).asc_nulls_last() for c in order)).first()
     if key is None:
         return None
     cond = F.lit(True)
     for c in order:
-        cond = cond & (F.col(c) == F.lit(key[c]))
+        cond = cond & F.col(c).eqNullSafe(F.lit(key[c]))
     row = table.where(cond).select(text_preview("text").alias("p")).first()
     return row["p"] if row else None
 
@@ -124,7 +119,22 @@ def plan_training(
     samples = load_prepared(spark, dataset_dir)
     plan = train.training_plan(samples, max_steps=max_steps, batch_size=batch_size, grad_accum=grad_accum, seed=seed)
     plan = flag_over_length(plan, max_seq_length=max_seq_length)
-    return write_prepared_counted(plan, out, split_col=None)
+    return write_prepared(plan, out, split_col=None)
+
+
+def prepared_overview(spark: SparkSession, dataset_dir: str) -> tuple[int, str | None]:
+    """How many samples a prepared table holds, and a preview of the first one."""
+    samples = load_prepared(spark, dataset_dir)
+    keys = [c for c in ("repo", "path", "chunk_idx", "conv_id", "id", "src_file", "src_row") if c in samples.columns]
+    return samples.count(), first_preview(samples, keys) if keys else None
+
+
+def stream_prepare(spark: SparkSession, source: str, out: str, kind: str = "conversations", fmt: str = "parquet") -> None:
+    """Prepare what has arrived in ``source`` since the last run, appending to ``out``."""
+    from quire.streaming.prepare import MESSAGES_SCHEMA, SHAREGPT_SCHEMA, start_prepare_stream
+
+    schema = MESSAGES_SCHEMA if kind == "messages" else SHAREGPT_SCHEMA
+    start_prepare_stream(spark, source, out, schema=schema, fmt=fmt).awaitTermination()
 
 
 def build_requests(
@@ -134,20 +144,21 @@ def build_requests(
     *,
     efforts: bool = True,
     effort: str | None = None,
-    max_new_tokens: int = 512,
-    do_sample: bool = True,
-    temperature: float = 0.7,
-    top_p: float = 0.9,
+    max_new_tokens: int = DEFAULT_MAX_NEW_TOKENS,
+    do_sample: bool = DEFAULT_DO_SAMPLE,
+    temperature: float = DEFAULT_TEMPERATURE,
+    top_p: float = DEFAULT_TOP_P,
 ) -> int:
     """``id, developer, user_text`` rows → one generation request per input (and effort level)."""
     reqs = chat.generation_requests(
-        read_any(spark, inputs), efforts=efforts, effort=effort, max_new_tokens=max_new_tokens,
+        open_table(spark, inputs), efforts=efforts, effort=effort, max_new_tokens=max_new_tokens,
         do_sample=do_sample, temperature=temperature, top_p=top_p,
     )
-    return write_prepared_counted(reqs, out, split_col=None)
+    return write_prepared(reqs, out, split_col=None)
 
 
 def main(argv: list[str] | None = None) -> None:
+    # The option names are the public interface.
     p = argparse.ArgumentParser(prog="quire.plans.jobs")
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("prepare")
@@ -167,35 +178,46 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--grad-accum", type=int, default=DEFAULT_GRAD_ACCUM)
     b.add_argument("--seed", type=int, default=DEFAULT_SEED)
     b.add_argument("--max-seq-length", type=int, default=DEFAULT_MAX_SEQ_LENGTH)
+    d = sub.add_parser("stream")
+    d.add_argument("--source", required=True)
+    d.add_argument("--out", required=True)
+    d.add_argument("--kind", choices=["conversations", "messages"], default="conversations")
+    d.add_argument("--format", choices=["parquet", "json"], default="parquet")
     c = sub.add_parser("requests")
     c.add_argument("--inputs", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--no-efforts", action="store_true", help="one request per input instead of the effort grid")
-    c.add_argument("--reasoning-effort", choices=["low", "medium", "high"], default=None)
-    c.add_argument("--max-new-tokens", type=int, default=512)
+    c.add_argument("--reasoning-effort", choices=list(EFFORT_LEVELS), default=None)
+    c.add_argument("--max-new-tokens", type=int, default=DEFAULT_MAX_NEW_TOKENS)
     c.add_argument("--greedy", action="store_true")
-    c.add_argument("--temperature", type=float, default=0.7)
-    c.add_argument("--top-p", type=float, default=0.9)
+    c.add_argument("--temperature", type=float, default=DEFAULT_TEMPERATURE)
+    c.add_argument("--top-p", type=float, default=DEFAULT_TOP_P)
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if args.cmd == "prepare":
+        skipped = prepare.SkipCounts()
         n, first = prepare_dataset(
             spark, args.dataset, args.out, split=args.split, tree=args.tree, max_samples=args.max_samples,
-            max_file_bytes=args.max_file_bytes, max_chars=args.max_chars, overwrite=not args.no_overwrite,
+            max_file_bytes=args.max_file_bytes, max_chars=args.max_chars, overwrite=not args.no_overwrite, skipped=skipped,
         )
-        print(f"First formatted sample:\n\n{first}\n\nSamples: {n}")
+        print(f"wrote {n} samples; could not list {skipped.unlisted}, could not read {skipped.unread}")
+        print(f"the first one begins:\n{first}")
+    elif args.cmd == "stream":
+        stream_prepare(spark, args.source, args.out, args.kind, args.format)
     elif args.cmd == "plan":
+        have, first = prepared_overview(spark, args.dataset_dir)
+        print(f"the table holds {have} samples; the first one begins:\n{first}")
         n = plan_training(
             spark, args.dataset_dir, args.out, max_steps=args.max_steps, batch_size=args.batch_size,
             grad_accum=args.grad_accum, seed=args.seed, max_seq_length=args.max_seq_length,
         )
-        print(f"Planned samples: {n}")
+        print(f"planned {n} samples")
     else:
         n = build_requests(
             spark, args.inputs, args.out, efforts=not args.no_efforts, effort=args.reasoning_effort,
             max_new_tokens=args.max_new_tokens, do_sample=not args.greedy, temperature=args.temperature, top_p=args.top_p,
         )
-        print(f"Requests: {n}")
+        print(f"wrote {n} requests")
 
 
 if __name__ == "__main__":

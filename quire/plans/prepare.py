@@ -7,6 +7,8 @@ turns→conversation grouping shuffle.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.decode import decode_utf8_lenient
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES, chunk_files, select_source_files
 from quire.operators.messages import file_messages, standardize_roles, turns_to_messages
-from quire.operators.select import BROADCAST_KEY_LIMIT, first_groups, first_rows, first_rows_per_group
+from quire.operators.select import first_groups, first_rows, first_rows_exact, first_rows_per_group
 from quire.operators.template import DEFAULT_TEMPLATE, ChatTemplate, render_messages
 
 SAMPLE_KEYS = ["repo", "path", "chunk_idx"]
@@ -32,14 +34,14 @@ def file_samples(
     """Files (``repo, path, size`` and ``text`` or binary ``content``) → message samples
     ``repo, path, chunk_idx, messages``.
 
-    With ``max_samples`` the first N samples in (``file_order``, chunk_idx) order are
-    kept, per repo by default (each source-tree run covers one repo).
+    With ``max_samples`` the first N samples in (``file_order``, repo, path, chunk_idx)
+    order are kept, per repo by default (each source-tree run covers one repo).
     """
-    order = list(file_order)
+    order = list(file_order) + [c for c in ("repo", "path") if c not in file_order]
     kept = select_source_files(files, max_file_bytes)
     body = "text" if "text" in kept.columns else "content"
     if max_samples is not None:
-        kept = _first_files(kept, max_samples, cap_per_repo, body, order)
+        kept = _first_files(kept, max_samples, cap_per_repo, order)
     if body == "content":  # decode only what survived the filters (and the first-N choice)
         kept = kept.withColumn("text", decode_utf8_lenient(F.col("content"))).drop("content")
     chunks = chunk_files(kept.select("repo", "path", "text"), "text", max_chars, keys=["repo", "path"])
@@ -53,21 +55,17 @@ def file_samples(
     return samples
 
 
-def _first_files(kept: DataFrame, n: int, per_repo: bool, body: str = "text", order: list[str] | None = None) -> DataFrame:
-    """Early stop: every kept file with a body yields at least one sample (decoding
-    non-null bytes never gives null), so the first ``n`` samples in (path,
-    chunk_idx) order come from the first ``n`` such files in path order. The
-    choice is made on (repo, path) only and joined back, so only those files are
-    decoded and chunked; the exact cap on samples follows."""
-    order = order or ["path"]
-    keys = kept.where(F.col(body).isNotNull()).select("repo", "path")
-    if per_repo:
-        first = first_rows_per_group(keys, "repo", order, n)  # at most n per repo: Spark sizes the join
-    else:
-        first = first_rows(keys, order, n)
-        if n <= BROADCAST_KEY_LIMIT:  # at most n keys: a proven bound
-            first = F.broadcast(first)
-    return kept.join(first, ["repo", "path"], "left_semi")
+def _first_files(kept: DataFrame, n: int, per_repo: bool, order: list[str]) -> DataFrame:
+    """Early stop: every kept file yields at least one sample, so the first ``n``
+    samples come from the first ``n`` files. They are chosen on path and size alone
+    (the size filter says that a body is there) and joined back, so only their
+    bodies are read, decoded and chunked; the exact cap on samples follows."""
+    keys = kept.select("repo", "path")
+    first = first_rows_per_group(keys, "repo", order, n) if per_repo else first_rows(keys, order, n)
+    body = "text" if "text" in kept.columns else "content"
+    chosen = kept.join(first, ["repo", "path"], "left_semi")
+    missing = F.raise_error(F.concat(F.lit("a file with a size has no body: "), F.col("path"))).cast(kept.schema[body].dataType)
+    return chosen.withColumn(body, F.coalesce(F.col(body), missing))
 
 
 def training_text(
@@ -101,46 +99,37 @@ def conversation_training_text(
 def sharegpt_training_text(
     df: DataFrame,
     *,
-    key: str = "id",
+    key: str | list[str] | None = "id",
     conv_col: str = "conversations",
     max_samples: int | None = None,
     template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> DataFrame:
-    """Nested ShareGPT rows (one conversation per row) → ``key, text``; the cap is
-    taken before standardising, in key order (``key`` identifies a conversation).
+    """Nested ShareGPT rows (one conversation per row) → ``key, text``.
 
-    The first N are chosen on the key column alone (a top-k over one column, at
-    most N keys, so broadcast-safe) and joined back, rather than a top-k that
-    would hold N whole conversations per task.
+    The cap keeps exactly the first N rows, in key order and then stored order
+    (stored order alone without a key), before any conversation is standardised.
     """
-    if max_samples is None:
-        capped = df
-    else:
-        first = first_rows(df.select(key), [key], max_samples)
-        if max_samples <= BROADCAST_KEY_LIMIT:
-            first = F.broadcast(first)
-        capped = df.join(first, key, "left_semi")
-    return render_messages(standardize_roles(capped, conv_col), template=template, keep=[key])
+    keep = _keys(key)
+    capped = first_rows_exact(df, keep, max_samples)
+    return render_messages(standardize_roles(capped, conv_col), template=template, keep=keep)
+
+
+def _keys(key: str | list[str] | None) -> list[str]:
+    return [] if key is None else [key] if isinstance(key, str) else list(key)
 
 
 def messages_training_text(
     df: DataFrame,
     *,
-    key: str = "id",
+    key: str | list[str] | None = "id",
     messages_col: str = "messages",
     max_samples: int | None = None,
     template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> DataFrame:
     """Rows that already carry ``messages`` (role, content and optionally
-    ``thinking``) → ``key, text``; capped on the key column like the other flows."""
-    if max_samples is None:
-        capped = df
-    else:
-        first = first_rows(df.select(key), [key], max_samples)
-        if max_samples <= BROADCAST_KEY_LIMIT:
-            first = F.broadcast(first)
-        capped = df.join(first, key, "left_semi")
-    return render_messages(capped, messages_col, template=template, keep=[key])
+    ``thinking``) → ``key, text``; capped like the nested flow."""
+    keep = _keys(key)
+    return render_messages(first_rows_exact(df, keep, max_samples), messages_col, template=template, keep=keep)
 
 
 def tree_samples(
@@ -152,22 +141,29 @@ def tree_samples(
     max_chars: int = DEFAULT_MAX_CHARS,
     max_samples: int | None = None,
     num_partitions: int | None = None,
+    skipped: SkipCounts | None = None,
 ) -> DataFrame:
     """Message samples of one source tree: ``repo, path, chunk_idx, messages``.
 
-    Name and size filters run on the listing, before any content is read. With
-    ``max_samples`` only the first files in path order are read: every readable
-    kept file yields at least one sample, so N files suffice unless some cannot
-    be read; then further files are read in rounds until N samples exist or the
-    tree is exhausted (only counts reach the driver).
+    The tree is walked once, into the shared checkpoint folder. Name and size filters
+    run on that listing, before any content is read. With ``max_samples`` only the
+    first files in path order are read: every readable kept file yields at least one
+    sample, so N files suffice unless some cannot be read; then further files are read
+    in rounds until N samples exist or the tree is exhausted (only counts reach the
+    driver). ``skipped`` counts what could not be listed or read.
     """
     from quire.session import checkpoint_dir
-    from quire.sources.tree import list_tree, read_contents, readable
+    from quire.sources.tree import list_tree, listed, read_contents, readable
 
-    listing = select_source_files(list_tree(spark, root, repo), max_file_bytes)
+    checkpoint_dir(spark)  # the cluster's shared folder (a temporary one only for local tests)
+    skipped = skipped if skipped is not None else SkipCounts()
+    walked = list_tree(spark, root, repo).checkpoint(eager=True)
+    skipped.unlisted += walked.where(~listed()).count()
+    listing = select_source_files(walked.where(listed()), max_file_bytes)
 
     def samples_of(files_listing: DataFrame) -> DataFrame:
-        files, _ = readable(read_contents(files_listing, root, num_partitions))
+        files, seen = readable(read_contents(files_listing, root, num_partitions))
+        skipped.reads.append(seen)
         chunks = chunk_files(files.select("repo", "path", "text"), "text", max_chars, keys=["repo", "path"])
         return file_messages(chunks, keys=SAMPLE_KEYS)
 
@@ -176,7 +172,6 @@ def tree_samples(
     if max_samples <= 0:
         raise ValueError(f"max_samples must be positive or None, got {max_samples}")
 
-    checkpoint_dir(spark)  # the cluster's shared folder (a temporary one only for local tests)
     rounds: list[DataFrame] = []
     have, after = 0, None
     while have < max_samples:
@@ -199,6 +194,19 @@ def tree_samples(
     return out.orderBy("path", "chunk_idx").limit(max_samples)
 
 
+@dataclass
+class SkipCounts:
+    """Folders and files that could not be listed, and files that could not be read."""
+
+    unlisted: int = 0
+    reads: list = field(default_factory=list)
+
+    @property
+    def unread(self) -> int:
+        """Known once the samples have been computed."""
+        return sum(int(o.get["unreadable"]) for o in self.reads)
+
+
 def tree_training_text(spark, root: str, repo: str | None = None, *, template: ChatTemplate = DEFAULT_TEMPLATE, **kw) -> DataFrame:
     """Source-tree flow straight from a directory: ``repo, path, chunk_idx, text``."""
     return render_messages(tree_samples(spark, root, repo, **kw), template=template, keep=SAMPLE_KEYS)

@@ -15,12 +15,17 @@ from quire.operators.shaping import (
 
 
 def sample_id(df: DataFrame) -> DataFrame:
-    """A stable string id per sample: ``repo:path:chunk_idx`` for file samples,
-    the conversation id otherwise."""
+    """A stable string id per sample: ``repo:path:chunk_idx`` for file samples, the conversation
+    id for turns, the stored position (with the row's id, if it has one) for nested rows."""
     if {"repo", "path", "chunk_idx"} <= set(df.columns):
         sid = F.concat_ws(":", "repo", "path", F.col("chunk_idx").cast("string"))
     elif "conv_id" in df.columns:
         sid = F.col("conv_id").cast("string")
+    elif {"src_file", "src_row"} <= set(df.columns):
+        own = [F.coalesce(F.col("id").cast("string"), F.lit(""))] if "id" in df.columns else []
+        sid = F.concat_ws(":", *own, "src_file", F.col("src_row").cast("string"))
+    elif "id" in df.columns:
+        sid = F.col("id").cast("string")
     else:
         raise ValueError(f"no key columns to build a sample id from: {df.columns}")
     return df.withColumn("sample_id", sid)

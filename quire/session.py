@@ -61,7 +61,7 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", name)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession | None = None) -> None:
@@ -77,7 +77,7 @@ def ship_package(spark: SparkSession | None = None) -> None:
     if spark is None:
         return
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="quire-pkg-"), "quire.zip")
@@ -89,4 +89,4 @@ def ship_package(spark: SparkSession | None = None) -> None:
                     full = os.path.join(dirpath, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(out)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

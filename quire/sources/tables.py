@@ -9,8 +9,9 @@ and filter pushdown reach the scan.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.select import pick_split
@@ -35,12 +36,51 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def scan_conversations(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Load a conversation table; with ``split``, keep that split (partition pruning
     on a ``split``-partitioned layout)."""
-    df = spark.read.format(fmt).load(path) if fmt != "parquet" else spark.read.parquet(path)
+    df = open_table(spark, path, fmt)
     if split is not None:
         df = df.where(F.col("split") == F.lit(split))
     return df
 
 
+# Columns that JSON rows may have: giving them spares a pass over the input to infer them.
+JSON_SCHEMA = (
+    "id string, split string, messages array<struct<role:string,content:string,thinking:string>>, "
+    "conversations array<struct<from:string,value:string>>, conv_id bigint, turn bigint, role string, text string, "
+    "developer string, user_text string"
+)
+# Of these a table has one kind; the first whose columns hold a value names it.
+JSON_KINDS = (("messages",), ("conversations",), ("conv_id", "turn", "role", "text"), ("developer", "user_text"))
+
+
+def open_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """A table of any kind the engine reads: Parquet, or JSON lines (by name, or as the files of a folder).
+
+    JSON is read with the fixed columns above; the kind of row is told from its first row, and columns of
+    other kinds go. An ``id`` or ``split`` stays if the first row has one.
+    """
+    if fmt in (None, "parquet") and not _is_json(spark, path):
+        return spark.read.parquet(path)
+    rows = spark.read.schema(JSON_SCHEMA).json(path)
+    head = rows.first()
+    kind = next((k for k in JSON_KINDS if head is not None and any(head[c] is not None for c in k)), JSON_KINDS[0])
+    extra = [c for c in ("id", "split") if head is not None and head[c] is not None]
+    return rows.select(*extra, *kind)
+
+
+def _is_json(spark: SparkSession, path: str) -> bool:
+    if path.endswith((".json", ".jsonl")):
+        return True
+    fs, at = _hadoop(spark, path)
+    if not fs.exists(at) or fs.getFileStatus(at).isFile():
+        return False
+    files = fs.listFiles(at, True)  # lazily: the first data file tells
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return name.endswith((".json", ".jsonl", ".json.gz", ".jsonl.gz"))
+    return False
+
+
 MESSAGES_SCHEMA = "messages array<struct<role:string,content:string>>"
 
 
@@ -50,23 +90,52 @@ def from_rows(spark: SparkSession, rows: list[dict], schema: str = MESSAGES_SCHE
     return spark.createDataFrame(rows, schema)
 
 
-def write_prepared(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split") -> None:
-    """Persist a prepared table. An existing target is replaced only with
-    ``overwrite=True``; otherwise the write fails (Spark's ``errorifexists``)."""
-    writer = df.write.mode("overwrite" if overwrite else "errorifexists")
-    if split_col and split_col in df.columns:
-        writer = writer.partitionBy(split_col)
-    writer.parquet(out_dir)
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at  # noqa: SLF001
 
 
-def write_prepared_counted(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split") -> int:
-    """Write and return the number of rows written, counted by an observation
-    during the same job (the table is not computed a second time to count it)."""
-    from pyspark.sql import Observation
+def write_prepared(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split") -> int:
+    """Persist a prepared table and return its rows, counted by an observation during the write.
 
-    obs = Observation("prepared")
-    write_prepared(df.observe(obs, F.count(F.lit(1)).alias("rows")), out_dir, overwrite=overwrite, split_col=split_col)
-    return int(obs.get["rows"])
+    The table is written beside the target and takes its place only when it is complete, so a
+    failed run leaves the target as it was; so does an empty one, which raises if there is a
+    target and else leaves an empty table that can be read. An existing target is replaced only
+    with ``overwrite=True``; otherwise the write fails before it starts.
+    """
+    spark = df.sparkSession
+    fs, target = _hadoop(spark, out_dir)
+    exists = fs.exists(target)
+    if exists and not overwrite:
+        raise FileExistsError(f"{out_dir} exists; it is replaced only on request")
+    staged_dir = f"{out_dir.rstrip('/')}.{uuid.uuid4().hex}.staged"
+    staged = _hadoop(spark, staged_dir)[1]
+    obs = Observation(f"prepared_{uuid.uuid4().hex}")
+    try:
+        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
+        if split_col and split_col in df.columns:
+            writer = writer.partitionBy(split_col)
+        writer.parquet(staged_dir)
+        rows = int(obs.get["rows"])
+        if rows == 0:
+            if exists:
+                raise ValueError(f"the run made no rows; {out_dir} is left as it was")
+            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(staged_dir)
+        if not exists:
+            fs.mkdirs(target.getParent())
+        old = _hadoop(spark, f"{staged_dir}.old")[1]
+        if exists and not fs.rename(target, old):
+            raise OSError(f"cannot move {out_dir} aside")
+        if not fs.rename(staged, target):
+            if exists:
+                fs.rename(old, target)
+            raise OSError(f"cannot move {staged_dir} to {out_dir}")
+        if exists:
+            fs.delete(old, True)
+    except BaseException:
+        fs.delete(staged, True)
+        raise
+    return rows
 
 
 def load_prepared(spark: SparkSession, in_dir: str, prefer: str = "train", split_col: str = "split") -> DataFrame:
@@ -82,7 +151,7 @@ def load_prepared(spark: SparkSession, in_dir: str, prefer: str = "train", split
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(in_dir)  # noqa: SLF001
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
     if not fs.exists(jvm_path):
-        raise FileNotFoundError(f"Dataset dir not found: {in_dir}. Run the preparation first.")
+        raise FileNotFoundError(f"no prepared table at {in_dir}")
     prefix = split_col + "="
     splits = sorted(
         unquote(st.getPath().getName()[len(prefix):])

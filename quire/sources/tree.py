@@ -11,8 +11,12 @@ regular file. Reading happens in two steps:
    huge subdirectory is not walked by the driver;
 2. **content**: after the name and size filters (plain column predicates), the
    surviving paths are spread over tasks and each task reads and decodes its
-   files in Arrow batches (``mapInPandas``). Unreadable files become null text,
-   are counted through an observation and dropped.
+   files in Arrow batches (``mapInPandas``).
+
+A root that is missing or cannot be listed fails when the plan is made. Below it, folders
+and files that are gone or not permitted are skipped and counted: in the listing they are
+rows of size ``UNLISTED``, in the contents null text under an observation. Every other
+error (a timeout, a throttled store) fails its task, which Spark tries again.
 
 The root must be visible to the driver and to every executor (a shared mount,
 or any ``scheme://`` URI that ``pyarrow.fs`` can open).
@@ -21,6 +25,7 @@ or any ``scheme://`` URI that ``pyarrow.fs`` can open).
 from __future__ import annotations
 
 import os
+import uuid
 from collections import deque
 from collections.abc import Iterator
 
@@ -40,22 +45,23 @@ VCS_DIR = ".git"
 # File-system access: os.scandir for local / mounted paths, pyarrow.fs for URIs.
 
 
+# Size of a listing row that stands for a folder or file that could not be looked at.
+UNLISTED = -1
+_SKIPPED_ERRORS = (FileNotFoundError, PermissionError, NotADirectoryError)
+
+
 class _LocalFs:
-    def list(self, d: str) -> list[tuple[str, str, int]]:
-        out = []
-        try:
-            with os.scandir(d) as it:
-                for e in it:
-                    try:
-                        if e.is_dir(follow_symlinks=False):
-                            out.append((e.name, "d", 0))
-                        elif e.is_file():  # follows a symlink to a regular file
-                            out.append((e.name, "f", int(e.stat().st_size)))
-                    except OSError:
-                        continue  # cannot stat: skipped like an unreadable file
-        except OSError:
-            return []
-        return out
+    def list(self, d: str) -> Iterator[tuple[str, str, int]]:
+        """Entries of a folder as (name, "d" | "f" | "?", size), one at a time."""
+        with os.scandir(d) as it:
+            for e in it:
+                try:
+                    if e.is_dir(follow_symlinks=False):
+                        yield (e.name, "d", 0)
+                    elif e.is_file():  # follows a symlink to a regular file
+                        yield (e.name, "f", int(e.stat().st_size))
+                except _SKIPPED_ERRORS:
+                    yield (e.name, "?", UNLISTED)
 
     def read(self, p: str) -> bytes:
         with open(p, "rb") as fh:
@@ -73,18 +79,12 @@ class _ArrowFs:
         self._pafs = pafs
         self.fs, self.root = pafs.FileSystem.from_uri(uri)
 
-    def list(self, d: str) -> list[tuple[str, str, int]]:
-        try:
-            infos = self.fs.get_file_info(self._pafs.FileSelector(d, recursive=False))
-        except OSError:
-            return []
-        out = []
-        for i in infos:
+    def list(self, d: str) -> Iterator[tuple[str, str, int]]:
+        for i in self.fs.get_file_info(self._pafs.FileSelector(d, recursive=False)):
             if i.type == self._pafs.FileType.Directory:
-                out.append((i.base_name, "d", 0))
+                yield (i.base_name, "d", 0)
             elif i.type == self._pafs.FileType.File:
-                out.append((i.base_name, "f", int(i.size or 0)))
-        return out
+                yield (i.base_name, "f", int(i.size or 0))
 
     def read(self, p: str) -> bytes:
         with self.fs.open_input_stream(p) as fh:
@@ -136,9 +136,14 @@ class SourceTreeReader(DataSourceReader):
             rel = queue.popleft()
             listed += 1
             units.append((rel, False))  # this directory's own files
-            for name, kind, _ in fs.list(fs.join(root, rel) if rel else root):
-                if kind == "d" and not (self.prune_vcs and name == VCS_DIR):
-                    queue.append(_rel(rel, name))
+            try:  # entries pass one at a time; only folder names are kept
+                for name, kind, _ in fs.list(fs.join(root, rel) if rel else root):
+                    if kind == "d" and not (self.prune_vcs and name == VCS_DIR):
+                        queue.append(_rel(rel, name))
+            except _SKIPPED_ERRORS as e:
+                if not rel:
+                    raise ValueError(f"cannot list the source tree {self.root}: {e}") from e
+                # the task that lists this folder counts it
         units.extend((rel, True) for rel in queue)
         n = max(1, min(self.num_partitions, len(units)))
         groups: list[list[tuple[str, bool]]] = [[] for _ in range(n)]
@@ -152,11 +157,15 @@ class SourceTreeReader(DataSourceReader):
             stack = [rel_dir]
             while stack:
                 rel = stack.pop()
-                for name, kind, size in fs.list(fs.join(root, rel) if rel else root):
-                    if kind == "f":
-                        yield (self.repo, _rel(rel, name), size)
-                    elif kind == "d" and recursive and not (self.prune_vcs and name == VCS_DIR):
-                        stack.append(_rel(rel, name))
+                try:
+                    for name, kind, size in fs.list(fs.join(root, rel) if rel else root):
+                        if kind == "d":
+                            if recursive and not (self.prune_vcs and name == VCS_DIR):
+                                stack.append(_rel(rel, name))
+                        else:
+                            yield (self.repo, _rel(rel, name), size)
+                except _SKIPPED_ERRORS:
+                    yield (self.repo, rel, UNLISTED)
 
 
 class SourceTreeDataSource(DataSource):
@@ -174,6 +183,11 @@ class SourceTreeDataSource(DataSource):
         return SourceTreeReader(self.options, schema)
 
 
+def listed():
+    """Listing rows that are files; the others stand for what could not be looked at."""
+    return F.col("size") != UNLISTED
+
+
 def register(spark: SparkSession) -> None:
     from quire.session import ship_package
 
@@ -206,7 +220,7 @@ def _reader(root: str, batch_bytes: int = OUTPUT_BATCH_BYTES):
             for i, p in enumerate(pdf["path"]):
                 try:
                     t = decode_bytes(fs.read(fs.join(abs_root, p)))
-                except OSError:
+                except _SKIPPED_ERRORS:
                     t = None
                 texts.append(t)
                 acc += len(t) if t else 0
@@ -235,9 +249,9 @@ def read_contents(listing: DataFrame, root: str, num_partitions: int | None = No
     ship_package(spark)
     n = num_partitions
     if n is None:
-        # The listing is materialised once in the shared checkpoint folder: sizing
-        # the tasks and reading then share one walk of the tree (and its lineage
-        # is cut, so a lost executor does not re-walk it).
+        # Materialised once in the shared checkpoint folder: sizing the tasks and
+        # reading then share one walk of the tree (and its lineage is cut, so a lost
+        # executor does not re-walk it).
         checkpoint_dir(spark)
         listing = listing.checkpoint(eager=True)
         total = listing.agg(F.sum("size").alias("b")).first()["b"] or 0
@@ -248,7 +262,7 @@ def read_contents(listing: DataFrame, root: str, num_partitions: int | None = No
 
 def readable(files: DataFrame, name: str = "source_read") -> tuple[DataFrame, Observation]:
     """Drop unreadable files, counting them: ``obs.get["unreadable"]`` after an action."""
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")
     observed = files.observe(
         obs, F.count(F.lit(1)).alias("files"), F.count_if(F.col("text").isNull()).alias("unreadable")
     )

@@ -6,10 +6,10 @@ micro-batches. Per completion the state holds the text not yet emitted (raw text
 since the last closed segment plus at most one open segment), the next expected
 ``seq``, the next output position and out-of-order pieces waiting for their
 turn. Rows are emitted as segments close; the piece flagged ``is_last`` flushes
-the rest and clears the state (with a timeout set, a one-row tombstone stays
-until the timer fires, so a replayed piece cannot reopen a finished completion).
-An optional processing-time timeout flushes completions whose last piece never
-arrives.
+the rest; a one-row tombstone stays until its timer fires, so a replayed piece cannot
+reopen a finished completion. An optional processing-time timeout flushes completions
+whose last piece never arrives. A completion whose unfinished text outgrows a bound fails
+the query with a message that names it.
 
 The output equals the batch segmentation of the whole text for any cutting
 (``quire.streaming.segmenter``).
@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from quire.streaming.segmenter import consume
+from quire.streaming.segmenter import advance
 
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 OUTPUT_SCHEMA = StructType(
@@ -45,16 +46,23 @@ _CURSOR = StructType(
         StructField("last_seq", IntegerType()),
         StructField("n_pending", IntegerType()),
         StructField("done", BooleanType()),
+        StructField("open_at", IntegerType()),
     ]
 )
 _PIECE_KEY = StructType([StructField("seq", IntegerType())])
 _PIECE = StructType([StructField("chunk", StringType()), StructField("is_last", BooleanType())])
 
 
+# How long a finished completion is remembered, and how much unfinished text one may hold.
+RETAIN_FINISHED_MS = 24 * 3600 * 1000
+MAX_OPEN_CHARS = 64 << 20
+
+
 class CompletionSegmenter(StatefulProcessor):
-    def __init__(self, idle_timeout_ms: int | None = None, retain_finished_ms: int | None = None):
+    def __init__(self, idle_timeout_ms: int | None = None, retain_finished_ms: int | None = None, max_open_chars: int = MAX_OPEN_CHARS):
         self.idle_timeout_ms = idle_timeout_ms
-        self.retain_finished_ms = retain_finished_ms if retain_finished_ms is not None else idle_timeout_ms
+        self.retain_finished_ms = retain_finished_ms
+        self.max_open_chars = max_open_chars
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -79,13 +87,13 @@ class CompletionSegmenter(StatefulProcessor):
         cid = int(key[0])
         existed = self.cursor.exists()
         if existed:
-            buf, next_seq, next_pos, last_seq, n_pending, finished = self.cursor.get()
+            buf, next_seq, next_pos, last_seq, n_pending, finished, open_at = self.cursor.get()
             if finished:  # replayed pieces of a finished completion are ignored
                 for _ in rows:
                     pass
                 return
         else:
-            buf, next_seq, next_pos, last_seq, n_pending = "", 0, 0, -1, 0
+            buf, next_seq, next_pos, last_seq, n_pending, open_at = "", 0, 0, -1, 0, -1
         waiting: dict[int, str] = {}
         if n_pending:
             waiting = {k[0]: v[0] for k, v in self.pending.iterator()}
@@ -99,53 +107,55 @@ class CompletionSegmenter(StatefulProcessor):
                 waiting[seq] = chunk if chunk is not None else ""
                 if is_last:
                     last_seq = seq
+        scanned = len(buf)
         parts = [buf]
         while next_seq in waiting:
             parts.append(waiting.pop(next_seq))
             next_seq += 1
         buf = "".join(parts)
         done = last_seq >= 0 and next_seq > last_seq
-        out, rest = consume(buf, final=done)
+        out, rest, open_at = advance(buf, done, scanned, open_at)
         if out:
             yield self._emit(cid, out, next_pos)
         next_pos += len(out)
         if done:  # (pending pieces were loaded and cleared above)
-            if self.idle_timeout_ms is None:
-                if existed:  # a completion seen whole in one trigger never touched state
-                    self.cursor.clear()
-            else:  # keep a tombstone so late duplicates stay harmless; the timer drops it
-                self.cursor.update(("", next_seq, next_pos, last_seq, 0, True))
+            if self.retain_finished_ms:  # a tombstone keeps late duplicates harmless; its timer drops it
+                self.cursor.update(("", next_seq, next_pos, last_seq, 0, True, -1))
                 self._arm_timer(timerValues, self.retain_finished_ms)
+            elif existed:  # a completion seen whole in one trigger never touched state
+                self._clear_timers()
+                self.cursor.clear()
             return
+        held = len(rest) + sum(map(len, waiting.values()))
+        if held > self.max_open_chars:
+            raise ValueError(f"completion {cid} holds {held} characters of unfinished text, above the bound of {self.max_open_chars}")
         for seq, chunk in waiting.items():
             self.pending.updateValue((seq,), (chunk, seq == last_seq))
-        self.cursor.update((rest, next_seq, next_pos, last_seq, len(waiting), False))
-        self._arm_timer(timerValues)
+        self.cursor.update((rest, next_seq, next_pos, last_seq, len(waiting), False, open_at))
+        if self.idle_timeout_ms:
+            self._arm_timer(timerValues, self.idle_timeout_ms)
 
     def _clear_timers(self) -> None:
-        if self.idle_timeout_ms is None:
+        if not (self.idle_timeout_ms or self.retain_finished_ms):
             return
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
 
-    def _arm_timer(self, timerValues, after_ms: int | None = None) -> None:
-        if self.idle_timeout_ms is None:
-            return
+    def _arm_timer(self, timerValues, after_ms: int) -> None:
         self._clear_timers()
-        delay = self.idle_timeout_ms if after_ms is None else after_ms
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + int(delay))
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + int(after_ms))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Abandoned completion: flush what is there (pieces after a gap included, in order)."""
         if not self.cursor.exists():
             return
-        buf, next_seq, next_pos, _, n_pending, finished = self.cursor.get()
+        buf, next_seq, next_pos, _, n_pending, finished, _ = self.cursor.get()
         if finished:
             self.cursor.clear()
             return
         waiting = sorted(((k[0], v[0]) for k, v in self.pending.iterator())) if n_pending else []
         text = buf + "".join(c for _, c in waiting)
-        out, _ = consume(text, final=True)
+        out, _, _ = advance(text, True)
         if out:
             yield self._emit(int(key[0]), out, next_pos)
         self.cursor.clear()
@@ -156,26 +166,33 @@ class CompletionSegmenter(StatefulProcessor):
 
 
 def segment_stream(
-    pieces: DataFrame, idle_timeout_ms: int | None = None, retain_finished_ms: int | None = None
+    pieces: DataFrame,
+    idle_timeout_ms: int | None = None,
+    retain_finished_ms: int | None = RETAIN_FINISHED_MS,
+    max_open_chars: int = MAX_OPEN_CHARS,
 ) -> DataFrame:
     """``completion_id, seq, chunk, is_last`` stream → segment rows (append mode).
 
     ``idle_timeout_ms``: flush a completion whose last piece has not arrived after
     this long without new pieces; ``retain_finished_ms``: how long a finished
-    completion keeps its tombstone (default: the idle timeout).
+    completion keeps its tombstone (None: not at all; a table read once, as a batch,
+    needs none). A stream restarted with another setting of these needs a new checkpoint.
 
-    One shuffle by completion id; the per-key work is a regex pass over that
-    completion's unconsumed text. Requires the RocksDB state store provider.
+    One shuffle by completion id; the per-key work is a pass over that completion's
+    new text. The state store must be RocksDB: set here if the session names none.
     """
     from quire.session import ship_package
 
     spark = pieces.sparkSession
     ship_package(spark)
     _ = spark.streams.active  # starts the state-store coordinator (also needed for batch input)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    time_mode = "ProcessingTime" if idle_timeout_ms is not None else "None"
+    if not pieces.isStreaming:
+        retain_finished_ms = None
+    if spark.conf.get(PROVIDER_CONF, "").rpartition(".")[2] != ROCKSDB_PROVIDER.rpartition(".")[2]:
+        spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
+    time_mode = "ProcessingTime" if idle_timeout_ms or retain_finished_ms else "None"
     return pieces.groupBy("completion_id").transformWithStateInPandas(
-        statefulProcessor=CompletionSegmenter(idle_timeout_ms, retain_finished_ms),
+        statefulProcessor=CompletionSegmenter(idle_timeout_ms, retain_finished_ms, max_open_chars),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode=time_mode,

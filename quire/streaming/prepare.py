@@ -8,6 +8,8 @@ whose checkpoint lives under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,11 +44,17 @@ def start_prepare_stream(
     source_dir: str,
     out_dir: str,
     *,
-    name: str = "prepare_conversations",
+    name: str | None = None,
     available_now: bool = True,
     **kw,
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    The checkpoint belongs to the pair of source and output folder unless ``name`` names
+    another, so a second output of the same source starts from the beginning.
+    """
+    if name is None:
+        name = "prepare-" + hashlib.sha256(f"{source_dir.rstrip('/')}\n{out_dir.rstrip('/')}".encode()).hexdigest()[:32]
     df = conversation_text_stream(spark, source_dir, **kw)
     writer = (
         df.writeStream.format("parquet")

@@ -49,28 +49,56 @@ def parse_segment(match: str) -> tuple[str, str, bool]:
     return channel, content, closed
 
 
-def consume(buf: str, final: bool) -> tuple[list[tuple[str, str, bool]], str]:
-    """Segments ready to emit from ``buf`` and the text to keep.
+# The longest start marker: a start that began in scanned text lies this near its end.
+_LONGEST_HEAD = len(M.START_ASSISTANT + M.TOOL_START)
+
+
+def _end_marker(head: str) -> str:
+    if head.endswith("final<|message|>"):
+        return M.FINAL_END
+    return M.TOOL_END if head.endswith("to=functions>") else M.ANALYSIS_END
+
 
+def advance(buf: str, final: bool, scanned: int = 0, open_at: int = -1) -> tuple[list[tuple[str, str, bool]], str, int]:
+    """Segments ready to emit from ``buf``, the text to keep, and where in it an open segment starts (-1: none).
+
+    ``scanned`` and ``open_at`` say what an earlier call kept: so many characters, with an open
+    segment there. Only the new text is then searched (with the open segment's end marker, or a
+    start marker, reaching back into the old), so many small pieces cost no more than one large.
     With ``final`` (end of stream) everything is emitted, open segments included.
     """
+    at = 0
+    if not final and scanned:
+        if open_at < 0:
+            at = max(0, scanned - _LONGEST_HEAD)
+        else:
+            head = _HEAD_RE.match(buf[open_at:open_at + _LONGEST_HEAD + 1]).group(1)
+            end = _end_marker(head)
+            if buf.find(end, max(open_at + len(head), scanned - len(end) + 1)) < 0:
+                return [], buf, open_at
+            at = open_at
     out: list[tuple[str, str, bool]] = []
     prev = 0
-    for m in _SEGMENT_RE.finditer(buf):
+    for m in _SEGMENT_RE.finditer(buf, at):
         channel, content, closed = parse_segment(m.group(0))
         if not closed and not final:
-            return out, buf[prev:]
+            return out, buf[prev:], m.start() - prev
         raw = strip_markers(buf[prev:m.start()])
         if raw:
             out.append(("raw", raw, True))
         out.append((channel, content, closed))
         prev = m.end()
     if not final:
-        return out, buf[prev:]
+        return out, buf[prev:], -1
     raw = strip_markers(buf[prev:])
     if raw:
         out.append(("raw", raw, True))
-    return out, ""
+    return out, "", -1
+
+
+def consume(buf: str, final: bool) -> tuple[list[tuple[str, str, bool]], str]:
+    """Segments ready to emit from ``buf`` and the text to keep."""
+    return advance(buf, final)[:2]
 
 
 def segments(text: str) -> list[tuple[int, str, str, bool]]:

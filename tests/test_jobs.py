@@ -86,10 +86,10 @@ def test_cli_prepare_from_json_lines(spark, capsys):
     out = os.path.join(_new_dir(), "prepared")
     jobs.main(["prepare", "--dataset", src, "--out", out, "--max-samples", "7"])
     printed = capsys.readouterr().out
-    assert "Samples: 7" in printed and "First formatted sample:" in printed
+    assert "wrote 7 samples; could not list 0, could not read 0" in printed and "<|start|>" in printed
     plan_out = os.path.join(_new_dir(), "plan")
     jobs.main(["plan", "--dataset-dir", out, "--out", plan_out, "--max-steps", "2"])
-    assert "Planned samples: 8" in capsys.readouterr().out
+    assert "planned 8 samples" in capsys.readouterr().out
 
 
 def test_prepare_messages_with_thinking(spark):

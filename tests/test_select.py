@@ -91,26 +91,6 @@ def test_request_params(spark):
     assert (r.do_sample, r.temperature, r.top_p) == (True, 0.7, 0.9)
 
 
-def test_spread_only_when_input_splits_are_few(spark):
-    from quire.operators.layout import input_bytes, spread
-    from quire.sources import tables as TB
-
-    from conftest import SF_SMALL
-
-    docs = TB.read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
-    assert input_bytes(docs) > 0
-    target = spark.sparkContext.defaultParallelism
-    spread_df = spread(docs, ["doc_id"])
-    assert spread_df.rdd.getNumPartitions() == target  # one small file: spread
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")  # now it counts as many splits
-        assert spread(docs, ["doc_id"]) is docs
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert spread(docs, []) is docs
-
-
 def test_single_effort_requests(spark):
     from quire.plans.chat import generation_requests
 

@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from quire.sources.tables import from_rows, load_prepared, write_prepared, write_prepared_counted
+from quire.sources.tables import from_rows, load_prepared, write_prepared
 
 
 def test_write_reload_pick_split(spark):
@@ -28,7 +28,7 @@ def test_missing_dir(spark):
 def test_counted_write_and_rows(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="quire-sink-"), "ds")
     df = from_rows(spark, [{"messages": [{"role": "user", "content": "hi"}]}] * 3)
-    assert write_prepared_counted(df, out) == 3
+    assert write_prepared(df, out) == 3
     assert spark.read.parquet(out).count() == 3
 
 
