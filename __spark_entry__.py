@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import markers as MK
 from quire.functions import text as TX
 from quire.functions.chunk import chunk_label
 from quire.operators import files as FL
@@ -34,46 +33,35 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Parameters of the registered queries (reference defaults, plus the small-piece
 # and small-file settings that make the filters and cuts bite on the test tables).
 SMALL_MAX_CHARS = 500
-SMALL_MAX_FILE_BYTES = 3000
+SMALL_MAX_FILE_BYTES = 3000  # of the size filter's own query
+FULL_MAX_FILE_BYTES = 250_000
 FIRST_N_SAMPLES = 512
 FIRST_N_CONVERSATIONS = 50
 PER_REPO_SAMPLES = 5
 
 
-_VIEWS: dict[tuple, DataFrame] = {}
-
-
-def _view(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived view is defined once per session and folder (DataFrames are immutable)."""
-    sc = spark.sparkContext
-    key = (sc.applicationId, sc.startTime, d, name)
-    if key not in _VIEWS:
-        _VIEWS[key] = build()
-    return _VIEWS[key]
-
-
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return _view(spark, d, name, lambda: TB.read_table(spark, d, name))
+    return TB.read_table(spark, d, name)
 
 
 def _source_files(spark, d):
-    return _view(spark, d, "source_files", lambda: TB.source_files(_t(spark, d, "documents")))
+    return TB.source_files(_t(spark, d, "documents"))
 
 
 def _specs(spark, d):
-    return _view(spark, d, "specs", lambda: TB.dataset_specs(_t(spark, d, "pages")))
+    return TB.dataset_specs(_t(spark, d, "pages"))
 
 
 def _completions(spark, d):
-    return _view(spark, d, "completions", lambda: TB.completions(_t(spark, d, "conversations")))
+    return TB.completions(_t(spark, d, "conversations"))
 
 
 def _chat_inputs(spark, d):
-    return _view(spark, d, "chat_inputs", lambda: TB.chat_inputs(_t(spark, d, "conversations")))
+    return TB.chat_inputs(_t(spark, d, "conversations"))
 
 
 def _small_samples(spark, d):
-    return PR.file_samples(_source_files(spark, d), max_file_bytes=SMALL_MAX_FILE_BYTES, max_chars=SMALL_MAX_CHARS)
+    return PR.file_samples(_source_files(spark, d), max_chars=SMALL_MAX_CHARS)
 
 
 def _training_text(spark, d):
@@ -105,7 +93,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["scan_conversations"] = lambda s, d: TB.scan_conversations(s, os.path.join(d, "conversations.parquet")).select(
         "conv_id", "turn", "role", "text"
     )
+    q["scan_split"] = lambda s, d: TB.scan_conversations(
+        s, os.path.join(d, "conversations.parquet"), split="user", split_col="role"
+    ).select("conv_id", "turn", "text")
     q["pick_split"] = lambda s, d: SL.pick_split(_t(s, d, "documents").select("doc_id", "lang"), "lang", "train")
+    q["pick_train"] = lambda s, d: SL.pick_split(_t(s, d, "documents").select(
+        "doc_id", F.when(F.col("lang") == "en", "train").otherwise(F.col("lang")).alias("split")), "split", "train")
 
     # --- filters and scalar functions ---------------------------------------
     q["filter_source_ext"] = lambda s, d: FL.keep_source_extensions(_source_files(s, d)).select("repo", "path", "size")
@@ -169,14 +162,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # --- selection, counts, report --------------------------------------------
     q["first_samples"] = lambda s, d: TP.render_messages(
         PR.file_samples(
-            _source_files(s, d), max_file_bytes=SMALL_MAX_FILE_BYTES, max_chars=SMALL_MAX_CHARS,
+            _source_files(s, d), max_chars=SMALL_MAX_CHARS,
             max_samples=FIRST_N_SAMPLES, cap_per_repo=False,
         ),
         keep=PR.SAMPLE_KEYS,
     ).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
     q["first_conversations"] = lambda s, d: SL.first_groups(_t(s, d, "conversations"), "conv_id", FIRST_N_CONVERSATIONS)
     q["first_samples_per_repo"] = lambda s, d: PR.file_samples(
-        _source_files(s, d), max_file_bytes=SMALL_MAX_FILE_BYTES, max_chars=SMALL_MAX_CHARS,
+        _source_files(s, d), max_chars=SMALL_MAX_CHARS,
         max_samples=PER_REPO_SAMPLES, cap_per_repo=True,
     ).select("repo", "path", F.col("chunk_idx").cast("bigint").alias("chunk_idx"))
     # first row in (repo, path, chunk_idx) order; only the first file is chunked
@@ -185,7 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         keep=PR.SAMPLE_KEYS,
     ).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
     q["sample_count"] = lambda s, d: SL.sample_count(_training_text(s, d))
-    q["corpus_report"] = lambda s, d: SL.corpus_report(_source_files(s, d), SMALL_MAX_FILE_BYTES, SMALL_MAX_CHARS)
+    q["corpus_report"] = lambda s, d: SL.corpus_report(_source_files(s, d), max_chars=SMALL_MAX_CHARS)
 
     # --- training shaping ------------------------------------------------------
     q["training_budget"] = lambda s, d: SH.training_budget(
@@ -224,7 +217,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---------------------------------------------------------------------------
 # DuckDB oracles. Views below restate the derivations of ``quire.sources.tables``.
 
-_WS = "concat(" + ", ".join(f"chr({ord(c)})" for c in TX.PY_WHITESPACE) + ")"
+# The code points that a Unicode strip removes.
+_WS_POINTS = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201,
+              8202, 8232, 8233, 8239, 8287, 12288)
+_WS = "concat(" + ", ".join(f"chr({c})" for c in _WS_POINTS) + ")"
 NL = "chr(10)"
 
 
@@ -343,9 +339,22 @@ pm as (
   from ok)"""
 
 
+# The grammar of marked completions, written out for the oracle apart from the engine's own patterns.
+_OPEN = r"(?:<\|start\|>assistant)?<\|channel\|>"
+_SEGMENT = (
+    r"(?s)" + _OPEN + r"(?:analysis<\|message\|>.*?(?:<\|end\|>|\z)|commentary<\|message\|>.*?(?:<\|end\|>|\z)"
+    r"|commentary to=functions>.*?(?:<\|call\|>commentary<\|end\|>|\z))"
+    r"|<\|start\|>assistant<\|channel\|>final<\|message\|>.*?(?:<\|return\|>|\z)"
+)
+_SEGMENT_START = (
+    r"(?s)^(" + _OPEN + r"(?:analysis<\|message\|>|commentary<\|message\|>|commentary to=functions>)"
+    r"|<\|start\|>assistant<\|channel\|>final<\|message\|>)"
+)
+
+
 def _segments_sql() -> str:
-    p = MK.SEGMENT_PATTERN
-    h = MK.SEGMENT_HEAD_PATTERN
+    p = _SEGMENT
+    h = _SEGMENT_START
     return f"""{V_COMPLETIONS},
 parts as (select completion_id, regexp_extract_all(text, '{p}') as segs, string_split_regex(text, '{p}') as raws
           from completions where length(text) > 0),
@@ -383,6 +392,8 @@ def oracle_sql() -> dict[str, str]:
     approximate quantiles with exact ranks (equal at test sizes)."""
     o: dict[str, str] = {}
     o["scan_conversations"] = "select conv_id, turn, role, text from conversations"
+    o["scan_split"] = "select conv_id, turn, text from conversations where role = 'user'"
+    o["pick_train"] = "select doc_id, 'train' as split from documents where lang = 'en'"
     o["pick_split"] = """select doc_id, lang from documents
 where lang = (select coalesce(max(case when lang = 'train' then lang end), min(lang)) from documents where lang is not null)"""
 
@@ -420,7 +431,7 @@ from t"""
     o["chunk_positions"] = f"with recursive {_chunks_sql(SMALL_MAX_CHARS)} select doc_id, chunk_idx, chunk_cnt from chunks"
     o["chunk_labels"] = f"with recursive {_chunks_sql(SMALL_MAX_CHARS)} select doc_id, chunk_idx, {_label()} as chunk_label from chunks"
 
-    o["file_messages"] = f"""with recursive {_file_samples_sql(SMALL_MAX_FILE_BYTES, SMALL_MAX_CHARS)}
+    o["file_messages"] = f"""with recursive {_file_samples_sql(FULL_MAX_FILE_BYTES, SMALL_MAX_CHARS)}
 select repo, path, chunk_idx, cast(0 as bigint) as msg_idx, 'user' as role, user_content as content from samples
 union all
 select repo, path, chunk_idx, cast(1 as bigint), 'assistant', chunk from samples"""
@@ -457,11 +468,11 @@ select id, effort, cast(max_new_tokens as bigint) as max_new_tokens, false as do
        cast(null as double) as temperature, cast(null as double) as top_p
 from ids, {efforts}"""
 
-    o["first_samples"] = f"""with recursive {_file_samples_sql(SMALL_MAX_FILE_BYTES, SMALL_MAX_CHARS)}
+    o["first_samples"] = f"""with recursive {_file_samples_sql(FULL_MAX_FILE_BYTES, SMALL_MAX_CHARS)}
 select repo, path, chunk_idx, {_file_text()} as text from samples order by path, chunk_idx limit {FIRST_N_SAMPLES}"""
     o["first_conversations"] = f"""select conv_id, turn, role, text from conversations
 where conv_id in (select distinct conv_id from conversations order by conv_id limit {FIRST_N_CONVERSATIONS})"""
-    o["first_samples_per_repo"] = f"""with recursive {_file_samples_sql(SMALL_MAX_FILE_BYTES, SMALL_MAX_CHARS)}
+    o["first_samples_per_repo"] = f"""with recursive {_file_samples_sql(FULL_MAX_FILE_BYTES, SMALL_MAX_CHARS)}
 select repo, path, chunk_idx from samples
 qualify row_number() over (partition by repo order by path, chunk_idx) <= {PER_REPO_SAMPLES}"""
     full = _file_samples_sql(FL.DEFAULT_MAX_FILE_BYTES, 12_000)
@@ -476,8 +487,8 @@ flags as (
   from source_files),
 reasons as (
   select *, not vcs and not bad_ext and size <= 0 as empty,
-            not vcs and not bad_ext and size > {SMALL_MAX_FILE_BYTES} as too_big,
-            not vcs and not bad_ext and size between 1 and {SMALL_MAX_FILE_BYTES} as kept
+            not vcs and not bad_ext and size > {FULL_MAX_FILE_BYTES} as too_big,
+            not vcs and not bad_ext and size between 1 and {FULL_MAX_FILE_BYTES} as kept
   from flags),
 {_chunks_sql(SMALL_MAX_CHARS, "select path, text from reasons where kept", "path")},
 per_file as (select path, count(*) as pieces from chunks group by path)

@@ -33,12 +33,12 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return reader.parquet(os.path.join(root, f"{name}.parquet"))
 
 
-def scan_conversations(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet") -> DataFrame:
+def scan_conversations(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet", split_col: str = "split") -> DataFrame:
     """Load a conversation table; with ``split``, keep that split (partition pruning
     on a ``split``-partitioned layout)."""
     df = open_table(spark, path, fmt)
     if split is not None:
-        df = df.where(F.col("split") == F.lit(split))
+        df = df.where(F.col(split_col) == F.lit(split))
     return df
 
 
