@@ -41,32 +41,29 @@ def ready(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of undirected links ``(a, b)``: rows ``(id, component)``, the least id reachable.
 
-    Alternating large-star and small-star steps: every step is a grouped minimum and an
-    equi-join on vertices, links never exceed their first number, and a hub (a third of all
-    links on one vertex) ends as rows that share a minimum, never as one group in a task.
-    Each round is written to the shared folder; the loop ends when no link changes.
+    Contraction: every vertex points to the least of itself and its neighbours, by a hash that
+    changes each round, and links are redrawn between what their ends point to. A round halves
+    the vertices or better whatever the links' shape (chains too), is one grouped minimum and
+    two equi-joins, and is written to the shared folder. A hub (a third of all links on one
+    vertex) is combined before it is shuffled. When no link is left, the rounds' pointers are
+    followed and each group takes its least id.
     Vertices without a link are not returned; loops and repeated links are allowed.
     """
-    e = saved(
-        edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        name,
-    )
-    before = None
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    e = saved(edges.where(F.col("a") != F.col("b")).select(*ends).distinct(), name)
+    rounds = []
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u").select(
-            F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
-                              F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")
-        ).select("s.u", "s.v").where("u != v").distinct()
-        e = saved(small, name)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
-        if now == before:
+        by = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), c).alias("h"), F.col(c).alias("p"))
+        both = e.select(F.col("a").alias("u"), by("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), by("a").alias("v")))
+        to = saved(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", by("u")).getField("p").alias("p")), name)
+        rounds.append(to)
+        left, right = to.select(F.col("u").alias("a"), F.col("p").alias("pa")), to.select(F.col("u").alias("b"), F.col("p").alias("pb"))
+        e = saved(e.join(left, "a").join(right, "b").where(F.col("pa") != F.col("pb")).select(
+            F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), name)
+        if e.isEmpty():
             break
-        before = now
-    stars = e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component")
-    return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
+    label = rounds[0].select(F.col("u").alias("id"), "p")
+    for to in rounds[1:]:
+        label = label.join(to.select(F.col("u").alias("p"), F.col("p").alias("q")), "p", "left").select("id", F.coalesce("q", "p").alias("p"))
+    low = label.groupBy("p").agg(F.min("id").alias("component"))
+    return label.join(low, "p").select("id", "component")

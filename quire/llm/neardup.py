@@ -200,7 +200,6 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     sets = saved(d.select(F.col("id").alias("rep"), "text").join(member.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
                  .select("rep", _shingle_set("text").alias("s")), "dup-sets")
     links: DataFrame | None = None
-    tried: DataFrame | None = None
     of: DataFrame | None = None
     seed = 0
     while True:
@@ -216,8 +215,6 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             lead = lead.withColumn("lclass", F.col("leader"))
         pairs = m.join(lead, "band").where(F.col("class") != F.col("lclass")).select(
             F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = saved(pairs, "dup-pairs")
         near = pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(
             sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
@@ -226,7 +223,6 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
         of = saved(components(links, "dup-cc"), "dup-classes")
         seed += 1
     out = every.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep")
