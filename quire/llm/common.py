@@ -41,10 +41,10 @@ def ready(df: DataFrame) -> DataFrame:
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of undirected links ``(a, b)``: rows ``(id, component)``, the least id reachable.
 
-    Contraction: every vertex points to the least of itself and its neighbours, by a hash that
-    changes each round, and links are redrawn between what their ends point to. A round halves
-    the vertices or better whatever the links' shape (chains too), is one grouped minimum and
-    two equi-joins, and is written to the shared folder. A hub (a third of all links on one
+    Contraction: every vertex points to the least of itself and its neighbours, by a hash of
+    their ids, and links are redrawn between what their ends point to. A star is one vertex after
+    two rounds, a chain shrinks to the places of its hashes' minima, so rounds are few; each is
+    one grouped minimum and two equi-joins, and is written to the shared folder. A hub (a third of all links on one
     vertex) is combined before it is shuffled. When no link is left, the rounds' pointers are
     followed and each group takes its least id.
     Vertices without a link are not returned; loops and repeated links are allowed.
@@ -52,8 +52,8 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     e = saved(edges.where(F.col("a") != F.col("b")).select(*ends).distinct(), name)
     rounds = []
+    by = lambda c: F.struct(F.xxhash64(F.lit(7), c).alias("h"), F.col(c).alias("p"))
     while True:
-        by = lambda c: F.struct(F.xxhash64(F.lit(len(rounds)), c).alias("h"), F.col(c).alias("p"))
         both = e.select(F.col("a").alias("u"), by("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), by("a").alias("v")))
         to = saved(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", by("u")).getField("p").alias("p")), name)
         rounds.append(to)

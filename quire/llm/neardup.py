@@ -7,11 +7,12 @@ coordinates. Darts beyond a shingle's weight miss. The signature keeps each coor
 earliest dart, so a text of n shingles throws about k ln k + 2k darts in all instead of n k.
 
 Exact copies are one text from the start. Bands of signature rows give buckets; within a
-bucket each text is compared with ``LEADERS`` texts that the bucket picks by hash, never with
-all others, so a bucket of thousands of near copies makes rows in proportion. Compared pairs
-whose signatures agree enough are checked on their whole shingle sets (Jaccard at least
-``SIMILARITY``). Linked texts become one class; classes that still share a bucket are compared
-again through fresh leaders, until a round finds nothing new.
+bucket each text is compared with a few texts that the bucket picks by hash, its leaders, never
+with all others, so a bucket of thousands of near copies makes rows in proportion. Compared
+pairs whose signatures agree enough (a byte of each coordinate's dart tells) are checked on
+their whole shingle sets (Jaccard at least ``SIMILARITY``). Linked texts become one class.
+Buckets that still hold several classes are compared again through fresh leaders, four times as
+many each round up to ``MOST_LEADERS``, until a round finds nothing new.
 
 Null and blank texts hold no shingle and are alone, unless equal; texts of fewer than five
 words are one shingle. Rows that repeat an id are rows of that id's class. Words are runs
@@ -35,7 +36,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 COORDS = 120
 BAND_ROWS = 5
-LEADERS = 3
+LEADERS = 4
+MOST_LEADERS = 64
 SLACK = 0.16  # below the threshold, over four standard errors of an estimate from COORDS coordinates
 CACHE = 200_000
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -124,7 +126,18 @@ def signatures(element: np.ndarray, weight: np.ndarray, doc: np.ndarray, docs: i
             live = np.flatnonzero(todo[owner] & (time <= limit[owner]))
 
 
-def _sketch(coords: int):
+def bands_of(sig: np.ndarray, rows: int) -> np.ndarray:
+    """A 64-bit hash of each band of ``rows`` coordinates, the band's number in it."""
+    n = sig.shape[1] // rows
+    h = np.zeros((len(sig), n), np.uint64)
+    with np.errstate(over="ignore"):
+        for r in range(rows):
+            h = _mix(h * _M + sig[:, r * n:(r + 1) * n])
+        return _mix(h + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+
+
+def _sketch(coords: int, rows: int):
+    """Texts -> a byte of each signature coordinate, and the band hashes; none for texts without a shingle."""
     def sketch(batches):
         words = _Words()
         for batch in batches:
@@ -137,30 +150,16 @@ def _sketch(coords: int):
                     ws.append(1.0 + np.log2(n))
                     ds.append(np.full(len(e), k))
                 sig = signatures(np.concatenate(es), np.concatenate(ws), np.concatenate(ds).astype(np.int64), len(part), coords)
+                bands = bands_of(sig, rows)
                 yield pd.DataFrame({"id": part["id"], "h1": part["h1"], "h2": part["h2"],
-                                    "sig": [s.tobytes() if len(e) else b"" for s, e in zip(sig, es)]})
+                                    "sig": [s.astype(np.uint8).tobytes() if len(e) else b"" for s, e in zip(sig, es)],
+                                    "bands": [b if len(e) else b[:0] for b, e in zip(bands, es)]})
     return sketch
 
 
-def _bands(rows: int, coords: int):
-    def bands(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            sig = np.frombuffer(b"".join(batch["sig"]), np.uint32).reshape(len(batch), coords)
-            n = coords // rows
-            h = np.zeros((len(batch), n), np.uint64)
-            with np.errstate(over="ignore"):
-                for r in range(rows):
-                    h = _mix(h * _M + sig[:, r * n:(r + 1) * n])
-                h = _mix(h + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-            yield pd.DataFrame({"band": h.ravel().view(np.int64), "rep": np.repeat(batch["rep"].to_numpy(), n)})
-    return bands
-
-
 @F.pandas_udf(T.DoubleType())
 def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([float((np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32)).mean()) for x, y in zip(a, b)])
+    return pd.Series([float((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean()) for x, y in zip(a, b)])
 
 
 @F.pandas_udf(T.BinaryType())
@@ -190,32 +189,31 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
         F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     d = d.select("id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"), "text")
     # all texts are sketched where they are read; copies meet as sketches, never as texts
-    every = saved(d.mapInPandas(_sketch(coords), "id long, h1 long, h2 long, sig binary"), "dup-sketches")
+    every = saved(d.mapInPandas(_sketch(coords, band_rows), "id long, h1 long, h2 long, sig binary, bands array<long>"), "dup-sketches")
     reps = saved(every.groupBy("h1", "h2").agg(F.min("id").alias("rep")), "dup-copies")
     sig = saved(every.join(reps, (every["h1"] == reps["h1"]) & (every["h2"] == reps["h2"]) & (every["id"] == reps["rep"]), "left_semi")
-                .where(F.octet_length("sig") > 0).select(F.col("id").alias("rep"), "sig").dropDuplicates(["rep"]), "dup-sigs")
-    bands = sig.mapInPandas(_bands(band_rows, coords), "band long, rep long")
+                .where(F.octet_length("sig") > 0).select(F.col("id").alias("rep"), "sig", "bands").dropDuplicates(["rep"]), "dup-sigs")
+    bands = sig.select("rep", F.explode("bands").alias("band"))
     crowded = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band")
     member = saved(bands.join(crowded, "band", "left_semi"), "dup-bands")
     sets = saved(d.select(F.col("id").alias("rep"), "text").join(member.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
                  .select("rep", _shingle_set("text").alias("s")), "dup-sets")
     links: DataFrame | None = None
     of: DataFrame | None = None
-    seed = 0
+    turn = 0
     while True:
-        m = member.withColumn("class", F.col("rep")) if of is None else member.join(of, member["rep"] == of["id"], "left").select(
-            "band", "rep", F.coalesce("component", "rep").alias("class"))
-        picks = [F.min_by("rep", F.xxhash64(F.lit(seed * leaders + k), "rep")).alias(f"l{k}") for k in range(leaders)]
-        lead = m.groupBy("band").agg(*picks, F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 < c1")
-        lead = lead.select("band", F.explode(F.array_distinct(F.array(*(f"l{k}" for k in range(leaders))))).alias("leader"))
-        if of is not None:
-            lc = of.select(F.col("id").alias("leader"), F.col("component").alias("lclass"))
-            lead = lead.join(lc, "leader", "left").withColumn("lclass", F.coalesce("lclass", "leader"))
+        if of is None:
+            m = member.withColumn("class", F.col("rep"))
         else:
-            lead = lead.withColumn("lclass", F.col("leader"))
-        pairs = m.join(lead, "band").where(F.col("class") != F.col("lclass")).select(
+            m = member.join(of, member["rep"] == of["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("class"))
+            mixed = m.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("band")
+            m = m.join(mixed, "band", "left_semi")
+        # each of so many slots of a bucket picks the text of least hash in it
+        h = F.xxhash64(F.lit(turn), "rep")
+        slot = F.pmod(F.shiftright(h, 20), F.lit(min(leaders * 4**turn, MOST_LEADERS)))
+        lead = m.groupBy("band", slot.alias("slot")).agg(F.min(F.struct(h.alias("h"), F.col("rep").alias("leader"), F.col("class").alias("lclass"))).alias("x"))
+        pairs = m.join(lead.select("band", "x.leader", "x.lclass"), "band").where(F.col("class") != F.col("lclass")).select(
             F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        pairs = saved(pairs, "dup-pairs")
         near = pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(
             sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
         found = saved(near.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("xa")), "a").join(
@@ -224,7 +222,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             break
         links = found if links is None else links.unionByName(found)
         of = saved(components(links, "dup-cc"), "dup-classes")
-        seed += 1
+        turn += 1
     out = every.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep")
     if of is None:
         return out.withColumn("class", F.col("rep"))
