@@ -39,7 +39,7 @@ BAND_ROWS = 5
 LEADERS = 4
 MOST_LEADERS = 64
 SLACK = 0.16  # below the threshold, over four standard errors of an estimate from COORDS coordinates
-CACHE = 200_000
+CACHE = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import ready
 
 SPACE = "▁"
-CACHE = 500_000
-PAIRS = 1_000_000
+CACHE = 150_000
+PAIRS = 300_000
 LONG_UNIT = 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -117,7 +117,7 @@ class Pieces:
                 self.space_led &= SPACE not in text.lstrip(SPACE)
         self.fallback = min(self.byte) >= 0
         self.penalty = 10.0 - min((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
-        self._pair: dict[tuple[int, int], bool] = {}
+        self._pair: dict[int, bool] = {}
         self._merges: dict[int, list | None] = {}
         self._unit: dict[str, bytes] = {}
 
@@ -148,7 +148,7 @@ class Pieces:
         Both pieces merge on their own, whichever has the better merge first; they stay apart if at no time
         the merge across their border is the best one.
         """
-        key = (a, b)
+        key = (a << 24) + b
         got = self._pair.get(key)
         if got is None:
             if len(self._pair) >= PAIRS:
@@ -197,7 +197,7 @@ class Pieces:
                 j += 1
                 b = node.get("")
                 if b is not None and last[j] == -2:
-                    ok = pair.get((a, b))
+                    ok = pair.get((a << 24) + b)
                     if ok or (ok is None and follows(a, b)):
                         last[j], start[j] = b, i
             if s[i] not in self.id:

@@ -25,7 +25,7 @@ from quire.llm.common import col, ready
 
 #: Splits a text before its merges; a property of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 500_000
+CACHE = 200_000
 BLOCK = 1024
 
 
