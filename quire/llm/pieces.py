@@ -120,6 +120,7 @@ class Pieces:
         self._pair: dict[int, bool] = {}
         self._merges: dict[int, list | None] = {}
         self._unit: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     # the adjacency acceptor of BPE models
 
@@ -247,15 +248,18 @@ class Pieces:
         s = self.normalised(text)
         if not self.space_led:
             return array("i", self._path(s.replace(" ", SPACE))).tobytes()
-        unit = self._unit
+        unit, old = self._unit, self._old  # two generations: what is in use outlives a full cache
         out = []
         for u in _UNIT.findall(s):
             got = unit.get(u)
             if got is None:
-                got = array("i", self._path(u.replace(" ", SPACE))).tobytes()
+                got = old.get(u)
+                if got is None:
+                    got = array("i", self._path(u.replace(" ", SPACE))).tobytes()
                 if len(u) <= LONG_UNIT:
                     if len(unit) >= CACHE:
-                        unit.clear()
+                        self._old = old = unit
+                        self._unit = unit = {}
                     unit[u] = got
             out.append(got)
         return b"".join(out)
