@@ -211,12 +211,13 @@ class Mix:
 
     def mixture(self) -> DataFrame:
         """The mix itself: a row per slot and document part, ``shard, slot, src, epoch, block, doc_id, row, from_word, words``."""
-        return self.slots().join(self.pieces(self.placed()), ["src", "block"])
+        return self.slots().hint("merge").join(self.pieces(self.placed()).hint("merge"), ["src", "block"])
 
     def taken(self) -> DataFrame:
         """Rows ``row, doc_id, src, size, source_size, target, taken``: the words of each row that the mix takes, repeats counted."""
         placed = self.placed()
-        draws = self.slots().groupBy("src", "block").agg(F.count("*").alias("draws"))
+        # generated from a handful of shard numbers, the slots look small to the planner: no broadcast
+        draws = self.slots().groupBy("src", "block").agg(F.count("*").alias("draws")).hint("merge")
         got = self.pieces(placed).join(draws, ["src", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
         return placed.join(got, "row", "left").select(
             "row", "doc_id", "src", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
