@@ -24,7 +24,7 @@ def test_levels_and_passages(spark):
 def test_threads_of_a_branching_conversation(spark):
     a, b, c, d = (sentence(k, 12) for k in range(4))
     rows = [(1, 0, "u", a), (1, 1, "a", f"> {a}\n{b}"), (1, 2, "u", f"> > {a}\n> {b}\n{c}"), (1, 3, "a", f"> {a.upper()}\n\n{d}"),
-            (2, 0, "u", f"> {c[:30]}\n> {c[30:]}\nfrom elsewhere"), (2, 1, "a", "> nobody said this\nalone")]
+            (2, 0, "u", f"> {c[::-1]}\nfrom elsewhere"), (2, 1, "a", "> nobody said this\nalone")]
     got = run(spark, rows)
     parent = {k: (r["parent_conv"], r["parent_turn"]) for k, r in got.items()}
     assert parent == {(1, 0): (None, None), (1, 1): (1, 0), (1, 2): (1, 1), (1, 3): (1, 0), (2, 0): (None, None), (2, 1): (None, None)}
