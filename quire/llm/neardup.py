@@ -11,8 +11,9 @@ bucket each text is compared with a few texts that the bucket picks by hash, its
 with all others, so a bucket of thousands of near copies makes rows in proportion. Compared
 pairs whose signatures agree enough (a byte of each coordinate's dart tells) are checked on
 their whole shingle sets (Jaccard at least ``SIMILARITY``). Linked texts become one class.
-Buckets that still hold several classes are compared again through fresh leaders, four times as
-many each round up to ``MOST_LEADERS``, until a round finds nothing new.
+Buckets that still hold several classes are compared again through fresh leaders, until a round
+adds less than ``TOLERANCE`` of the links there are (0: until it adds none). What this leaves
+out are links of texts that no leader of any of their shared buckets is near to.
 
 Null and blank texts hold no shingle and are alone, unless equal; texts of fewer than five
 words are one shingle. Rows that repeat an id are rows of that id's class. Words are runs
@@ -37,7 +38,7 @@ SIMILARITY = 0.8
 COORDS = 120
 BAND_ROWS = 5
 LEADERS = 4
-MOST_LEADERS = 64
+TOLERANCE = 0.002
 SLACK = 0.16  # below the threshold, over four standard errors of an estimate from COORDS coordinates
 CACHE = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -179,7 +180,7 @@ def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-            coords: int = COORDS, band_rows: int = BAND_ROWS, leaders: int = LEADERS) -> DataFrame:
+            coords: int = COORDS, band_rows: int = BAND_ROWS, leaders: int = LEADERS, tolerance: float = TOLERANCE) -> DataFrame:
     """Rows ``id, rep, class``: every distinct id and text with the least id of its exact copies and of its near-duplicate class.
 
     Ids must be integers; rows without an id are left out. A row per input row; of rows that repeat an id with
@@ -200,7 +201,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
                  .select("rep", _shingle_set("text").alias("s")), "dup-sets")
     links: DataFrame | None = None
     of: DataFrame | None = None
-    turn = 0
+    turn = have = 0
     while True:
         if of is None:
             m = member.withColumn("class", F.col("rep"))
@@ -210,7 +211,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             m = m.join(mixed, "band", "left_semi")
         # each of so many slots of a bucket picks the text of least hash in it
         h = F.xxhash64(F.lit(turn), "rep")
-        slot = F.pmod(F.shiftright(h, 20), F.lit(min(leaders * 4**turn, MOST_LEADERS)))
+        slot = F.pmod(F.shiftright(h, 20), F.lit(leaders))
         lead = m.groupBy("band", slot.alias("slot")).agg(F.min(F.struct(h.alias("h"), F.col("rep").alias("leader"), F.col("class").alias("lclass"))).alias("x"))
         pairs = m.join(lead.select("band", "x.leader", "x.lclass"), "band").where(F.col("class") != F.col("lclass")).select(
             F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
@@ -218,11 +219,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
         found = saved(near.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("xa")), "a").join(
             sets.select(F.col("rep").alias("b"), F.col("s").alias("xb")), "b").where(_jaccard("xa", "xb") >= similarity).select("a", "b"), "dup-links")
-        if found.isEmpty():
+        n = found.count()
+        if not n:
             break
+        have += n
         links = found if links is None else links.unionByName(found)
         of = saved(components(links, "dup-cc"), "dup-classes")
         turn += 1
+        if n < tolerance * (have - n):
+            break
     out = every.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep")
     if of is None:
         return out.withColumn("class", F.col("rep"))
