@@ -6,8 +6,8 @@ micro-batches. Per completion the state holds the text not yet emitted (raw text
 since the last closed segment plus at most one open segment), the next expected
 ``seq``, the next output position and out-of-order pieces waiting for their
 turn. Rows are emitted as segments close; the piece flagged ``is_last`` flushes
-the rest; a one-row tombstone stays until its timer fires, so a replayed piece cannot
-reopen a finished completion. An optional processing-time timeout flushes completions
+the rest; a one-row tombstone stays (with a retention set, until its timer fires), so a
+replayed piece cannot reopen a finished completion. An optional processing-time timeout flushes completions
 whose last piece never arrives. A completion whose unfinished text outgrows a bound fails
 the query with a message that names it.
 
@@ -53,15 +53,21 @@ _PIECE_KEY = StructType([StructField("seq", IntegerType())])
 _PIECE = StructType([StructField("chunk", StringType()), StructField("is_last", BooleanType())])
 
 
-# How long a finished completion is remembered, and how much unfinished text one may hold.
-RETAIN_FINISHED_MS = 24 * 3600 * 1000
+# How much unfinished text a completion may hold.
 MAX_OPEN_CHARS = 64 << 20
 
 
 class CompletionSegmenter(StatefulProcessor):
-    def __init__(self, idle_timeout_ms: int | None = None, retain_finished_ms: int | None = None, max_open_chars: int = MAX_OPEN_CHARS):
+    def __init__(
+        self,
+        idle_timeout_ms: int | None = None,
+        retain_finished_ms: int | None = None,
+        max_open_chars: int = MAX_OPEN_CHARS,
+        keep_finished: bool = True,
+    ):
         self.idle_timeout_ms = idle_timeout_ms
         self.retain_finished_ms = retain_finished_ms
+        self.keep_finished = keep_finished
         self.max_open_chars = max_open_chars
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -119,9 +125,12 @@ class CompletionSegmenter(StatefulProcessor):
             yield self._emit(cid, out, next_pos)
         next_pos += len(out)
         if done:  # (pending pieces were loaded and cleared above)
-            if self.retain_finished_ms:  # a tombstone keeps late duplicates harmless; its timer drops it
+            if self.keep_finished:  # a tombstone keeps late duplicates harmless; a timer drops it
                 self.cursor.update(("", next_seq, next_pos, last_seq, 0, True, -1))
-                self._arm_timer(timerValues, self.retain_finished_ms)
+                if self.retain_finished_ms:
+                    self._arm_timer(timerValues, self.retain_finished_ms)
+                else:
+                    self._clear_timers()
             elif existed:  # a completion seen whole in one trigger never touched state
                 self._clear_timers()
                 self.cursor.clear()
@@ -168,15 +177,17 @@ class CompletionSegmenter(StatefulProcessor):
 def segment_stream(
     pieces: DataFrame,
     idle_timeout_ms: int | None = None,
-    retain_finished_ms: int | None = RETAIN_FINISHED_MS,
+    retain_finished_ms: int | None = None,
     max_open_chars: int = MAX_OPEN_CHARS,
 ) -> DataFrame:
     """``completion_id, seq, chunk, is_last`` stream → segment rows (append mode).
 
     ``idle_timeout_ms``: flush a completion whose last piece has not arrived after
     this long without new pieces; ``retain_finished_ms``: how long a finished
-    completion keeps its tombstone (None: not at all; a table read once, as a batch,
-    needs none). A stream restarted with another setting of these needs a new checkpoint.
+    completion keeps its tombstone, a row of a few bytes (None: for good). Either needs
+    processing-time timers, which keep a stream running: streams that stop when they
+    have read what is there (``availableNow``) leave both unset. A table read once, as a
+    batch, keeps no tombstones. A changed setting needs a new checkpoint.
 
     One shuffle by completion id; the per-key work is a pass over that completion's
     new text. The state store must be RocksDB: set here if the session names none.
@@ -186,13 +197,11 @@ def segment_stream(
     spark = pieces.sparkSession
     ship_package(spark)
     _ = spark.streams.active  # starts the state-store coordinator (also needed for batch input)
-    if not pieces.isStreaming:
-        retain_finished_ms = None
     if spark.conf.get(PROVIDER_CONF, "").rpartition(".")[2] != ROCKSDB_PROVIDER.rpartition(".")[2]:
         spark.conf.set(PROVIDER_CONF, ROCKSDB_PROVIDER)
     time_mode = "ProcessingTime" if idle_timeout_ms or retain_finished_ms else "None"
     return pieces.groupBy("completion_id").transformWithStateInPandas(
-        statefulProcessor=CompletionSegmenter(idle_timeout_ms, retain_finished_ms, max_open_chars),
+        statefulProcessor=CompletionSegmenter(idle_timeout_ms, retain_finished_ms, max_open_chars, keep_finished=pieces.isStreaming),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
         timeMode=time_mode,

@@ -110,3 +110,50 @@ def test_prepare_stream_with_messages_rows(spark):
     q.awaitTermination(300)
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "t")).collect())
     assert got == sorted(tuple(r) for r in render_messages(df, keep=["id"]).collect())
+
+
+def test_second_output_of_one_source_starts_from_the_beginning(spark):
+    src = tempfile.mkdtemp(prefix="quire-two-src-")
+    rows = [(i, [("human", f"q{i}"), ("gpt", f"a{i}")]) for i in range(5)]
+    spark.createDataFrame(rows, SHAREGPT_SCHEMA).write.mode("overwrite").parquet(src)
+    outs = [os.path.join(tempfile.mkdtemp(prefix="quire-two-out-"), "t") for _ in range(2)]
+    for out in [*outs, outs[0]]:  # the third run finds nothing new
+        start_prepare_stream(spark, src, out).awaitTermination(300)
+    assert [spark.read.parquet(o).count() for o in outs] == [5, 5]
+
+
+def test_replays_of_finished_completions_are_ignored_by_default(spark):
+    schema = "completion_id long, seq int, chunk string, is_last boolean"
+    src, ckpt = tempfile.mkdtemp(prefix="quire-replay-src-"), tempfile.mkdtemp(prefix="quire-replay-ckpt-")
+    whole = [(1, 0, "he", False), (1, 1, "llo", True)]
+    out = os.path.join(tempfile.mkdtemp(prefix="quire-replay-out-"), "t")
+    for rows in (whole, whole, whole[1:]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        q = segment_stream(spark.readStream.schema(schema).parquet(src)).writeStream.format("parquet").option(
+            "checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start(out)
+        assert q.awaitTermination(300) and q.exception() is None
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, 0, "raw", "hello", True)]
+
+
+def test_many_small_pieces_scan_only_new_text(monkeypatch):
+    from quire.streaming import segmenter as S
+
+    scanned = []
+
+    class Counting:
+        def finditer(self, text, at=0):
+            scanned.append(len(text) - at)
+            return S_RE.finditer(text, at)
+
+    S_RE = S._SEGMENT_RE
+    monkeypatch.setattr(S, "_SEGMENT_RE", Counting())
+    text = "<|channel|>analysis<|message|>" + "x" * 20_000 + "<|end|>" + "raw " * 3000
+    buf, known, open_at, rows = "", 0, -1, []
+    for i in range(0, len(text), 10):
+        buf += text[i:i + 10]
+        out, buf, open_at = S.advance(buf, False, known, open_at)
+        rows += out
+        known = len(buf)
+    rows += S.advance(buf, True, known, open_at)[0]
+    assert rows == [("analysis", "x" * 20_000, True), ("raw", "raw " * 3000, True)]
+    assert sum(scanned) < 20 * len(text)
