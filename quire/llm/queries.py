@@ -92,4 +92,48 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix, op2_quotes, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array, op9_warc, op10_embeddings)}
-ORACLES: dict[str, str] = {}
+#: Least id reachable by links ``link(a, b)``, for the rows ``node(id)``.
+_REACH = """
+reach(id, other) as (select id, id from node
+  union select r.id, l.b from reach r join both_ways l on l.a = r.other),
+component as (select id, min(other) as component_id from reach group by id)"""
+
+ORACLES: dict[str, str] = {
+    "op7_minhash": f"""
+with recursive d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '\\S+') as w
+  from documents where doc_id is not null),
+s as (select doc_id, unnest(list_distinct(case when len(w) >= 5
+    then list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as g from d),
+size as (select doc_id, count(*) as n from s group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+link as (select a, b from shared join size x on x.doc_id = a join size y on y.doc_id = b where k >= 0.8 * (x.n + y.n - k)
+  union select a.doc_id, b.doc_id from d a join d b on a.text = b.text and a.doc_id < b.doc_id),
+both_ways as (select a, b from link union all select b, a from link),
+node as (select doc_id as id from d),{_REACH}
+select d.doc_id, c.component_id as class_id, d.doc_id = c.component_id as kept from d join component c on c.id = d.doc_id""",
+    "op9_warc": """
+with r as (select page_id, row_number() over (order by page_id) - 1 as number, strlen(coalesce(html, '')) as body, coalesce(html, '') as html,
+    strlen('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+      || coalesce(cast(page_id as varchar), '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+      || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || cast(strlen(coalesce(html, '')) as varchar)) + 4
+      + strlen(coalesce(html, '')) + 4 as size
+  from pages),
+f as (select *, number // 1024 as file, coalesce(page_id, 0) % 101 as k from r),
+o as (select *, coalesce(sum(size) over (partition by file order by number rows between unbounded preceding and 1 preceding), 0) as file_offset from f)
+select page_id, cast(number as bigint) as number, cast(file as bigint) as file, cast(file_offset as bigint) as file_offset,
+  cast(size as bigint) as size, cast(case k when 7 then size when 11 then size // 2 end as bigint) as replica_size,
+  case k when 7 then 'altered' when 11 then 'resized' else 'missing' end as kind
+from o where (k = 7 and not ends_with(html, '#')) or k in (11, 13)""",
+    "op10_embeddings": f"""
+with recursive v as (select vec_id, label, cast(embedding as double[]) as e from embeddings where vec_id is not null),
+u as (select vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as n from v
+  where label is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+link as (select a.vec_id as a, b.vec_id as b from u a join u b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where a.n > 0 and b.n > 0 and list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93),
+both_ways as (select a, b from link),
+node as (select vec_id as id from v),{_REACH},
+n as (select a, count(*) as n_links from link group by a)
+select v.vec_id, coalesce(n.n_links, 0) as n_links, c.component_id, v.vec_id = c.component_id as kept
+from v join component c on c.id = v.vec_id left join n on n.a = v.vec_id""",
+}
