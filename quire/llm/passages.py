@@ -33,7 +33,7 @@ from quire.llm.suffix import repeated_starts
 
 LENGTH = 400
 HOT = 4096
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 CHUNK = 1 << 20
 _POS = np.uint64((1 << 22) - 1)
 _B = np.uint64(0x9E3779B97F4A7C15)

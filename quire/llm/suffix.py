@@ -41,7 +41,7 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, k: int) -> np.nda
     size = np.bincount(s, minlength=k)
     end = np.cumsum(size)
     start = end - size
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     by = lms[np.argsort(s[lms], kind="stable")]
     cut = np.searchsorted(s[by], np.arange(k + 1))
     head = start.copy()
@@ -154,7 +154,7 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, stop: int | None =
     are bytes compared, eight at a time.
     """
     n = len(s)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     i = np.arange(n)
     derived = np.zeros(n, bool)
