@@ -82,17 +82,16 @@ def linked(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn
 def threads(links: DataFrame) -> DataFrame:
     """``links`` with ``thread_conv, thread_turn`` (the root that a chain of answers ends at) and ``depth``."""
     links = saved(links, "answers")
+    top = F.col("parent_conv").isNull()
     at = saved(links.select("conv", "turn", F.coalesce("parent_conv", "conv").alias("ac"), F.coalesce("parent_turn", "turn").alias("at"),
-                            F.col("parent_conv").isNotNull().cast("long").alias("depth")), "jumps")
-    before = None
-    while True:
-        now = at.agg(F.sum("depth")).first()[0]
-        if now == before:
-            break
-        before = now
-        far = at.select(F.col("conv").alias("ac"), F.col("turn").alias("at"), F.col("ac").alias("bc"), F.col("at").alias("bt"), F.col("depth").alias("more"))
-        at = saved(at.join(far, ["ac", "at"]).select("conv", "turn", F.col("bc").alias("ac"), F.col("bt").alias("at"),
-                                                     (F.col("depth") + F.col("more")).alias("depth")), "jumps")
+                            F.when(top, 0).otherwise(1).cast("long").alias("depth"), top.alias("done")), "jumps")
+    # a message whose pointer stands at a root is done; only the others jump on
+    while not (active := at.where("not done")).isEmpty():
+        far = at.select(F.col("conv").alias("ac"), F.col("turn").alias("at"), F.col("ac").alias("bc"), F.col("at").alias("bt"),
+                        F.col("depth").alias("more"), F.col("done").alias("there"))
+        moved = active.join(far, ["ac", "at"]).select("conv", "turn", F.col("bc").alias("ac"), F.col("bt").alias("at"),
+                                                      (F.col("depth") + F.col("more")).alias("depth"), F.col("there").alias("done"))
+        at = saved(at.where("done").unionByName(moved), "jumps")
     return links.join(at.select("conv", "turn", F.col("ac").alias("thread_conv"), F.col("at").alias("thread_turn"), "depth"), ["conv", "turn"])
 
 
