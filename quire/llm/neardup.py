@@ -6,14 +6,19 @@ rank (the streams' arrival times), a place within the unit of weight, and one of
 coordinates. Darts beyond a shingle's weight miss. The signature keeps each coordinate's
 earliest dart, so a text of n shingles throws about k ln k + 2k darts in all instead of n k.
 
-Exact copies are one text from the start. Bands of signature rows give buckets; within a
-bucket each text is compared with a few texts that the bucket picks by hash, its leaders, never
-with all others, so a bucket of thousands of near copies makes rows in proportion. Compared
-pairs whose signatures agree enough (a byte of each coordinate's dart tells) are checked on
-their whole shingle sets (Jaccard at least ``SIMILARITY``). Linked texts become one class.
-Buckets that still hold several classes are compared again through fresh leaders, until a round
-adds less than ``TOLERANCE`` of the links there are (0: until it adds none). What this leaves
-out are links of texts that no leader of any of their shared buckets is near to.
+Exact copies are one text from the start. Bands of signature rows give buckets. Pairs whose
+signatures agree enough (a byte of each coordinate's dart tells) are checked on their whole
+shingle sets (Jaccard at least ``SIMILARITY``), and linked texts become one class:
+
+1. For up to ``ROUNDS`` rounds each text meets a few texts that its bucket picks by hash, the
+   leaders, so that a bucket of thousands of near copies becomes one class at few rows.
+2. In buckets that still hold several classes, every pair of texts of different classes is
+   compared. Members are dealt into blocks of ``BLOCK``, the bucket's first class apart from the
+   rest, as its texts need not meet each other; a task compares two blocks. A pair counts in its
+   first common bucket only. Blocks first tell which members have a partner by signature; only
+   those meet again with their shingle sets, and only links that join classes leave the task.
+
+So all pairs that share a bucket are compared, or in one class already.
 
 Null and blank texts hold no shingle and are alone, unless equal; texts of fewer than five
 words are one shingle. Rows that repeat an id are rows of that id's class. Words are runs
@@ -26,6 +31,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +44,8 @@ SIMILARITY = 0.8
 COORDS = 120
 BAND_ROWS = 5
 LEADERS = 4
-TOLERANCE = 0.002
+ROUNDS = 3  # of leaders; what they leave is compared in full
+BLOCK = 1024
 SLACK = 0.16  # below the threshold, over four standard errors of an estimate from COORDS coordinates
 CACHE = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -158,6 +165,126 @@ def _sketch(coords: int, rows: int):
     return sketch
 
 
+def _groups(batches, columns: list[str]):
+    """Rows sorted by ``key`` -> the columns of one key after the other, as lists."""
+    last, held = None, [[] for _ in columns]
+    for batch in batches:
+        keys = batch.column("key").to_numpy(zero_copy_only=False)
+        if not len(keys):
+            continue
+        values = [batch.column(c).to_pylist() for c in columns]
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for x, z in zip(cuts, cuts[1:]):
+            if held[0] and keys[x] != last:
+                yield last, held
+                held = [[] for _ in columns]
+            last = keys[x]
+            for h, v in zip(held, values):
+                h += v[x:z]
+    if held[0]:
+        yield last, held
+
+
+def _partners(no: int, side: list, cls: list, sig: list, bands: list, least: float):
+    """Of the texts of one pair of blocks, each with its partners: later in order, of another class, near by signature, first met in band ``no``.
+
+    Sides are 0 and 1 for two blocks, whose texts meet across only, and 2 for a block with itself.
+    """
+    n = len(cls)
+    side, cls = np.array(side), np.array(cls)
+    s = np.frombuffer(b"".join(sig), np.uint8).reshape(n, -1)
+    b = np.array(bands, np.int64).reshape(n, -1)
+    need = math.ceil(least * s.shape[1] - 1e-9)
+    for i in range(n):
+        if side[i] == 1:
+            continue
+        others = np.flatnonzero((cls != cls[i]) & (side == 1)) if side[i] == 0 else i + 1 + np.flatnonzero(cls[i + 1:] != cls[i])
+        others = others[(s[others] == s[i]).sum(1) >= need]
+        others = others[~(b[others, :no] == b[i, :no]).any(1)]
+        if len(others):
+            yield i, others
+
+
+def _near_members(least: float):
+    """Pairs of blocks -> their members that have a partner by signature."""
+    names = ["no", "side", "rep", "class", "sig", "bands"]
+
+    def near(batches):
+        for key, (no, side, rep, cls, sig, bands) in _groups(batches, names):
+            hit = np.zeros(len(rep), bool)
+            for i, others in _partners(no[0], side, cls, sig, bands, least):
+                hit[i] = True
+                hit[others] = True
+            at = np.flatnonzero(hit).tolist()
+            if at:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(at), pa.int64()), pa.array([no[k] for k in at], pa.int32()), pa.array([side[k] for k in at], pa.int32()),
+                     pa.array([rep[k] for k in at], pa.int64()), pa.array([cls[k] for k in at], pa.int64()),
+                     pa.array([sig[k] for k in at], pa.binary()), pa.array([bands[k] for k in at], pa.list_(pa.int64()))],
+                    names=["key", *names])
+    return near
+
+
+def _block_links(similarity: float, least: float):
+    """Near members of pairs of blocks, with their shingle sets -> links; of links between the same classes enough to join them."""
+    def links(batches):
+        for _, (no, side, rep, cls, sig, bands, sets) in _groups(batches, ["no", "side", "rep", "class", "sig", "bands", "s"]):
+            sets = [np.frombuffer(x, np.uint32) for x in sets]
+            size = np.array([len(x) for x in sets])
+            words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            start = np.cumsum(size) - size
+            root = {c: c for c in cls}
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            mark = np.zeros(len(words), bool)
+            out = []
+            for i, others in _partners(no[0], side, cls, sig, bands, least):
+                mine = flat[start[i]:start[i] + size[i]]
+                mark[mine] = True
+                for k in others.tolist():
+                    u, v = find(cls[i]), find(cls[k])
+                    if u == v:
+                        continue
+                    both = int(np.count_nonzero(mark[flat[start[k]:start[k] + size[k]]]))
+                    if both / max(1, size[i] + size[k] - both) >= similarity:
+                        root[u] = v
+                        out.append((rep[i], rep[k]))
+                mark[mine] = False
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
+    return links
+
+
+def _rest_links(m: DataFrame, sig: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Links between different classes in the mixed buckets ``m`` (band, rep, class): all pairs there are compared."""
+    # the bucket's first class is the one of most members
+    size = m.groupBy("band", "class").agg(F.count("*").alias("n"))
+    main = size.groupBy("band").agg(F.max(F.struct("n", "class")).alias("x"), F.sum("n").alias("all")).select(
+        "band", F.col("x.class").alias("main"), F.ceil(F.col("x.n") / block).cast("int").alias("mb"),
+        F.ceil((F.col("all") - F.col("x.n")) / block).cast("int").alias("rb"))
+    x = m.join(main, "band").withColumn("first", F.col("class") == F.col("main")).withColumn(
+        "at", F.pmod(F.xxhash64(F.lit(11), "rep"), F.when(F.col("first"), F.col("mb")).otherwise(F.col("rb"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    task = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    at = F.col("at")
+    across = F.transform(upto(F.col("rb")), lambda i: task(0, i, at, F.lit(1)))
+    rest = F.transform(upto(F.col("rb")), lambda j: task(
+        1, F.least(at, j), F.greatest(at, j), F.when(at == j, 2).when(at < j, 0).otherwise(1)))
+    to_main = F.transform(upto(F.col("mb")), lambda j: task(0, at, j, F.lit(0)))
+    x = x.select("band", "rep", "class", F.explode(F.when(F.col("first"), across).otherwise(F.concat(rest, to_main))).alias("t"))
+    x = x.select(F.xxhash64("band", "t.kind", "t.i", "t.j").alias("key"), "band", "t.side", "rep", "class")
+    x = x.join(sig, "rep").select("key", (F.array_position("bands", F.col("band")) - 1).cast("int").alias("no"), "side", "rep", "class", "sig", "bands")
+    kind = "key long, no int, side int, rep long, class long, sig binary, bands array<long>"
+    near = saved(x.repartition("key").sortWithinPartitions("key").mapInArrow(_near_members(similarity - SLACK), kind), "dup-near")
+    return near.join(sets, "rep").select("key", "no", "side", "rep", "class", "sig", "bands", "s").repartition("key").sortWithinPartitions("key").mapInArrow(
+        _block_links(similarity, similarity - SLACK), "a long, b long")
+
+
 @F.pandas_udf(T.DoubleType())
 def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([float((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean()) for x, y in zip(a, b)])
@@ -180,7 +307,7 @@ def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-            coords: int = COORDS, band_rows: int = BAND_ROWS, leaders: int = LEADERS, tolerance: float = TOLERANCE) -> DataFrame:
+            coords: int = COORDS, band_rows: int = BAND_ROWS, leaders: int = LEADERS, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """Rows ``id, rep, class``: every distinct id and text with the least id of its exact copies and of its near-duplicate class.
 
     Ids must be integers; rows without an id are left out. A row per input row; of rows that repeat an id with
@@ -201,14 +328,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
                  .select("rep", _shingle_set("text").alias("s")), "dup-sets")
     links: DataFrame | None = None
     of: DataFrame | None = None
-    turn = have = 0
-    while True:
-        if of is None:
-            m = member.withColumn("class", F.col("rep"))
-        else:
+    m = member.withColumn("class", F.col("rep"))
+    for turn in range(rounds + 1):
+        if of is not None:
             m = member.join(of, member["rep"] == of["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("class"))
             mixed = m.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("band")
-            m = m.join(mixed, "band", "left_semi")
+            m = saved(m.join(mixed, "band", "left_semi"), "dup-mixed")
+        if turn == rounds:
+            break
         # each of so many slots of a bucket picks the text of least hash in it
         h = F.xxhash64(F.lit(turn), "rep")
         slot = F.pmod(F.shiftright(h, 20), F.lit(leaders))
@@ -219,15 +346,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
         found = saved(near.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("xa")), "a").join(
             sets.select(F.col("rep").alias("b"), F.col("s").alias("xb")), "b").where(_jaccard("xa", "xb") >= similarity).select("a", "b"), "dup-links")
-        n = found.count()
-        if not n:
+        if found.isEmpty():
             break
-        have += n
         links = found if links is None else links.unionByName(found)
         of = saved(components(links, "dup-cc"), "dup-classes")
-        turn += 1
-        if n < tolerance * (have - n):
-            break
+    found = saved(_rest_links(m, sig, sets, similarity, block), "dup-links")
+    if not found.isEmpty():
+        of = saved(components(found if links is None else links.unionByName(found), "dup-cc"), "dup-classes")
     out = every.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep")
     if of is None:
         return out.withColumn("class", F.col("rep"))

@@ -50,6 +50,26 @@ def test_classes_equal_brute_force(spark):
     assert got == brute(rows)
 
 
+def crowd():
+    """Texts of one template, which share buckets but lie below the threshold, and ten pairs of near copies among them."""
+    base, rows = sentence(900, 150), []
+    for k in range(150):
+        own = [base + f" c{k} d{k} " + " ".join(f"p{i}w{j}" for j in range(17)) for i in (2 * k, 2 * k + 1)]
+        rows += [(2 * k, own[0]), (2 * k + 1, own[1])][:2 if k % 15 == 7 else 1]
+    return rows
+
+
+@pytest.mark.parametrize("how", [{}, {"rounds": 0}, {"rounds": 1, "block": 16}])
+def test_crowded_buckets_are_compared_in_full(spark, how):
+    rows = crowd()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["id"]: r["class"] for r in N.classes(docs, **how).collect()}
+    assert got == brute(rows) == {i: i - i % 2 for i, _ in rows}
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r["id"]: r["class"] for r in N.classes(docs, **how).collect()} == brute(rows)
+
+
 def test_agreement_estimates_weighted_jaccard():
     r = np.random.default_rng(1)
     e = r.integers(0, 2**62, 400).astype(np.uint64)
