@@ -1,7 +1,7 @@
-"""Near-duplicate documents: weighted MinHash signatures by dart throwing, banded into links.
+"""Near-duplicate documents: MinHash signatures by dart throwing, banded into links.
 
-A document is the set of its five-word shingles, weighted 1 + log2 of how often each occurs.
-Every unit of a shingle's weight is a region with its own hashed stream of darts: a dart has a
+A document is the set of its five-word shingles, each of weight 1 however often it occurs, so
+that signatures estimate the Jaccard index that is checked. Every unit of an element's weight is a region with its own hashed stream of darts: a dart has a
 rank (the streams' arrival times), a place within the unit of weight, and one of ``COORDS``
 coordinates. Darts beyond a shingle's weight miss. The signature keeps each coordinate's
 earliest dart, so a text of n shingles throws about k ln k + 2k darts in all instead of n k.
@@ -153,9 +153,9 @@ def _sketch(coords: int, rows: int):
                 part = batch.iloc[at:at + 256]
                 es, ws, ds = [], [], []
                 for k, t in enumerate(part["text"]):
-                    e, n = np.unique(shingles(t, words), return_counts=True)
+                    e = np.unique(shingles(t, words))
                     es.append(e)
-                    ws.append(1.0 + np.log2(n))
+                    ws.append(np.ones(len(e)))
                     ds.append(np.full(len(e), k))
                 sig = signatures(np.concatenate(es), np.concatenate(ws), np.concatenate(ds).astype(np.int64), len(part), coords)
                 bands = bands_of(sig, rows)

@@ -70,6 +70,15 @@ def test_crowded_buckets_are_compared_in_full(spark, how):
     assert {r["id"]: r["class"] for r in N.classes(docs, **how).collect()} == brute(rows)
 
 
+def test_repeats_within_a_text_do_not_part_equal_sets(spark):
+    rows = []
+    for i in range(12):
+        a, menu = sentence(i, 120), sentence(50 + i, 40)
+        rows += [(10 * i, a), (10 * i + 1, f"{a} {a}"), (10 * i + 2, f"{menu} {menu}"), (10 * i + 3, " ".join([menu] * 16))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["id"]: r["class"] for r in N.classes(docs).collect()} == brute(rows) == {i: i - i % 2 for i, _ in rows}
+
+
 def test_agreement_estimates_weighted_jaccard():
     r = np.random.default_rng(1)
     e = r.integers(0, 2**62, 400).astype(np.uint64)
