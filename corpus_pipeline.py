@@ -14,8 +14,9 @@ from quire.llm import mixing, neardup, passages, pieces, toxicity
 from quire.llm.common import saved
 from quire.llm.queries import TOKENIZERS
 
-#: About 45 words: any passage of over 50 words that repeats holds such a string.
+#: Repeated strings of so many bytes are cut, and those of more words than this that are shorter.
 PASSAGE_BYTES = 240
+PASSAGE_WORDS = 50
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat in what is left are cut; documents of which nothing is left go."""
-    return passages.cut_documents(docs, length=PASSAGE_BYTES)
+    return passages.cut_documents(docs, length=PASSAGE_BYTES, words=PASSAGE_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,10 @@ anchor's hash (the shard key), the hash of the run's bytes, and its place.
    by one by a 128-bit hash, pre-aggregated, which is the same test without a bound on the key.
 4. The repeated starts of a document become byte ranges, and its text is cut.
 
+With ``words``, strings of more than so many words that are shorter than ``length`` count too:
+each window of ``words + 1`` whole words (runs between white space) of under ``length`` bytes is
+counted by a 128-bit hash. Longer windows hold a string of ``length`` bytes already.
+
 Texts are UTF-8 bytes; null counts as empty; texts shorter than ``length`` keep all. Rows
 that repeat each other exactly are documents that repeat each other. Null ids are allowed.
 """
@@ -37,6 +41,7 @@ SHARD_BYTES = 1 << 20
 CHUNK = 1 << 20
 _POS = np.uint64((1 << 22) - 1)
 _B = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
 
 
 def gram_size(length: int) -> int:
@@ -213,8 +218,44 @@ def _windows(length: int):
     return each
 
 
-def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """Rows ``doc, th, ranges``: for each text (id and hash) with repeats, its runs of repeated starts ``(first, last)``."""
+def word_windows(text: str, words: int, length: int) -> list[tuple[int, int]]:
+    """Byte spans, from word start to word end, of the windows of ``words`` words that are shorter than ``length`` bytes."""
+    cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    if len(cp) < 2 * words - 1:
+        return []
+    at = np.zeros(len(cp) + 1, np.int64)
+    np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF), out=at[1:])
+    edge = np.diff(np.concatenate(([False], ~_SPACE[np.minimum(cp, 0x3001)], [False])).astype(np.int8))
+    lo, hi = at[np.flatnonzero(edge == 1)], at[np.flatnonzero(edge == -1)]
+    lo, hi = lo[:max(0, len(lo) - words + 1)], hi[words - 1:]
+    short = hi - lo < length
+    return list(zip(lo[short].tolist(), hi[short].tolist()))
+
+
+def _short_windows(words: int, length: int):
+    """Documents -> their short windows of words, by a 128-bit hash; ``hi`` is ``length`` before the window's end, as a start's would be."""
+    def each(batches):
+        for batch in batches:
+            for doc, th, text in zip(batch.column("doc"), batch.column("th"), batch.column("text")):
+                text = text.as_py() or ""
+                spans = word_windows(text, words, length)
+                if not spans:
+                    continue
+                raw = memoryview(text.encode())
+                h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a:z]) for a, z in spans), np.int64).reshape(-1, 2)
+                n = len(spans)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array([doc.as_py()] * n, doc.type), pa.array([th.as_py()] * n, pa.int64()),
+                     pa.array([a for a, _ in spans], pa.int64()), pa.array([z - length for _, z in spans], pa.int64())],
+                    names=["h1", "h2", "doc", "th", "lo", "hi"])
+    return each
+
+
+def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None) -> DataFrame:
+    """Rows ``doc, th, ranges``: for each text (id and hash) with repeats, its runs of repeated starts ``(first, last)``.
+
+    With ``words``, repeated strings of more words than that count even if they are shorter than ``length``.
+    """
     gram = gram_size(length)
     d = ready(pick(docs, doc=doc_id, text=text)).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -238,6 +279,10 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     single = segs.where("m = 1").select("key", "seg", "rep.doc", "rep.th", "rep.lo").join(found, ["key", "seg"]).select(
         "doc", "th", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
         "doc", "th", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
+    if words is not None:
+        short = saved(d.mapInArrow(_short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-words")
+        again = short.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
+        copies = copies.unionByName(short.join(again, ["h1", "h2"], "left_semi").select("doc", "th", "lo", "hi"))
     return copies.unionByName(single).groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
@@ -271,9 +316,9 @@ def cut(raw: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[bytes,
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT,
-                    prefix: str = "psg_") -> DataFrame:
+                    prefix: str = "psg_", words: int | None = None) -> DataFrame:
     """``docs`` with ``<prefix>n_bytes``, ``<prefix>spans`` (byte spans removed), ``<prefix>kept`` (the bytes left)."""
-    ranges = repeated_ranges(docs, doc_id, text, length, hot)
+    ranges = repeated_ranges(docs, doc_id, text, length, hot, words)
     r = ranges.select(F.col("doc").alias(prefix + "d"), F.col("th").alias(prefix + "t"), F.col("ranges").alias(prefix + "r"))
     j = docs.join(r, col(doc_id).eqNullSafe(F.col(prefix + "d")) & (F.xxhash64(col(text)) == F.col(prefix + "t")), "left")
 
@@ -290,13 +335,14 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return j.select(*(docs[c] for c in docs.columns), *(F.col(f"{prefix}x.{c}").alias(prefix + c) for c in ("n_bytes", "spans", "kept")))
 
 
-def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, n_chars: str = "n_chars") -> DataFrame:
+def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, n_chars: str = "n_chars",
+                  words: int | None = None) -> DataFrame:
     """``docs`` with their repeated passages cut from the text (and ``n_chars`` counted anew, if there).
 
     A code point of which the cut leaves only some bytes goes too. Documents that lose all but
     white space go; all others stay, those without a repeat unchanged.
     """
-    j = without_repeats(docs, doc_id, text, length, prefix="psg_")
+    j = without_repeats(docs, doc_id, text, length, prefix="psg_", words=words)
 
     @F.pandas_udf("string")
     def decoded(column):

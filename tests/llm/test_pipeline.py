@@ -54,6 +54,16 @@ def test_stages_take_effect(spark, folder):
     assert coded.where("not round_trip").isEmpty() and coded.count() == mixed.count()
 
 
+def test_passages_of_short_words_are_cut(spark):
+    over, under = " ".join(f"{k} é" for k in range(26))[:-2], " ".join(f"x{k}" for k in range(50))
+    assert len(over.split()) == 51 and len(over.encode()) < C.PASSAGE_BYTES > len(under)
+    rows = [(i, f"{sentence(i, 30)}\n{p}\u3000{sentence(i + 10, 30)}") for i, p in enumerate([over, over, under, under])]
+    docs = spark.createDataFrame([*rows, (None, None), (9, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in C.cut_repeats(spark, docs, "").collect()}
+    want = {i: t.replace(over, "") for i, t in rows} | {None: None, 9: ""}
+    assert got == want and got[2] == rows[2][1]
+
+
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_registered_queries_run_on_whole_tables(spark, name):
     rows = Q.QUERIES[name](spark, SMALL).collect()
