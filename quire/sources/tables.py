@@ -55,16 +55,24 @@ JSON_KINDS = (("messages",), ("conversations",), ("conv_id", "turn", "role", "te
 def open_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """A table of any kind the engine reads: Parquet, or JSON lines (by name, or as the files of a folder).
 
-    JSON is read with the fixed columns above; the kind of row is told from its first row, and columns of
-    other kinds go. An ``id`` or ``split`` stays if the first row has one.
+    JSON is read with the fixed columns above. One aggregate over all rows tells their kind, and columns of
+    other kinds go; rows of more than one kind are an error. An ``id`` or ``split`` stays if any row has one.
     """
     if fmt in (None, "parquet") and not _is_json(spark, path):
         return spark.read.parquet(path)
     rows = spark.read.schema(JSON_SCHEMA).json(path)
-    head = rows.first()
-    kind = next((k for k in JSON_KINDS if head is not None and any(head[c] is not None for c in k)), JSON_KINDS[0])
-    extra = [c for c in ("id", "split") if head is not None and head[c] is not None]
-    return rows.select(*extra, *kind)
+    kind_of = F.coalesce(*(F.when(_any_value(k), F.lit(i)) for i, k in enumerate(JSON_KINDS)))
+    seen = rows.select(kind_of.alias("kind"), "id", "split").agg(
+        F.sort_array(F.collect_set("kind")).alias("kinds"), *(F.bool_or(F.col(c).isNotNull()).alias(c) for c in ("id", "split"))).first()
+    if len(seen["kinds"]) > 1:
+        raise ValueError(f"{path} has rows of more than one kind: " + "; ".join(", ".join(JSON_KINDS[i]) for i in seen["kinds"]))
+    kind = JSON_KINDS[seen["kinds"][0]] if seen["kinds"] else JSON_KINDS[0]
+    return rows.select(*(c for c in ("id", "split") if seen[c]), *kind)
+
+
+def _any_value(columns: tuple[str, ...]):
+    """Whether a row has a value in any of the columns."""
+    return F.coalesce(*(F.when(F.col(c).isNotNull(), True) for c in columns), F.lit(False))
 
 
 def _is_json(spark: SparkSession, path: str) -> bool:
