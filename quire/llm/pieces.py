@@ -1,11 +1,11 @@
-"""SentencePiece encoding and decoding by weighted finite-state transducers.
+"""SentencePiece encoding and decoding by a weighted finite-state transducer of the pieces.
 
-A model file is compiled to transducers that are composed with a text on the fly:
+The text is normalised first, by a function: the escape symbol, the dummy prefix, removal of
+extra spaces. A model file is compiled to what is composed with the normalised text on the fly:
 
-* the normaliser: white space to the escape symbol, the dummy prefix, removal of extra spaces;
 * the pieces: a trie over symbols whose word ends emit a piece, weight minus its score for
-  unigram models. A symbol in no piece of its own emits its UTF-8 bytes (byte fallback) or the
-  unknown piece, at a penalty below every piece;
+  unigram models. A symbol in no piece of its own passes at a penalty below every piece; a
+  lookup after the path gives its UTF-8 bytes (byte fallback) or the unknown piece;
 * for BPE models, whose greedy merges no sum of scores ranks, the adjacency acceptor: a state
   per last piece, weight 0 to a next piece if merging the two pieces' symbols leaves exactly
   these two, else infinity. A segmentation is the BPE one if and only if all its neighbours
