@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from quire.session import checkpoint_dir, ship_package
 
+#: What Python workers take at a time: bytes of text, and rows.
+SLICE_BYTES = 4 << 20
+SLICE_ROWS = 500
+
 
 def col(name: str) -> Column:
     """A column by its literal name (dots and spaces included)."""
@@ -32,6 +36,39 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_bytes(batch, column: str, limit: int = SLICE_BYTES):
+    """Slices of an Arrow batch with at most ``limit`` bytes of a text column each, or one row."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = total = 0
+    for k, n in enumerate(size.tolist()):
+        if k > at and (total + n > limit or k - at >= SLICE_ROWS):
+            yield batch.slice(at, k - at)
+            at, total = k, 0
+        total += n
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
+def free_names(df: DataFrame, *names: str) -> None:
+    """Fails where columns an operator adds are there already (names compare as Spark resolves them)."""
+    same = df.sparkSession.conf.get("spark.sql.caseSensitive") != "true"
+    have = {c.lower() if same else c for c in df.columns}
+    if taken := [n for n in names if (n.lower() if same else n) in have]:
+        raise ValueError(f"the output columns {taken} are taken; choose another prefix")
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with the package shipped, for columns of any name (dots, spaces)."""
+    names = df.columns
+
+    def named(batches):
+        return run(b.rename_columns(names) for b in batches)
+
+    return ready(df).toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(named, schema)
+
+
 def ready(df: DataFrame) -> DataFrame:
     """Ship the package to the Python workers; returns ``df``."""
     ship_package(df.sparkSession)

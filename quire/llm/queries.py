@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import embeddings, fingerprints, mixing, neardup, passages, pieces, quotes, token_counts, toxicity, warc
+from quire.llm import embeddings, fim, fingerprints, mixing, neardup, passages, pieces, quotes, rules, token_counts, toxicity, warc
 
 from quire.llm.common import saved
 
@@ -91,14 +91,81 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.range_join(_read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_quotes, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array, op9_warc, op10_embeddings)}
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out, form = F.col("f_output"), F.col("f_form")
+    return fim.transformed(docs, prefix="f_").select(
+        "doc_id", F.col("f_n").alias("n"), form.alias("form"), F.col("f_prefix_chars").alias("prefix_chars"), F.col("f_middle_chars").alias("middle_chars"),
+        F.sha2(out, 256).alias("output_sha256"), F.sha2(fim.restored(out, form), 256).alias("restored_sha256"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    q = rules.judged(docs, prefix="q_")
+    return q.select("doc_id", *(F.col("q_" + c).alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")),
+                    *(F.round("q_" + c, 6).alias(c) for c in ("char_distance", "word_distance")))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix, op2_quotes, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array, op9_warc, op10_embeddings,
+                                   op12_fill_in_middle, op13_quality_rules)}
 #: Least id reachable by links ``link(a, b)``, for the rows ``node(id)``.
 _REACH = """
 reach(id, other) as (select id, id from node
   union select r.id, l.b from reach r join both_ways l on l.a = r.other),
 component as (select id, min(other) as component_id from reach group by id)"""
 
+_WORDS = "[^\\x20\\x09-\\x0D]+"
+_CLASS_COUNTS = ", ".join(f"length(regexp_replace(text, '[^{c}]', '', 'g'))" for c in ("a-z", "A-Z", "0-9", "\\x20\\x09-\\x0D", "#*$%&|<>"))
+_JS = "sqrt(greatest(0, sum(case when p > 0 then p * log2(p / ((p + r) / 2)) else 0 end + case when r > 0 then r * log2(r / ((p + r) / 2)) else 0 end) / 2))"
+
 ORACLES: dict[str, str] = {
+    "op12_fill_in_middle": """
+with d as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+r as (select doc_id, text, length(text) as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+    ('0x' || substr(h, 17, 8))::bigint % 100 as h3, ('0x' || substr(h, 25, 8))::bigint % 100 as h4 from d),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 >= 90 then 'plain'
+      when h4 < 20 then 'spm' else 'psm' end as form from r),
+p as (select *, substr(text, 1, a) as head, substr(text, a + 1, b - a) as mid, substr(text, b + 1) as tail from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || head || '<S>' || tail || '<M>' || mid
+    else '<S>' || tail || '<P>' || head || '<M>' || mid end) as output_sha256,
+  sha256(text) as restored_sha256
+from p""",
+    "op13_quality_rules": f"""
+with d as (select row_number() over () as k, doc_id, lang, coalesce(text, '') as text from documents),
+w as (select k, doc_id, lang, text, regexp_extract_all(text, '{_WORDS}') as w from d),
+x as (select k, unnest(w) as word, generate_subscripts(w, 1) as i from w),
+v as (select k, i, word || ' ' || lead(word) over t || ' ' || lead(word, 2) over t as g from x window t as (partition by k order by i)),
+again as (select k, i from (select *, count(*) over (partition by k, g) as c from v where g is not null) where c > 1),
+covered as (select k, count(distinct i + j) as c from again, (select unnest([0, 1, 2]) as j) group by k),
+line as (select k, count(*) - count(distinct l) as c from (select k, unnest(string_split(text, chr(10))) as l from d) where regexp_matches(l, '{_WORDS}') group by k),
+b as (select w.k, doc_id, lang, len(w) as n_words, list_sum(list_transform(w, lambda y: length(y))) as word_chars,
+    [{_CLASS_COUNTS}] as c, length(text) as n_chars, length(regexp_replace(text, '[\\x00-\\x7F]', '', 'g')) as far_chars,
+    coalesce(line.c, 0) as n_dup_lines, coalesce(covered.c, 0) as n_repeat_words
+  from w left join line on line.k = w.k left join covered on covered.k = w.k),
+m as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    c || [n_chars - list_sum(c) - far_chars, far_chars] as classes from b),
+f as (select lang, word, count(*) as n from (select distinct m.lang, x.k, word from x join m on m.k = x.k where n_words >= 50 and m.lang is not null) group by all),
+enough as (select lang from m where n_words >= 50 and lang is not null group by lang having count(*) >= 10),
+common as (select lang, word, j from (select lang, word, row_number() over (partition by lang order by n desc, word) as j from f semi join enough using (lang)) where j <= 20),
+hits as (select x.k, common.lang, j, count(*) as n from x join common on x.word = common.word group by all),
+slot as (select lang, j from common union all select lang, 21 from enough),
+held as (select m.k, m.lang as own, s.lang, s.j, base_failed, n_words,
+    case when s.j = 21 then n_words - sum(coalesce(h.n, 0)) over (partition by m.k, s.lang) else coalesce(h.n, 0) end as n
+  from m cross join slot s left join hits h on h.k = m.k and h.lang = s.lang and h.j = s.j),
+wmed as (select lang, j, quantile_disc(n * 10000 // n_words, 0.5) as r from held where own = lang and not base_failed group by lang, j having count(*) >= 10),
+wref as (select lang, j, r / sum(r) over (partition by lang) as r from wmed),
+cls as (select k, lang, base_failed, unnest(classes) as n, generate_subscripts(classes, 1) as j, list_sum(classes) as total from m),
+cmed as (select lang, j, quantile_disc(n * 1000 // total, 0.5) as r from cls where not base_failed and lang in (select lang from enough) group by lang, j having count(*) >= 10),
+cref as (select lang, j, r / sum(r) over (partition by lang) as r from cmed),
+wd as (select k, min(y) as y from (select k, lang, case when any_value(n_words) = 0 then 1 else {_JS} end as y
+  from (select k, held.lang, n_words, n / greatest(n_words, 1) as p, r from held join wref on wref.lang = held.lang and wref.j = held.j) group by k, lang) group by k),
+cd as (select k, min(y) as y from (select k, lang, case when any_value(total) = 0 then 1 else {_JS} end as y
+  from (select k, cref.lang, total, n / greatest(total, 1) as p, r from cls join cref on cref.j = cls.j) group by k, lang) group by k)
+select doc_id, n_words, coalesce(word_chars, 0)::bigint as word_chars, c[5] as n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and coalesce(cd.y <= 0.18 and (n_words < 150 or wd.y <= 0.3), true) as kept, round(cd.y, 6) as char_distance, round(wd.y, 6) as word_distance
+from m left join wd on wd.k = m.k left join cd on cd.k = m.k""",
     "op7_minhash": f"""
 with recursive d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '\\S+') as w
   from documents where doc_id is not null),
