@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import embeddings, fim, fingerprints, mixing, neardup, passages, pieces, quotes, rules, token_counts, toxicity, warc
+from quire.llm import embeddings, fim, fingerprints, mixing, neardup, passages, pieces, quotes, rules, search, token_counts, toxicity, warc
 
 from quire.llm.common import saved
 
@@ -91,6 +91,11 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.range_join(_read(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.ranked(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     out, form = F.col("f_output"), F.col("f_form")
@@ -107,7 +112,7 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix, op2_quotes, op3_fingerprints, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_minhash, op8_suffix_array, op9_warc, op10_embeddings,
-                                   op12_fill_in_middle, op13_quality_rules)}
+                                   op11_ranked_search, op12_fill_in_middle, op13_quality_rules)}
 #: Least id reachable by links ``link(a, b)``, for the rows ``node(id)``.
 _REACH = """
 reach(id, other) as (select id, id from node
@@ -118,7 +123,22 @@ _WORDS = "[^\\x20\\x09-\\x0D]+"
 _CLASS_COUNTS = ", ".join(f"length(regexp_replace(text, '[^{c}]', '', 'g'))" for c in ("a-z", "A-Z", "0-9", "\\x20\\x09-\\x0D", "#*$%&|<>"))
 _JS = "sqrt(greatest(0, sum(case when p > 0 then p * log2(p / ((p + r) / 2)) else 0 end + case when r > 0 then r * log2(r / ((p + r) / 2)) else 0 end) / 2))"
 
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 ORACLES: dict[str, str] = {
+    "op11_ranked_search": f"""
+with d as (select row_number() over () as k, doc_id, text from documents),
+f as (select k, term, count(*) as tf from (select k, unnest({_TERMS}) as term from d) group by all),
+n as (select k, sum(tf)::bigint as n from f group by k),
+s as (select count(*) as docs, sum(n)::bigint as len from n),
+q as (select distinct item_id, term from (select item_id, unnest({_TERMS}) as term from benchmark where item_id is not null)),
+w as (select term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint as w from f, s group by term),
+m as (select k, n, 50 + (50 * n * docs) // len as m from n, s),
+score as (select item_id, f.k, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from q join f on f.term = q.term join w on w.term = f.term join m on m.k = f.k group by item_id, f.k),
+best as (select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last, d.k) as rank, doc_id, score
+  from score join d on d.k = score.k where score > 0)
+select item_id, rank::int as rank, doc_id, score from best where rank <= 50""",
     "op12_fill_in_middle": """
 with d as (select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
 r as (select doc_id, text, length(text) as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
