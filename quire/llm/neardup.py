@@ -10,8 +10,11 @@ Exact copies are one text from the start. Bands of signature rows give buckets.
 signatures agree enough (a byte of each coordinate's dart tells) are checked on their whole
 shingle sets (Jaccard at least ``SIMILARITY``), and linked texts become one class:
 
-1. For up to ``ROUNDS`` rounds each text meets a few texts that its bucket picks by hash, the
-   leaders, so that a bucket of thousands of near copies becomes one class at few rows.
+1. For up to ``ROUNDS`` rounds each text meets texts that its bucket picks, the leaders: one in
+   the first round, of least hash over all its buckets, so that buckets of the same texts pick
+   the same; later ``LEADERS``, from the largest classes there, which only texts of classes no
+   larger meet. So a bucket of thousands of near copies becomes one class at few rows, and what
+   has joined it meets nobody any more.
 2. In buckets that still hold several classes, every pair of texts of different classes is
    compared. Members are dealt into blocks of ``BLOCK``, the bucket's first class apart from the
    rest, as its texts need not meet each other; a task compares two blocks. A pair counts in its
@@ -21,13 +24,17 @@ shingle sets (Jaccard at least ``SIMILARITY``), and linked texts become one clas
 So all pairs that share a bucket are compared, or in one class already.
 
 Null and blank texts hold no shingle and are alone, unless equal; texts of fewer than five
-words are one shingle. Rows that repeat an id are rows of that id's class. Words are runs
-between white space, case kept.
+words are one shingle. Rows that repeat an id are one document: all texts of an id are in its
+class. Words are runs between white space, case kept.
+
+Workers take texts in slices of bounded bytes, long texts piece by piece and their darts
+``STREAMS`` shingles at a time.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -37,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import components, pick, ready, saved
+from quire.llm.common import by_bytes, components, map_arrow, pick, saved
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -45,10 +52,14 @@ COORDS = 120
 BAND_ROWS = 5
 LEADERS = 4
 ROUNDS = 3  # of leaders; what they leave is compared in full
+STREAMS = 1 << 17
+SLICE = 1 << 20
+PIECE = 1 << 20
 BLOCK = 1024
 SLACK = 0.16  # below the threshold, over four standard errors of an estimate from COORDS coordinates
 CACHE = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile(r"\s")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,68 +81,69 @@ class _Words(dict):
 
 def shingles(text: str | None, words: dict) -> np.ndarray:
     """Hashes of the five-word shingles of a text, in order, repeats kept."""
-    ws = (text or "").split()
-    if not ws:
-        return np.empty(0, np.uint64)
-    h = np.fromiter((words[w] for w in ws), np.uint64, len(ws))
-    n = max(1, len(ws) - SHINGLE + 1)
+    text, hs, at = text or "", [], 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + PIECE) if len(text) - at > PIECE else None
+        z = cut.start() if cut else len(text)
+        hs.append(np.array([words[w] for w in text[at:z].split()], np.uint64))
+        at = z
+    h = np.concatenate(hs) if hs else np.empty(0, np.uint64)
+    if not len(h):
+        return h
+    n = max(1, len(h) - SHINGLE + 1)
     out = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(min(SHINGLE, len(ws))):
+        for i in range(min(SHINGLE, len(h))):
             out = _mix(out * _M + h[i:i + n] + np.uint64(i + 1))
     return out
 
 
+def _darts(element: np.ndarray, cell: np.ndarray, room: np.ndarray, owner: np.ndarray, limit: np.ndarray, coords: int):
+    """The darts of these units of weight up to their documents' limits: coordinate (of the owner), rank and id."""
+    with np.errstate(over="ignore"):
+        state = _mix(element + np.uint64(0xA0761D6478BD642F) * (cell.astype(np.uint64) + np.uint64(1)))
+        time = np.zeros(len(state))
+        found = []
+        while len(state):
+            state = _mix(state + _M)
+            time = time - np.log(((state >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+            live = time <= limit[owner]
+            state, time, owner, room = state[live], time[live], owner[live], room[live]
+            spot = _mix(state ^ np.uint64(0xD1B54A32D192ED03))
+            hit = ((spot >> np.uint64(11)).astype(np.float64) * 2.0**-53) < room
+            c = (_mix(spot) % np.uint64(coords)).astype(np.int64)
+            found.append(((owner * coords + c)[hit], time[hit], (state[hit] >> np.uint64(32)).astype(np.uint32)))
+    return found
+
+
 def signatures(element: np.ndarray, weight: np.ndarray, doc: np.ndarray, docs: int, coords: int = COORDS) -> np.ndarray:
     """Weighted MinHash of ``docs`` sets given flat: a 32-bit dart id per coordinate, row by row."""
     sig = np.zeros((docs, coords), np.uint32)
     if not len(element):
         return sig
-    units = np.ceil(weight).astype(np.int64)
-    of = np.repeat(np.arange(len(element)), units)
-    cell = np.arange(len(of)) - np.repeat(np.cumsum(units) - units, units)
-    room = np.minimum(1.0, weight[of] - cell)
     total = np.bincount(doc, weights=weight, minlength=docs)
-    with np.errstate(over="ignore", divide="ignore"):
-        seed = _mix(element[of] + np.uint64(0xA0761D6478BD642F) * (cell.astype(np.uint64) + np.uint64(1)))
-        owner = doc[of]
-        best = np.full(docs * coords, np.inf)
-        limit = (math.log(coords) + 2.0) * coords / np.maximum(total, 1e-9)
-        state, time = seed.copy(), np.zeros(len(of))
-        live = np.arange(len(of))
-        found_at, found_rank, found_id = [], [], []
-        todo = np.ones(docs, bool)
-        todo[total <= 0] = False
-        while True:
-            # darts of the live streams up to their document's limit
-            while len(live):
-                state[live] = _mix(state[live] + _M)
-                gap = -np.log(((state[live] >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
-                time[live] += gap
-                spot = _mix(state[live] ^ np.uint64(0xD1B54A32D192ED03))
-                hit = ((spot >> np.uint64(11)).astype(np.float64) * 2.0**-53) < room[live]
-                c = (_mix(spot) % np.uint64(coords)).astype(np.int64)
-                at = owner[live] * coords + c
-                found_at.append(at[hit])
-                found_rank.append(time[live][hit])
-                found_id.append((state[live][hit] >> np.uint64(32)).astype(np.uint32))
-                live = live[time[live] <= limit[owner[live]]]
-            at, rank, ident = map(np.concatenate, (found_at, found_rank, found_id))
-            order = np.lexsort((ident, rank, at))
-            at, rank, ident = at[order], rank[order], ident[order]
-            first = np.concatenate(([True], at[1:] != at[:-1]))
-            at, rank, ident = at[first], rank[first], ident[first]
-            best[:] = np.inf
-            best[at] = rank
-            sig.reshape(-1)[at] = ident
-            # a coordinate is settled when its earliest dart lies within the limit that all streams have passed
-            worst = best.reshape(docs, coords).max(1)
-            todo &= worst > limit
-            if not todo.any():
-                return sig
-            limit = np.where(todo, limit * 1.5, limit)
-            found_at, found_rank, found_id = [at], [rank], [ident]
-            live = np.flatnonzero(todo[owner] & (time <= limit[owner]))
+    limit = (math.log(coords) + 2.0) * coords / np.maximum(total, 1e-9)
+    todo = total > 0
+    while todo.any():
+        # darts of all units of weight of the documents that are not settled yet, up to their limits
+        mine = np.flatnonzero(todo[doc] & (weight > 0))
+        ends = np.cumsum(np.ceil(weight[mine]).astype(np.int64))
+        found = []
+        for a in range(0, int(ends[-1]), STREAMS):
+            unit = np.arange(a, min(a + STREAMS, int(ends[-1])))
+            of = np.searchsorted(ends, unit, "right")
+            cell = unit - np.where(of > 0, ends[of - 1], 0)
+            of = mine[of]
+            found += _darts(element[of], cell, np.minimum(1.0, weight[of] - cell), doc[of], limit, coords)
+        at, rank, ident = map(np.concatenate, zip(*found))
+        order = np.lexsort((ident, rank, at))
+        at, rank, ident = at[order], rank[order], ident[order]
+        first = np.concatenate(([True], at[1:] != at[:-1])) if len(at) else np.empty(0, bool)
+        sig.reshape(-1)[at[first]] = ident[first]
+        # a document is settled when each coordinate has a dart within the limit, which all streams have passed
+        todo &= np.bincount(at[first] // coords, minlength=docs) < coords
+        limit = np.where(todo, limit * 1.5, limit)
+    return sig
 
 
 def bands_of(sig: np.ndarray, rows: int) -> np.ndarray:
@@ -149,19 +161,17 @@ def _sketch(coords: int, rows: int):
     def sketch(batches):
         words = _Words()
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
-                es, ws, ds = [], [], []
-                for k, t in enumerate(part["text"]):
-                    e = np.unique(shingles(t, words))
-                    es.append(e)
-                    ws.append(np.ones(len(e)))
-                    ds.append(np.full(len(e), k))
-                sig = signatures(np.concatenate(es), np.concatenate(ws), np.concatenate(ds).astype(np.int64), len(part), coords)
+            for part in by_bytes(batch, "text", SLICE):
+                es = [np.unique(shingles(t, words)) for t in part.column("text").to_pylist()]
+                size = np.array([len(e) for e in es])
+                flat = np.concatenate(es)
+                sig = signatures(flat, np.ones(len(flat)), np.repeat(np.arange(len(es)), size), len(es), coords)
                 bands = bands_of(sig, rows)
-                yield pd.DataFrame({"id": part["id"], "h1": part["h1"], "h2": part["h2"],
-                                    "sig": [s.astype(np.uint8).tobytes() if len(e) else b"" for s, e in zip(sig, es)],
-                                    "bands": [b if len(e) else b[:0] for b, e in zip(bands, es)]})
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("id", "h1", "h2")),
+                     pa.array([s.astype(np.uint8).tobytes() if n else b"" for s, n in zip(sig, size)], pa.binary()),
+                     pa.array([b if n else b[:0] for b, n in zip(bands, size)], pa.list_(pa.int64()))],
+                    names=["id", "h1", "h2", "sig", "bands"])
     return sketch
 
 
@@ -229,7 +239,7 @@ def _block_links(similarity: float, least: float):
     """Near members of pairs of blocks, with their shingle sets -> links; of links between the same classes enough to join them."""
     def links(batches):
         for _, (no, side, rep, cls, sig, bands, sets) in _groups(batches, ["no", "side", "rep", "class", "sig", "bands", "s"]):
-            sets = [np.frombuffer(x, np.uint32) for x in sets]
+            sets = [np.frombuffer(x, np.uint64) for x in sets]
             size = np.array([len(x) for x in sets])
             words, flat = np.unique(np.concatenate(sets), return_inverse=True)
             start = np.cumsum(size) - size
@@ -290,17 +300,20 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([float((np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean()) for x, y in zip(a, b)])
 
 
-@F.pandas_udf(T.BinaryType())
-def _shingle_set(text: pd.Series) -> pd.Series:
+def _shingle_sets(batches):
+    """Texts -> their sorted 64-bit shingle hashes."""
     words = _Words()
-    return pd.Series([np.unique(shingles(t, words) >> np.uint64(32)).astype(np.uint32).tobytes() for t in text])
+    for batch in batches:
+        for part in by_bytes(batch, "text", SLICE):
+            sets = [np.unique(shingles(t, words)).tobytes() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(sets, pa.binary())], names=["rep", "s"])
 
 
 @F.pandas_udf(T.DoubleType())
 def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for x, y in zip(a, b):
-        x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
         both = len(np.intersect1d(x, y, assume_unique=True))
         out.append(both / max(1, len(x) + len(y) - both))
     return pd.Series(out)
@@ -308,39 +321,43 @@ def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
             coords: int = COORDS, band_rows: int = BAND_ROWS, leaders: int = LEADERS, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
-    """Rows ``id, rep, class``: every distinct id and text with the least id of its exact copies and of its near-duplicate class.
+    """Rows ``id, class``, one per input row: every id with the least id of its near-duplicate class.
 
-    Ids must be integers; rows without an id are left out. A row per input row; of rows that repeat an id with
-    different texts, one text stands for the id in links.
+    Ids must be integers; rows without an id are left out.
     """
-    d = ready(pick(docs, id=doc_id, text=text)).where("id is not null").select(
+    d = pick(docs, id=doc_id, text=text).where("id is not null").select(
         F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     d = d.select("id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"), "text")
     # all texts are sketched where they are read; copies meet as sketches, never as texts
-    every = saved(d.mapInPandas(_sketch(coords, band_rows), "id long, h1 long, h2 long, sig binary, bands array<long>"), "dup-sketches")
-    reps = saved(every.groupBy("h1", "h2").agg(F.min("id").alias("rep")), "dup-copies")
-    sig = saved(every.join(reps, (every["h1"] == reps["h1"]) & (every["h2"] == reps["h2"]) & (every["id"] == reps["rep"]), "left_semi")
-                .where(F.octet_length("sig") > 0).select(F.col("id").alias("rep"), "sig", "bands").dropDuplicates(["rep"]), "dup-sigs")
+    every = saved(map_arrow(d, _sketch(coords, band_rows), "id long, h1 long, h2 long, sig binary, bands array<long>"), "dup-sketches")
+    # a number for each different text, fixed as it is written
+    texts = saved(every.groupBy("h1", "h2").agg(F.min("id").alias("least")).withColumn("rep", F.monotonically_increasing_id()), "dup-texts")
+    row = saved(every.select("id", "h1", "h2").join(texts, ["h1", "h2"]).select("id", "rep"), "dup-rows")
+    first = texts.select("rep", "h1", "h2", F.col("least").alias("id"))
+    sig = saved(every.where(F.octet_length("sig") > 0).join(first, ["h1", "h2", "id"]).select("rep", "sig", "bands").dropDuplicates(["rep"]), "dup-sigs")
     bands = sig.select("rep", F.explode("bands").alias("band"))
-    crowded = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band")
+    crowded = bands.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band")
     member = saved(bands.join(crowded, "band", "left_semi"), "dup-bands")
-    sets = saved(d.select(F.col("id").alias("rep"), "text").join(member.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
-                 .select("rep", _shingle_set("text").alias("s")), "dup-sets")
-    links: DataFrame | None = None
-    of: DataFrame | None = None
-    m = member.withColumn("class", F.col("rep"))
+    wanted = first.join(member.select("rep").distinct(), "rep", "left_semi")
+    sets = saved(map_arrow(d.join(wanted, ["h1", "h2", "id"]).select("rep", "text").dropDuplicates(["rep"]), _shingle_sets, "rep long, s binary"), "dup-sets")
+    # texts of one id are in one class
+    several = row.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("id", "lo")
+    links = saved(row.join(several, "id").where(F.col("rep") != F.col("lo")).select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct(), "dup-links")
+    of = None if links.isEmpty() else _sized(links)
+    m = member.select("band", "rep", F.col("rep").alias("class"), F.lit(1).cast("long").alias("n"))
     for turn in range(rounds + 1):
         if of is not None:
-            m = member.join(of, member["rep"] == of["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("class"))
+            m = member.join(of, "rep", "left").select("band", "rep", F.coalesce("class", "rep").alias("class"), F.coalesce("n", F.lit(1)).alias("n"))
             mixed = m.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("band")
             m = saved(m.join(mixed, "band", "left_semi"), "dup-mixed")
         if turn == rounds:
             break
-        # each of so many slots of a bucket picks the text of least hash in it
+        # each of so many slots of a bucket picks the text of greatest hash in its largest class
         h = F.xxhash64(F.lit(turn), "rep")
-        slot = F.pmod(F.shiftright(h, 20), F.lit(leaders))
-        lead = m.groupBy("band", slot.alias("slot")).agg(F.min(F.struct(h.alias("h"), F.col("rep").alias("leader"), F.col("class").alias("lclass"))).alias("x"))
-        pairs = m.join(lead.select("band", "x.leader", "x.lclass"), "band").where(F.col("class") != F.col("lclass")).select(
+        slot = F.pmod(F.shiftright(h, 20), F.lit(leaders if turn else 1))
+        lead = m.groupBy("band", slot.alias("slot")).agg(F.max(F.struct("n", h.alias("h"), F.col("rep").alias("leader"), F.col("class").alias("lclass"))).alias("x"))
+        pairs = m.join(lead.select("band", "x.leader", "x.lclass", F.col("x.n").alias("ln")), "band").where(
+            (F.col("class") != F.col("lclass")) & (F.col("n") <= F.col("ln"))).select(
             F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         near = pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(
             sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").where(_agreement("sa", "sb") >= similarity - SLACK).select("a", "b")
@@ -348,22 +365,32 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             sets.select(F.col("rep").alias("b"), F.col("s").alias("xb")), "b").where(_jaccard("xa", "xb") >= similarity).select("a", "b"), "dup-links")
         if found.isEmpty():
             break
-        links = found if links is None else links.unionByName(found)
-        of = saved(components(links, "dup-cc"), "dup-classes")
+        links = links.unionByName(found)
+        of = _sized(links)
     found = saved(_rest_links(m, sig, sets, similarity, block), "dup-links")
     if not found.isEmpty():
-        of = saved(components(found if links is None else links.unionByName(found), "dup-cc"), "dup-classes")
-    out = every.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep")
+        of = _sized(links.unionByName(found))
     if of is None:
-        return out.withColumn("class", F.col("rep"))
-    return out.join(of.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        "id", "rep", F.coalesce("component", "rep").alias("class"))
+        return row.join(texts.select("rep", "least"), "rep").select("id", F.col("least").alias("class"))
+    # a class is named by the least id of its texts
+    named = texts.select("rep", "least").join(of.select("rep", "class"), "rep", "left").withColumn("class", F.coalesce("class", "rep"))
+    least = named.groupBy("class").agg(F.min("least").alias("name"))
+    return row.join(named.select("rep", "class"), "rep").join(least, "class").select("id", F.col("name").alias("class"))
+
+
+def _sized(links: DataFrame) -> DataFrame:
+    """Rows ``rep, class, n``: the components of the links, with the texts in each."""
+    c = components(links, "dup-cc").select(F.col("id").alias("rep"), F.col("component").alias("class"))
+    return saved(c.join(c.groupBy("class").agg(F.count("*").alias("n")), "class").select("rep", "class", "n"), "dup-classes")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row per class: the row of the least id (of rows that repeat it exactly, one); rows without an id stay."""
-    c = classes(docs, doc_id, text, similarity)
-    keep = c.where(F.col("id") == F.col("class")).select(F.col("id").alias("nd_keep")).distinct()
-    kept = docs.join(keep, docs[doc_id] == keep["nd_keep"], "left_semi")
-    kept = kept.withColumn("nd_text", F.xxhash64(text)).dropDuplicates([doc_id, "nd_text"]).drop("nd_text")
-    return kept.unionByName(docs.where(docs[doc_id].isNull()))
+    """``docs`` with one row per class: the row of the least id (of rows that repeat that id, one whose text hashes
+    highest); rows without an id stay."""
+    keep = classes(docs, doc_id, text, similarity).where(F.col("id") == F.col("class")).select("id").distinct()
+    names = [f"c{k}" for k in range(len(docs.columns))]  # the caller's names, dotted or clashing, stay out of the join
+    plain = docs.toDF(*names)
+    i, t = (names[docs.columns.index(c)] for c in (doc_id, text))
+    kept = plain.join(keep, F.col(i).cast("long") == keep["id"], "left_semi")
+    kept = kept.groupBy(F.col(i).alias("key")).agg(F.max_by(F.struct(*names), F.xxhash64(t)).alias("row")).select("row.*")
+    return kept.unionByName(plain.where(F.col(i).isNull())).toDF(*docs.columns)

@@ -112,3 +112,47 @@ def test_awkward_rows(spark):
     kept = N.one_of_each(docs)
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 7, 9, 10] and kept.columns == docs.columns
     assert N.classes(docs.limit(0)).count() == 0
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    a, b = sentence(1, 60), sentence(2, 60)
+    x, y = " ".join(a.split()[:-1]), " ".join(b.split()[:-1])
+    rows = [(1, a), (1, b), (2, x), (3, y), (9, sentence(3, 60)), (5, a)]
+    for k in range(3):
+        docs = spark.createDataFrame(rows[k:] + rows[:k], "doc_id long, text string").repartition(3)
+        assert sorted((r["id"], r["class"]) for r in N.classes(docs).collect()) == [(1, 1), (1, 1), (2, 1), (3, 1), (5, 1), (9, 9)]
+        kept = N.one_of_each(docs).collect()
+        assert [r["doc_id"] for r in sorted(kept)] == [1, 9] and len({r["text"] for r in kept}) == 2
+
+
+def test_long_texts_are_sketched_in_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(50_000)]
+    r = random.Random(5)
+    rows = [" ".join(r.choices(words, k=170_000)) for _ in range(16)]  # of about 1 MB each
+    batch = pa.RecordBatch.from_pydict({"id": list(range(16)), "h1": [0] * 16, "h2": [0] * 16, "text": rows})
+    sketch = N._sketch(N.COORDS, N.BAND_ROWS)
+    tracemalloc.start()
+    got = [x for out in sketch([batch]) for x in out.column("sig").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(got)) == 16 and peak < 100 << 20
+
+
+def test_a_signature_does_not_depend_on_how_its_shingles_are_taken(monkeypatch):
+    t, words = sentence(8, 5000) + "  x", N._Words()
+    e = np.unique(N.shingles(t, words))
+    whole = N.signatures(e, np.ones(len(e)), np.zeros(len(e), int), 1)
+    monkeypatch.setattr(N, "STREAMS", 100)
+    monkeypatch.setattr(N, "PIECE", 57)
+    assert (np.unique(N.shingles(t, words)) == e).all()
+    assert (N.signatures(e, np.ones(len(e)), np.zeros(len(e), int), 1) == whole).all()
+
+
+def test_awkward_names(spark):
+    docs = awkward(spark).withColumnsRenamed({"doc_id": "my id", "text": "a.b"}).selectExpr("*", "1 as nd_text", "2 as rep", "3 as `class`", "4 as c0")
+    assert sorted(r["my id"] or 0 for r in N.one_of_each(docs, "my id", "a.b").collect()) == [0, 1, 3, 4, 5, 7, 9, 10]
+    assert N.one_of_each(docs, "my id", "a.b").columns == docs.columns
