@@ -26,11 +26,12 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.llm.common import col, pick, ready, saved
+from quire.llm.common import by_bytes, col, free_names, map_arrow, pick, saved
 
 PER_CLASS = 12_000
 CANDIDATES = 100_000
@@ -41,13 +42,13 @@ MIN_GAIN = 8.0
 MARGIN = 1.0
 KEEP = 0.15
 WINDOW = 24
-MAX_WINDOWS = 6_000
 THRESHOLD = 0.3
 SPAN_AT = 0.5
 FLOOR = 1e-3
 TAIL = 0.02
 _TOKEN = re.compile(r"\w+")
 _FLUSH = 200_000
+SLICE = 1 << 20
 
 
 def tokens(text: str | None) -> list[str]:
@@ -89,9 +90,12 @@ class Crf:
         self.knots = (self.knots[0], tuple(np.maximum.accumulate(self.knots[1])))
         return self
 
-    def fit(self, x: np.ndarray, y: np.ndarray, size: np.ndarray, steps: int = 120, l2: float = 0.002) -> "Crf":
-        """Gradient ascent (Adam) on the log-likelihood of windows ``x`` (features of each token), ``y`` (states), of ``size`` tokens."""
+    def fit(self, x: np.ndarray, y: np.ndarray, size: np.ndarray, count: np.ndarray, steps: int = 120, l2: float = 0.002) -> "Crf":
+        """Gradient ascent (Adam) on the log-likelihood of windows ``x`` (features of each token), ``y`` (states), of ``size`` tokens,
+        each there ``count`` times."""
         n, width, deep = x.shape
+        all_ = float(count.sum())
+        times = count.astype(float)
         v = len(self.words) + 1
         theta = np.zeros(v + 5)
         theta[0] = -4.0
@@ -105,11 +109,12 @@ class Crf:
             return g
 
         seen = np.zeros_like(theta)
-        seen[:v] = gathered(y[live].astype(float), x[live])
+        of_token = np.broadcast_to(times[:, None], live.shape)[live]
+        seen[:v] = gathered(y[live] * of_token, x[live])
         for a in (0, 1):
             for b in (0, 1):
-                seen[v + 2 * a + b] = ((y[:, :-1] == a) & (y[:, 1:] == b) & pair).sum()
-        seen[v + 4] = y[:, 0].sum()
+                seen[v + 2 * a + b] = (((y[:, :-1] == a) & (y[:, 1:] == b) & pair) * times[:, None]).sum()
+        seen[v + 4] = (y[:, 0] * times).sum()
         for step in range(1, steps + 1):
             w = theta[:v].copy()
             w[0] = 0.0
@@ -133,12 +138,12 @@ class Crf:
                 back = e[:, i] * beta
                 joint = alpha[i - 1][:, :, None] * t[None] * back[:, None, :]
                 joint /= joint.sum((1, 2), keepdims=True)
-                want[v:v + 4] += joint[here].sum(0).ravel()
+                want[v:v + 4] += (joint[here] * times[here, None, None]).sum(0).ravel()
                 nb = back @ t.T
                 beta = np.where(here[:, None], nb / nb.sum(1, keepdims=True), beta)
-            want[:v] = gathered(prob[live], x[live])
-            want[v + 4] = prob[:, 0].sum()
-            g = (seen - want) / n - l2 * theta / max(1, n) ** 0.5
+            want[:v] = gathered(prob[live] * of_token, x[live])
+            want[v + 4] = (prob[:, 0] * times).sum()
+            g = (seen - want) / all_ - l2 * theta / max(1.0, all_) ** 0.5
             m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
             theta += 0.2 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-10)
             theta[v] = 0.0  # clean to clean is the zero point
@@ -220,29 +225,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     return saved(d.join(chosen, "id").groupBy(F.xxhash64("text").alias("th")).agg(F.first("text").alias("text"), F.max("y").alias("y")), "tox-sample")
 
 
-def learn(sample: DataFrame, lexicon: int = LEXICON, max_windows: int = MAX_WINDOWS) -> Crf:
-    """Fit the chain on rows ``text, y``."""
+def learn(sample: DataFrame, lexicon: int = LEXICON) -> Crf:
+    """Fit the chain on all windows of the rows ``text, y``; equal windows are one with a count."""
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return Crf()
 
     def frequencies(batches, only=None):
         c: Counter = Counter()
+        rows = lambda: pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], names=["part", "k"])
         for batch in batches:
-            for t in batch["text"]:
+            for t in (t for part in by_bytes(batch, "text", SLICE) for t in part.column("text").to_pylist()):
                 own = {f for w in set(tokens(t)) for f in parts(w)}
                 c.update(own if only is None else own & only)
                 if len(c) > _FLUSH:
-                    yield pd.DataFrame(c.items(), columns=["part", "k"])
+                    yield rows()
                     c.clear()
         if c:
-            yield pd.DataFrame(c.items(), columns=["part", "k"])
+            yield rows()
 
     form = "part string, k long"
-    bad = sample.where("y = 1").select("text").mapInPandas(frequencies, form).groupBy("part").agg(F.sum("k").alias("k"))
+    bad = map_arrow(sample.where("y = 1").select("text"), frequencies, form).groupBy("part").agg(F.sum("k").alias("k"))
     bad = {r["part"]: r["k"] for r in bad.where(F.col("k") >= MIN_DOCS).orderBy(F.desc("k"), "part").limit(CANDIDATES).collect()}
     known = frozenset(bad)
-    good = sample.where("y = 0").select("text").mapInPandas(lambda b: frequencies(b, known), form).groupBy("part").agg(F.sum("k").alias("k"))
+    good = map_arrow(sample.where("y = 0").select("text"), lambda b: frequencies(b, known), form).groupBy("part").agg(F.sum("k").alias("k"))
     good = {r["part"]: r["k"] for r in good.collect()}  # at most CANDIDATES rows
 
     def odds(w: str) -> float:
@@ -259,66 +265,94 @@ def learn(sample: DataFrame, lexicon: int = LEXICON, max_windows: int = MAX_WIND
     feature = {w: i + 1 for i, w in enumerate(top)}
     if not feature:
         return Crf()
-    schema = "h long, size int, x array<int>, y array<int>"
     deep = 7  # features of a token at most
 
-    def windows(batches):
+    def windows(text: str, y: int):
+        """Windows of a text around its lexicon words (of a text without one, its middle): tokens, features of each, states."""
+        x = [[f for f in map(feature.get, parts(w)) if f] for w in tokens(text)]
+        odds = [max((score[top[f - 1]] for f in fs), default=-9.0) for fs in x]
+        best = max(odds, default=-9.0)
+        z = [int(bool(y) and bool(fs) and o >= best - MARGIN) for o, fs in zip(odds, x)]
+        done = -1
+        for i in [i for i, fs in enumerate(x) if fs] or [len(x) // 2]:
+            if i < done or not x:
+                continue
+            a = max(0, i - WINDOW // 3)
+            done = a + WINDOW
+            yield len(x[a:done]), x[a:done], z[a:done]
+
+    def texts(batches):
         for batch in batches:
-            out = []
-            for t, y in zip(batch["text"], batch["y"]):
-                ws = tokens(t)
-                x = [[f for f in map(feature.get, parts(w)) if f] for w in ws]
-                odds = [max((score[top[f - 1]] for f in fs), default=-9.0) for fs in x]
-                best = max(odds, default=-9.0)
-                z = [int(bool(y) and bool(fs) and o >= best - MARGIN) for o, fs in zip(odds, x)]
-                hits = [i for i, fs in enumerate(x) if fs] or [len(x) // 2]
-                done = -1
-                for i in hits:
-                    if i < done or not x:
-                        continue
-                    a = max(0, i - WINDOW // 3)
-                    done = a + WINDOW
-                    xs, zs = x[a:done], z[a:done]
-                    flat = [f for fs in xs for f in fs + [0] * (deep - len(fs))] + [0] * deep * (WINDOW - len(xs))
-                    out.append((hash(tuple(flat)) & 0x7FFFFFFFFFFFFFFF, len(xs), flat, zs + [0] * (WINDOW - len(zs))))
-            yield pd.DataFrame(out, columns=["h", "size", "x", "y"])
-
-    got = sample.select("text", "y").mapInPandas(windows, schema).orderBy("h", "size", "x", "y").limit(max_windows).toPandas()
-    if not len(got):
-        return Crf()
-    y = np.array(got["y"].tolist())
-    x = np.array(got["x"].tolist()).reshape(len(got), WINDOW, deep)
+            for part in by_bytes(batch, "text", SLICE):
+                yield from zip(part.column("text").to_pylist(), part.column("y").to_pylist())
+
+    def counts(batches):
+        seen, toxic = np.zeros(len(top) + 1, np.int64), np.zeros(len(top) + 1, np.int64)
+        for t, y in texts(batches):
+            for _, xs, zs in windows(t, y):
+                for fs, z in zip(xs, zs):
+                    for f in fs:
+                        seen[f] += 1
+                        toxic[f] += z
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at]), pa.array(toxic[at])], names=["f", "seen", "toxic"])
+
     # a feature that is hardly ever its document's strongest says nothing by itself
-    of = np.repeat(y.ravel(), deep)
-    seen, toxic = np.bincount(x.ravel(), minlength=len(top) + 1), np.bincount(x.ravel(), weights=of, minlength=len(top) + 1)
-    keep = [w for w, f in feature.items() if toxic[f] >= MIN_DOCS and toxic[f] >= KEEP * seen[f]]
-    place = np.zeros(len(top) + 1, int)
-    for i, w in enumerate(keep):
-        place[feature[w]] = i + 1
-    crf = Crf(words={w: i + 1 for i, w in enumerate(keep)}).fit(place[x], y, got["size"].to_numpy())
+    own = map_arrow(sample.select("text", "y"), counts, "f long, seen long, toxic long").groupBy("f").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
+    keep = sorted(r["f"] for r in own.where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") >= KEEP * F.col("seen"))).collect())
+    place = {f: i + 1 for i, f in enumerate(keep)}
+
+    def narrowed(batches):
+        for batch in batches:
+            for part in by_bytes(batch, "text", SLICE):
+                size, x, y = [], [], []
+                for t, label in zip(part.column("text").to_pylist(), part.column("y").to_pylist()):
+                    for n, xs, zs in windows(t, label):
+                        flat = np.zeros((WINDOW, deep), np.int32)
+                        for k, fs in enumerate(xs):
+                            own = [place[f] for f in fs if f in place]
+                            flat[k, :len(own)] = own
+                        size.append(n)
+                        x.append(flat.tobytes())
+                        y.append(bytes(zs + [0] * (WINDOW - n)))
+                yield pa.RecordBatch.from_arrays([pa.array(size, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["size", "x", "y"])
+
+    each = map_arrow(sample.select("text", "y"), narrowed, "size int, x binary, y binary").groupBy("size", "x", "y").agg(F.count("*").alias("n"))
+    got = each.orderBy("size", "x", "y").collect()  # different windows around a lexicon word, of at most 2 * PER_CLASS rows
+    if not got:
+        return Crf()
+    x = np.frombuffer(b"".join(r["x"] for r in got), np.int32).reshape(len(got), WINDOW, deep)
+    y = np.frombuffer(b"".join(r["y"] for r in got), np.uint8).reshape(len(got), WINDOW).astype(np.int64)
+    crf = Crf(words={top[f - 1]: i for f, i in place.items()}).fit(x, y, np.array([r["size"] for r in got]), np.array([r["n"] for r in got]))
 
     def expected(batches):
         cache: dict = {}
         for batch in batches:
-            yield pd.DataFrame({"e": [crf.read(t, cache, False)[0] for t in batch["text"]], "y": batch["y"]})
+            for part in by_bytes(batch, "text", SLICE):
+                e = [crf.read(t, cache, False)[0] for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(e, pa.float64()), part.column("y")], names=["e", "y"])
 
-    rows = sample.select("text", "y").mapInPandas(expected, "e double, y int").toPandas().sort_values(["e", "y"])
+    rows = map_arrow(sample.select("text", "y"), expected, "e double, y int").toPandas().sort_values(["e", "y"])
     return crf.calibrate(rows["e"].to_numpy(), rows["y"].to_numpy(float))
 
 
 def score(docs: DataFrame, crf: Crf, text: str = "text", prefix: str = "tox_", spans: bool = True) -> DataFrame:
     """``docs`` with ``<prefix>score`` and ``<prefix>spans`` (array of start, end code point offsets)."""
-    ready(docs)
+    names = [*docs.columns, prefix + "score", prefix + "spans"]
+    free_names(docs, *names[-2:])
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    added = T.StructType.fromDDL("score double, spans array<struct<start:int,end:int>>").fields
 
-    @F.pandas_udf("struct<score:double,spans:array<struct<start:int,end:int>>>")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches):
         cache: dict = {}
-        rows = [crf.read(t, cache, spans) for t in texts]
-        return pd.DataFrame({"score": [crf.scored(r[0]) for r in rows], "spans": [[{"start": a, "end": b} for a, b in r[1]] for r in rows]})
+        for batch in batches:
+            for part in by_bytes(batch, text, SLICE):
+                rows = [crf.read(t, cache, spans) for t in part.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array([crf.scored(e) for e, _ in rows], pa.float64()),
+                     pa.array([[{"start": a, "end": b} for a, b in s] for _, s in rows], span)], names=names)
 
-    tmp = prefix + "both"
-    return docs.withColumn(tmp, run(col(text))).withColumns(
-        {prefix + "score": F.col(f"{tmp}.score"), prefix + "spans": F.col(f"{tmp}.spans")}).drop(tmp)
+    return map_arrow(docs, run, T.StructType([*docs.schema.fields, *(T.StructField(n, f.dataType) for n, f in zip(names[-2:], added))]))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -329,5 +363,4 @@ def held_out(doc_id: str = "doc_id"):
 def trained(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
             per_class: int = PER_CLASS) -> Crf:
     """A chain learned from the labelled rows that are not held out."""
-    ready(docs)
     return learn(training_rows(docs.where(~held_out(doc_id)), labels.where(~held_out(doc_id)), doc_id, text, label, per_class))
