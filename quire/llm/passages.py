@@ -7,7 +7,8 @@ have equal anchors. The starts of a text fall into runs that share an anchor; a
 anchor's hash (the shard key), the hash of the run's bytes, and its place.
 
 1. Runs are counted by (key, bytes). Equal runs are copies: all their starts repeat, and only
-   one copy goes on, so a group of thousands of copies is one row after the map side.
+   one copy goes on, so a group of thousands of copies is one row after the map side. Equal runs
+   that follow each other in a text (periodic text) are one row with a count from the start.
 2. Keys with two or more different runs go to shards, the runs' bytes with them. A shard sorts
    its suffixes by induced sorting and takes permuted common prefixes: a start whose prefix
    shared with a neighbour in suffix order reaches ``length`` repeats.
@@ -31,14 +32,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.llm.common import col, pick, ready, saved
+from quire.llm.common import by_bytes, free_names, map_arrow, pick, saved
 from quire.llm.suffix import repeated_starts
 
 LENGTH = 400
-HOT = 4096
-SHARD_BYTES = 1 << 20
-CHUNK = 1 << 20
+HOT = 1024
+SHARD_BYTES = 1 << 18
+CHUNK = 1 << 18
+SLICE = 1 << 20
 _POS = np.uint64((1 << 22) - 1)
 _B = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
@@ -110,13 +113,14 @@ def _pieces(offsets: np.ndarray, length: int):
 
     Pieces hold whole texts; a longer text is cut into pieces that overlap by ``length - 1``.
     """
+    step = max(CHUNK, 2 * length)
     n = len(offsets) - 1
     i = 0
     while i < n:
-        if offsets[i + 1] - offsets[i] > 3 * CHUNK:
+        if offsets[i + 1] - offsets[i] > step:
             a = offsets[i]
             while True:
-                z = min(a + 2 * CHUNK, offsets[i + 1])
+                z = min(a + step, offsets[i + 1])
                 yield i, i + 1, a, z
                 if z == offsets[i + 1]:
                     break
@@ -154,11 +158,16 @@ def _scan(length: int, gram: int):
                 raw = memoryview(data[a:z])
                 seg = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(lo.tolist(), (hi + length).tolist())], np.uint64).view(np.int64)
                 doc = i + np.searchsorted(offsets[i + 1:j + 1] - a, lo, "right")
+                # equal runs without a gap are one row
+                fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)))
+                first = np.flatnonzero(fresh)
+                times = np.diff(first, append=len(lo))
+                doc, reach = doc[first], hi[first + times - 1] - lo[first]
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(seg), batch.column("doc").take(take), batch.column("th").take(take),
-                     pa.array(lo + a - offsets[doc]), pa.array((hi - lo).astype(np.int32))],
-                    names=["key", "seg", "doc", "th", "lo", "n"])
+                    [pa.array(key[first]), pa.array(seg[first]), batch.column("doc").take(take), batch.column("th").take(take),
+                     pa.array(lo[first] + a - offsets[doc]), pa.array((hi - lo)[first].astype(np.int32)), pa.array(times), pa.array(reach)],
+                    names=["key", "seg", "doc", "th", "lo", "n", "times", "reach"])
     return scan
 
 
@@ -220,16 +229,21 @@ def _windows(length: int):
 
 def word_windows(text: str, words: int, length: int) -> list[tuple[int, int]]:
     """Byte spans, from word start to word end, of the windows of ``words`` words that are shorter than ``length`` bytes."""
-    cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    if len(cp) < 2 * words - 1:
-        return []
-    at = np.zeros(len(cp) + 1, np.int64)
-    np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF), out=at[1:])
-    edge = np.diff(np.concatenate(([False], ~_SPACE[np.minimum(cp, 0x3001)], [False])).astype(np.int8))
-    lo, hi = at[np.flatnonzero(edge == 1)], at[np.flatnonzero(edge == -1)]
-    lo, hi = lo[:max(0, len(lo) - words + 1)], hi[words - 1:]
-    short = hi - lo < length
-    return list(zip(lo[short].tolist(), hi[short].tolist()))
+    out, base = [], 0
+    for a in range(0, len(text), CHUNK):
+        # windows that start in this piece end before the piece's reach does; one code point before it tells whether a word starts
+        lead = min(a, 1)
+        part = text[a - lead:a + CHUNK + length]
+        cp = np.frombuffer(part.encode("utf-32-le"), np.uint32)
+        at = np.zeros(len(cp) + 1, np.int64)
+        np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF), out=at[1:])
+        edge = np.diff(np.concatenate(([False], ~_SPACE[np.minimum(cp, 0x3001)], [False])).astype(np.int8))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        start, end = start[:max(0, len(start) - words + 1)], end[words - 1:]
+        short = (at[end] - at[start] < length) & (start >= lead) & (start < lead + CHUNK)
+        out += zip((at[start[short]] - at[lead] + base).tolist(), (at[end[short]] - at[lead] + base).tolist())
+        base += int(at[min(lead + CHUNK, len(cp))] - at[lead])
+    return out
 
 
 def _short_windows(words: int, length: int):
@@ -242,12 +256,14 @@ def _short_windows(words: int, length: int):
                 if not spans:
                     continue
                 raw = memoryview(text.encode())
-                h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a:z]) for a, z in spans), np.int64).reshape(-1, 2)
-                n = len(spans)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array([doc.as_py()] * n, doc.type), pa.array([th.as_py()] * n, pa.int64()),
-                     pa.array([a for a, _ in spans], pa.int64()), pa.array([z - length for _, z in spans], pa.int64())],
-                    names=["h1", "h2", "doc", "th", "lo", "hi"])
+                for at in range(0, len(spans), 10_000):
+                    part = spans[at:at + 10_000]
+                    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a:z]) for a, z in part), np.int64).reshape(-1, 2)
+                    n = len(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array([doc.as_py()] * n, doc.type), pa.array([th.as_py()] * n, pa.int64()),
+                         pa.array([a for a, _ in part], pa.int64()), pa.array([z - length for _, z in part], pa.int64())],
+                        names=["h1", "h2", "doc", "th", "lo", "hi"])
     return each
 
 
@@ -257,30 +273,30 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     With ``words``, repeated strings of more words than that count even if they are shorter than ``length``.
     """
     gram = gram_size(length)
-    d = ready(pick(docs, doc=doc_id, text=text)).select("doc", "text", F.xxhash64("text").alias("th"))
+    d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    r = saved(d.where(F.octet_length("text") >= length).mapInArrow(
-        _scan(length, gram), f"key long, seg long, doc {kind}, th long, lo long, n int"), "passage-runs")
+    r = saved(map_arrow(d.where(F.octet_length("text") >= length), _scan(length, gram),
+                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs")
     first = F.min(F.struct("doc", "th", "lo", "n"))
-    every = r.groupBy("key", "seg").agg(F.count("*").alias("m"), first.alias("rep"))
+    every = r.groupBy("key", "seg").agg(F.sum("times").alias("m"), first.alias("rep"))
     kinds = every.groupBy("key").agg(F.count("*").alias("d"))
     segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs")
     want = segs.where("d > 1").select("key", "seg", "m", "rep.*", (F.col("d") > hot).alias("hot"))
     by_doc = want.groupBy("doc", "th").agg(F.collect_list(F.struct("key", "seg", "lo", "n", "m", "hot")).alias("want"))
     got = d.join(by_doc, d["doc"].eqNullSafe(by_doc["doc"]) & (d["th"] == by_doc["th"])).select("text", "want")
-    parts = saved(got.mapInArrow(_fetch(length), "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
-    sorted_ = parts.where("not hot").select("key", "seg", "bytes", "m").repartition("key").sortWithinPartitions("key", "seg").mapInArrow(
-        _sort_shard(length), "key long, seg long, starts array<int>")
-    w = parts.where("hot").select("key", "seg", "bytes", "m").mapInArrow(_windows(length), "h1 long, h2 long, key long, seg long, at int, m long")
+    parts = saved(map_arrow(got, _fetch(length), "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
+    sorted_ = map_arrow(parts.where("not hot").select("key", "seg", "bytes", "m").repartition("key").sortWithinPartitions("key", "seg"),
+                        _sort_shard(length), "key long, seg long, starts array<int>")
+    w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "m"), _windows(length), "h1 long, h2 long, key long, seg long, at int, m long")
     twice = w.groupBy("h1", "h2").agg(F.sum("m").alias("c")).where("c > 1").select("h1", "h2")
     counted = w.where("m = 1").join(twice, ["h1", "h2"], "left_semi").groupBy("key", "seg").agg(F.collect_list("at").alias("starts"))
     found = saved(sorted_.unionByName(counted), "passage-starts")
-    copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", "lo", (F.col("lo") + F.col("n")).alias("hi"))
+    copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", "lo", (F.col("lo") + F.col("reach")).alias("hi"))
     single = segs.where("m = 1").select("key", "seg", "rep.doc", "rep.th", "rep.lo").join(found, ["key", "seg"]).select(
         "doc", "th", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
         "doc", "th", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
     if words is not None:
-        short = saved(d.mapInArrow(_short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-words")
+        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-words")
         again = short.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
         copies = copies.unionByName(short.join(again, ["h1", "h2"], "left_semi").select("doc", "th", "lo", "hi"))
     return copies.unionByName(single).groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
@@ -315,24 +331,44 @@ def cut(raw: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[bytes,
     return b"".join(left), [(a, z) for a, z in spans]
 
 
+def _with_ranges(docs: DataFrame, doc_id: str, text: str, length: int, hot: int, words: int | None) -> DataFrame:
+    """The columns of ``docs`` as ``c0, c1, ...`` and ``r``, the text's runs of repeated starts (or null)."""
+    r = repeated_ranges(docs, doc_id, text, length, hot, words).select(F.col("doc").alias("rd"), F.col("th").alias("rt"), F.col("ranges").alias("r"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    i, t = (names[docs.columns.index(c)] for c in (doc_id, text))
+    return docs.toDF(*names).join(r, F.col(i).eqNullSafe(F.col("rd")) & (F.xxhash64(t) == F.col("rt")), "left").select(*names, "r")
+
+
+def _cuts(batches, text: str, length: int):
+    """Slices of documents with each text's bytes, the bytes left and the spans removed."""
+    for batch in batches:
+        for part in by_bytes(batch, text, SLICE):
+            rows = []
+            for t, rs in zip(part.column(text).to_pylist(), part.column("r").to_pylist()):
+                raw = t.encode() if t else b""
+                rows.append((raw, *cut(raw, [(x["lo"], x["hi"]) for x in rs] if rs else [], length)))
+            yield part, rows
+
+
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT,
                     prefix: str = "psg_", words: int | None = None) -> DataFrame:
     """``docs`` with ``<prefix>n_bytes``, ``<prefix>spans`` (byte spans removed), ``<prefix>kept`` (the bytes left)."""
-    ranges = repeated_ranges(docs, doc_id, text, length, hot, words)
-    r = ranges.select(F.col("doc").alias(prefix + "d"), F.col("th").alias(prefix + "t"), F.col("ranges").alias(prefix + "r"))
-    j = docs.join(r, col(doc_id).eqNullSafe(F.col(prefix + "d")) & (F.xxhash64(col(text)) == F.col(prefix + "t")), "left")
+    names = [prefix + c for c in ("n_bytes", "spans", "kept")]
+    free_names(docs, *names)
+    j = _with_ranges(docs, doc_id, text, length, hot, words)
+    t, keep = j.columns[docs.columns.index(text)], j.columns[:-1]
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    @F.pandas_udf("struct<n_bytes:long,spans:array<struct<start:long,end:long>>,kept:binary>")
-    def apply(texts, lists):
-        rows = []
-        for t, rs in zip(texts, lists):
-            raw = t.encode() if t else b""
-            kept, spans = cut(raw, [(x["lo"], x["hi"]) for x in rs] if rs is not None else [], length)
-            rows.append((len(raw), [{"start": a, "end": z} for a, z in spans], kept))
-        return pd.DataFrame(rows, columns=["n_bytes", "spans", "kept"])
+    def run(batches):
+        for part, rows in _cuts(batches, t, length):
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in keep), pa.array([len(raw) for raw, _, _ in rows], pa.int64()),
+                 pa.array([[{"start": a, "end": z} for a, z in spans] for _, _, spans in rows], span), pa.array([left for _, left, _ in rows], pa.binary())],
+                names=[*docs_names, *names])
 
-    j = j.withColumn(prefix + "x", apply(col(text), F.col(prefix + "r")))
-    return j.select(*(docs[c] for c in docs.columns), *(F.col(f"{prefix}x.{c}").alias(prefix + c) for c in ("n_bytes", "spans", "kept")))
+    docs_names = docs.columns
+    added = T.StructType.fromDDL("n long, s array<struct<start:long,end:long>>, k binary").fields
+    return map_arrow(j, run, T.StructType([*docs.schema.fields, *(T.StructField(n, f.dataType) for n, f in zip(names, added))]))
 
 
 def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, n_chars: str = "n_chars",
@@ -342,15 +378,21 @@ def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     A code point of which the cut leaves only some bytes goes too. Documents that lose all but
     white space go; all others stay, those without a repeat unchanged.
     """
-    j = without_repeats(docs, doc_id, text, length, prefix="psg_", words=words)
-
-    @F.pandas_udf("string")
-    def decoded(column):
-        return column.map(lambda x: None if x is None else bytes(x).decode(errors="ignore"))
-
-    hit = F.size("psg_spans") > 0
-    j = j.withColumn("psg_text", F.when(hit, decoded(F.col("psg_kept"))).otherwise(col(text)))
-    j = j.where(~hit | (F.regexp_replace("psg_text", r"\s+", "") != "")).withColumn(text, F.col("psg_text"))
-    if n_chars in docs.columns:
-        j = j.withColumn(n_chars, F.when(hit, F.length("psg_text").cast(docs.schema[n_chars].dataType)).otherwise(col(n_chars)))
-    return j.select(*docs.columns)
+    j = _with_ranges(docs, doc_id, text, length, HOT, words)
+    names, keep = docs.columns, j.columns[:-1]
+    at = names.index(text)
+    count = names.index(n_chars) if n_chars in names else None
+
+    def run(batches):
+        for part, rows in _cuts(batches, keep[at], length):
+            left = [kept.decode(errors="ignore") if spans else None for _, kept, spans in rows]
+            stay = pa.array([x is None or bool(x.strip()) for x in left])
+            columns = [part.column(c) for c in keep]
+            was = columns[at].to_pylist()
+            columns[at] = pa.array([w if x is None else x for w, x in zip(was, left)], columns[at].type)
+            if count is not None:
+                now = [w if x is None else len(x) for w, x in zip(columns[count].to_pylist(), left)]
+                columns[count] = pa.array(now, columns[count].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(stay)
+
+    return map_arrow(j, run, docs.schema)
