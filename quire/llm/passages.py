@@ -16,6 +16,11 @@ anchor's hash (the shard key), the hash of the run's bytes, and its place.
    by one by a 128-bit hash, pre-aggregated, which is the same test without a bound on the key.
 4. The repeated starts of a document become byte ranges, and its text is cut.
 
+Two lengths can be told in one pass (``short`` and ``length``): anchors are those of the short
+windows, and a run carries its bytes up to the end of its last long window. Equal long windows
+begin with equal short ones, so they meet in the same shard, where a common prefix of either
+length decides.
+
 With ``words``, strings of more than so many words that are shorter than ``length`` count too:
 each window of ``words + 1`` whole words (runs between white space) of under ``length`` bytes is
 counted by a 128-bit hash. Longer windows hold a string of ``length`` bytes already.
@@ -35,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm.common import by_bytes, free_names, map_arrow, pick, saved
-from quire.llm.suffix import repeated_starts
+from quire.llm.suffix import repeated_at
 
 LENGTH = 400
 HOT = 1024
@@ -108,12 +113,12 @@ def runs(b: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.
     return lo, hi, h[(least[lo] & _POS).astype(np.int64)].view(np.int64)
 
 
-def _pieces(offsets: np.ndarray, length: int):
+def _pieces(offsets: np.ndarray, reach: int):
     """Cut a batch of texts into pieces of about ``CHUNK`` bytes: (first text, last text, from, to) in bytes.
 
-    Pieces hold whole texts; a longer text is cut into pieces that overlap by ``length - 1``.
+    Pieces hold whole texts; a longer text is cut into pieces that overlap by ``reach - 1``.
     """
-    step = max(CHUNK, 2 * length)
+    step = max(CHUNK, 2 * reach)
     n = len(offsets) - 1
     i = 0
     while i < n:
@@ -124,7 +129,7 @@ def _pieces(offsets: np.ndarray, length: int):
                 yield i, i + 1, a, z
                 if z == offsets[i + 1]:
                     break
-                a = z - length + 1
+                a = z - reach + 1
             i += 1
             continue
         j = i + 1
@@ -145,33 +150,37 @@ def _bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _scan(length: int, gram: int):
+def _scan(length: int, gram: int, reach: int):
     def scan(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             data, offsets = _bytes_of(batch.column("text"))
-            for i, j, a, z in _pieces(offsets, length):
+            for i, j, a, z in _pieces(offsets, reach):
                 lo, hi, key = runs(data[a:z], offsets[i:j + 1].clip(a, z) - a, length, gram)
+                last = z if z == offsets[j] else z - reach + 1  # later starts are the next piece's
+                here = lo < last - a
+                lo, hi, key = lo[here], np.minimum(hi[here], last - a - 1), key[here]
                 if not len(lo):
                     continue
                 raw = memoryview(data[a:z])
-                seg = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(lo.tolist(), (hi + length).tolist())], np.uint64).view(np.int64)
                 doc = i + np.searchsorted(offsets[i + 1:j + 1] - a, lo, "right")
+                ends = np.minimum(hi + reach, offsets[doc + 1] - a)
+                seg = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(lo.tolist(), ends.tolist())], np.uint64).view(np.int64)
                 # equal runs without a gap are one row
                 fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)))
                 first = np.flatnonzero(fresh)
                 times = np.diff(first, append=len(lo))
-                doc, reach = doc[first], hi[first + times - 1] - lo[first]
+                doc, over = doc[first], hi[first + times - 1] - lo[first]
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[first]), pa.array(seg[first]), batch.column("doc").take(take), batch.column("th").take(take),
-                     pa.array(lo[first] + a - offsets[doc]), pa.array((hi - lo)[first].astype(np.int32)), pa.array(times), pa.array(reach)],
+                     pa.array(lo[first] + a - offsets[doc]), pa.array((hi - lo)[first].astype(np.int32)), pa.array(times), pa.array(over)],
                     names=["key", "seg", "doc", "th", "lo", "n", "times", "reach"])
     return scan
 
 
-def _fetch(length: int):
+def _fetch(reach: int):
     """Rows of documents with the runs wanted of them -> rows of runs with their bytes."""
     def fetch(batches):
         for batch in batches:
@@ -182,48 +191,52 @@ def _fetch(length: int):
                     part = rows[at:at + 4096]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r["key"] for r in part]), pa.array([r["seg"] for r in part]),
-                         pa.array([raw[r["lo"]:r["lo"] + r["n"] + length] for r in part]), pa.array([r["m"] for r in part], pa.int64()),
-                         pa.array([r["hot"] for r in part])],
-                        names=["key", "seg", "bytes", "m", "hot"])
+                         pa.array([raw[r["lo"]:r["lo"] + r["n"] + reach] for r in part]), pa.array([r["n"] + 1 for r in part], pa.int32()),
+                         pa.array([r["m"] for r in part], pa.int64()), pa.array([r["hot"] for r in part])],
+                        names=["key", "seg", "bytes", "starts", "m", "hot"])
     return fetch
 
 
-def _sort_shard(length: int):
-    """Runs sorted by key -> repeated starts of the runs that occur once; whole keys are sorted together."""
+def _sort_shard(lengths: list[int]):
+    """Runs sorted by key -> repeated starts of each length of the runs that occur once; whole keys are sorted together."""
     def answer(held):
-        out = [(k, g, s.astype(np.int32)) for (k, g, _, m), s in zip(held, repeated_starts([x[2] for x in held], length)) if m == 1 and len(s)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int32()))],
-            names=["key", "seg", "starts"])
+        found = repeated_at([x[2] for x in held], [x[3] for x in held], lengths)
+        for k, length in enumerate(lengths):
+            out = [(key, seg, s[k].astype(np.int32)) for (key, seg, _, _, m), s in zip(held, found) if m == 1 and len(s[k])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([length] * len(out), pa.int32()),
+                 pa.array([x[2] for x in out], pa.list_(pa.int32()))], names=["key", "seg", "size", "starts"])
 
     def sort(batches):
         held, size, last = [], 0, None
         for batch in batches:
-            for key, seg, raw, m in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "m"))):
-                if key != last and size >= SHARD_BYTES:
-                    yield answer(held)
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "starts", "m"))):
+                if row[0] != last and size >= SHARD_BYTES:
+                    yield from answer(held)
                     held, size = [], 0
-                held.append((key, seg, raw, m))
-                size += len(raw)
-                last = key
+                held.append(row)
+                size += len(row[2])
+                last = row[0]
         if held:
-            yield answer(held)
+            yield from answer(held)
     return sort
 
 
-def _windows(length: int):
-    """Every window of the runs, by a 128-bit hash."""
+def _windows(lengths: list[int]):
+    """Every window of the runs, of each length, by a 128-bit hash."""
     def each(batches):
         for batch in batches:
-            for key, seg, raw, m in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "m"))):
-                n = len(raw) - length + 1
+            for key, seg, raw, starts, m in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "starts", "m"))):
                 view = memoryview(raw)
-                d = b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(n))
-                h = np.frombuffer(d, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(np.full(n, key)), pa.array(np.full(n, seg)),
-                     pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, m))],
-                    names=["h1", "h2", "key", "seg", "at", "m"])
+                for length in lengths:
+                    n = min(starts, len(raw) - length + 1)
+                    if n <= 0:
+                        continue
+                    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(n)), np.int64).reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(np.full(n, length, np.int32)), pa.array(np.full(n, key)),
+                         pa.array(np.full(n, seg)), pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, m))],
+                        names=["h1", "h2", "size", "key", "seg", "at", "m"])
     return each
 
 
@@ -267,15 +280,19 @@ def _short_windows(words: int, length: int):
     return each
 
 
-def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None) -> DataFrame:
-    """Rows ``doc, th, ranges``: for each text (id and hash) with repeats, its runs of repeated starts ``(first, last)``.
+def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None,
+                    short: int | None = None) -> DataFrame:
+    """Rows ``doc, th, size, ranges``: for each text (id and hash) with repeats of ``size`` bytes, its runs of repeated starts ``(first, last)``.
 
-    With ``words``, repeated strings of more words than that count even if they are shorter than ``length``.
+    With ``short``, repeats of that lesser length are told too. With ``words``, repeated strings of more words than that count
+    for the least length even if they are shorter.
     """
-    gram = gram_size(length)
+    least = min(length, short or length)
+    lengths = sorted({least, length})
+    gram = gram_size(least)
     d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    r = saved(map_arrow(d.where(F.octet_length("text") >= length), _scan(length, gram),
+    r = saved(map_arrow(d.where(F.octet_length("text") >= least), _scan(least, gram, length),
                         f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs")
     first = F.min(F.struct("doc", "th", "lo", "n"))
     every = r.groupBy("key", "seg").agg(F.sum("times").alias("m"), first.alias("rep"))
@@ -284,22 +301,25 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     want = segs.where("d > 1").select("key", "seg", "m", "rep.*", (F.col("d") > hot).alias("hot"))
     by_doc = want.groupBy("doc", "th").agg(F.collect_list(F.struct("key", "seg", "lo", "n", "m", "hot")).alias("want"))
     got = d.join(by_doc, d["doc"].eqNullSafe(by_doc["doc"]) & (d["th"] == by_doc["th"])).select("text", "want")
-    parts = saved(map_arrow(got, _fetch(length), "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
-    sorted_ = map_arrow(parts.where("not hot").select("key", "seg", "bytes", "m").repartition("key").sortWithinPartitions("key", "seg"),
-                        _sort_shard(length), "key long, seg long, starts array<int>")
-    w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "m"), _windows(length), "h1 long, h2 long, key long, seg long, at int, m long")
-    twice = w.groupBy("h1", "h2").agg(F.sum("m").alias("c")).where("c > 1").select("h1", "h2")
-    counted = w.where("m = 1").join(twice, ["h1", "h2"], "left_semi").groupBy("key", "seg").agg(F.collect_list("at").alias("starts"))
+    parts = saved(map_arrow(got, _fetch(length), "key long, seg long, bytes binary, starts int, m long, hot boolean"), "passage-parts")
+    cold = parts.where("not hot").select("key", "seg", "bytes", "starts", "m").repartition("key").sortWithinPartitions("key", "seg")
+    sorted_ = map_arrow(cold, _sort_shard(lengths), "key long, seg long, size int, starts array<int>")
+    w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "starts", "m"), _windows(lengths),
+                  "h1 long, h2 long, size int, key long, seg long, at int, m long")
+    twice = w.groupBy("h1", "h2", "size").agg(F.sum("m").alias("c")).where("c > 1").select("h1", "h2", "size")
+    counted = w.where("m = 1").join(twice, ["h1", "h2", "size"], "left_semi").groupBy("key", "seg", "size").agg(F.collect_list("at").alias("starts"))
     found = saved(sorted_.unionByName(counted), "passage-starts")
-    copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", "lo", (F.col("lo") + F.col("reach")).alias("hi"))
+    sizes = F.explode(F.array(*(F.lit(x) for x in lengths))).alias("size")
+    # of equal runs all starts repeat; a long string that would end behind its text is told when the text is cut
+    copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", sizes, "lo", (F.col("lo") + F.col("reach")).alias("hi"))
     single = segs.where("m = 1").select("key", "seg", "rep.doc", "rep.th", "rep.lo").join(found, ["key", "seg"]).select(
-        "doc", "th", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
-        "doc", "th", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
+        "doc", "th", "size", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
+        "doc", "th", "size", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
     if words is not None:
-        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-words")
-        again = short.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
-        copies = copies.unionByName(short.join(again, ["h1", "h2"], "left_semi").select("doc", "th", "lo", "hi"))
-    return copies.unionByName(single).groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+        windows = saved(map_arrow(d, _short_windows(words + 1, least), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-words")
+        again = windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
+        copies = copies.unionByName(windows.join(again, ["h1", "h2"], "left_semi").select("doc", "th", F.lit(least).alias("size"), "lo", "hi"))
+    return copies.unionByName(single).groupBy("doc", "th", "size").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
 def _joined(starts):
@@ -331,43 +351,56 @@ def cut(raw: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[bytes,
     return b"".join(left), [(a, z) for a, z in spans]
 
 
-def _with_ranges(docs: DataFrame, doc_id: str, text: str, length: int, hot: int, words: int | None) -> DataFrame:
-    """The columns of ``docs`` as ``c0, c1, ...`` and ``r``, the text's runs of repeated starts (or null)."""
-    r = repeated_ranges(docs, doc_id, text, length, hot, words).select(F.col("doc").alias("rd"), F.col("th").alias("rt"), F.col("ranges").alias("r"))
+def word_count(raw: bytes) -> int:
+    return len(raw.decode(errors="ignore").split())
+
+
+def _with_ranges(docs: DataFrame, doc_id: str, text: str, length: int, hot: int, words: int | None, short: int | None = None) -> DataFrame:
+    """The columns of ``docs`` as ``c0, c1, ...``, and as ``r`` the text's runs of repeated starts by length (or null)."""
+    r = repeated_ranges(docs, doc_id, text, length, hot, words, short).groupBy(F.col("doc").alias("rd"), F.col("th").alias("rt")).agg(
+        F.collect_list(F.struct("size", "ranges")).alias("r"))  # one or two
     names = [f"c{k}" for k in range(len(docs.columns))]
     i, t = (names[docs.columns.index(c)] for c in (doc_id, text))
     return docs.toDF(*names).join(r, F.col(i).eqNullSafe(F.col("rd")) & (F.xxhash64(t) == F.col("rt")), "left").select(*names, "r")
 
 
-def _cuts(batches, text: str, length: int):
-    """Slices of documents with each text's bytes, the bytes left and the spans removed."""
+def _cuts(batches, text: str, lengths: list[int]):
+    """Slices of documents with each text's bytes, and for each length the bytes left and the spans removed."""
     for batch in batches:
         for part in by_bytes(batch, text, SLICE):
             rows = []
-            for t, rs in zip(part.column(text).to_pylist(), part.column("r").to_pylist()):
+            for t, r in zip(part.column(text).to_pylist(), part.column("r").to_pylist()):
                 raw = t.encode() if t else b""
-                rows.append((raw, *cut(raw, [(x["lo"], x["hi"]) for x in rs] if rs else [], length)))
+                of = {x["size"]: [(y["lo"], y["hi"]) for y in x["ranges"]] for x in r or []}
+                # of the longer length, starts too near to the text's end are none
+                rows.append((raw, [cut(raw, [(lo, min(hi, len(raw) - n)) for lo, hi in of.get(n, []) if lo <= len(raw) - n]
+                                       if n > min(lengths) else of.get(n, []), n) for n in lengths]))
             yield part, rows
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT,
-                    prefix: str = "psg_", words: int | None = None) -> DataFrame:
-    """``docs`` with ``<prefix>n_bytes``, ``<prefix>spans`` (byte spans removed), ``<prefix>kept`` (the bytes left)."""
-    names = [prefix + c for c in ("n_bytes", "spans", "kept")]
+                    prefix: str = "psg_", words: int | None = None, short: int | None = None) -> DataFrame:
+    """``docs`` with ``<prefix>n_bytes``, ``<prefix>spans`` (byte spans removed), ``<prefix>kept`` (the bytes left).
+
+    With ``short`` also ``<prefix>passages``: the byte spans that repeated strings of that lesser length, or of more than
+    ``words`` words, cover, as far as they hold more than ``words`` words; nothing of these is removed.
+    """
+    names = [prefix + c for c in ("n_bytes", "spans", "kept", "passages")[:4 if short else 3]]
     free_names(docs, *names)
-    j = _with_ranges(docs, doc_id, text, length, hot, words)
-    t, keep = j.columns[docs.columns.index(text)], j.columns[:-1]
+    j = _with_ranges(docs, doc_id, text, length, hot, words, short)
+    lengths = [length, *([short] if short else [])]
+    t, keep, docs_names = j.columns[docs.columns.index(text)], j.columns[:-1], docs.columns
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    told = lambda spans: [{"start": a, "end": z} for a, z in spans]
 
     def run(batches):
-        for part, rows in _cuts(batches, t, length):
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in keep), pa.array([len(raw) for raw, _, _ in rows], pa.int64()),
-                 pa.array([[{"start": a, "end": z} for a, z in spans] for _, _, spans in rows], span), pa.array([left for _, left, _ in rows], pa.binary())],
-                names=[*docs_names, *names])
+        for part, rows in _cuts(batches, t, lengths):
+            new = [pa.array([len(raw) for raw, _ in rows], pa.int64()), pa.array([told(c[0][1]) for _, c in rows], span), pa.array([c[0][0] for _, c in rows], pa.binary())]
+            if short:
+                new.append(pa.array([told((a, z) for a, z in c[1][1] if word_count(raw[a:z]) > (words or 0)) for raw, c in rows], span))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], names=[*docs_names, *names])
 
-    docs_names = docs.columns
-    added = T.StructType.fromDDL("n long, s array<struct<start:long,end:long>>, k binary").fields
+    added = T.StructType.fromDDL("n long, s array<struct<start:long,end:long>>, k binary, p array<struct<start:long,end:long>>").fields
     return map_arrow(j, run, T.StructType([*docs.schema.fields, *(T.StructField(n, f.dataType) for n, f in zip(names, added))]))
 
 
@@ -384,15 +417,13 @@ def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     count = names.index(n_chars) if n_chars in names else None
 
     def run(batches):
-        for part, rows in _cuts(batches, keep[at], length):
-            left = [kept.decode(errors="ignore") if spans else None for _, kept, spans in rows]
-            stay = pa.array([x is None or bool(x.strip()) for x in left])
+        for part, rows in _cuts(batches, keep[at], [length]):
+            left = [kept.decode(errors="ignore") if spans else None for _, ((kept, spans),) in rows]
+            stay = pa.array([x is None or bool(x.strip()) for x in left], pa.bool_())
             columns = [part.column(c) for c in keep]
-            was = columns[at].to_pylist()
-            columns[at] = pa.array([w if x is None else x for w, x in zip(was, left)], columns[at].type)
+            columns[at] = pa.array([w if x is None else x for w, x in zip(columns[at].to_pylist(), left)], columns[at].type)
             if count is not None:
-                now = [w if x is None else len(x) for w, x in zip(columns[count].to_pylist(), left)]
-                columns[count] = pa.array(now, columns[count].type)
+                columns[count] = pa.array([w if x is None else len(x) for w, x in zip(columns[count].to_pylist(), left)], columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(stay)
 
     return map_arrow(j, run, docs.schema)

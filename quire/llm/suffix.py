@@ -192,23 +192,39 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, stop: int | None =
 
 def repeated_starts(parts: list[bytes], length: int) -> list[np.ndarray]:
     """For each part, the starts of its ``length``-byte strings that also start elsewhere in the parts."""
+    return [x for x, in repeated_at(parts, [max(0, len(p) - length + 1) for p in parts], [length])]
+
+
+def repeated_at(parts: list[bytes], starts: list[int], lengths: list[int]) -> list[list[np.ndarray]]:
+    """For each part and each of the lengths, the starts of its strings that also start elsewhere in the parts.
+
+    Of each part only so many first ``starts`` count, as strings and as what they repeat.
+    """
     total = sum(map(len, parts)) + len(parts) + 1
     s = np.ones(total, np.uint16)  # 1 ends a part, 0 ends all
     at = np.empty(len(parts), np.int64)
+    counts = np.zeros(total, bool)
     i = 0
     for k, p in enumerate(parts):
         at[k] = i
         s[i:i + len(p)] = np.frombuffer(p, np.uint8).astype(np.uint16) + 2
+        counts[i:i + min(starts[k], len(p))] = True
         i += len(p) + 1
     s[-1] = 0
     sa = suffix_array(s, 258)
-    lcp = common_prefixes(s, sa, length, 1)
-    rank = np.empty(total, np.int64)
-    rank[sa] = np.arange(total)
-    after = np.append(sa, -1)[rank + 1]
-    twice = (lcp >= length) | ((after >= 0) & (lcp[after] >= length))
-    out = []
+    shared = common_prefixes(s, sa, max(lengths), 1)[sa]
+    place = np.flatnonzero(counts[sa])
+    out = [[] for _ in parts]
+    if len(place):
+        # between two that count, the least prefix shared by what stands from one to the other
+        before = np.zeros(len(place), np.int64)
+        if len(place) > 1:
+            before[1:] = np.minimum.reduceat(shared[:place[-1] + 1], place[:-1] + 1)
+        most = np.maximum(before, np.append(before[1:], 0))
+        longest = np.zeros(total, np.int64)
+        longest[sa[place]] = most
     for k, p in enumerate(parts):
-        n = len(p) - length + 1
-        out.append(np.flatnonzero(twice[at[k]:at[k] + n]) if n > 0 else np.empty(0, np.int64))
+        for length in lengths:
+            n = min(starts[k], len(p) - length + 1)
+            out[k].append(np.flatnonzero(longest[at[k]:at[k] + n] >= length) if n > 0 else np.empty(0, np.int64))
     return out
