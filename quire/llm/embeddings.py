@@ -7,7 +7,9 @@ triangle inequality no partner of a vector of that cell can lie farther. A pair
 home cell of one of the two (that of the lesser vector, if the other is also there), so each
 cell is joined alone and every pair is found once.
 
-Vectors that are equal bit for bit are one vector with a count. A cell's vectors are cut into
+Vectors are scaled by a power of two (exactly) so that no square overflows or vanishes; those that
+are equal then are one vector with a count. Pivots are a table that meets the vectors of its label
+in groups of ``GROUP``, so nothing of the labels passes the driver, however many are large. A cell's vectors are cut into
 blocks of at most ``BLOCK``, and pairs of blocks are tasks of their own, so a cell that holds a
 third of all rows is many small tasks. A task returns sums: links per vector, and the edges of a
 spanning forest of its links instead of all pairs.
@@ -23,7 +25,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import components, pick, ready, saved
@@ -32,7 +34,7 @@ COSINE = 0.93
 CELL = 4000
 MAX_PIVOTS = 256
 BLOCK = 4096
-LEAF = 200_000
+GROUP = 512  # vectors that meet their label's pivots in one task's group
 
 
 def _unit(raw: list) -> np.ndarray:
@@ -40,33 +42,31 @@ def _unit(raw: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The vector times the power of two that brings its largest component to between 1/2 and 1; no negative zeros."""
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])) + 0.0
+
+
 def exact_cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Cosines of paired rows, in double precision."""
     return (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
 
 
-def _cells(pivots: dict, reach: float):
-    """Rows of vectors -> a row per cell that needs the vector; ``home`` marks its own cell."""
-    def cells(batches):
-        for batch in batches:
-            out = []
-            for (label, size), g in batch.groupby(["label", "size"], sort=False):
-                p = pivots.get((label, size))
-                if p is None or len(p) < 2:
-                    out.append(pd.DataFrame({"label": g["label"], "size": g["size"], "cell": 0, "home": True, "node": g["node"], "v": g["v"], "n": g["n"]}))
-                    continue
-                x = _unit(list(g["v"]))
-                near = x @ p.T
-                own = near.argmax(1)
-                gap = near[np.arange(len(x)), own][:, None] - near  # half the difference of squared distances
-                apart = np.sqrt(np.maximum(0.0, 2 - 2 * (p @ p.T)))[own]
-                far = np.divide(gap, apart, out=np.zeros_like(gap), where=apart > 0)  # distance to the bisecting plane
-                row, cell = np.nonzero(far <= reach + 1e-9)
-                home = own[row] == cell
-                out.append(pd.DataFrame({"label": label, "size": size, "cell": cell, "home": home, "node": g["node"].to_numpy()[row],
-                                         "v": g["v"].to_numpy()[row], "n": g["n"].to_numpy()[row]}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+def _cells(reach: float):
+    """A group of vectors of a label and its pivots -> a row per cell that needs the vector; ``home`` marks its own cell."""
+    def cells(g: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        columns = ["label", "size", "cell", "home", "node", "v", "n"]
+        if not len(g):
+            return pd.DataFrame([], columns=columns)
+        p, x = _unit(list(pivots.sort_values("k")["v"])), _unit(list(g["v"]))
+        near = x @ p.T
+        own = near.argmax(1)
+        gap = near[np.arange(len(x)), own][:, None] - near  # half the difference of squared distances
+        apart = np.sqrt(np.maximum(0.0, 2 - 2 * (p @ p.T)))[own]
+        far = np.divide(gap, apart, out=np.zeros_like(gap), where=apart > 0)  # distance to the bisecting plane
+        row, cell = np.nonzero(far <= reach + 1e-9)
+        out = g.iloc[row][["label", "size", "node", "v", "n"]].reset_index(drop=True)
+        return out.assign(cell=cell, home=own[row] == cell)[columns]
     return cells
 
 
@@ -133,22 +133,26 @@ def range_join(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
 
     @F.pandas_udf("binary")
     def packed(column: pd.Series) -> pd.Series:
-        return column.map(lambda x: (np.asarray(x, np.float64) + 0.0).tobytes())
+        return column.map(lambda x: scaled(np.asarray(x, np.float64)).tobytes())
 
     # equal vectors are one node: the least id of label and components
     full = saved(v.where(usable).withColumn("v", packed("e")).select("id", "label", "v"), "vec-packed")
     alike = ["label", "v"]
     node = saved(full.groupBy(*alike).agg(F.min("id").alias("node"), F.count("*").alias("n")).withColumn(
         "size", F.octet_length("v")), "vec-nodes")
-    per = node.groupBy("label", "size").agg(F.count("*").alias("c")).where(F.col("c") > cell).limit(LEAF).collect()
-    pivots = {}
-    for r in per:  # labels with more than one cell: at most MAX_PIVOTS vectors of each come to the driver
-        k = min(MAX_PIVOTS, math.ceil(r["c"] / cell))
-        rows = node.where((F.col("label") == r["label"]) & (F.col("size") == r["size"])).orderBy(F.xxhash64("v"), "node").limit(k).select("v").collect()
-        pivots[(r["label"], r["size"])] = _unit([x["v"] for x in rows])
     reach = math.sqrt(max(0.0, 2 - 2 * cosine))
+    big = node.groupBy("label", "size").agg(F.count("*").alias("c")).where(F.col("c") > cell)
+    at = ["label", "size"]
+    mine = saved(node.join(big, at), "vec-large")
+    first = F.row_number().over(Window.partitionBy(*at).orderBy(F.xxhash64("v"), "node"))
+    pivots = mine.withColumn("k", first).where((F.col("k") <= MAX_PIVOTS) & (F.col("k") <= F.ceil(F.col("c") / cell)))
+    groups = F.ceil(F.col("c") / GROUP)
+    dealt = mine.withColumn("group", F.pmod(F.xxhash64(F.lit(3), "node"), groups)).select(*at, "group", "node", "v", "n").alias("d")
+    met = pivots.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), groups - 1))).select(*at, "group", "k", "v").alias("m")
     kind = "label string, size int, cell int, home boolean, node long, v binary, n long"
-    placed = saved(node.mapInPandas(_cells(pivots, reach), kind), "vec-cells")
+    spread = dealt.groupBy(*(F.col(f"d.{c}") for c in (*at, "group"))).cogroup(met.groupBy(*(F.col(f"m.{c}") for c in (*at, "group")))).applyInPandas(_cells(reach), kind)
+    whole = node.join(big.select(*at), at, "left_anti").select(*at, F.lit(0).alias("cell"), F.lit(True).alias("home"), "node", "v", "n")
+    placed = saved(whole.unionByName(spread), "vec-cells")
     crowd = placed.groupBy("label", "size", "cell").agg(F.count("*").alias("c")).withColumn("blocks", F.ceil(F.col("c") / block).cast("int"))
     # a block meets every block of its cell; how many there are is known from the counts, so pairs are dealt by arithmetic
     p = placed.join(crowd, ["label", "size", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))

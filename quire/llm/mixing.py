@@ -21,11 +21,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quire.llm.common import pick, ready, saved
+from quire.llm.common import by_bytes, map_arrow, pick, ready, saved
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
@@ -35,6 +36,7 @@ BUCKET_ROWS = 512
 MAX_BUCKETS = 65_536
 MAX_SOURCES = 100_000
 SEED = 20_24
+SLICE = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -227,17 +229,29 @@ class Mix:
         white space kept; rows of which nothing is taken go. Rows equal in id and text are interchangeable."""
         parts = self.mixture().groupBy("row", "doc_id", "th").agg(
             F.sort_array(F.collect_list(F.struct("epoch", "from_word", "words"))).alias("parts"))  # a document's own blocks, at most cap times
-        same = Window.partitionBy("qm_id", "qm_th").orderBy("qm_one")
-        p = parts.select(F.col("doc_id").alias("qm_id"), F.col("th").alias("qm_th"), F.col("row").alias("qm_one"), F.col("parts").alias("qm_parts"))
-        p = p.withColumn("qm_k", F.row_number().over(same)).drop("qm_one")
-        d = docs.select("*", F.col(doc_id).alias("qm_id"), F.xxhash64(text).alias("qm_th"), F.lit(0).alias("qm_one"))
-        d = d.withColumn("qm_k", F.row_number().over(same)).drop("qm_one")
-        cond = d["qm_id"].eqNullSafe(p["qm_id"]) & (d["qm_th"] == p["qm_th"]) & (d["qm_k"] == p["qm_k"])
-        j = d.join(p, cond).select(*(d[c] for c in docs.columns), p["qm_parts"])
-        j = j.withColumn(text, _cut(F.col(text), F.col("qm_parts")))
-        if n_chars in docs.columns:
-            j = j.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType))
-        return j.select(*docs.columns)
+        same = Window.partitionBy("id", "th").orderBy("row")
+        p = parts.withColumnsRenamed({"doc_id": "id"}).withColumn("k", F.row_number().over(same)).select(
+            F.col("id").alias("pid"), F.col("th").alias("pth"), F.col("k").alias("pk"), "parts")
+        names = [f"c{k}" for k in range(len(docs.columns))]  # the caller's names stay out of the join
+        i, t = (names[docs.columns.index(c)] for c in (doc_id, text))
+        d = docs.toDF(*names).withColumn("th", F.xxhash64(t))
+        d = d.withColumn("k", F.row_number().over(Window.partitionBy(i, "th").orderBy(F.lit(0))))
+        j = d.join(p, F.col(i).eqNullSafe(F.col("pid")) & (F.col("th") == F.col("pth")) & (F.col("k") == F.col("pk"))).select(*names, "parts")
+        at, count = docs.columns.index(text), docs.columns.index(n_chars) if n_chars in docs.columns else None
+        out = docs.columns
+
+        def cut(batches):
+            for batch in batches:
+                for part in by_bytes(batch, names[at], SLICE):
+                    columns = [part.column(c) for c in names]
+                    texts = [cut_words(x or "", [(y["epoch"], y["from_word"], y["words"]) for y in ps])
+                             for x, ps in zip(columns[at].to_pylist(), part.column("parts").to_pylist())]
+                    columns[at] = pa.array(texts, columns[at].type)
+                    if count is not None:
+                        columns[count] = pa.array([len(x) for x in texts], columns[count].type)
+                    yield pa.RecordBatch.from_arrays(columns, names=out)
+
+        return map_arrow(j, cut, docs.schema)
 
 
 _WORD = re.compile(WORD)
@@ -257,11 +271,3 @@ def cut_words(text: str, parts: list) -> str:
         out.append(text[starts[a]:starts[a + n]])
         end = (epoch, a + n)
     return "".join(out)
-
-
-def _cut(text, parts):
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([cut_words(t, [(x["epoch"], x["from_word"], x["words"]) for x in p]) for t, p in zip(texts, lists)])
-
-    return cut(text, parts)

@@ -67,3 +67,28 @@ def test_empty_table_and_null_ids(spark):
     assert E.range_join(df).count() == 0 and E.range_join(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         E.range_join(df, cosine=0.0)
+
+
+def test_very_large_and_very_small_components(spark):
+    rows = [(1, [1e200, 0.0], 0), (2, [1.1e200, 0.0], 0), (3, [1e-200, 0.0], 0), (4, [1.0, 0.0], 0), (5, [5e-324, 0.0], 0), (6, [0.0, 1e308], 0),
+            (7, [1.7e308, 1.7e308], 1), (8, [2.0, 2.0], 1), (9, [3.0, -3.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.range_join(df).collect()}
+    assert got == {**{i: (4, 1) for i in range(1, 6)}, 6: (0, 6), 7: (1, 7), 8: (1, 7), 9: (0, 9)}
+
+
+def test_many_labels_beyond_a_cell_take_few_jobs(spark):
+    r = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in r.normal(size=3)], i % 150) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    counts = []
+    for labels in (6, 150):
+        sc.setJobGroup(f"vec-{labels}", "count jobs")
+        got = sorted(tuple(x) for x in E.range_join(df.where(f"label < {labels}"), cell=3).collect())
+        counts.append(len(tracker.getJobIdsForGroup(f"vec-{labels}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    few = [x for x in rows if x[2] < 20]
+    ids = {x[0] for x in few}
+    assert [x for x in got if x[0] in ids] == brute(few, 0.93)
+    assert counts[1] < counts[0] + 100  # rounds of the components may differ, 144 more labels do not count
