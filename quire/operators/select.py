@@ -77,22 +77,39 @@ def first_groups(df: DataFrame, key: str, n: int | None) -> DataFrame:
     return df.join(keys.orderBy(key).limit(n), on=key, how="left_semi")
 
 
+# So many (file, split) pairs come to the driver to be joined as a local table; more are joined as they are.
+MAX_LOCAL_SPLITS = 10_000
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """``df`` with ``src_file`` and ``src_row``: a row's place in stored order.
 
-    Parquet tables carry it (file path and row index). Any other table is written
-    once to the shared checkpoint folder, which fixes the numbers of its rows.
+    Parquet tables carry it (file path and row index). Of other files Spark knows the split a row is from (file
+    and first byte) and reads a split's rows in order: a row's number is the split's first byte plus its place in
+    the split, which rises along the file as no row is shorter than a byte. Such a table, and one that is
+    not read from files, is written once to the shared checkpoint folder, which fixes the numbers of its rows.
     A table that has both columns already stays as it is.
     """
     if {"src_file", "src_row"} <= set(df.columns):
         return df
+    at = F.monotonically_increasing_id()
     try:
         return df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
     except AnalysisException:
         from quire.session import checkpoint_dir
 
         checkpoint_dir(df.sparkSession)
-        return df.select("*", F.lit("").alias("src_file"), F.monotonically_increasing_id().alias("src_row")).checkpoint(eager=True)
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_block_start").alias("_split"), at.alias("_at"))
+    except AnalysisException:
+        return df.select("*", F.lit("").alias("src_file"), at.alias("src_row")).checkpoint(eager=True)
+    placed = placed.checkpoint(eager=True)
+    first = placed.groupBy("src_file", "_split").agg(F.min("_at").alias("_first"))
+    few = first.limit(MAX_LOCAL_SPLITS + 1).collect()
+    if len(few) <= MAX_LOCAL_SPLITS:
+        first = df.sparkSession.createDataFrame(few, first.schema)
+    row = F.col("_split") + F.col("_at") - F.col("_first")
+    return placed.join(first, ["src_file", "_split"]).select(*(F.col(f"`{c}`") for c in df.columns), "src_file", row.alias("src_row"))
 
 
 def first_rows_exact(df: DataFrame, order: list[str], n: int | None) -> DataFrame:

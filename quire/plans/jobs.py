@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.text import is_git_spec, output_name, text_preview
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
-from quire.operators.select import with_position
 from quire.operators.shaping import (
     DEFAULT_BATCH_SIZE,
     DEFAULT_GRAD_ACCUM,
@@ -34,7 +33,7 @@ from quire.operators.shaping import (
 )
 from quire.operators.template import DEFAULT_DO_SAMPLE, DEFAULT_MAX_NEW_TOKENS, DEFAULT_TEMPERATURE, DEFAULT_TOP_P, EFFORT_LEVELS
 from quire.plans import chat, prepare, train
-from quire.sources.tables import load_prepared, open_table, write_prepared
+from quire.sources.tables import Rejected, load_prepared, open_table, write_prepared
 
 
 def _scalar(spark: SparkSession, col) -> object:
@@ -55,12 +54,17 @@ def prepare_dataset(
     overwrite: bool = True,
     out_root: str = "prepared",
     skipped: prepare.SkipCounts | None = None,
+    max_bad_share: float = 0.0,
+    rejected: Rejected | None = None,
+    bad_rows: str | None = None,
 ) -> tuple[int, str | None]:
     """Route by spec: a git spec reads the source tree at ``tree`` (already checked
     out on a shared mount); anything else is a conversation table: rows with
     ``messages`` (role, content, optional thinking), ShareGPT-like rows with
     ``conversations``, or flat turns ``conv_id, turn, role, text``.
-    Writes ``text`` partitioned by ``split``; returns (rows, first sample)."""
+    Writes ``text`` partitioned by ``split``; returns (rows, first sample). Malformed lines of a JSON table make no
+    sample: up to ``max_bad_share`` of all lines they are counted in ``rejected`` and written to ``bad_rows``, beyond
+    it the job fails."""
     spec = F.lit(dataset)
     target = out or os.path.join(out_root, _scalar(spark, output_name(spec, F.lit(split))))
     if _scalar(spark, is_git_spec(spec)):
@@ -72,17 +76,19 @@ def prepare_dataset(
         )
         order = ["repo", "path", "chunk_idx"]
     else:
-        df = open_table(spark, dataset)
+        found = rejected if rejected is not None else Rejected()
+        df = open_table(spark, dataset, position=True, max_bad_share=max_bad_share, rejected=found)
+        if bad_rows and found.rows is not None and found.rejected:
+            found.rows.write.mode("overwrite").parquet(bad_rows)
         if "split" in df.columns:
             df = df.where(F.col("split") == split)
         if "conversations" in df.columns or "messages" in df.columns:
             # a row is told by its place in stored order; an id, where there is one, comes first in the order
-            df = with_position(df)
             order = (["id"] if "id" in df.columns else []) + ["src_file", "src_row"]
             flow = prepare.messages_training_text if "messages" in df.columns else prepare.sharegpt_training_text
             text = flow(df, key=order, max_samples=max_samples)
         else:
-            text = prepare.conversation_training_text(df, max_samples=max_samples)
+            text = prepare.conversation_training_text(df.drop("src_file", "src_row"), max_samples=max_samples)
             order = ["conv_id"]
     out_df = text.withColumn("split", F.lit(split))
     n = write_prepared(out_df.select(*order, "text", "split"), target, overwrite=overwrite)
@@ -170,6 +176,8 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--max-file-bytes", type=int, default=DEFAULT_MAX_FILE_BYTES)
     a.add_argument("--max-chars", type=int, default=DEFAULT_MAX_CHARS)
     a.add_argument("--no-overwrite", action="store_true")
+    a.add_argument("--max-bad-share", type=float, default=0.0, help="share of malformed JSON lines above which the job fails")
+    a.add_argument("--bad-rows", help="folder for the malformed lines, with file and byte offset")
     b = sub.add_parser("plan")
     b.add_argument("--dataset-dir", required=True)
     b.add_argument("--out", required=True)
@@ -195,12 +203,13 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if args.cmd == "prepare":
-        skipped = prepare.SkipCounts()
+        skipped, rejected = prepare.SkipCounts(), Rejected()
         n, first = prepare_dataset(
             spark, args.dataset, args.out, split=args.split, tree=args.tree, max_samples=args.max_samples,
             max_file_bytes=args.max_file_bytes, max_chars=args.max_chars, overwrite=not args.no_overwrite, skipped=skipped,
+            max_bad_share=args.max_bad_share, rejected=rejected, bad_rows=args.bad_rows,
         )
-        print(f"wrote {n} samples; could not list {skipped.unlisted}, could not read {skipped.unread}")
+        print(f"wrote {n} samples; could not list {skipped.unlisted}, could not read {skipped.unread}, rejected {rejected.rejected} of {rejected.lines} lines")
         print(f"the first one begins:\n{first}")
     elif args.cmd == "stream":
         stream_prepare(spark, args.source, args.out, args.kind, args.format)

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.select import pick_split
+from quire.operators.select import pick_split, with_position
+from quire.sources.jsonlines import SPLIT_BYTES, json_lines, parsed
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -52,27 +54,53 @@ JSON_SCHEMA = (
 JSON_KINDS = (("messages",), ("conversations",), ("conv_id", "turn", "role", "text"), ("developer", "user_text"))
 
 
-def open_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+@dataclass
+class Rejected:
+    """What reading a text table found: its lines, how many were rejected, and these as rows
+    ``src_file, src_row (byte offset), line`` (a side table to write, or None for other formats)."""
+
+    lines: int = 0
+    rejected: int = 0
+    rows: DataFrame | None = None
+
+
+def open_table(spark: SparkSession, path: str, fmt: str | None = None, *, position: bool = False, max_bad_share: float = 0.0,
+               rejected: Rejected | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """A table of any kind the engine reads: Parquet, or JSON lines (by name, or as the files of a folder).
 
     JSON is read with the fixed columns above. One aggregate over all rows tells their kind, and columns of
     other kinds go; rows of more than one kind are an error. An ``id`` or ``split`` stays if any row has one.
+    The same aggregate counts malformed lines. They are no rows of the table; more of them than ``max_bad_share`` of
+    all lines (by default, any) are an error that names the first, before anything is made of the table.
+    ``rejected`` receives the counts and the lines. With ``position``, rows carry ``src_file`` and ``src_row``, their
+    place in stored order.
     """
     if fmt in (None, "parquet") and not _is_json(spark, path):
-        return spark.read.parquet(path)
-    rows = spark.read.schema(JSON_SCHEMA).json(path)
-    kind_of = F.coalesce(*(F.when(_any_value(k), F.lit(i)) for i, k in enumerate(JSON_KINDS)))
-    seen = rows.select(kind_of.alias("kind"), "id", "split").agg(
-        F.sort_array(F.collect_set("kind")).alias("kinds"), *(F.bool_or(F.col(c).isNotNull()).alias(c) for c in ("id", "split"))).first()
+        df = spark.read.parquet(path)
+        return with_position(df) if position else df
+    lines = parsed(json_lines(spark, path, split_bytes), JSON_SCHEMA)
+    good = lines.where(~F.col("bad")).select("src_file", "src_row", "row.*")
+    kind_of = F.coalesce(*(F.when(_any_value(k, "row."), F.lit(i)) for i, k in enumerate(JSON_KINDS)))
+    fine = ~F.col("bad")
+    seen = lines.agg(
+        F.sort_array(F.collect_set(F.when(fine, kind_of))).alias("kinds"), *(F.bool_or(fine & F.col(f"row.{c}").isNotNull()).alias(c) for c in ("id", "split")),
+        F.count("*").alias("lines"), F.count_if("bad").alias("bad"), F.min(F.when(F.col("bad"), F.struct("src_file", "src_row"))).alias("first")).first()
+    if rejected is not None:
+        rejected.lines, rejected.rejected = seen["lines"], seen["bad"]
+        rejected.rows = lines.where("bad").select("src_file", "src_row", "line")
+    if seen["bad"] > max_bad_share * seen["lines"]:
+        at = seen["first"]
+        raise ValueError(f"{path}: {seen['bad']} of {seen['lines']} lines are malformed, the first at byte {at['src_row']} of {at['src_file']}; "
+                         f"a share of {max_bad_share} is allowed")
     if len(seen["kinds"]) > 1:
         raise ValueError(f"{path} has rows of more than one kind: " + "; ".join(", ".join(JSON_KINDS[i]) for i in seen["kinds"]))
     kind = JSON_KINDS[seen["kinds"][0]] if seen["kinds"] else JSON_KINDS[0]
-    return rows.select(*(c for c in ("id", "split") if seen[c]), *kind)
+    return good.select(*(c for c in ("id", "split") if seen[c]), *kind, *(["src_file", "src_row"] if position else []))
 
 
-def _any_value(columns: tuple[str, ...]):
+def _any_value(columns: tuple[str, ...], of: str = ""):
     """Whether a row has a value in any of the columns."""
-    return F.coalesce(*(F.when(F.col(c).isNotNull(), True) for c in columns), F.lit(False))
+    return F.coalesce(*(F.when(F.col(of + c).isNotNull(), True) for c in columns), F.lit(False))
 
 
 def _is_json(spark: SparkSession, path: str) -> bool:
