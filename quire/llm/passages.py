@@ -16,15 +16,15 @@ anchor's hash (the shard key), the hash of the run's bytes, and its place.
    by one by a 128-bit hash, pre-aggregated, which is the same test without a bound on the key.
 4. The repeated starts of a document become byte ranges, and its text is cut.
 
-Two lengths can be told in one pass (``short`` and ``length``): anchors are those of the short
-windows, and a run carries its bytes up to the end of its last long window. Equal long windows
-begin with equal short ones, so they meet in the same shard, where a common prefix of either
-length decides.
-
 With ``words``, strings of more than so many words that are shorter than ``length`` count too:
 each window of ``words + 1`` whole words (runs between white space) of under ``length`` bytes is
 counted by a 128-bit hash. Longer windows hold a string of ``length`` bytes already.
 
+Passages of more than so many words are told by the same runs over words instead of bytes
+(``repeated_words``): a window is so many hashed words, its anchor the least-hashed gram of
+words. Equal runs are copies; of anchors with different runs the windows are counted one by one,
+by a 128-bit hash, as they are few.
+
 Texts are UTF-8 bytes; null counts as empty; texts shorter than ``length`` keep all. Rows
 that repeat each other exactly are documents that repeat each other. Null ids are allowed.
 """
@@ -40,13 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm.common import by_bytes, free_names, map_arrow, pick, saved
-from quire.llm.suffix import repeated_at
+from quire.llm.suffix import repeated_starts
 
 LENGTH = 400
-HOT = 1024
-SHARD_BYTES = 1 << 18
+HOT = 4096
+SHARD_BYTES = 1 << 19
 CHUNK = 1 << 18
 SLICE = 1 << 20
+CACHE = 100_000
 _POS = np.uint64((1 << 22) - 1)
 _B = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
@@ -113,12 +114,12 @@ def runs(b: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.
     return lo, hi, h[(least[lo] & _POS).astype(np.int64)].view(np.int64)
 
 
-def _pieces(offsets: np.ndarray, reach: int):
+def _pieces(offsets: np.ndarray, length: int):
     """Cut a batch of texts into pieces of about ``CHUNK`` bytes: (first text, last text, from, to) in bytes.
 
-    Pieces hold whole texts; a longer text is cut into pieces that overlap by ``reach - 1``.
+    Pieces hold whole texts; a longer text is cut into pieces that overlap by ``length - 1``.
     """
-    step = max(CHUNK, 2 * reach)
+    step = max(CHUNK, 2 * length)
     n = len(offsets) - 1
     i = 0
     while i < n:
@@ -129,7 +130,7 @@ def _pieces(offsets: np.ndarray, reach: int):
                 yield i, i + 1, a, z
                 if z == offsets[i + 1]:
                     break
-                a = z - reach + 1
+                a = z - length + 1
             i += 1
             continue
         j = i + 1
@@ -150,23 +151,19 @@ def _bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _scan(length: int, gram: int, reach: int):
+def _scan(length: int, gram: int):
     def scan(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             data, offsets = _bytes_of(batch.column("text"))
-            for i, j, a, z in _pieces(offsets, reach):
+            for i, j, a, z in _pieces(offsets, length):
                 lo, hi, key = runs(data[a:z], offsets[i:j + 1].clip(a, z) - a, length, gram)
-                last = z if z == offsets[j] else z - reach + 1  # later starts are the next piece's
-                here = lo < last - a
-                lo, hi, key = lo[here], np.minimum(hi[here], last - a - 1), key[here]
                 if not len(lo):
                     continue
                 raw = memoryview(data[a:z])
+                seg = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(lo.tolist(), (hi + length).tolist())], np.uint64).view(np.int64)
                 doc = i + np.searchsorted(offsets[i + 1:j + 1] - a, lo, "right")
-                ends = np.minimum(hi + reach, offsets[doc + 1] - a)
-                seg = np.array([xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(lo.tolist(), ends.tolist())], np.uint64).view(np.int64)
                 # equal runs without a gap are one row
                 fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)))
                 first = np.flatnonzero(fresh)
@@ -180,7 +177,7 @@ def _scan(length: int, gram: int, reach: int):
     return scan
 
 
-def _fetch(reach: int):
+def _fetch(length: int):
     """Rows of documents with the runs wanted of them -> rows of runs with their bytes."""
     def fetch(batches):
         for batch in batches:
@@ -191,52 +188,48 @@ def _fetch(reach: int):
                     part = rows[at:at + 4096]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r["key"] for r in part]), pa.array([r["seg"] for r in part]),
-                         pa.array([raw[r["lo"]:r["lo"] + r["n"] + reach] for r in part]), pa.array([r["n"] + 1 for r in part], pa.int32()),
-                         pa.array([r["m"] for r in part], pa.int64()), pa.array([r["hot"] for r in part])],
-                        names=["key", "seg", "bytes", "starts", "m", "hot"])
+                         pa.array([raw[r["lo"]:r["lo"] + r["n"] + length] for r in part]), pa.array([r["m"] for r in part], pa.int64()),
+                         pa.array([r["hot"] for r in part])],
+                        names=["key", "seg", "bytes", "m", "hot"])
     return fetch
 
 
-def _sort_shard(lengths: list[int]):
-    """Runs sorted by key -> repeated starts of each length of the runs that occur once; whole keys are sorted together."""
+def _sort_shard(length: int):
+    """Runs sorted by key -> repeated starts of the runs that occur once; whole keys are sorted together."""
     def answer(held):
-        found = repeated_at([x[2] for x in held], [x[3] for x in held], lengths)
-        for k, length in enumerate(lengths):
-            out = [(key, seg, s[k].astype(np.int32)) for (key, seg, _, _, m), s in zip(held, found) if m == 1 and len(s[k])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([length] * len(out), pa.int32()),
-                 pa.array([x[2] for x in out], pa.list_(pa.int32()))], names=["key", "seg", "size", "starts"])
+        out = [(k, g, s.astype(np.int32)) for (k, g, _, m), s in zip(held, repeated_starts([x[2] for x in held], length)) if m == 1 and len(s)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int32()))],
+            names=["key", "seg", "starts"])
 
     def sort(batches):
         held, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "starts", "m"))):
-                if row[0] != last and size >= SHARD_BYTES:
-                    yield from answer(held)
+            for key, seg, raw, m in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "m"))):
+                if key != last and size >= SHARD_BYTES:
+                    yield answer(held)
                     held, size = [], 0
-                held.append(row)
-                size += len(row[2])
-                last = row[0]
+                held.append((key, seg, raw, m))
+                size += len(raw)
+                last = key
         if held:
-            yield from answer(held)
+            yield answer(held)
     return sort
 
 
-def _windows(lengths: list[int]):
-    """Every window of the runs, of each length, by a 128-bit hash."""
+def _windows(length: int):
+    """Every window of the runs, by a 128-bit hash."""
     def each(batches):
         for batch in batches:
-            for key, seg, raw, starts, m in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "starts", "m"))):
+            for key, seg, raw, m in zip(*(batch.column(c).to_pylist() for c in ("key", "seg", "bytes", "m"))):
+                n = len(raw) - length + 1
                 view = memoryview(raw)
-                for length in lengths:
-                    n = min(starts, len(raw) - length + 1)
-                    if n <= 0:
-                        continue
-                    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(n)), np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(np.full(n, length, np.int32)), pa.array(np.full(n, key)),
-                         pa.array(np.full(n, seg)), pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, m))],
-                        names=["h1", "h2", "size", "key", "seg", "at", "m"])
+                d = b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(n))
+                h = np.frombuffer(d, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(np.full(n, key)), pa.array(np.full(n, seg)),
+                     pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, m))],
+                    names=["h1", "h2", "key", "seg", "at", "m"])
     return each
 
 
@@ -280,46 +273,149 @@ def _short_windows(words: int, length: int):
     return each
 
 
-def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None,
-                    short: int | None = None) -> DataFrame:
-    """Rows ``doc, th, size, ranges``: for each text (id and hash) with repeats of ``size`` bytes, its runs of repeated starts ``(first, last)``.
+def _word_hashes(text: str, cache: dict[str, int]) -> np.ndarray:
+    """The words of a text as 64-bit hashes, taken in pieces that cut no word; the cache is bounded."""
+    out, at = [], 0
+    while at < len(text):
+        z = min(at + CHUNK, len(text))
+        while z < len(text) and not text[z].isspace():
+            z += 1
+        ws = text[at:z].split()
+        if len(cache) > CACHE:
+            cache.clear()
+        for w in set(ws) - cache.keys():
+            cache[w] = xxhash.xxh3_64_intdigest(w)
+        out.append(np.array([cache[w] for w in ws], np.uint64))
+        at = z
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def _word_scan(size: int, gram: int):
+    """Runs of windows of ``size`` words with one anchor, as ``_scan`` gives those of bytes; places count words."""
+    def flush(batch, rows, hs):
+        h = np.concatenate(hs)
+        bounds = np.cumsum([0, *map(len, hs)])
+        for a in range(0, max(1, len(h) - size + 1), CHUNK):  # whole texts, or pieces of a long one that overlap by size - 1
+            part = h[a:a + CHUNK + size - 1]
+            inner = bounds[(bounds > a) & (bounds < a + len(part))] - a
+            lo, hi, key = runs(part, np.array([0, *inner, len(part)]), size, gram)
+            if not len(lo):
+                continue
+            raw = memoryview(part).cast("B")
+            seg = np.array([xxhash.xxh3_64_intdigest(raw[8 * x:8 * y]) for x, y in zip(lo.tolist(), (hi + size).tolist())], np.uint64).view(np.int64)
+            doc = np.searchsorted(bounds, lo + a, "right") - 1
+            fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)))
+            first = np.flatnonzero(fresh)
+            times = np.diff(first, append=len(lo))
+            over = hi[first + times - 1] - lo[first]
+            take = pa.array(np.array(rows)[doc[first]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[first]), pa.array(seg[first]), batch.column("doc").take(take), batch.column("th").take(take),
+                 pa.array(lo[first] + a - bounds[doc[first]]), pa.array((hi - lo)[first].astype(np.int32)), pa.array(times), pa.array(over)],
+                names=["key", "seg", "doc", "th", "lo", "n", "times", "reach"])
+
+    def scan(batches):
+        cache: dict[str, int] = {}
+        for batch in batches:
+            rows, hs, held = [], [], 0
+            for k, t in enumerate(batch.column("text")):
+                h = _word_hashes(t.as_py() or "", cache)
+                if len(h) < size:
+                    continue
+                rows.append(k)
+                hs.append(h)
+                held += len(h)
+                if held >= CHUNK // 4:
+                    yield from flush(batch, rows, hs)
+                    rows, hs, held = [], [], 0
+            if hs:
+                yield from flush(batch, rows, hs)
+    return scan
+
+
+def _wanted_windows(size: int):
+    """Rows of documents with the runs wanted of them -> every window of these runs, by a 128-bit hash."""
+    def each(batches):
+        cache: dict[str, int] = {}
+        for batch in batches:
+            for text, want in zip(batch.column("text"), batch.column("want")):
+                raw = memoryview(_word_hashes(text.as_py() or "", cache)).cast("B")
+                want = want.as_py()
+                for k in range(0, len(want), 1000):
+                    rows = [(r["key"], r["seg"], i, r["m"], xxhash.xxh3_128_digest(raw[8 * (r["lo"] + i):8 * (r["lo"] + i + size)]))
+                            for r in want[k:k + 1000] for i in range(r["n"] + 1)]
+                    key, seg, at, m, digest = zip(*rows)
+                    h = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(key, pa.int64()), pa.array(seg, pa.int64()),
+                         pa.array(at, pa.int32()), pa.array(m, pa.int64())], names=["h1", "h2", "key", "seg", "at", "m"])
+    return each
+
+
+def _told(r: DataFrame, segs: DataFrame, found: DataFrame) -> DataFrame:
+    """Runs of repeated starts of each text: all of equal runs, the ``found`` starts of single ones."""
+    copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", "lo", (F.col("lo") + F.col("reach")).alias("hi"))
+    single = segs.where("m = 1").select("key", "seg", "rep.doc", "rep.th", "rep.lo").join(found, ["key", "seg"]).select(
+        "doc", "th", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
+        "doc", "th", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
+    return copies.unionByName(single)
+
+
+def _counted(r: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Different runs of anchors that occur more than once, with their number and one place each; rows wanted to tell their windows apart."""
+    every = r.groupBy("key", "seg").agg(F.sum("times").alias("m"), F.min(F.struct("doc", "th", "lo", "n")).alias("rep"))
+    kinds = every.groupBy("key").agg(F.count("*").alias("d"))
+    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs")
+    return segs, segs.where("d > 1").select("key", "seg", "m", "d", "rep.*")
+
+
+def _with_wanted(d: DataFrame, want: DataFrame) -> DataFrame:
+    by_doc = want.groupBy("doc", "th").agg(F.collect_list(F.struct(*(c for c in want.columns if c not in ("doc", "th")))).alias("want"))
+    return d.join(by_doc, d["doc"].eqNullSafe(by_doc["doc"]) & (d["th"] == by_doc["th"])).select("text", "want")
+
+
+def _starts(w: DataFrame) -> DataFrame:
+    """Of windows by hash the places of those that occur again, by run."""
+    twice = w.groupBy("h1", "h2").agg(F.sum("m").alias("c")).where("c > 1").select("h1", "h2")
+    return w.where("m = 1").join(twice, ["h1", "h2"], "left_semi").groupBy("key", "seg").agg(F.collect_list("at").alias("starts"))
+
+
+def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 50) -> DataFrame:
+    """Rows ``doc, th, ranges``: of each text with repeated strings of more than ``words`` words, the runs of words ``(first, last)`` at which such a string starts."""
+    size = words + 1
+    gram = gram_size(size)
+    d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    r = saved(map_arrow(d.where(F.octet_length("text") >= 2 * size - 1), _word_scan(size, gram),
+                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-words")
+    segs, want = _counted(r)
+    w = saved(map_arrow(_with_wanted(d, want.drop("d")), _wanted_windows(size), "h1 long, h2 long, key long, seg long, at int, m long"), "passage-windows")
+    return _told(r, segs, _starts(w)).groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
-    With ``short``, repeats of that lesser length are told too. With ``words``, repeated strings of more words than that count
-    for the least length even if they are shorter.
+
+def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None) -> DataFrame:
+    """Rows ``doc, th, ranges``: for each text (id and hash) with repeats, its runs of repeated starts ``(first, last)``.
+
+    With ``words``, repeated strings of more words than that count even if they are shorter than ``length``.
     """
-    least = min(length, short or length)
-    lengths = sorted({least, length})
-    gram = gram_size(least)
+    gram = gram_size(length)
     d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    r = saved(map_arrow(d.where(F.octet_length("text") >= least), _scan(least, gram, length),
+    r = saved(map_arrow(d.where(F.octet_length("text") >= length), _scan(length, gram),
                         f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs")
-    first = F.min(F.struct("doc", "th", "lo", "n"))
-    every = r.groupBy("key", "seg").agg(F.sum("times").alias("m"), first.alias("rep"))
-    kinds = every.groupBy("key").agg(F.count("*").alias("d"))
-    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs")
-    want = segs.where("d > 1").select("key", "seg", "m", "rep.*", (F.col("d") > hot).alias("hot"))
-    by_doc = want.groupBy("doc", "th").agg(F.collect_list(F.struct("key", "seg", "lo", "n", "m", "hot")).alias("want"))
-    got = d.join(by_doc, d["doc"].eqNullSafe(by_doc["doc"]) & (d["th"] == by_doc["th"])).select("text", "want")
-    parts = saved(map_arrow(got, _fetch(length), "key long, seg long, bytes binary, starts int, m long, hot boolean"), "passage-parts")
-    cold = parts.where("not hot").select("key", "seg", "bytes", "starts", "m").repartition("key").sortWithinPartitions("key", "seg")
-    sorted_ = map_arrow(cold, _sort_shard(lengths), "key long, seg long, size int, starts array<int>")
-    w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "starts", "m"), _windows(lengths),
-                  "h1 long, h2 long, size int, key long, seg long, at int, m long")
-    twice = w.groupBy("h1", "h2", "size").agg(F.sum("m").alias("c")).where("c > 1").select("h1", "h2", "size")
-    counted = w.where("m = 1").join(twice, ["h1", "h2", "size"], "left_semi").groupBy("key", "seg", "size").agg(F.collect_list("at").alias("starts"))
-    found = saved(sorted_.unionByName(counted), "passage-starts")
-    sizes = F.explode(F.array(*(F.lit(x) for x in lengths))).alias("size")
-    # of equal runs all starts repeat; a long string that would end behind its text is told when the text is cut
-    copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", sizes, "lo", (F.col("lo") + F.col("reach")).alias("hi"))
-    single = segs.where("m = 1").select("key", "seg", "rep.doc", "rep.th", "rep.lo").join(found, ["key", "seg"]).select(
-        "doc", "th", "size", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
-        "doc", "th", "size", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
+    segs, want = _counted(r)
+    parts = saved(map_arrow(_with_wanted(d, want.withColumn("hot", F.col("d") > hot).drop("d")), _fetch(length),
+                            "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
+    sorted_ = map_arrow(parts.where("not hot").select("key", "seg", "bytes", "m").repartition("key").sortWithinPartitions("key", "seg"),
+                        _sort_shard(length), "key long, seg long, starts array<int>")
+    w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "m"), _windows(length), "h1 long, h2 long, key long, seg long, at int, m long")
+    found = saved(sorted_.unionByName(_starts(w)), "passage-starts")
+    told = _told(r, segs, found)
     if words is not None:
-        windows = saved(map_arrow(d, _short_windows(words + 1, least), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-words")
-        again = windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
-        copies = copies.unionByName(windows.join(again, ["h1", "h2"], "left_semi").select("doc", "th", F.lit(least).alias("size"), "lo", "hi"))
-    return copies.unionByName(single).groupBy("doc", "th", "size").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-short")
+        again = short.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
+        told = told.unionByName(short.join(again, ["h1", "h2"], "left_semi").select("doc", "th", "lo", "hi"))
+    return told.groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
 def _joined(starts):
@@ -351,53 +447,83 @@ def cut(raw: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[bytes,
     return b"".join(left), [(a, z) for a, z in spans]
 
 
-def word_count(raw: bytes) -> int:
-    return len(raw.decode(errors="ignore").split())
+def word_spans(text: str, ranges: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+    """Maximal byte spans that windows of ``size`` words cover, for the windows' first words in runs (first, last)."""
+    edges = np.empty((0, 2), np.int64)
+    out, base, at = [], 0, 0
+    while at < len(text):  # in pieces that cut no word
+        z = min(at + CHUNK, len(text))
+        while z < len(text) and not text[z].isspace():
+            z += 1
+        cp = np.frombuffer(text[at:z].encode("utf-32-le"), np.uint32)
+        byte = np.zeros(len(cp) + 1, np.int64)
+        np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF), out=byte[1:])
+        edge = np.diff(np.concatenate(([False], ~_SPACE[np.minimum(cp, 0x3001)], [False])).astype(np.int8))
+        out.append(np.column_stack((byte[np.flatnonzero(edge == 1)], byte[np.flatnonzero(edge == -1)])) + base)
+        base, at = base + int(byte[-1]), z
+    edges = np.concatenate([edges, *out])
+    spans: list[list[int]] = []
+    last = -1
+    for lo, hi in sorted(ranges):
+        a, z = int(edges[lo, 0]), int(edges[hi + size - 1, 1])
+        if spans and lo <= last + 1:
+            spans[-1][1] = max(spans[-1][1], z)
+        else:
+            spans.append([a, z])
+        last = max(last, hi + size - 1)
+    return [(a, z) for a, z in spans]
 
 
-def _with_ranges(docs: DataFrame, doc_id: str, text: str, length: int, hot: int, words: int | None, short: int | None = None) -> DataFrame:
-    """The columns of ``docs`` as ``c0, c1, ...``, and as ``r`` the text's runs of repeated starts by length (or null)."""
-    r = repeated_ranges(docs, doc_id, text, length, hot, words, short).groupBy(F.col("doc").alias("rd"), F.col("th").alias("rt")).agg(
-        F.collect_list(F.struct("size", "ranges")).alias("r"))  # one or two
+def _with_ranges(docs: DataFrame, doc_id: str, text: str, *ranges: DataFrame) -> DataFrame:
+    """The columns of ``docs`` as ``c0, c1, ...``, and as ``r0, ...`` each table's ranges of the text (or null)."""
     names = [f"c{k}" for k in range(len(docs.columns))]
     i, t = (names[docs.columns.index(c)] for c in (doc_id, text))
-    return docs.toDF(*names).join(r, F.col(i).eqNullSafe(F.col("rd")) & (F.xxhash64(t) == F.col("rt")), "left").select(*names, "r")
+    of = ranges[0].select("doc", "th", F.col("ranges").alias("r0"))
+    if len(ranges) > 1:
+        more = ranges[1].select(F.col("doc").alias("d1"), F.col("th").alias("t1"), F.col("ranges").alias("r1"))
+        of = of.join(more, of["doc"].eqNullSafe(more["d1"]) & (of["th"] == more["t1"]), "full").select(
+            F.coalesce("doc", "d1").alias("doc"), F.coalesce("th", "t1").alias("th"), "r0", "r1")
+    return docs.toDF(*names).join(of, F.col(i).eqNullSafe(F.col("doc")) & (F.xxhash64(t) == F.col("th")), "left").select(
+        *names, *(f"r{k}" for k in range(len(ranges))))
+
+
+def _pairs(column) -> list[list[tuple[int, int]]]:
+    return [[(x["lo"], x["hi"]) for x in rs or []] for rs in column.to_pylist()]
 
 
-def _cuts(batches, text: str, lengths: list[int]):
-    """Slices of documents with each text's bytes, and for each length the bytes left and the spans removed."""
+def _cuts(batches, text: str, length: int):
+    """Slices of documents with each text's bytes, the bytes left and the spans removed."""
     for batch in batches:
         for part in by_bytes(batch, text, SLICE):
             rows = []
-            for t, r in zip(part.column(text).to_pylist(), part.column("r").to_pylist()):
+            for t, rs in zip(part.column(text).to_pylist(), _pairs(part.column("r0"))):
                 raw = t.encode() if t else b""
-                of = {x["size"]: [(y["lo"], y["hi"]) for y in x["ranges"]] for x in r or []}
-                # of the longer length, starts too near to the text's end are none
-                rows.append((raw, [cut(raw, [(lo, min(hi, len(raw) - n)) for lo, hi in of.get(n, []) if lo <= len(raw) - n]
-                                       if n > min(lengths) else of.get(n, []), n) for n in lengths]))
+                rows.append((raw, *cut(raw, rs, length)))
             yield part, rows
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT,
-                    prefix: str = "psg_", words: int | None = None, short: int | None = None) -> DataFrame:
+                    prefix: str = "psg_", words: int | None = None, passages: int | None = None) -> DataFrame:
     """``docs`` with ``<prefix>n_bytes``, ``<prefix>spans`` (byte spans removed), ``<prefix>kept`` (the bytes left).
 
-    With ``short`` also ``<prefix>passages``: the byte spans that repeated strings of that lesser length, or of more than
-    ``words`` words, cover, as far as they hold more than ``words`` words; nothing of these is removed.
+    With ``passages`` also ``<prefix>passages``: the byte spans covered by strings of more than so many words that are
+    there again, shorter than ``length`` or not; they are told, not removed.
     """
-    names = [prefix + c for c in ("n_bytes", "spans", "kept", "passages")[:4 if short else 3]]
+    names = [prefix + c for c in ("n_bytes", "spans", "kept", "passages")[:3 if passages is None else 4]]
     free_names(docs, *names)
-    j = _with_ranges(docs, doc_id, text, length, hot, words, short)
-    lengths = [length, *([short] if short else [])]
-    t, keep, docs_names = j.columns[docs.columns.index(text)], j.columns[:-1], docs.columns
+    told = [repeated_ranges(docs, doc_id, text, length, hot, words), *([] if passages is None else [repeated_words(docs, doc_id, text, passages)])]
+    j = _with_ranges(docs, doc_id, text, *told)
+    keep, docs_names = j.columns[:len(docs.columns)], docs.columns
+    t = keep[docs_names.index(text)]
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    told = lambda spans: [{"start": a, "end": z} for a, z in spans]
+    rows_of = lambda spans: [{"start": a, "end": z} for a, z in spans]
 
     def run(batches):
-        for part, rows in _cuts(batches, t, lengths):
-            new = [pa.array([len(raw) for raw, _ in rows], pa.int64()), pa.array([told(c[0][1]) for _, c in rows], span), pa.array([c[0][0] for _, c in rows], pa.binary())]
-            if short:
-                new.append(pa.array([told((a, z) for a, z in c[1][1] if word_count(raw[a:z]) > (words or 0)) for raw, c in rows], span))
+        for part, rows in _cuts(batches, t, length):
+            new = [pa.array([len(raw) for raw, _, _ in rows], pa.int64()), pa.array([rows_of(spans) for _, _, spans in rows], span),
+                   pa.array([left for _, left, _ in rows], pa.binary())]
+            if passages is not None:
+                new.append(pa.array([rows_of(word_spans(raw.decode(), rs, passages + 1)) if rs else [] for (raw, _, _), rs in zip(rows, _pairs(part.column("r1")))], span))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], names=[*docs_names, *names])
 
     added = T.StructType.fromDDL("n long, s array<struct<start:long,end:long>>, k binary, p array<struct<start:long,end:long>>").fields
@@ -411,14 +537,14 @@ def cut_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     A code point of which the cut leaves only some bytes goes too. Documents that lose all but
     white space go; all others stay, those without a repeat unchanged.
     """
-    j = _with_ranges(docs, doc_id, text, length, HOT, words)
-    names, keep = docs.columns, j.columns[:-1]
+    j = _with_ranges(docs, doc_id, text, repeated_ranges(docs, doc_id, text, length, HOT, words))
+    names, keep = docs.columns, j.columns[:len(docs.columns)]
     at = names.index(text)
     count = names.index(n_chars) if n_chars in names else None
 
     def run(batches):
-        for part, rows in _cuts(batches, keep[at], [length]):
-            left = [kept.decode(errors="ignore") if spans else None for _, ((kept, spans),) in rows]
+        for part, rows in _cuts(batches, keep[at], length):
+            left = [kept.decode(errors="ignore") if spans else None for _, kept, spans in rows]
             stay = pa.array([x is None or bool(x.strip()) for x in left], pa.bool_())
             columns = [part.column(c) for c in keep]
             columns[at] = pa.array([w if x is None else x for w, x in zip(columns[at].to_pylist(), left)], columns[at].type)

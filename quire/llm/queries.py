@@ -11,8 +11,8 @@ from quire.llm import embeddings, fim, fingerprints, mixing, neardup, passages,
 
 from quire.llm.common import saved
 
-#: What op8 reports as passages: repeated strings of so many bytes or of more words, where they cover more words.
-PASSAGE_BYTES, PASSAGE_WORDS = 240, 50
+#: What op8 reports as passages: repeated strings of more words than this.
+PASSAGE_WORDS = 50
 #: Folder of the vocabulary files.
 TOKENIZERS = os.environ.get("QUIRE_TOKENIZERS", "/opt/tokenizers")
 
@@ -71,7 +71,7 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     # the spans removed, and (following columns) the repeated passages of over 50 words, which may be shorter than 400 bytes
-    return passages.without_repeats(docs, prefix="p_", short=PASSAGE_BYTES, words=PASSAGE_WORDS).select(
+    return passages.without_repeats(docs, prefix="p_", passages=PASSAGE_WORDS).select(
         "doc_id", F.col("p_n_bytes").alias("n_bytes"), (F.col("p_n_bytes") - F.octet_length("p_kept")).alias("n_removed"),
         F.size("p_spans").cast("long").alias("n_spans"), F.sha2("p_kept", 256).alias("kept_sha256"),
         F.col("p_spans").alias("spans"), F.col("p_passages").alias("passages"))

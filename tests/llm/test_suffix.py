@@ -109,45 +109,40 @@ def test_awkward_rows(spark):
         P.repeated_ranges(docs, length=3)
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.tuples(st.binary(max_size=30).map(lambda b: bytes(x % 2 for x in b)), st.integers(0, 30)), min_size=1, max_size=6), st.integers(1, 7))
-def test_only_the_first_starts_of_parts_count(parts, length):
-    long = length + 3
-    c = {n: Counter(p[i:i + n] for p, k in parts for i in range(min(k, len(p) - n + 1))) for n in (length, long)}
-    got = S.repeated_at([p for p, _ in parts], [k for _, k in parts], [length, long])
-    for (p, k), x in zip(parts, got):
-        for n, s in zip((length, long), x):
-            # a string that reaches its length from a start that counts repeats if another start that counts shares it
-            assert s.tolist() == [i for i in range(min(k, len(p) - n + 1)) if c[n][p[i:i + n]] > 1]
-
-
-@pytest.mark.parametrize("hot", [0, 2, 1024])
-def test_two_lengths_in_one_pass(spark, hot, monkeypatch):
-    monkeypatch.setattr(P, "CHUNK", 700)
+def brute_words(rows, size):
+    """Word places covered by strings of ``size`` words that are there again."""
+    c = Counter(tuple(t.split()[i:i + size]) for _, t in rows for i in range(len(t.split()) - size + 1))
+    out = {}
+    for i, t in rows:
+        w = t.split()
+        hit = [False] * len(w)
+        for k in range(len(w) - size + 1):
+            if c[tuple(w[k:k + size])] > 1:
+                hit[k:k + size] = [True] * size
+        out[i] = [x for x, g in zip(w, hit) if g]
+    return out
+
+
+@pytest.mark.parametrize("chunk", [300, 1 << 18])
+def test_repeated_words_against_brute_force(spark, chunk, monkeypatch):
+    monkeypatch.setattr(P, "CHUNK", chunk)
     r, rows = random.Random(9), []
-    shared = [sentence(800 + k, 30) for k in range(4)]
-    for i in range(50):
-        t = sentence(i, r.randrange(0, 400 if i % 9 == 0 else 50))
+    shared = [sentence(700 + k, 30).split() for k in range(5)]
+    for i in range(70):
+        w = sentence(i, r.randrange(0, 900 if i % 9 == 0 else 50)).split()
         for _ in range(r.randrange(3)):
-            at = r.randrange(len(t) + 1)
-            t = t[:at] + r.choice(shared)[:r.randrange(20, 200)] + t[at:]
-        rows.append((i, t))
-    rows += [(50, rows[3][1]), (51, "a" * 900), (52, "ab" * 300), (53, shared[0]), (54, shared[0][:-1]), (55, "é日" * 60), (56, None), (57, "")]
+            at = r.randrange(len(w) + 1)
+            w[at:at] = r.choice(shared)[:r.randrange(3, 30)] + ["é日"]
+        rows.append((i, r.choice([" ", "\n", "  "]).join(w) + " " * r.randrange(2)))
+    rows += [(70, rows[3][1]), (71, "a " * 90), (72, "x y z " * 30), (73, ""), (74, " ".join(shared[0]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = P.without_repeats(docs, length=96, hot=hot, prefix="p_", short=40).collect()
-    raw = [(i, (t or "").encode()) for i, t in rows]
-    for name, n in (("p_spans", 96), ("p_passages", 40)):
-        out = []
-        for x in got:
-            t, kept, at = (x["text"] or "").encode(), b"", 0
-            for s in x[name]:
-                kept, at = kept + t[at:s["start"]], s["end"]
-            out.append((x["doc_id"], len(t), len(x[name]), hashlib.sha256(kept + t[at:]).hexdigest()))
-        want = brute(raw, n)
-        if n == 40:  # of the short length, spans of a word at least are told
-            got_words = {x["doc_id"]: all(P.word_count((x["text"] or "").encode()[s["start"]:s["end"]]) > 0 for s in x[name]) for x in got}
-            assert all(got_words.values())
-        assert sorted(out, key=str) == want
+    want = brute_words(rows, 8)
+    got = P.without_repeats(docs, length=4000, prefix="p_", passages=7).collect()
+    assert len(got) == len(rows) and any(want.values())
+    for x in got:
+        raw = x["text"].encode()
+        words = [w for s in x["p_passages"] for w in raw[s["start"]:s["end"]].decode().split()]
+        assert words == want[x["doc_id"]], x["doc_id"]
 
 
 def test_periodic_text_is_few_rows():
@@ -155,7 +150,7 @@ def test_periodic_text_is_few_rows():
 
     data = ["a" * 100_000, "abc" * 30_000, "x" + "0123456789" * 9_000]
     b = pa.RecordBatch.from_pydict({"doc": [1, 2, 3], "th": [1, 2, 3], "text": data})
-    rows = [out for out in P._scan(400, P.gram_size(400), 400)([b])]
+    rows = [out for out in P._scan(400, P.gram_size(400))([b])]
     assert sum(x.num_rows for x in rows) < 2_000
     assert sum(int(v) + 1 for x in rows for v in x.column("reach").to_pylist()) == sum(len(t) - 399 for t in data)
 
@@ -183,17 +178,11 @@ def test_the_query_against_brute_force(spark):
     from quire.llm import queries
 
     d = "/root/testdata/sf0.001"
-    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
+    texts = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     got = queries.op8_suffix_array(spark, d).collect()
-    assert sorted(((r["doc_id"], r["n_bytes"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == brute(rows, 400)
-    c = Counter(t[i:i + 240] for _, t in rows for i in range(len(t) - 239))
-    of = dict(rows)
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_spans"], r["kept_sha256"]) for r in got), key=str) == brute([(i, t.encode()) for i, t in texts], 400)
+    want, of = brute_words(texts, 51), {i: t.encode() for i, t in texts}
     for r in got:
-        t = of[r["doc_id"]]
         assert r["n_removed"] == sum(s["end"] - s["start"] for s in r["spans"])
-        for s in r["passages"]:
-            part = t[s["start"]:s["end"]]
-            assert P.word_count(part) > 50 and (len(part) < 240 or c[part[:240]] > 1 or c[part[-240:]] > 1 or P.word_windows(part.decode(errors="ignore"), 51, 240))
-        long = [i for i in range(len(t) - 239) if c[t[i:i + 240]] > 1 and P.word_count(t[i:i + 240]) > 50]
-        assert all(any(s["start"] <= i and i + 240 <= s["end"] for s in r["passages"]) for i in long)
+        assert [w for s in r["passages"] for w in of[r["doc_id"]][s["start"]:s["end"]].decode().split()] == want[r["doc_id"]]
     assert any(r["passages"] and not r["spans"] for r in got)
