@@ -76,7 +76,7 @@ def open_table(spark: SparkSession, path: str, fmt: str | None = None, *, positi
     place in stored order.
     """
     if fmt in (None, "parquet") and not _is_json(spark, path):
-        df = spark.read.parquet(path)
+        df = spark.read.parquet(published_dir(spark, path))
         return with_position(df) if position else df
     lines = parsed(json_lines(spark, path, split_bytes), JSON_SCHEMA)
     good = lines.where(~F.col("bad")).select("src_file", "src_row", "row.*")
@@ -131,70 +131,123 @@ def _hadoop(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at  # noqa: SLF001
 
 
-def write_prepared(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split") -> int:
+# A prepared table is a folder of versions, ``published=<id>``, and of empty marker files whose names tell which of
+# them is current. Making a marker is one atomic step on every store: nothing is renamed or overwritten.
+VERSION = "published="
+MARKER = "_published."
+# A version without a marker may be one that is being written; older ones are left from runs that were killed.
+UNUSED_MS = 24 * 3600 * 1000
+
+
+def _markers(fs, target) -> list[tuple[str, str]]:
+    """(sequence number, version id) of the markers in a table's folder, the current one last."""
+    if not fs.exists(target) or not fs.getFileStatus(target).isDirectory():
+        return []
+    names = (st.getPath().getName() for st in fs.listStatus(target))
+    return sorted(tuple(n[len(MARKER):].split(".", 1)) for n in names if n.startswith(MARKER))
+
+
+def published_dir(spark: SparkSession, table_dir: str) -> str:
+    """The folder that holds a table's current version: the one its last marker names, or ``table_dir`` itself for a plain table."""
+    fs, target = _hadoop(spark, table_dir)
+    marks = _markers(fs, target)
+    return f"{table_dir.rstrip('/')}/{VERSION}{marks[-1][1]}" if marks else table_dir
+
+
+def publish(spark: SparkSession, table_dir: str, version: str, step=lambda name: None) -> None:
+    """Make ``published=<version>`` the current version of a table, then drop what was there before.
+
+    Readers see the old table until the marker is there and the new one from then on. A driver lost before leaves
+    the old table and an unused folder, one lost later leaves old versions that nothing reads; later publications
+    drop these, the folder after a day. Of two that publish at once the greater name is current, whole in any
+    case, as only versions with a lesser marker go. ``step`` is called with the name of each step before it is taken.
+    """
+    fs, target = _hadoop(spark, table_dir)
+    marks = _markers(fs, target)
+    number = int(marks[-1][0]) + 1 if marks else 0
+    step("mark")
+    mark = (f"{number:012d}", version)
+    if not fs.createNewFile(_hadoop(spark, f"{table_dir.rstrip('/')}/{MARKER}{'.'.join(mark)}")[1]):
+        raise OSError(f"cannot mark {version} in {table_dir}")
+    marks = _markers(fs, target)
+    done, late = {m for m in marks if m < max(marks)}, spark._jvm.System.currentTimeMillis() - UNUSED_MS  # noqa: SLF001
+    gone = {VERSION + v for _, v in done - {mark}}, {MARKER + ".".join(m) for m in done - {mark}}
+    used = {VERSION + v for _, v in marks}
+    entries = {st.getPath().getName(): st for st in fs.listStatus(target)}
+    unused = [n for n, st in entries.items() if n.startswith(VERSION) and n not in used and st.getModificationTime() <= late]
+    plain = [n for n in entries if not n.startswith((VERSION, MARKER)) and not n.startswith(".")]
+    # data before markers: a marker never names less than a whole version unless a later one is there
+    for name in [*plain, *unused, *sorted(gone[0] & entries.keys()), *sorted(gone[1] & entries.keys())]:
+        step(f"drop {name}")
+        fs.delete(entries[name].getPath(), True)
+
+
+def write_prepared(df: DataFrame, out_dir: str, *, overwrite: bool = True, split_col: str | None = "split", step=lambda name: None) -> int:
     """Persist a prepared table and return its rows, counted by an observation during the write.
 
-    The table is written beside the target and takes its place only when it is complete, so a
-    failed run leaves the target as it was; so does an empty one, which raises if there is a
-    target and else leaves an empty table that can be read. An existing target is replaced only
-    with ``overwrite=True``; otherwise the write fails before it starts.
+    The table is written as a version of its own inside the target folder and becomes current by one marker file when
+    it is complete, so a run that fails or is killed at any step leaves the old or the new table, whole; so
+    does an empty one, which raises if there is a table and else leaves an empty one that can be read.
+    An existing target is replaced only with ``overwrite=True``; otherwise the write fails before it starts.
+    Read it with ``load_prepared`` or ``read_published``; to other readers the folder is a table partitioned
+    by ``published``, with one version except while one takes over from another or after a killed run.
     """
     spark = df.sparkSession
     fs, target = _hadoop(spark, out_dir)
-    exists = fs.exists(target)
+    exists = fs.exists(target) and fs.listStatus(target) and any(
+        not st.getPath().getName().startswith(VERSION) for st in fs.listStatus(target))  # versions that nothing marks are no table
     if exists and not overwrite:
         raise FileExistsError(f"{out_dir} exists; it is replaced only on request")
-    staged_dir = f"{out_dir.rstrip('/')}.{uuid.uuid4().hex}.staged"
-    staged = _hadoop(spark, staged_dir)[1]
-    obs = Observation(f"prepared_{uuid.uuid4().hex}")
+    version = uuid.uuid4().hex
+    data_dir = f"{out_dir.rstrip('/')}/{VERSION}{version}"
+    data = _hadoop(spark, data_dir)[1]
+    obs = Observation(f"prepared_{version}")
     try:
+        step("write")
         writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write
         if split_col and split_col in df.columns:
             writer = writer.partitionBy(split_col)
-        writer.parquet(staged_dir)
+        writer.parquet(data_dir)
         rows = int(obs.get["rows"])
         if rows == 0:
             if exists:
                 raise ValueError(f"the run made no rows; {out_dir} is left as it was")
-            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(staged_dir)
-        if not exists:
-            fs.mkdirs(target.getParent())
-        old = _hadoop(spark, f"{staged_dir}.old")[1]
-        if exists and not fs.rename(target, old):
-            raise OSError(f"cannot move {out_dir} aside")
-        if not fs.rename(staged, target):
-            if exists:
-                fs.rename(old, target)
-            raise OSError(f"cannot move {staged_dir} to {out_dir}")
-        if exists:
-            fs.delete(old, True)
-    except BaseException:
-        fs.delete(staged, True)
+            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(data_dir)
+    except Exception:
+        fs.delete(data, True)
+        if not exists and fs.exists(target) and not fs.listStatus(target):
+            fs.delete(target, True)
         raise
+    publish(spark, out_dir, version, step)
     return rows
 
 
+def read_published(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The current version of a table; a missing folder fails with a clear message."""
+    fs, target = _hadoop(spark, table_dir)
+    if not fs.exists(target):
+        raise FileNotFoundError(f"no prepared table at {table_dir}")
+    return spark.read.parquet(published_dir(spark, table_dir))
+
+
 def load_prepared(spark: SparkSession, in_dir: str, prefer: str = "train", split_col: str = "split") -> DataFrame:
     """Reload a prepared table; with several splits take ``prefer`` if present, else
     the least split name. A missing folder fails with a clear message.
 
-    The split names are the ``split=...`` folder names under ``in_dir`` (one
+    The split names are the ``split=...`` folder names of the current version (one
     directory listing, a handful of names), so the choice becomes a literal
     filter and Spark prunes every other partition at planning time.
     """
     from urllib.parse import unquote
 
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(in_dir)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(jvm_path):
-        raise FileNotFoundError(f"no prepared table at {in_dir}")
+    df = read_published(spark, in_dir)
+    fs, at = _hadoop(spark, published_dir(spark, in_dir))
     prefix = split_col + "="
     splits = sorted(
         unquote(st.getPath().getName()[len(prefix):])
-        for st in fs.listStatus(jvm_path)
+        for st in fs.listStatus(at)
         if st.isDirectory() and st.getPath().getName().startswith(prefix)
     )
-    df = spark.read.parquet(in_dir)
     if not splits:
         return pick_split(df, split_col, prefer).drop(split_col) if split_col in df.columns else df
     chosen = prefer if prefer in splits else splits[0]
