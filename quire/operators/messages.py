@@ -100,6 +100,20 @@ def to_sharegpt(df: DataFrame, messages_col: str = "messages", out_col: str = "c
     return df.select(*keep, F.transform(F.col(messages_col), conv).alias(out_col))
 
 
+# A conversation is assembled in one task as one row; a larger one is refused by name (a row cannot pass 2 GB).
+MAX_CONVERSATION_BYTES = 128 << 20
+# What a turn takes beside its text.
+TURN_BYTES = 64
+
+
+def oversized(turns: DataFrame, key: str = "conv_id", text_col: str = "text", max_bytes: int = MAX_CONVERSATION_BYTES) -> DataFrame:
+    """Conversations above a bound: ``key, turns, bytes``. Summed per task before the shuffle, so a conversation of
+    any length is a number from the start and none is ever gathered."""
+    size = F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint") + TURN_BYTES)
+    per = turns.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("turns"), size.alias("bytes"))
+    return per.where(F.col("bytes") > int(max_bytes))
+
+
 def turns_to_messages(
     turns: DataFrame,
     key: str = "conv_id",
@@ -107,21 +121,39 @@ def turns_to_messages(
     role_col: str = "role",
     text_col: str = "text",
     out_col: str = "messages",
+    max_bytes: int | None = MAX_CONVERSATION_BYTES,
+    on_oversize: str = "error",
 ) -> DataFrame:
     """Flat turns → one ordered ``messages`` array per conversation.
 
     ``collect_list`` has no order, so the turn number travels inside the struct and
-    ``array_sort`` orders by it. The partial aggregate runs map-side; one output row
-    holds one conversation, which is bounded by the model's context length. A turn
+    ``array_sort`` orders by it. The partial aggregate runs map-side. One output row
+    holds one conversation of at most ``max_bytes``: turns of larger ones are left out before
+    they are gathered, so all others are assembled. With ``on_oversize="error"`` the first of
+    them then fails its task by name, with ``"skip"`` they are absent (``oversized`` names them);
+    ``max_bytes=None`` spares the sums where conversations are known to be bounded. A turn
     without a key belongs to no conversation and fails the task that meets it.
     """
+    if on_oversize not in ("error", "skip"):
+        raise ValueError(f"on_oversize is 'error' or 'skip', got {on_oversize!r}")
+    kept, large = turns, None
+    if max_bytes is not None:
+        large = oversized(turns, key, text_col, max_bytes)
+        kept = turns.join(large.select(key), key, "left_anti")
     keyed = F.coalesce(F.col(key), F.raise_error(F.lit(f"a turn has no {key}")).cast(turns.schema[key].dataType))
     packed = F.struct(F.col(order).alias("o"), F.col(role_col).alias("role"), F.col(text_col).alias("content"))
-    return (
-        turns.groupBy(keyed.alias(key))
+    out = (
+        kept.groupBy(keyed.alias(key))
         .agg(F.array_sort(F.collect_list(packed)).alias("_t"))
         .select(key, F.transform("_t", lambda t: message(t["role"], t["content"])).alias(out_col))
     )
+    if large is None or on_oversize == "skip":
+        return out
+    said = F.concat(F.lit(f"{key} "), F.col(key).cast("string"), F.lit(" has "), F.col("bytes").cast("string"), F.lit(" bytes in "),
+                    F.col("turns").cast("string"), F.lit(f" turns; a conversation holds {int(max_bytes)} at most"))
+    # in a filter, so that no choice of columns prunes it
+    refused = large.where(F.raise_error(said).cast("boolean")).select(key, F.lit(None).cast(out.schema[out_col].dataType).alias(out_col))
+    return out.unionByName(refused)
 
 
 def prompt_messages(

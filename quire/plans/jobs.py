@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.text import is_git_spec, output_name, text_preview
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES
+from quire.operators.messages import MAX_CONVERSATION_BYTES, oversized
 from quire.operators.shaping import (
     DEFAULT_BATCH_SIZE,
     DEFAULT_GRAD_ACCUM,
@@ -57,6 +58,8 @@ def prepare_dataset(
     max_bad_share: float = 0.0,
     rejected: Rejected | None = None,
     bad_rows: str | None = None,
+    max_conversation_bytes: int = MAX_CONVERSATION_BYTES,
+    skipped_conversations: str | None = None,
 ) -> tuple[int, str | None]:
     """Route by spec: a git spec reads the source tree at ``tree`` (already checked
     out on a shared mount); anything else is a conversation table: rows with
@@ -64,7 +67,8 @@ def prepare_dataset(
     ``conversations``, or flat turns ``conv_id, turn, role, text``.
     Writes ``text`` partitioned by ``split``; returns (rows, first sample). Malformed lines of a JSON table make no
     sample: up to ``max_bad_share`` of all lines they are counted in ``rejected`` and written to ``bad_rows``, beyond
-    it the job fails."""
+    it the job fails. Conversations of flat turns above ``max_conversation_bytes`` fail the job by name, or, with
+    ``skipped_conversations``, are left out and written there."""
     spec = F.lit(dataset)
     target = out or os.path.join(out_root, _scalar(spark, output_name(spec, F.lit(split))))
     if _scalar(spark, is_git_spec(spec)):
@@ -88,7 +92,11 @@ def prepare_dataset(
             flow = prepare.messages_training_text if "messages" in df.columns else prepare.sharegpt_training_text
             text = flow(df, key=order, max_samples=max_samples)
         else:
-            text = prepare.conversation_training_text(df.drop("src_file", "src_row"), max_samples=max_samples)
+            turns = df.drop("src_file", "src_row")
+            if skipped_conversations:
+                oversized(turns, max_bytes=max_conversation_bytes).write.mode("overwrite").parquet(skipped_conversations)
+            text = prepare.conversation_training_text(turns, max_samples=max_samples, max_bytes=max_conversation_bytes,
+                                                      on_oversize="skip" if skipped_conversations else "error")
             order = ["conv_id"]
     out_df = text.withColumn("split", F.lit(split))
     n = write_prepared(out_df.select(*order, "text", "split"), target, overwrite=overwrite)
@@ -178,6 +186,8 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--no-overwrite", action="store_true")
     a.add_argument("--max-bad-share", type=float, default=0.0, help="share of malformed JSON lines above which the job fails")
     a.add_argument("--bad-rows", help="folder for the malformed lines, with file and byte offset")
+    a.add_argument("--max-conversation-bytes", type=int, default=MAX_CONVERSATION_BYTES)
+    a.add_argument("--skipped-conversations", help="leave longer conversations out and write their keys and sizes to this folder")
     b = sub.add_parser("plan")
     b.add_argument("--dataset-dir", required=True)
     b.add_argument("--out", required=True)
@@ -208,6 +218,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.dataset, args.out, split=args.split, tree=args.tree, max_samples=args.max_samples,
             max_file_bytes=args.max_file_bytes, max_chars=args.max_chars, overwrite=not args.no_overwrite, skipped=skipped,
             max_bad_share=args.max_bad_share, rejected=rejected, bad_rows=args.bad_rows,
+            max_conversation_bytes=args.max_conversation_bytes, skipped_conversations=args.skipped_conversations,
         )
         print(f"wrote {n} samples; could not list {skipped.unlisted}, could not read {skipped.unread}, rejected {rejected.rejected} of {rejected.lines} lines")
         print(f"the first one begins:\n{first}")

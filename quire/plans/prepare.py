@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.decode import decode_utf8_lenient
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES, chunk_files, select_source_files
-from quire.operators.messages import file_messages, standardize_roles, turns_to_messages
+from quire.operators.messages import MAX_CONVERSATION_BYTES, file_messages, standardize_roles, turns_to_messages
 from quire.operators.select import first_groups, first_rows, first_rows_exact, first_rows_per_group
 from quire.operators.template import DEFAULT_TEMPLATE, ChatTemplate, render_messages
 
@@ -87,11 +87,13 @@ def conversation_training_text(
     max_samples: int | None = None,
     template: ChatTemplate = DEFAULT_TEMPLATE,
     key: str = "conv_id",
+    max_bytes: int | None = MAX_CONVERSATION_BYTES,
+    on_oversize: str = "error",
 ) -> DataFrame:
     """Conversation flow on flat turns: cap (first N conversations) → messages →
-    role standardisation → render: ``conv_id, text``."""
+    role standardisation → render: ``conv_id, text``. Conversations above ``max_bytes`` fail by name or are skipped."""
     capped = first_groups(turns, key, max_samples)
-    msgs = turns_to_messages(capped, key=key)
+    msgs = turns_to_messages(capped, key=key, max_bytes=max_bytes, on_oversize=on_oversize)
     std = standardize_roles(msgs, "messages", from_field="role", value_field="content")
     return render_messages(std, template=template, keep=[key])
 
