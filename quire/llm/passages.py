@@ -273,19 +273,25 @@ def _short_windows(words: int, length: int):
     return each
 
 
-def _word_hashes(text: str, cache: dict[str, int]) -> np.ndarray:
-    """The words of a text as 64-bit hashes, taken in pieces that cut no word; the cache is bounded."""
+class _Hashes(dict):
+    """Hashes of words, kept for a bounded number of them."""
+
+    def __missing__(self, w: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        h = self[w] = xxhash.xxh3_64_intdigest(w)
+        return h
+
+
+def _word_hashes(text: str, cache: _Hashes) -> np.ndarray:
+    """The words of a text as 64-bit hashes, taken in pieces that cut no word."""
     out, at = [], 0
     while at < len(text):
         z = min(at + CHUNK, len(text))
         while z < len(text) and not text[z].isspace():
             z += 1
         ws = text[at:z].split()
-        if len(cache) > CACHE:
-            cache.clear()
-        for w in set(ws) - cache.keys():
-            cache[w] = xxhash.xxh3_64_intdigest(w)
-        out.append(np.array([cache[w] for w in ws], np.uint64))
+        out.append(np.fromiter(map(cache.__getitem__, ws), np.uint64, len(ws)))
         at = z
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -315,7 +321,7 @@ def _word_scan(size: int, gram: int):
                 names=["key", "seg", "doc", "th", "lo", "n", "times", "reach"])
 
     def scan(batches):
-        cache: dict[str, int] = {}
+        cache = _Hashes()
         for batch in batches:
             rows, hs, held = [], [], 0
             for k, t in enumerate(batch.column("text")):
@@ -336,7 +342,7 @@ def _word_scan(size: int, gram: int):
 def _wanted_windows(size: int):
     """Rows of documents with the runs wanted of them -> every window of these runs, by a 128-bit hash."""
     def each(batches):
-        cache: dict[str, int] = {}
+        cache = _Hashes()
         for batch in batches:
             for text, want in zip(batch.column("text"), batch.column("want")):
                 raw = memoryview(_word_hashes(text.as_py() or "", cache)).cast("B")
