@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as TX
 from quire.functions.chunk import chunk_label
+from quire.operators import epochs as EP
 from quire.operators import files as FL
 from quire.operators import messages as MS
 from quire.operators import segments as SG
@@ -72,6 +73,31 @@ def _conv_text(spark, d):
     return PR.conversation_training_text(_t(spark, d, "conversations"))
 
 
+STEPS_BATCH, STEPS_ACCUM, STEPS_MORE = 2, 4, 10
+
+
+def _steps_by_index(table: DataFrame) -> DataFrame:
+    steps = -(-table.count() // (STEPS_BATCH * STEPS_ACCUM)) + STEPS_MORE
+    return EP.steps_of(table, 1, steps, batch_size=STEPS_BATCH, grad_accum=STEPS_ACCUM)
+
+
+def _steps_sql() -> str:
+    """The rounds of the order, one after the other; documents are stored in the order of their ids."""
+    per = STEPS_BATCH * STEPS_ACCUM
+    hexed = lambda of, n: f"md5('{SH.DEFAULT_SEED}:' || epoch || ':' || {of})[1:{n}]"
+    rounds = "".join(f"""
+k{r} as (select position, epoch, n, x, (('0x' || {hexed(f"'{r}'", EP.KEY_DIGITS)})::bigint % n - x + n) % n as y from x{r}),
+x{r + 1} as (select position, epoch, n, case when contains('13579bdf', {hexed(f"'{r}:' || greatest(x, y)", 1)}) then y else x end as x from k{r}),"""
+                     for r in range(EP.ROUNDS))
+    return f"""with t as (select doc_id, row_number() over (order by doc_id) - 1 as row from documents),
+s as (select count(*) as n, (cast(ceil(count(*) / {per}) as bigint) + {STEPS_MORE}) * {per} as budget from t),
+x0 as (select position, position // n as epoch, n, position % n as x from (select unnest(range(budget)) as position, n from s)),{rounds}
+done as (select * from x{EP.ROUNDS})
+select doc_id, position, cast(epoch as bigint) as epoch, cast(position // {per} + 1 as bigint) as step,
+       cast(position // {STEPS_BATCH} % {STEPS_ACCUM} + 1 as bigint) as micro
+from done join t on t.row = done.x"""
+
+
 def _chunks(spark, d, m):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     return FL.chunk_files(docs, "text", m, keys=["doc_id"]).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint")).withColumn(
@@ -187,6 +213,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["training_batches"] = lambda s, d: SH.training_batches(
         TR.sample_id(_training_text(s, d)).select("sample_id", "text"), "sample_id"
     ).select("sample_id", "epoch", "step", "micro")
+    # one epoch and the first steps of the next, addressed by step
+    q["steps_by_index"] = lambda s, d: _steps_by_index(_t(s, d, "documents").select("doc_id"))
     q["over_length_samples"] = lambda s, d: SH.flag_over_length(_conv_text(s, d)).select("conv_id", "n_tokens", "over_limit")
     # approximate quantiles (relative error 1e-4): at these sizes they are the exact
     # elements of rank ceil(p * n), which the oracle computes
@@ -514,6 +542,7 @@ top as (select sample_id, epoch, md5(cast(3407 + epoch as varchar) || ':' || sam
 rn as (select *, row_number() over (order by epoch, k, sample_id) - 1 as rn from top)
 select sample_id, cast(epoch as bigint) as epoch, cast(rn // 4 + 1 as bigint) as step,
        cast((rn // 1) % 4 + 1 as bigint) as micro from rn"""
+    o["steps_by_index"] = _steps_sql()
     o["length_summary"] = f"""with {_CONV_TEXT},
 t as (select cast(ceil(length(text) / 4) as bigint) as n from conv_text),
 r as (select n, row_number() over (order by n) as rk, count(*) over () as cnt from t)

@@ -76,7 +76,7 @@ def training_batches(
 ) -> DataFrame:
     """Budget rows with ``epoch``, ``step`` (1-based) and ``micro`` (1..accum).
 
-    ``id_col`` tells rows apart. A table smaller than the budget is passed over again: the
+    ``id_col`` tells rows apart; a row without one fails the task that meets it. A table smaller than the budget is passed over again: the
     epoch count ``ceil(budget / min(count, budget))`` is a scalar subquery, each id is expanded
     by a generator over ``sequence(0, epochs-1)`` (a single element for any table at least as
     large as the budget), and epoch ``e`` is ordered with seed ``seed+e``. Rows are chosen and
@@ -87,7 +87,8 @@ def training_batches(
     if budget <= 0:
         raise ValueError("training budget must be positive")
     # Only min(count, budget) matters: counting a limited plan lets every task stop early.
-    ids = df.select(id_col)
+    told = F.coalesce(F.col(id_col), F.raise_error(F.lit(f"a sample has no {id_col}")).cast(df.schema[id_col].dataType))
+    ids = df.select(told.alias(id_col))
     n = ids.limit(budget).select(F.count(F.lit(1)).alias("n")).scalar()
     epochs = F.greatest(F.lit(1), F.ceil(F.lit(budget) / n).cast("int"))
     expanded = ids.withColumn("epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))

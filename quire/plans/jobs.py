@@ -127,11 +127,16 @@ def plan_training(
     grad_accum: int = DEFAULT_GRAD_ACCUM,
     seed: int = DEFAULT_SEED,
     max_seq_length: int = DEFAULT_MAX_SEQ_LENGTH,
+    from_step: int | None = None,
 ) -> int:
     """Reload a prepared table (``train`` split if present) and write the batches a
-    run consumes, each sample flagged when it exceeds ``max_seq_length`` tokens."""
+    run consumes, each sample flagged when it exceeds ``max_seq_length`` tokens. With ``from_step``
+    the order is the one addressed by step, and only the steps from there to ``max_steps`` are planned."""
     samples = load_prepared(spark, dataset_dir)
-    plan = train.training_plan(samples, max_steps=max_steps, batch_size=batch_size, grad_accum=grad_accum, seed=seed)
+    if from_step is not None:
+        plan = train.resumed_plan(samples, from_step, max_steps, batch_size=batch_size, grad_accum=grad_accum, seed=seed)
+    else:
+        plan = train.training_plan(samples, max_steps=max_steps, batch_size=batch_size, grad_accum=grad_accum, seed=seed)
     plan = flag_over_length(plan, max_seq_length=max_seq_length)
     return write_prepared(plan, out, split_col=None)
 
@@ -196,6 +201,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--grad-accum", type=int, default=DEFAULT_GRAD_ACCUM)
     b.add_argument("--seed", type=int, default=DEFAULT_SEED)
     b.add_argument("--max-seq-length", type=int, default=DEFAULT_MAX_SEQ_LENGTH)
+    b.add_argument("--from-step", type=int, help="plan from this step on, in the order that is addressed by step")
     d = sub.add_parser("stream")
     d.add_argument("--source", required=True)
     d.add_argument("--out", required=True)
@@ -230,6 +236,7 @@ def main(argv: list[str] | None = None) -> None:
         n = plan_training(
             spark, args.dataset_dir, args.out, max_steps=args.max_steps, batch_size=args.batch_size,
             grad_accum=args.grad_accum, seed=args.seed, max_seq_length=args.max_seq_length,
+            from_step=args.from_step,
         )
         print(f"planned {n} samples")
     else:
