@@ -32,7 +32,16 @@ from quire.operators.shaping import (
     DEFAULT_SEED,
     flag_over_length,
 )
-from quire.operators.template import DEFAULT_DO_SAMPLE, DEFAULT_MAX_NEW_TOKENS, DEFAULT_TEMPERATURE, DEFAULT_TOP_P, EFFORT_LEVELS
+from quire.operators.template import (
+    DEFAULT_DO_SAMPLE,
+    DEFAULT_MAX_NEW_TOKENS,
+    DEFAULT_TEMPERATURE,
+    DEFAULT_TEMPLATE,
+    DEFAULT_TOP_P,
+    EFFORT_LEVELS,
+    ChatTemplate,
+)
+from quire.operators.texttemplate import TextTemplate
 from quire.plans import chat, prepare, train
 from quire.sources.tables import Rejected, load_prepared, open_table, write_prepared
 
@@ -60,6 +69,7 @@ def prepare_dataset(
     bad_rows: str | None = None,
     max_conversation_bytes: int = MAX_CONVERSATION_BYTES,
     skipped_conversations: str | None = None,
+    template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> tuple[int, str | None]:
     """Route by spec: a git spec reads the source tree at ``tree`` (already checked
     out on a shared mount); anything else is a conversation table: rows with
@@ -76,7 +86,7 @@ def prepare_dataset(
             raise ValueError("a git spec needs the checked-out tree (--tree); cloning is not part of this engine")
         text = prepare.tree_training_text(
             spark, tree, dataset, max_samples=max_samples, max_file_bytes=max_file_bytes, max_chars=max_chars,
-            skipped=skipped,
+            skipped=skipped, template=template,
         )
         order = ["repo", "path", "chunk_idx"]
     else:
@@ -90,13 +100,13 @@ def prepare_dataset(
             # a row is told by its place in stored order; an id, where there is one, comes first in the order
             order = (["id"] if "id" in df.columns else []) + ["src_file", "src_row"]
             flow = prepare.messages_training_text if "messages" in df.columns else prepare.sharegpt_training_text
-            text = flow(df, key=order, max_samples=max_samples)
+            text = flow(df, key=order, max_samples=max_samples, template=template)
         else:
             turns = df.drop("src_file", "src_row")
             if skipped_conversations:
                 oversized(turns, max_bytes=max_conversation_bytes).write.mode("overwrite").parquet(skipped_conversations)
             text = prepare.conversation_training_text(turns, max_samples=max_samples, max_bytes=max_conversation_bytes,
-                                                      on_oversize="skip" if skipped_conversations else "error")
+                                                      on_oversize="skip" if skipped_conversations else "error", template=template)
             order = ["conv_id"]
     out_df = text.withColumn("split", F.lit(split))
     n = write_prepared(out_df.select(*order, "text", "split"), target, overwrite=overwrite)
@@ -167,15 +177,23 @@ def build_requests(
     do_sample: bool = DEFAULT_DO_SAMPLE,
     temperature: float = DEFAULT_TEMPERATURE,
     top_p: float = DEFAULT_TOP_P,
+    template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> int:
     """``id, developer, user_text`` rows → one generation request per input (and effort level)."""
     reqs = chat.generation_requests(
         open_table(spark, inputs), efforts=efforts, effort=effort, max_new_tokens=max_new_tokens,
-        do_sample=do_sample, temperature=temperature, top_p=top_p,
+        do_sample=do_sample, temperature=temperature, top_p=top_p, template=template,
     )
     return write_prepared(reqs, out, split_col=None)
 
 
+def _template(path: str | None) -> ChatTemplate:
+    if path is None:
+        return DEFAULT_TEMPLATE
+    with open(path, encoding="utf-8") as f:
+        return TextTemplate(f.read())
+
+
 def main(argv: list[str] | None = None) -> None:
     # The option names are the public interface.
     p = argparse.ArgumentParser(prog="quire.plans.jobs")
@@ -191,6 +209,7 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--no-overwrite", action="store_true")
     a.add_argument("--max-bad-share", type=float, default=0.0, help="share of malformed JSON lines above which the job fails")
     a.add_argument("--bad-rows", help="folder for the malformed lines, with file and byte offset")
+    a.add_argument("--template", help="file with a chat template (see quire.operators.texttemplate)")
     a.add_argument("--max-conversation-bytes", type=int, default=MAX_CONVERSATION_BYTES)
     a.add_argument("--skipped-conversations", help="leave longer conversations out and write their keys and sizes to this folder")
     b = sub.add_parser("plan")
@@ -216,6 +235,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--greedy", action="store_true")
     c.add_argument("--temperature", type=float, default=DEFAULT_TEMPERATURE)
     c.add_argument("--top-p", type=float, default=DEFAULT_TOP_P)
+    c.add_argument("--template", help="file with a chat template")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if args.cmd == "prepare":
@@ -224,7 +244,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.dataset, args.out, split=args.split, tree=args.tree, max_samples=args.max_samples,
             max_file_bytes=args.max_file_bytes, max_chars=args.max_chars, overwrite=not args.no_overwrite, skipped=skipped,
             max_bad_share=args.max_bad_share, rejected=rejected, bad_rows=args.bad_rows,
-            max_conversation_bytes=args.max_conversation_bytes, skipped_conversations=args.skipped_conversations,
+            max_conversation_bytes=args.max_conversation_bytes, skipped_conversations=args.skipped_conversations, template=_template(args.template),
         )
         print(f"wrote {n} samples; could not list {skipped.unlisted}, could not read {skipped.unread}, rejected {rejected.rejected} of {rejected.lines} lines")
         print(f"the first one begins:\n{first}")
@@ -243,6 +263,7 @@ def main(argv: list[str] | None = None) -> None:
         n = build_requests(
             spark, args.inputs, args.out, efforts=not args.no_efforts, effort=args.reasoning_effort,
             max_new_tokens=args.max_new_tokens, do_sample=not args.greedy, temperature=args.temperature, top_p=args.top_p,
+            template=_template(args.template),
         )
         print(f"wrote {n} requests")
 
