@@ -16,6 +16,7 @@ from quire.functions.chunk import DEFAULT_MAX_CHARS
 from quire.functions.decode import decode_utf8_lenient
 from quire.operators.files import DEFAULT_MAX_FILE_BYTES, chunk_files, select_source_files
 from quire.operators.messages import MAX_CONVERSATION_BYTES, file_messages, standardize_roles, turns_to_messages
+from quire.functions.text import SOURCE_EXTENSIONS
 from quire.operators.select import first_groups, first_rows, first_rows_exact, first_rows_per_group
 from quire.operators.template import DEFAULT_TEMPLATE, ChatTemplate, render_messages
 
@@ -159,7 +160,7 @@ def tree_samples(
 
     checkpoint_dir(spark)  # the cluster's shared folder (a temporary one only for local tests)
     skipped = skipped if skipped is not None else SkipCounts()
-    walked = list_tree(spark, root, repo).checkpoint(eager=True)
+    walked = list_tree(spark, root, repo, extensions=tuple(f".{e}" for e in SOURCE_EXTENSIONS), max_bytes=max_file_bytes).checkpoint(eager=True)
     skipped.unlisted += walked.where(~listed()).count()
     listing = select_source_files(walked.where(listed()), max_file_bytes)
 

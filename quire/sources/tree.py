@@ -8,7 +8,11 @@ regular file. Reading happens in two steps:
 1. **listing** (``repo, path, size``): the driver expands only the top of the
    tree breadth-first, within a fixed budget of directory listings, and hands
    the remaining subtrees to tasks, so the listing itself is distributed and a
-   huge subdirectory is not walked by the driver;
+   huge subdirectory is not walked by the driver. The driver reads names alone; a folder
+   of very many files is dealt by a hash of their names to several tasks, each of which looks at
+   its own share of them. Filters on ``path`` and ``size`` (``startswith``, ``endswith``, comparisons) are
+   pushed into the walk: subtrees that no asked path lies in are not listed, and files that
+   are not asked for are not looked at;
 2. **content**: after the name and size filters (plain column predicates), the
    surviving paths are spread over tasks and each task reads and decodes its
    files in Arrow batches (``mapInPandas``).
@@ -51,18 +55,27 @@ _SKIPPED_ERRORS = (FileNotFoundError, PermissionError, NotADirectoryError)
 
 
 class _LocalFs:
-    def list(self, d: str) -> Iterator[tuple[str, str, int]]:
-        """Entries of a folder as (name, "d" | "f" | "?", size), one at a time."""
+    def list(self, d: str, want=None) -> Iterator[tuple[str, str, int]]:
+        """Entries of a folder as (name, "d" | "f" | "?", size), one at a time; files that ``want(name)`` refuses are left out unlooked at."""
         with os.scandir(d) as it:
             for e in it:
                 try:
                     if e.is_dir(follow_symlinks=False):
                         yield (e.name, "d", 0)
-                    elif e.is_file():  # follows a symlink to a regular file
+                    elif (want is None or want(e.name)) and e.is_file():  # follows a symlink to a regular file
                         yield (e.name, "f", int(e.stat().st_size))
                 except _SKIPPED_ERRORS:
                     yield (e.name, "?", UNLISTED)
 
+    def names(self, d: str) -> Iterator[tuple[str, bool]]:
+        """Names in a folder and whether they are folders; nothing is looked at."""
+        with os.scandir(d) as it:
+            for e in it:
+                try:
+                    yield (e.name, e.is_dir(follow_symlinks=False))
+                except _SKIPPED_ERRORS:
+                    yield (e.name, False)
+
     def read(self, p: str) -> bytes:
         with open(p, "rb") as fh:
             return fh.read()
@@ -79,13 +92,18 @@ class _ArrowFs:
         self._pafs = pafs
         self.fs, self.root = pafs.FileSystem.from_uri(uri)
 
-    def list(self, d: str) -> Iterator[tuple[str, str, int]]:
+    def list(self, d: str, want=None) -> Iterator[tuple[str, str, int]]:
+        """Entries of a folder; the store answers with one folder's entries, sizes included, at once."""
         for i in self.fs.get_file_info(self._pafs.FileSelector(d, recursive=False)):
             if i.type == self._pafs.FileType.Directory:
                 yield (i.base_name, "d", 0)
-            elif i.type == self._pafs.FileType.File:
+            elif i.type == self._pafs.FileType.File and (want is None or want(i.base_name)):
                 yield (i.base_name, "f", int(i.size or 0))
 
+    def names(self, d: str) -> Iterator[tuple[str, bool]]:
+        for name, kind, _ in self.list(d):
+            yield (name, kind == "d")
+
     def read(self, p: str) -> bytes:
         with self.fs.open_input_stream(p) as fh:
             return fh.read()
@@ -106,10 +124,16 @@ def _open(root: str):
 # Data source
 
 
+# Files of one folder above which their listing is dealt to several tasks, and the most it is dealt to.
+FOLDER_FILES = 10_000
+MAX_SHARES = 256
+
+
 class _Units(InputPartition):
-    """A group of listing units: ``(relative dir, recursive)`` pairs."""
+    """A group of listing units ``(relative dir, recursive, share, shares)``: a folder's own files (those of one
+    share of their names), or all below it."""
 
-    def __init__(self, units: list[tuple[str, bool]]):
+    def __init__(self, units: list[tuple[str, bool, int, int]]):
         self.units = units
 
 
@@ -117,6 +141,39 @@ def _rel(parent: str, name: str) -> str:
     return f"{parent}/{name}" if parent else name
 
 
+class _Asked:
+    """What of a tree is asked for: pushed filters, and the listing's own options."""
+
+    def __init__(self, extensions: tuple[str, ...] = (), max_bytes: int | None = None):
+        self.extensions, self.max_bytes = extensions, max_bytes
+        self.prefixes: list[str] = []
+        self.tests: list[tuple[str, str, object]] = []  # column, operation, value
+
+    def folder(self, rel: str) -> bool:
+        """Whether asked paths can lie below a folder."""
+        own = rel + "/"
+        return not rel or all(own.startswith(p) or p.startswith(own) for p in self.prefixes)
+
+    def name(self, rel: str, name: str) -> bool:
+        """Whether a file can be asked for, by its name alone."""
+        path = _rel(rel, name)
+        return (not self.extensions or name.lower().endswith(self.extensions)) and all(
+            _TESTS[op](path, value) for column, op, value in self.tests if column == "path")
+
+    def size(self, size: int) -> bool:
+        if size == UNLISTED:  # told unless a pushed filter asks for sizes
+            return all(_TESTS[op](size, value) for column, op, value in self.tests if column == "size")
+        return (self.max_bytes is None or 0 < size <= self.max_bytes) and all(
+            _TESTS[op](size, value) for column, op, value in self.tests if column == "size")
+
+
+_TESTS = {
+    "EqualTo": lambda x, v: x == v, "GreaterThan": lambda x, v: x > v, "GreaterThanOrEqual": lambda x, v: x >= v,
+    "LessThan": lambda x, v: x < v, "LessThanOrEqual": lambda x, v: x <= v, "In": lambda x, v: x in v,
+    "StringStartsWith": lambda x, v: x.startswith(v), "StringEndsWith": lambda x, v: x.endswith(v), "StringContains": lambda x, v: v in x,
+}
+
+
 class SourceTreeReader(DataSourceReader):
     def __init__(self, options: dict, schema):
         self.root = options["path"]
@@ -124,48 +181,80 @@ class SourceTreeReader(DataSourceReader):
         self.prune_vcs = str(options.get("prunevcs", options.get("pruneVcs", "true"))).lower() == "true"
         self.budget = int(options.get("listingbudget", options.get("listingBudget", 64)))
         self.num_partitions = int(options.get("numpartitions", options.get("numPartitions", 16)))
+        self.folder_files = int(options.get("folderfiles", options.get("folderFiles", FOLDER_FILES)))
+        most = options.get("maxbytes", options.get("maxBytes"))
+        self.asked = _Asked(tuple(x.lower() for x in (options.get("extensions") or "").split(",") if x), None if most is None else int(most))
+
+    def _walked(self, rel: str, name: str) -> bool:
+        return not (self.prune_vcs and name == VCS_DIR) and self.asked.folder(_rel(rel, name))
 
     def partitions(self):
         """Breadth-first expansion of the top of the tree, at most ``budget``
         directory listings on the driver; unexpanded subtrees become recursive units."""
         fs, root = _open(self.root)
-        units: list[tuple[str, bool]] = []
+        units: list[tuple[str, bool, int, int]] = []
         queue: deque[str] = deque([""])
         listed = 0
         while queue and listed < self.budget:
             rel = queue.popleft()
             listed += 1
-            units.append((rel, False))  # this directory's own files
-            try:  # entries pass one at a time; only folder names are kept
-                for name, kind, _ in fs.list(fs.join(root, rel) if rel else root):
-                    if kind == "d" and not (self.prune_vcs and name == VCS_DIR):
+            files = 0
+            try:  # names pass one at a time; only those of folders are kept
+                for name, is_folder in fs.names(fs.join(root, rel) if rel else root):
+                    if not is_folder:
+                        files += 1
+                    elif self._walked(rel, name):
                         queue.append(_rel(rel, name))
             except _SKIPPED_ERRORS as e:
                 if not rel:
                     raise ValueError(f"cannot list the source tree {self.root}: {e}") from e
                 # the task that lists this folder counts it
-        units.extend((rel, True) for rel in queue)
-        n = max(1, min(self.num_partitions, len(units)))
-        groups: list[list[tuple[str, bool]]] = [[] for _ in range(n)]
+            shares = min(MAX_SHARES, max(1, -(-files // self.folder_files)))
+            units.extend((rel, False, i, shares) for i in range(shares))  # this directory's own files
+        units.extend((rel, True, 0, 1) for rel in queue)
+        n = max(1, min(max(self.num_partitions, max((u[3] for u in units), default=1)), len(units)))
+        groups: list[list[tuple[str, bool, int, int]]] = [[] for _ in range(n)]
         for i, u in enumerate(units):
             groups[i % n].append(u)
         return [_Units(g) for g in groups]
 
     def read(self, partition: _Units) -> Iterator[tuple]:
+        from zlib import crc32
+
         fs, root = _open(self.root)
-        for rel_dir, recursive in partition.units:
+        for rel_dir, recursive, share, shares in partition.units:
             stack = [rel_dir]
             while stack:
                 rel = stack.pop()
+
+                def want(name: str) -> bool:
+                    return (shares == 1 or crc32(os.fsencode(name)) % shares == share) and self.asked.name(rel, name)  # noqa: B023
+
                 try:
-                    for name, kind, size in fs.list(fs.join(root, rel) if rel else root):
+                    for name, kind, size in fs.list(fs.join(root, rel) if rel else root, want):
                         if kind == "d":
-                            if recursive and not (self.prune_vcs and name == VCS_DIR):
+                            if recursive and self._walked(rel, name):
                                 stack.append(_rel(rel, name))
-                        else:
+                        elif (kind == "f" or shares == 1 or share == 0) and self.asked.size(size):
                             yield (self.repo, _rel(rel, name), size)
                 except _SKIPPED_ERRORS:
-                    yield (self.repo, rel, UNLISTED)
+                    if share == 0 and self.asked.size(UNLISTED):
+                        yield (self.repo, rel, UNLISTED)
+
+
+class PushingReader(SourceTreeReader):
+    """The reader where the session lets Python data sources take filters."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            op, column = type(f).__name__, getattr(f, "attribute", ())
+            value = getattr(f, "value", None)
+            if column in (("path",), ("size",)) and op in _TESTS and value is not None and not (op == "In" and None in value):
+                self.asked.tests.append((column[0], op, value))
+                if column == ("path",) and op in ("StringStartsWith", "EqualTo"):
+                    self.asked.prefixes.append(value)
+            elif op != "IsNotNull" or column not in (("path",), ("size",), ("repo",)):  # none of the columns is ever null
+                yield f
 
 
 class SourceTreeDataSource(DataSource):
@@ -180,7 +269,8 @@ class SourceTreeDataSource(DataSource):
         return LISTING_SCHEMA
 
     def reader(self, schema) -> SourceTreeReader:
-        return SourceTreeReader(self.options, schema)
+        pushed = str(self.options.get("pushdown", "false")).lower() == "true"
+        return (PushingReader if pushed else SourceTreeReader)(self.options, schema)
 
 
 def listed():
@@ -188,6 +278,9 @@ def listed():
     return F.col("size") != UNLISTED
 
 
+PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
+
+
 def register(spark: SparkSession) -> None:
     from quire.session import ship_package
 
@@ -195,16 +288,33 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SourceTreeDataSource)
 
 
-def list_tree(spark: SparkSession, root: str, repo: str | None = None, num_partitions: int | None = None) -> DataFrame:
+def list_tree(
+    spark: SparkSession,
+    root: str,
+    repo: str | None = None,
+    num_partitions: int | None = None,
+    *,
+    extensions: tuple[str, ...] = (),
+    max_bytes: int | None = None,
+) -> DataFrame:
     """Listing of a tree; the walk is spread over ``num_partitions`` listing tasks
-    (default: the cluster's default parallelism)."""
+    (default: the cluster's default parallelism).
+
+    Filters on the result's ``path`` and ``size`` are pushed into the walk where the session allows
+    it (``PUSHDOWN_CONF``). With ``extensions`` (in any case) and ``max_bytes`` other files, and empty ones, are left
+    out of the listing; what could not be looked at is still in it.
+    """
     register(spark)
     reader = spark.read.format("sourcetree").option("path", root)
     if repo is not None:
         reader = reader.option("repo", repo)
+    if extensions:
+        reader = reader.option("extensions", ",".join(extensions))
+    if max_bytes is not None:
+        reader = reader.option("maxBytes", str(int(max_bytes)))
     n = num_partitions or spark.sparkContext.defaultParallelism
     reader = reader.option("numPartitions", str(n)).option("listingBudget", str(max(64, 4 * n)))
-    return reader.load()
+    return reader.option("pushdown", spark.conf.get(PUSHDOWN_CONF, "false")).load()
 
 
 # Bytes of file text per output batch of the reading step, and per reading task.

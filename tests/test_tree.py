@@ -117,3 +117,70 @@ def test_uri_root_uses_arrow_filesystem(spark):
     assert sorted(r.path for r in listing.collect()) == sorted(f for f in files if not f.startswith(".git/"))
     got = sorted((r.path, r.chunk_idx) for r in tree_training_text(spark, uri, "r").collect())
     assert got == [("a.py", 1), ("docs/b.md", 1)]  # empty __init__.py and .txt are filtered
+
+
+def _listed(monkeypatch, root, filters=(), **options):
+    """What the pushing reader returns, the folders that were listed and the files that were looked at, over all its tasks."""
+    from quire.sources import tree
+
+    folders, looked = [], []
+
+    class Fs(tree._LocalFs):
+        def list(self, d, want=None):
+            folders.append(os.path.relpath(d, root))
+            for e in super().list(d, want):
+                if e[1] == "f":
+                    looked.append(os.path.relpath(os.path.join(d, e[0]), root))
+                yield e
+
+        def names(self, d):
+            folders.append(os.path.relpath(d, root))
+            return super().names(d)
+
+    monkeypatch.setattr(tree, "_open", lambda r: (Fs(), os.path.abspath(r)))
+    reader = tree.PushingReader({"path": root, "repo": "r", **options}, None)
+    rest = list(reader.pushFilters(list(filters)))
+    parts = reader.partitions()
+    rows = [[r[1:] for r in reader.read(p)] for p in parts]
+    return rest, rows, set(folders), looked
+
+
+def test_pushed_filters_prune_the_walk(monkeypatch):
+    import pyspark.sql.datasource as D
+
+    root = make_tree({"src/a.py": b"12", "src/deep/b.py": b"1234", "src/c.txt": b"1", "other/x.py": b"1", "other/deep/y.py": b"1", "top.py": b"1", "srcs.py": b"1"})
+    path, size = ("path",), ("size",)
+    for budget in ("1", "64"):
+        rest, rows, folders, looked = _listed(monkeypatch, root, [D.StringStartsWith(path, "src/"), D.StringEndsWith(path, ".py"), D.IsNotNull(path)], listingBudget=budget)
+        assert rest == [] and sorted(sum(rows, [])) == [("src/a.py", 2), ("src/deep/b.py", 4)] and folders == {".", "src", "src/deep"}
+        assert sorted(looked) == ["src/a.py", "src/deep/b.py"]
+    other = D.StringContains(("repo",), "x")
+    rest, rows, _, _ = _listed(monkeypatch, root, [D.GreaterThan(size, 1), D.LessThanOrEqual(size, 3), other])
+    assert rest == [other] and sum(rows, []) == [("src/a.py", 2)]
+    _, rows, folders, _ = _listed(monkeypatch, root, [D.EqualTo(path, "other/deep/y.py")])
+    assert sum(rows, []) == [("other/deep/y.py", 1)] and folders == {".", "other", "other/deep"}
+    _, rows, _, _ = _listed(monkeypatch, root, [], extensions=".PY,.md", maxBytes="2")
+    assert sorted(p for p, _ in sum(rows, [])) == ["other/deep/y.py", "other/x.py", "src/a.py", "srcs.py", "top.py"]
+
+
+def test_one_flat_folder_is_dealt_to_several_tasks(monkeypatch):
+    root = make_tree({**{f"flat/f{i}.py": b"x" for i in range(1200)}, "flat/sub/g.py": b"x"})
+    _, rows, _, looked = _listed(monkeypatch, root, folderFiles="100", numPartitions="4")
+    assert sorted(p for p, _ in sum(rows, [])) == sorted([f"flat/f{i}.py" for i in range(1200)] + ["flat/sub/g.py"])
+    assert len(looked) == 1201 and len(rows) >= 12 and max(map(len, rows)) < 200  # each file is looked at once, in its share's task
+
+
+def test_filters_reach_the_listing_in_the_plan(spark):
+    from pyspark.sql import functions as F
+
+    root = make_tree({"src/a.py": b"12", "src/b.md": b"1", "other/x.py": b"1"})
+    df = list_tree(spark, root, "r").where(F.col("path").startswith("src/") & (F.col("size") > 1))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Filter (" not in plan and "BatchScan sourcetree" in plan  # the source took both, none is left to Spark
+    assert [tuple(r) for r in df.collect()] == [("r", "src/a.py", 2)]
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    try:  # without the setting the same rows come from Spark's own filter
+        df = list_tree(spark, root, "r").where(F.col("path").startswith("src/") & (F.col("size") > 1))
+        assert "Filter (" in df._jdf.queryExecution().executedPlan().toString() and df.count() == 1
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
