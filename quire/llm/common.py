@@ -24,16 +24,26 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*(col(src).alias(dst) for dst, src in names.items()))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage at a compressed columnar table that survives lost executors.
-    The folder belongs to the session's checkpoint folder and is cleaned with it.
+    The table stays until ``dropped`` or until its folder ``quire-...`` is removed with the
+    session's checkpoint folder: results are lazy, so only the caller knows when one was read.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/quire-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._saved_at = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables that ``saved`` returned, once nothing reads them any more."""
+    for df in tables:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def by_bytes(batch, column: str, limit: int = SLICE_BYTES):

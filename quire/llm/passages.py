@@ -21,7 +21,7 @@ each window of ``words + 1`` whole words (runs between white space) of under ``l
 counted by a 128-bit hash. Longer windows hold a string of ``length`` bytes already.
 
 Passages of more than so many words are told by the same runs over words instead of bytes
-(``repeated_words``): a window is so many hashed words, its anchor the least-hashed gram of
+(``repeated_words``; words are runs outside ASCII white space): a window is so many hashed words, its anchor the least-hashed gram of
 words. Equal runs are copies; of anchors with different runs the windows are counted one by one,
 by a 128-bit hash, as they are few.
 
@@ -39,15 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import by_bytes, free_names, map_arrow, pick, saved
+from quire.llm.common import by_bytes, dropped, free_names, map_arrow, pick, saved
 from quire.llm.suffix import repeated_starts
 
 LENGTH = 400
 HOT = 4096
-SHARD_BYTES = 1 << 19
+SHARD_BYTES = 1 << 20
 CHUNK = 1 << 18
 SLICE = 1 << 20
-CACHE = 100_000
 _POS = np.uint64((1 << 22) - 1)
 _B = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.array([chr(i).isspace() for i in range(0x3001)] + [False])
@@ -60,20 +59,40 @@ def gram_size(length: int) -> int:
     return 1 << max(0, (length // 3).bit_length() - 1)
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``B ** i`` and its inverse, modulo 2^64, for ``i`` below ``n``; kept for pieces of the usual size."""
+    def made(base: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        with np.errstate(over="ignore"):
+            return np.multiply.accumulate(out)
+
+    if n > 2 * CHUNK:
+        return made(int(_B)), made(pow(int(_B), -1, 1 << 64))
+    if not _POWERS or len(_POWERS[0]) < n:
+        n, m = 2 * CHUNK, n
+        _POWERS[:] = [made(int(_B)), made(pow(int(_B), -1, 1 << 64))]
+        n = m
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+_POWERS: list[np.ndarray] = []
+_BYTE = np.random.default_rng(24).integers(0, 1 << 64, 256, np.uint64)  # a fixed random number for each byte
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(32))
+
+
 def gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
-    """A 64-bit hash of the ``gram`` bytes at each place, by doubling the hashed length."""
-    h = (b.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    mul, size = _B, 1
+    """A 64-bit hash of the ``gram`` bytes (or words) at each place, from running sums."""
+    up, down = _powers(len(b))
+    n = len(b) - gram + 1
     with np.errstate(over="ignore"):
-        while size < gram:
-            h = h[:-size] * mul + h[size:]
-            h ^= h >> np.uint64(29)
-            mul = mul * mul * np.uint64(2) + np.uint64(1)
-            size *= 2
-        h *= np.uint64(0xFF51AFD7ED558CCD)
-        h ^= h >> np.uint64(33)
-    return h
+        sums = np.concatenate(([np.uint64(0)], np.cumsum((_BYTE[b] if b.dtype == np.uint8 else b) * up, dtype=np.uint64)))
+        return _mixed((sums[gram:] - sums[:n]) * down[:n])
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -273,95 +292,107 @@ def _short_windows(words: int, length: int):
     return each
 
 
-class _Hashes(dict):
-    """Hashes of words, kept for a bounded number of them."""
-
-    def __missing__(self, w: str) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[w] = xxhash.xxh3_64_intdigest(w)
-        return h
+def words_of(b: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes and ends of the words (runs outside ASCII white space) of texts end to end, cut at ``bounds``."""
+    if not len(b):
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    solid = ~((b == 32) | ((b - np.uint8(9)) <= 4))
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    inner = bounds[(bounds > 0) & (bounds < len(b))]
+    first[inner] |= solid[inner]
+    last[inner - 1] |= solid[inner - 1]
+    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    up, down = _powers(len(b))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE[b] * up, dtype=np.uint64)))
+        h = (sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)
+    return _mixed(h), start, end
 
 
-def _word_hashes(text: str, cache: _Hashes) -> np.ndarray:
-    """The words of a text as 64-bit hashes, taken in pieces that cut no word."""
+def _long_words(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``words_of`` one text of any length, in pieces that cut no word."""
     out, at = [], 0
-    while at < len(text):
-        z = min(at + CHUNK, len(text))
-        while z < len(text) and not text[z].isspace():
-            z += 1
-        ws = text[at:z].split()
-        out.append(np.fromiter(map(cache.__getitem__, ws), np.uint64, len(ws)))
+    while at < len(b):
+        z = min(at + CHUNK, len(b))
+        while z < len(b):  # on to the next white space
+            part = b[z:z + CHUNK]
+            white = np.flatnonzero((part == 32) | ((part - np.uint8(9)) <= 4))
+            if len(white):
+                z += int(white[0])
+                break
+            z += len(part)
+        h, start, end = words_of(b[at:z], np.array([0, z - at]))
+        out.append((h, start + at, end + at))
         at = z
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else words_of(b, np.array([0, 0]))
 
 
 def _word_scan(size: int, gram: int):
     """Runs of windows of ``size`` words with one anchor, as ``_scan`` gives those of bytes; places count words."""
-    def flush(batch, rows, hs):
-        h = np.concatenate(hs)
-        bounds = np.cumsum([0, *map(len, hs)])
+    def found(batch, first: int, h: np.ndarray, bounds: np.ndarray):
+        """``bounds`` are those of the texts from row ``first`` on, in words."""
         for a in range(0, max(1, len(h) - size + 1), CHUNK):  # whole texts, or pieces of a long one that overlap by size - 1
             part = h[a:a + CHUNK + size - 1]
             inner = bounds[(bounds > a) & (bounds < a + len(part))] - a
-            lo, hi, key = runs(part, np.array([0, *inner, len(part)]), size, gram)
+            lo, hi, key = runs(part, np.concatenate(([0], inner, [len(part)])), size, gram)
             if not len(lo):
                 continue
             raw = memoryview(part).cast("B")
             seg = np.array([xxhash.xxh3_64_intdigest(raw[8 * x:8 * y]) for x, y in zip(lo.tolist(), (hi + size).tolist())], np.uint64).view(np.int64)
             doc = np.searchsorted(bounds, lo + a, "right") - 1
             fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)))
-            first = np.flatnonzero(fresh)
-            times = np.diff(first, append=len(lo))
-            over = hi[first + times - 1] - lo[first]
-            take = pa.array(np.array(rows)[doc[first]])
+            one = np.flatnonzero(fresh)
+            times = np.diff(one, append=len(lo))
+            over = hi[one + times - 1] - lo[one]
+            take = pa.array(first + doc[one])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[first]), pa.array(seg[first]), batch.column("doc").take(take), batch.column("th").take(take),
-                 pa.array(lo[first] + a - bounds[doc[first]]), pa.array((hi - lo)[first].astype(np.int32)), pa.array(times), pa.array(over)],
+                [pa.array(key[one]), pa.array(seg[one]), batch.column("doc").take(take), batch.column("th").take(take),
+                 pa.array(lo[one] + a - bounds[doc[one]]), pa.array((hi - lo)[one].astype(np.int32)), pa.array(times), pa.array(over)],
                 names=["key", "seg", "doc", "th", "lo", "n", "times", "reach"])
 
     def scan(batches):
-        cache = _Hashes()
         for batch in batches:
-            rows, hs, held = [], [], 0
-            for k, t in enumerate(batch.column("text")):
-                h = _word_hashes(t.as_py() or "", cache)
-                if len(h) < size:
-                    continue
-                rows.append(k)
-                hs.append(h)
-                held += len(h)
-                if held >= CHUNK // 4:
-                    yield from flush(batch, rows, hs)
-                    rows, hs, held = [], [], 0
-            if hs:
-                yield from flush(batch, rows, hs)
+            data, offsets = _bytes_of(batch.column("text"))
+            i = 0
+            while i < batch.num_rows:
+                j = i + 1
+                while j < batch.num_rows and offsets[j + 1] - offsets[i] <= CHUNK:
+                    j += 1
+                cut = offsets[i:j + 1] - offsets[i]
+                if cut[-1] > CHUNK:
+                    h, start, _ = _long_words(data[offsets[i]:offsets[j]])
+                else:
+                    h, start, _ = words_of(data[offsets[i]:offsets[j]], cut)
+                yield from found(batch, i, h, np.searchsorted(start, cut))
+                i = j
     return scan
 
 
 def _wanted_windows(size: int):
     """Rows of documents with the runs wanted of them -> every window of these runs, by a 128-bit hash."""
     def each(batches):
-        cache = _Hashes()
         for batch in batches:
-            for text, want in zip(batch.column("text"), batch.column("want")):
-                raw = memoryview(_word_hashes(text.as_py() or "", cache)).cast("B")
-                want = want.as_py()
-                for k in range(0, len(want), 1000):
-                    rows = [(r["key"], r["seg"], i, r["m"], xxhash.xxh3_128_digest(raw[8 * (r["lo"] + i):8 * (r["lo"] + i + size)]))
-                            for r in want[k:k + 1000] for i in range(r["n"] + 1)]
-                    key, seg, at, m, digest = zip(*rows)
-                    h = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
+            data, offsets = _bytes_of(batch.column("text"))
+            for k, want in enumerate(batch.column("want")):
+                h, _, _ = _long_words(data[offsets[k]:offsets[k + 1]])
+                raw, want = memoryview(h).cast("B"), want.as_py()
+                for at in range(0, len(want), 1000):
+                    rows = [(r["seg"], i, r["m"], xxhash.xxh3_128_digest(raw[8 * (r["lo"] + i):8 * (r["lo"] + i + size)]))
+                            for r in want[at:at + 1000] for i in range(r["n"] + 1)]
+                    seg, place, m, digest = zip(*rows)
+                    d = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(key, pa.int64()), pa.array(seg, pa.int64()),
-                         pa.array(at, pa.int32()), pa.array(m, pa.int64())], names=["h1", "h2", "key", "seg", "at", "m"])
+                        [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(seg, pa.int64()), pa.array(place, pa.int32()), pa.array(m, pa.int64())],
+                        names=["h1", "h2", "seg", "at", "m"])
     return each
 
 
-def _told(r: DataFrame, segs: DataFrame, found: DataFrame) -> DataFrame:
+def _told(r: DataFrame, segs: DataFrame, found: DataFrame, *run: str) -> DataFrame:
     """Runs of repeated starts of each text: all of equal runs, the ``found`` starts of single ones."""
     copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", "lo", (F.col("lo") + F.col("reach")).alias("hi"))
-    single = segs.where("m = 1").select("key", "seg", "rep.doc", "rep.th", "rep.lo").join(found, ["key", "seg"]).select(
+    single = segs.where("m = 1").select(*run, "rep.doc", "rep.th", "rep.lo").join(found, [*run]).select(
         "doc", "th", F.explode(_joined(F.col("starts"))).alias("s"), "lo").select(
         "doc", "th", (F.col("lo") + F.col("s.a")).alias("lo"), (F.col("lo") + F.col("s.z")).alias("hi"))
     return copies.unionByName(single)
@@ -371,7 +402,7 @@ def _counted(r: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Different runs of anchors that occur more than once, with their number and one place each; rows wanted to tell their windows apart."""
     every = r.groupBy("key", "seg").agg(F.sum("times").alias("m"), F.min(F.struct("doc", "th", "lo", "n")).alias("rep"))
     kinds = every.groupBy("key").agg(F.count("*").alias("d"))
-    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs")
+    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs", "zstd")
     return segs, segs.where("d > 1").select("key", "seg", "m", "d", "rep.*")
 
 
@@ -380,10 +411,10 @@ def _with_wanted(d: DataFrame, want: DataFrame) -> DataFrame:
     return d.join(by_doc, d["doc"].eqNullSafe(by_doc["doc"]) & (d["th"] == by_doc["th"])).select("text", "want")
 
 
-def _starts(w: DataFrame) -> DataFrame:
+def _starts(w: DataFrame, *run: str) -> DataFrame:
     """Of windows by hash the places of those that occur again, by run."""
     twice = w.groupBy("h1", "h2").agg(F.sum("m").alias("c")).where("c > 1").select("h1", "h2")
-    return w.where("m = 1").join(twice, ["h1", "h2"], "left_semi").groupBy("key", "seg").agg(F.collect_list("at").alias("starts"))
+    return w.where("m = 1").join(twice, ["h1", "h2"], "left_semi").groupBy(*run).agg(F.collect_list("at").alias("starts"))
 
 
 def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 50) -> DataFrame:
@@ -393,10 +424,11 @@ def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
     r = saved(map_arrow(d.where(F.octet_length("text") >= 2 * size - 1), _word_scan(size, gram),
-                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-words")
+                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-words", "zstd")
     segs, want = _counted(r)
-    w = saved(map_arrow(_with_wanted(d, want.drop("d")), _wanted_windows(size), "h1 long, h2 long, key long, seg long, at int, m long"), "passage-windows")
-    return _told(r, segs, _starts(w)).groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    # a run's bytes tell its anchor, so their hash names it
+    w = saved(map_arrow(_with_wanted(d, want.drop("d", "key")), _wanted_windows(size), "h1 long, h2 long, seg long, at int, m long"), "passage-windows", "zstd")
+    return _told(r, segs, _starts(w, "seg"), "seg").groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None) -> DataFrame:
@@ -408,17 +440,18 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
     r = saved(map_arrow(d.where(F.octet_length("text") >= length), _scan(length, gram),
-                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs")
+                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs", "zstd")
     segs, want = _counted(r)
     parts = saved(map_arrow(_with_wanted(d, want.withColumn("hot", F.col("d") > hot).drop("d")), _fetch(length),
-                            "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
+                            "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts", "zstd")
     sorted_ = map_arrow(parts.where("not hot").select("key", "seg", "bytes", "m").repartition("key").sortWithinPartitions("key", "seg"),
                         _sort_shard(length), "key long, seg long, starts array<int>")
     w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "m"), _windows(length), "h1 long, h2 long, key long, seg long, at int, m long")
-    found = saved(sorted_.unionByName(_starts(w)), "passage-starts")
-    told = _told(r, segs, found)
+    found = saved(sorted_.unionByName(_starts(w, "key", "seg")), "passage-starts", "zstd")
+    dropped(parts)
+    told = _told(r, segs, found, "key", "seg")
     if words is not None:
-        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-short")
+        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-short", "zstd")
         again = short.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
         told = told.unionByName(short.join(again, ["h1", "h2"], "left_semi").select("doc", "th", "lo", "hi"))
     return told.groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
@@ -453,25 +486,13 @@ def cut(raw: bytes, ranges: list[tuple[int, int]], length: int) -> tuple[bytes,
     return b"".join(left), [(a, z) for a, z in spans]
 
 
-def word_spans(text: str, ranges: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
+def word_spans(raw: bytes, ranges: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     """Maximal byte spans that windows of ``size`` words cover, for the windows' first words in runs (first, last)."""
-    edges = np.empty((0, 2), np.int64)
-    out, base, at = [], 0, 0
-    while at < len(text):  # in pieces that cut no word
-        z = min(at + CHUNK, len(text))
-        while z < len(text) and not text[z].isspace():
-            z += 1
-        cp = np.frombuffer(text[at:z].encode("utf-32-le"), np.uint32)
-        byte = np.zeros(len(cp) + 1, np.int64)
-        np.cumsum(1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF), out=byte[1:])
-        edge = np.diff(np.concatenate(([False], ~_SPACE[np.minimum(cp, 0x3001)], [False])).astype(np.int8))
-        out.append(np.column_stack((byte[np.flatnonzero(edge == 1)], byte[np.flatnonzero(edge == -1)])) + base)
-        base, at = base + int(byte[-1]), z
-    edges = np.concatenate([edges, *out])
+    _, start, end = _long_words(np.frombuffer(raw, np.uint8))
     spans: list[list[int]] = []
     last = -1
     for lo, hi in sorted(ranges):
-        a, z = int(edges[lo, 0]), int(edges[hi + size - 1, 1])
+        a, z = int(start[lo]), int(end[hi + size - 1])
         if spans and lo <= last + 1:
             spans[-1][1] = max(spans[-1][1], z)
         else:
@@ -529,7 +550,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             new = [pa.array([len(raw) for raw, _, _ in rows], pa.int64()), pa.array([rows_of(spans) for _, _, spans in rows], span),
                    pa.array([left for _, left, _ in rows], pa.binary())]
             if passages is not None:
-                new.append(pa.array([rows_of(word_spans(raw.decode(), rs, passages + 1)) if rs else [] for (raw, _, _), rs in zip(rows, _pairs(part.column("r1")))], span))
+                new.append(pa.array([rows_of(word_spans(raw, rs, passages + 1)) if rs else [] for (raw, _, _), rs in zip(rows, _pairs(part.column("r1")))], span))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], names=[*docs_names, *names])
 
     added = T.StructType.fromDDL("n long, s array<struct<start:long,end:long>>, k binary, p array<struct<start:long,end:long>>").fields
