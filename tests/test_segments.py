@@ -8,7 +8,7 @@ import re
 
 from quire.functions import markers as M
 from quire.operators.segments import completion_segments, transcripts
-from quire.streaming.segmenter import consume, segments as py_segments
+from quire.streaming.segmenter import consume, segments as py_segments, strip_markers as strip
 
 # Start markers and the channel each opens; at any position at most one of them
 # matches in full, so the scanner needs no priority among them.
@@ -23,12 +23,6 @@ STARTS = {
 ENDS = {"analysis": M.ANALYSIS_END, "commentary": M.ANALYSIS_END, "tool": M.TOOL_END, "final": M.FINAL_END}
 
 
-def strip(t):
-    for m in ("<|start|>assistant", "<|start|>system", "<|start|>user"):
-        t = t.replace(m, "")
-    return re.sub(r"<\|[^>]+\|>", "", t)
-
-
 def scan(text):
     """Whole-text scanner: raw text up to the leftmost position where a start
     marker matches, then the segment up to its end marker (or the end of text)."""

@@ -62,17 +62,33 @@ def test_preview(spark):
     assert got == ["abc" + TX.PREVIEW_SUFFIX, "", " ab"]
 
 
-def _py_strip_markers(t):
-    for m in ("<|start|>assistant", "<|start|>system", "<|start|>user"):
-        t = t.replace(m, "")
-    return re.sub(r"<\|[^>]+\|>", "", t)
+# What goes in and what is left. Markers of a role go with their role, in the order assistant, system, user, and each
+# once; what their removal brings together is a marker only to a later step.
+STRIPPED = [
+    ("", ""), (None, None), ("plain", "plain"), ("<|end|>", ""), ("a<|end|>b", "ab"),
+    ("<|start|>assistant", ""), ("<|start|>assistantx", "x"), ("<|start|>system<|message|>hi<|end|>", "hi"),
+    ("<|start|>user<|message|>q<|end|><|start|>assistant", "q"), ("<|start|>developer x", "developer x"), ("<|start|>tool<|x|>", "tool"),
+    ("<||>", "<||>"), ("<|>|>", "<|>|>"), ("<|a>b|>", "<|a>b|>"), ("<|a<|b|>", ""), ("<|a|", "<|a|"), ("|>a<|", "|>a<|"), ("<<|a|>>", "<>"),
+    ("<|a|><|b|>c", "c"), ("<|multi\nline|>y", "y"), ("é<|ü|>漢", "é漢"), ("Assistant <|START|>assistant", "Assistant assistant"),
+    ("<|start|>as<|end|>sistant", "assistant"), ("<|start|>as<|start|>usersistant", "assistant"), ("<|start|>sys<|start|>assistanttem", ""),
+    ("<|st<|start|>userart|>x", "x"), ("<|start|><|start|>assistantassistant", "assistant"),
+]
+
+
+def test_strip_markers(spark):
+    from quire.streaming import segmenter
+
+    assert _one(spark, [a for a, _ in STRIPPED], TX.strip_markers) == [b for _, b in STRIPPED]
+    assert [segmenter.strip_markers(a) for a, _ in STRIPPED if a is not None] == [b for _, b in STRIPPED if b is not None]
+
 
+def test_stripping_batch_and_stream_agree(spark):
+    from quire.streaming import segmenter
 
-def test_strip_markers_matches_python(spark):
     random.seed(3)
     parts = ["<|", "|>", "<|start|>", "assistant", "system", "user", "<|end|>", "x", ">", "|", " ", "<|start|>assistant"]
     vals = ["".join(random.choices(parts, k=random.randint(0, 10))) for _ in range(1000)]
-    assert _one(spark, vals, TX.strip_markers) == [_py_strip_markers(v) for v in vals]
+    assert _one(spark, vals, TX.strip_markers) == [segmenter.strip_markers(v) for v in vals]
 
 
 def test_normalize_newlines(spark):
