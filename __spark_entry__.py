@@ -19,6 +19,7 @@ from quire.functions.chunk import chunk_label
 from quire.operators import epochs as EP
 from quire.operators import files as FL
 from quire.operators import messages as MS
+from quire.operators import parts as PT
 from quire.operators import segments as SG
 from quire.operators import select as SL
 from quire.operators import shaping as SH
@@ -73,6 +74,20 @@ def _conv_text(spark, d):
     return PR.conversation_training_text(_t(spark, d, "conversations"))
 
 
+def _merged_lengths(documents: DataFrame) -> DataFrame:
+    """The quantiles of sketches merged over all sources, each with whether its rank is within the sketch's error."""
+    got = PT.length_quantiles(PT.length_sketches(documents, ["source"]))
+    n, c = F.col("n"), F.col("c")
+    counts = documents.where("text is not null").select(SH.approx_tokens(F.col("text")).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    told = []
+    for q in (0.5, 0.9, 0.99):
+        v = got.select(f"p{q * 100:g}").scalar()
+        below, upto = F.sum(F.when(n < v, c).otherwise(0)), F.sum(F.when(n <= v, c).otherwise(0))
+        near = (below <= (q + PT.RANK_ERROR) * F.sum(c) + 1) & (upto >= (q - PT.RANK_ERROR) * F.sum(c) - 1)
+        told.append(F.struct(F.lit(q).alias("q"), got.select("samples").scalar().alias("samples"), got.select("max_tokens").scalar().alias("max_tokens"), near.alias("within")))
+    return counts.agg(F.array(*told).alias("t")).select(F.inline("t"))
+
+
 STEPS_BATCH, STEPS_ACCUM, STEPS_MORE = 2, 4, 10
 
 
@@ -213,6 +228,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["training_batches"] = lambda s, d: SH.training_batches(
         TR.sample_id(_training_text(s, d)).select("sample_id", "text"), "sample_id"
     ).select("sample_id", "epoch", "step", "micro")
+    # sketches of each source, merged: whether the ranks of their quantiles lie within the stated error
+    q["merged_length_quantiles"] = lambda s, d: _merged_lengths(_t(s, d, "documents"))
     # one epoch and the first steps of the next, addressed by step
     q["steps_by_index"] = lambda s, d: _steps_by_index(_t(s, d, "documents").select("doc_id"))
     q["over_length_samples"] = lambda s, d: SH.flag_over_length(_conv_text(s, d)).select("conv_id", "n_tokens", "over_limit")
@@ -516,7 +533,8 @@ flags as (
 reasons as (
   select *, not vcs and not bad_ext and size <= 0 as empty,
             not vcs and not bad_ext and size > {FULL_MAX_FILE_BYTES} as too_big,
-            not vcs and not bad_ext and size between 1 and {FULL_MAX_FILE_BYTES} as kept
+            not vcs and not bad_ext and coalesce(size, 1) between 1 and {FULL_MAX_FILE_BYTES} and text is null as unreadable,
+            not vcs and not bad_ext and size between 1 and {FULL_MAX_FILE_BYTES} and text is not null as kept
   from flags),
 {_chunks_sql(SMALL_MAX_CHARS, "select path, text from reasons where kept", "path")},
 per_file as (select path, count(*) as pieces from chunks group by path)
@@ -526,6 +544,7 @@ select repo, cast(count(*) as bigint) as files_in,
        cast(count(*) filter (where bad_ext) as bigint) as skipped_extension,
        cast(count(*) filter (where empty) as bigint) as skipped_empty,
        cast(count(*) filter (where too_big) as bigint) as skipped_too_big,
+       cast(count(*) filter (where unreadable) as bigint) as skipped_unreadable,
        cast(coalesce(sum(case when kept then p.pieces else 0 end), 0) as bigint) as chunks,
        cast(coalesce(sum(case when kept then length(text) else 0 end), 0) as bigint) as characters
 from reasons left join per_file p using (path)
@@ -543,6 +562,8 @@ rn as (select *, row_number() over (order by epoch, k, sample_id) - 1 as rn from
 select sample_id, cast(epoch as bigint) as epoch, cast(rn // 4 + 1 as bigint) as step,
        cast((rn // 1) % 4 + 1 as bigint) as micro from rn"""
     o["steps_by_index"] = _steps_sql()
+    o["merged_length_quantiles"] = """select unnest([0.5, 0.9, 0.99])::double as q, count(*) as samples,
+       max(cast(ceil(length(text) / 4) as bigint)) as max_tokens, true as within from documents where text is not null"""
     o["length_summary"] = f"""with {_CONV_TEXT},
 t as (select cast(ceil(length(text) / 4) as bigint) as n from conv_text),
 r as (select n, row_number() over (order by n) as rk, count(*) over () as cnt from t)

@@ -144,18 +144,18 @@ def sample_count(df: DataFrame, out_col: str = "samples") -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("bigint").alias(out_col))
 
 
-def corpus_report(
+# Why a file of a corpus is left out, by the first check that fails; "kept" passes all.
+REASONS = ("vcs", "extension", "empty", "too_big", "unreadable")
+
+
+def corpus_parts(
     files: DataFrame,
     max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
     max_chars: int = DEFAULT_MAX_CHARS,
     text_col: str = "text",
 ) -> DataFrame:
-    """Per repo: files seen, kept, skipped by first failing reason (vcs dir,
-    extension, empty, too big), and the kept files' pieces and characters.
-
-    One hash aggregate keyed by repo (partial per partition, so a repo with a third
-    of all files is already reduced to one row per map task before the shuffle).
-    """
+    """One row per file, ``repo, path, reason, pieces, chars``: what the report adds up. A file that has a size
+    and no text is unreadable. A narrow projection; texts end here."""
     path, size = F.col("path"), F.col("size")
     # one reason per file, first failing check wins (evaluated once per row)
     reason = (
@@ -163,25 +163,38 @@ def corpus_report(
         .when(~has_source_extension(path), F.lit("extension"))
         .when(size <= 0, F.lit("empty"))
         .when(size > int(max_file_bytes), F.lit("too_big"))
+        .when(F.col(text_col).isNull(), F.lit("unreadable"))
         .otherwise(F.lit("kept"))
     )
     kept = F.col("reason") == "kept"
     pieces = F.when(kept, chunk_count(F.col(text_col), max_chars)).otherwise(F.lit(0))
     chars = F.when(kept, F.length(F.col(text_col))).otherwise(F.lit(0))
+    return files.select("repo", "path", reason.alias("reason"), text_col).select(
+        "repo", "path", "reason", pieces.cast("bigint").alias("pieces"), chars.cast("bigint").alias("chars")
+    )
+
+
+def report_of(parts: DataFrame) -> DataFrame:
+    """The corpus report from its parts: one hash aggregate keyed by repo (partial per partition, so a repo with a
+    third of all files is already reduced to one row per map task before the shuffle)."""
 
     def cnt(r: str):
         return F.count_if(F.col("reason") == r).cast("bigint")
 
-    per_file = files.select("repo", reason.alias("reason"), text_col).select(
-        "repo", "reason", pieces.alias("pieces"), chars.alias("chars")
-    )
-    return per_file.groupBy("repo").agg(
+    return parts.groupBy("repo").agg(
         F.count(F.lit(1)).cast("bigint").alias("files_in"),
         cnt("kept").alias("files_kept"),
-        cnt("vcs").alias("skipped_vcs"),
-        cnt("extension").alias("skipped_extension"),
-        cnt("empty").alias("skipped_empty"),
-        cnt("too_big").alias("skipped_too_big"),
+        *(cnt(r).alias(f"skipped_{r}") for r in REASONS),
         F.sum("pieces").cast("bigint").alias("chunks"),
         F.sum("chars").cast("bigint").alias("characters"),
     )
+
+
+def corpus_report(
+    files: DataFrame,
+    max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
+    max_chars: int = DEFAULT_MAX_CHARS,
+    text_col: str = "text",
+) -> DataFrame:
+    """Per repo: files seen, kept, skipped by first failing reason (``REASONS``), and the kept files' pieces and characters."""
+    return report_of(corpus_parts(files, max_file_bytes, max_chars, text_col))

@@ -3,7 +3,6 @@ grammar) is the reference; Spark's regex form and the incremental segmenter
 must agree with it."""
 
 import random
-import re
 
 
 from quire.functions import markers as M

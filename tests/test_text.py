@@ -1,7 +1,6 @@
 """Scalar string functions against the FIXTURES edge tables and Python semantics."""
 
 import random
-import re
 from pathlib import PurePosixPath
 
 from pyspark.sql import functions as F
