@@ -29,6 +29,7 @@ or any ``scheme://`` URI that ``pyarrow.fs`` can open).
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections import deque
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from quire.functions.decode import decode_bytes
 
@@ -67,6 +68,11 @@ class _LocalFs:
                 except _SKIPPED_ERRORS:
                     yield (e.name, "?", UNLISTED)
 
+    def changed(self, p: str) -> int:
+        """When a file's content or name last changed, in ns."""
+        st = os.stat(p)
+        return max(st.st_mtime_ns, st.st_ctime_ns)
+
     def names(self, d: str) -> Iterator[tuple[str, bool]]:
         """Names in a folder and whether they are folders; nothing is looked at."""
         with os.scandir(d) as it:
@@ -100,6 +106,9 @@ class _ArrowFs:
             elif i.type == self._pafs.FileType.File and (want is None or want(i.base_name)):
                 yield (i.base_name, "f", int(i.size or 0))
 
+    def changed(self, p: str) -> int:
+        return self.fs.get_file_info(p).mtime_ns or 0
+
     def names(self, d: str) -> Iterator[tuple[str, bool]]:
         for name, kind, _ in self.list(d):
             yield (name, kind == "d")
@@ -131,10 +140,10 @@ MAX_SHARES = 256
 
 class _Units(InputPartition):
     """A group of listing units ``(relative dir, recursive, share, shares)``: a folder's own files (those of one
-    share of their names), or all below it."""
+    share of their names), or all below it; in a stream, those last changed after ``after`` and up to ``upto`` (ns)."""
 
-    def __init__(self, units: list[tuple[str, bool, int, int]]):
-        self.units = units
+    def __init__(self, units: list[tuple[str, bool, int, int]], after: int | None = None, upto: int | None = None):
+        self.units, self.after, self.upto = units, after, upto
 
 
 def _rel(parent: str, name: str) -> str:
@@ -236,11 +245,19 @@ class SourceTreeReader(DataSourceReader):
                             if recursive and self._walked(rel, name):
                                 stack.append(_rel(rel, name))
                         elif (kind == "f" or shares == 1 or share == 0) and self.asked.size(size):
-                            yield (self.repo, _rel(rel, name), size)
+                            if partition.upto is None or self._lately(fs, fs.join(root, _rel(rel, name)), kind, partition):
+                                yield (self.repo, _rel(rel, name), size)
                 except _SKIPPED_ERRORS:
-                    if share == 0 and self.asked.size(UNLISTED):
+                    if share == 0 and partition.upto is None and self.asked.size(UNLISTED):
                         yield (self.repo, rel, UNLISTED)
 
+    @staticmethod
+    def _lately(fs, path: str, kind: str, partition: _Units) -> bool:
+        try:
+            return kind == "f" and partition.after < fs.changed(path) <= partition.upto
+        except _SKIPPED_ERRORS:  # gone since it was listed
+            return False
+
 
 class PushingReader(SourceTreeReader):
     """The reader where the session lets Python data sources take filters."""
@@ -257,6 +274,30 @@ class PushingReader(SourceTreeReader):
                 yield f
 
 
+class SourceTreeStreamReader(DataSourceStreamReader):
+    """Files of a tree as they are added or changed. An offset is a time: a batch holds the files last changed after the
+    batch before it and up to its own time, so it is told by two numbers, and the tasks that list the tree find
+    them again after a restart. Times lie ``settleSeconds`` back, so that what was written in the meantime,
+    by other machines with other clocks too, is in the listing. A file that changes again before its
+    batch is read appears in a later one. Each trigger lists the tree once, in tasks."""
+
+    def __init__(self, options: dict, schema):
+        self.inner = SourceTreeReader(options, schema)
+        self.settle = int(float(options.get("settleseconds", options.get("settleSeconds", 5))) * 1e9)
+
+    def initialOffset(self) -> dict:
+        return {"changed": 0}
+
+    def latestOffset(self) -> dict:
+        return {"changed": time.time_ns() - self.settle}
+
+    def partitions(self, start: dict, end: dict):
+        return [_Units(p.units, int(start["changed"]), int(end["changed"])) for p in self.inner.partitions()]
+
+    def read(self, partition: _Units) -> Iterator[tuple]:
+        yield from self.inner.read(partition)
+
+
 class SourceTreeDataSource(DataSource):
     """``spark.read.format("sourcetree").option("repo", label).load(root)`` →
     ``repo, path (relative, '/'-separated), size (bytes)`` for every regular file."""
@@ -272,6 +313,9 @@ class SourceTreeDataSource(DataSource):
         pushed = str(self.options.get("pushdown", "false")).lower() == "true"
         return (PushingReader if pushed else SourceTreeReader)(self.options, schema)
 
+    def streamReader(self, schema) -> SourceTreeStreamReader:
+        return SourceTreeStreamReader(self.options, schema)
+
 
 def listed():
     """Listing rows that are files; the others stand for what could not be looked at."""
@@ -317,6 +361,17 @@ def list_tree(
     return reader.option("pushdown", spark.conf.get(PUSHDOWN_CONF, "false")).load()
 
 
+def stream_tree(spark: SparkSession, root: str, repo: str | None = None, num_partitions: int | None = None, settle_seconds: float = 5.0) -> DataFrame:
+    """The listing of a tree as a stream: each file once when it is there, and again whenever it changes, across restarts
+    of a query with the same checkpoint."""
+    register(spark)
+    n = num_partitions or spark.sparkContext.defaultParallelism
+    reader = spark.readStream.format("sourcetree").option("path", root).option("settleSeconds", str(settle_seconds))
+    if repo is not None:
+        reader = reader.option("repo", repo)
+    return reader.option("numPartitions", str(n)).option("listingBudget", str(max(64, 4 * n))).load()
+
+
 # Bytes of file text per output batch of the reading step, and per reading task.
 OUTPUT_BATCH_BYTES = 32 << 20
 TASK_BYTES = 128 << 20
