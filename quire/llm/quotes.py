@@ -36,21 +36,22 @@ def quoted(text: Column, levels: int = 1) -> Column:
 def parsed(messages: DataFrame, body: str = "body") -> DataFrame:
     """``messages`` with ``own`` (the text without quotes) and ``passages`` (array of level, text)."""
     raw = F.split(F.coalesce(F.col(body), F.lit("")), r"\r?\n")
-    m = messages.withColumn("q_lines", F.transform(raw, lambda x: F.struct(
+    norm = lambda t: F.lower(F.trim(F.regexp_replace(t, r"\s+", " ")))
+    # every line is read once: its level, its text and its text as it is compared (empty for a blank line)
+    m = messages.withColumn("q_lines", F.transform(F.transform(raw, lambda x: F.struct(
         F.length(F.regexp_replace(F.regexp_extract(x, _MARKS, 1), "[^>]", "")).alias("level"),
-        F.regexp_replace(x, _QUOTED, "").alias("text"))))
+        F.regexp_replace(x, _QUOTED, "").alias("text"))), lambda x: F.struct(x["level"].alias("level"), x["text"].alias("text"), norm(x["text"]).alias("norm"))))
     n = F.size("q_lines")
     at = lambda i: F.get("q_lines", i)
-    blank = lambda i: F.trim(F.regexp_replace(at(i)["text"], r"\s+", " ")) == ""
-    breaks = lambda i, j: (at(i)["level"] != at(j)["level"]) | blank(j)
+    solid = lambda i: at(i)["norm"] != ""
+    breaks = lambda i, j: (at(i)["level"] != at(j)["level"]) | ~solid(j)
     seq = F.sequence(F.lit(0), n - 1)
-    m = m.withColumn("q_from", F.filter(seq, lambda i: ~blank(i) & ((i == 0) | F.coalesce(breaks(i, i - 1), F.lit(True)))))
-    m = m.withColumn("q_to", F.filter(seq, lambda i: ~blank(i) & ((i == n - 1) | F.coalesce(breaks(i, i + 1), F.lit(True)))))
-    norm = lambda t: F.lower(F.trim(F.regexp_replace(t, r"\s+", " ")))
+    m = m.withColumn("q_from", F.filter(seq, lambda i: solid(i) & ((i == 0) | F.coalesce(breaks(i, i - 1), F.lit(True)))))
+    m = m.withColumn("q_to", F.filter(seq, lambda i: solid(i) & ((i == n - 1) | F.coalesce(breaks(i, i + 1), F.lit(True)))))
     runs = F.transform(F.arrays_zip("q_from", "q_to"), lambda z: F.struct(
         at(z["q_from"])["level"].alias("level"),
-        norm(F.array_join(F.transform(F.slice("q_lines", z["q_from"] + 1, z["q_to"] - z["q_from"] + 1), lambda x: x["text"]), " ")).alias("text")))
-    lines = F.filter(F.transform("q_lines", lambda x: F.struct(x["level"].alias("level"), norm(x["text"]).alias("text"))), lambda x: x["text"] != "")
+        F.array_join(F.transform(F.slice("q_lines", z["q_from"] + 1, z["q_to"] - z["q_from"] + 1), lambda x: x["norm"]), " ").alias("text")))
+    lines = F.transform(F.filter("q_lines", lambda x: x["norm"] != ""), lambda x: F.struct(x["level"].alias("level"), x["norm"].alias("text")))
     own = F.regexp_replace(F.array_join(F.transform(F.filter("q_lines", lambda x: x["level"] == 0), lambda x: x["text"]), "\n"), r"^\s+|\s+$", "")
     return m.withColumn("own", own).withColumn("passages", F.array_distinct(F.concat(runs, lines))).drop("q_lines", "q_from", "q_to")
 
