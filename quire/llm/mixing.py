@@ -167,7 +167,7 @@ class Mix:
         src = F.broadcast(self.source_table())  # at most MAX_SOURCES rows
         r = self.rows.join(src, self.rows["name"].eqNullSafe(src["name"])).select(
             "src", "doc_id", "th", "size", "row", "source_size", "target",
-            F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
+            F.pmod(F.xxhash64("doc_id", "th"), F.lit(buckets)).alias("bucket"))  # many rows may share an id, or have none
         total = r.groupBy("src", "bucket").agg(F.sum("size").alias("z"))
         at = total.select("src", "bucket", (F.sum("z").over(Window.partitionBy("src").orderBy("bucket")) - F.col("z")).alias("at"))
         w = Window.partitionBy("src", "bucket").orderBy("doc_id", "size", "th", "row").rowsBetween(Window.unboundedPreceding, 0)

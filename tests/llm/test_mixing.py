@@ -53,6 +53,25 @@ def test_mixture_rows_are_what_taken_counts(spark):
     assert mix.slots().select("shard", "slot").distinct().count() == mix.slots().count()
 
 
+def test_taken_equals_a_walk_over_the_drawn_slots(spark):
+    rows = [(i if i % 9 else None, sentence(i, (i * 37) % 60), f"s{i % 4}" if i % 5 else None) for i in range(150)]
+    mix = M.Mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), block_words=8, shard_slots=40)
+    words = {}  # of each source, the row that each of its words is from
+    for p in mix.placed().orderBy("src", "start", "size").collect():
+        mine = words.setdefault(p["src"], [])
+        assert p["start"] == len(mine)
+        mine += [p["row"]] * p["size"]
+    want, drawn = {}, {}
+    for s in mix.slots().collect():
+        drawn.setdefault((s["src"], s["epoch"]), []).append(s["block"])
+        for row in words[s["src"]][8 * s["block"]:8 * s["block"] + 8]:
+            want[row] = want.get(row, 0) + 1
+    got = {t["row"]: t["taken"] for t in mix.taken().collect()}
+    assert {r: n for r, n in got.items() if n} == want and len(got) == 150
+    for (src, epoch), blocks in drawn.items():  # no block twice in one pass over its source
+        assert len(set(blocks)) == len(blocks) and max(blocks) < -(-len(words[src]) // 8)
+
+
 def test_documents_hold_the_words_taken(spark):
     docs = awkward(spark)
     mix = M.Mix(docs, block_words=16)
