@@ -59,24 +59,23 @@ def gram_size(length: int) -> int:
     return 1 << max(0, (length // 3).bit_length() - 1)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``B ** i`` and its inverse, modulo 2^64, for ``i`` below ``n``; kept for pieces of the usual size."""
-    def made(base: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
-        out[0] = 1
+def _powers(n: int, base: int = int(_B)) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and their inverses, modulo 2^64, below the ``n``-th; kept for pieces of the usual size."""
+    def made(b: int, n: int) -> np.ndarray:
+        out = np.full(n, b, np.uint64)
+        out[:1] = 1
         with np.errstate(over="ignore"):
             return np.multiply.accumulate(out)
 
     if n > 2 * CHUNK:
-        return made(int(_B)), made(pow(int(_B), -1, 1 << 64))
-    if not _POWERS or len(_POWERS[0]) < n:
-        n, m = 2 * CHUNK, n
-        _POWERS[:] = [made(int(_B)), made(pow(int(_B), -1, 1 << 64))]
-        n = m
-    return _POWERS[0][:n], _POWERS[1][:n]
+        return made(base, n), made(pow(base, -1, 1 << 64), n)
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        _POWERS[base] = made(base, 2 * CHUNK), made(pow(base, -1, 1 << 64), 2 * CHUNK)
+    up, down = _POWERS[base]
+    return up[:n], down[:n]
 
 
-_POWERS: list[np.ndarray] = []
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 _BYTE = np.random.default_rng(24).integers(0, 1 << 64, 256, np.uint64)  # a fixed random number for each byte
 
 
@@ -86,6 +85,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
+def _ranges_hashed(h: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = int(_B)) -> np.ndarray:
+    """A 64-bit hash of ``h[start:end]`` for many ranges of hashed words, from running sums."""
+    up, down = _powers(len(h), base)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(h * up, dtype=np.uint64)))
+        return _mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def gram_hashes(b: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of the ``gram`` bytes (or words) at each place, from running sums."""
     up, down = _powers(len(b))
@@ -339,8 +346,7 @@ def _word_scan(size: int, gram: int):
             lo, hi, key = runs(part, np.concatenate(([0], inner, [len(part)])), size, gram)
             if not len(lo):
                 continue
-            raw = memoryview(part).cast("B")
-            seg = np.array([xxhash.xxh3_64_intdigest(raw[8 * x:8 * y]) for x, y in zip(lo.tolist(), (hi + size).tolist())], np.uint64).view(np.int64)
+            seg = _ranges_hashed(part, lo, hi + size).view(np.int64)
             doc = np.searchsorted(bounds, lo + a, "right") - 1
             fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]) | (doc[1:] != doc[:-1]) | (lo[1:] != hi[:-1] + 1)))
             one = np.flatnonzero(fresh)
@@ -375,20 +381,26 @@ def _wanted_windows(size: int):
     def each(batches):
         for batch in batches:
             data, offsets = _bytes_of(batch.column("text"))
-            for k, want in enumerate(batch.column("want")):
+            want = batch.column("want")
+            ends, rows = want.offsets.to_numpy(), want.values
+            seg, lo, n, m = (rows.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("seg", "lo", "n", "m"))
+            for k in range(batch.num_rows):
                 h, _, _ = _long_words(data[offsets[k]:offsets[k + 1]])
-                raw, want = memoryview(h).cast("B"), want.as_py()
-                for at in range(0, len(want), 1000):
-                    rows = [(r["seg"], i, r["m"], xxhash.xxh3_128_digest(raw[8 * (r["lo"] + i):8 * (r["lo"] + i + size)]))
-                            for r in want[at:at + 1000] for i in range(r["n"] + 1)]
-                    seg, place, m, digest = zip(*rows)
-                    d = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
+                for a in range(int(ends[k]), int(ends[k + 1]), 10_000):
+                    z = min(a + 10_000, int(ends[k + 1]))
+                    times = n[a:z] + 1
+                    place = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                    at = np.repeat(lo[a:z], times) + place
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(seg, pa.int64()), pa.array(place, pa.int32()), pa.array(m, pa.int64())],
+                        [pa.array(_ranges_hashed(h, at, at + size, b).view(np.int64)) for b in _BASES]
+                        + [pa.array(np.repeat(seg[a:z], times)), pa.array(place.astype(np.int32)), pa.array(np.repeat(m[a:z], times))],
                         names=["h1", "h2", "seg", "at", "m"])
     return each
 
 
+_BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)  # odd
+
+
 def _told(r: DataFrame, segs: DataFrame, found: DataFrame, *run: str) -> DataFrame:
     """Runs of repeated starts of each text: all of equal runs, the ``found`` starts of single ones."""
     copies = r.join(segs.where("m > 1").select("key", "seg"), ["key", "seg"]).select("doc", "th", "lo", (F.col("lo") + F.col("reach")).alias("hi"))

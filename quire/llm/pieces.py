@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ready
+from quire.llm.common import col, free_names, map_arrow, ready
 
 SPACE = "▁"
 CACHE = 150_000
@@ -291,9 +291,7 @@ def model_bytes(path: str) -> bytes:
 def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "ids", check: str | None = None) -> DataFrame:
     """``docs`` without ``text`` and with ``out``, the piece ids; ``check`` names a column that says
     whether decoding them gives the normalised text back."""
-    ready(docs)
-    if out in docs.columns or (check and check in docs.columns):
-        raise ValueError("the output columns are taken")
+    free_names(docs.drop(text), out, *([check] if check else []))
     keep = [c for c in docs.columns if c != text]
     schema = _with_ids(docs, keep, out, check)
 
@@ -317,7 +315,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "ids",
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists, *([pa.array(good, pa.bool_())] if check else [])],
                                                  names=[*keep, out, *([check] if check else [])])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def _with_ids(docs: DataFrame, keep: list[str], out: str, check: str | None):
@@ -336,4 +334,4 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", out: str = "text") ->
         p = compiled(model)
         return column.map(lambda x: None if x is None else p.decode(list(x)))
 
-    return df.withColumn(out, run(F.col(ids)))
+    return df.withColumn(out, run(col(ids)))
