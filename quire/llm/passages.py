@@ -414,7 +414,7 @@ def _counted(r: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Different runs of anchors that occur more than once, with their number and one place each; rows wanted to tell their windows apart."""
     every = r.groupBy("key", "seg").agg(F.sum("times").alias("m"), F.min(F.struct("doc", "th", "lo", "n")).alias("rep"))
     kinds = every.groupBy("key").agg(F.count("*").alias("d"))
-    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs", "zstd")
+    segs = saved(every.join(kinds, "key").where("m > 1 or d > 1"), "passage-segs")
     return segs, segs.where("d > 1").select("key", "seg", "m", "d", "rep.*")
 
 
@@ -436,11 +436,13 @@ def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
     r = saved(map_arrow(d.where(F.octet_length("text") >= 2 * size - 1), _word_scan(size, gram),
-                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-words", "zstd")
+                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-words")
     segs, want = _counted(r)
     # a run's bytes tell its anchor, so their hash names it
-    w = saved(map_arrow(_with_wanted(d, want.drop("d", "key")), _wanted_windows(size), "h1 long, h2 long, seg long, at int, m long"), "passage-windows", "zstd")
-    return _told(r, segs, _starts(w, "seg"), "seg").groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    w = saved(map_arrow(_with_wanted(d, want.drop("d", "key")), _wanted_windows(size), "h1 long, h2 long, seg long, at int, m long"), "passage-windows")
+    out = saved(_told(r, segs, _starts(w, "seg"), "seg").groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "passage-ranges")
+    dropped(r, segs, w)
+    return out
 
 
 def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, words: int | None = None) -> DataFrame:
@@ -452,21 +454,24 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = pick(docs, doc=doc_id, text=text).select("doc", "text", F.xxhash64("text").alias("th"))
     kind = docs.schema[doc_id].dataType.simpleString()
     r = saved(map_arrow(d.where(F.octet_length("text") >= length), _scan(length, gram),
-                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs", "zstd")
+                        f"key long, seg long, doc {kind}, th long, lo long, n int, times long, reach long"), "passage-runs")
     segs, want = _counted(r)
     parts = saved(map_arrow(_with_wanted(d, want.withColumn("hot", F.col("d") > hot).drop("d")), _fetch(length),
-                            "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts", "zstd")
+                            "key long, seg long, bytes binary, m long, hot boolean"), "passage-parts")
     sorted_ = map_arrow(parts.where("not hot").select("key", "seg", "bytes", "m").repartition("key").sortWithinPartitions("key", "seg"),
                         _sort_shard(length), "key long, seg long, starts array<int>")
     w = map_arrow(parts.where("hot").select("key", "seg", "bytes", "m"), _windows(length), "h1 long, h2 long, key long, seg long, at int, m long")
-    found = saved(sorted_.unionByName(_starts(w, "key", "seg")), "passage-starts", "zstd")
+    found = saved(sorted_.unionByName(_starts(w, "key", "seg")), "passage-starts")
     dropped(parts)
-    told = _told(r, segs, found, "key", "seg")
+    told, used = _told(r, segs, found, "key", "seg"), [r, segs, found]
     if words is not None:
-        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-short", "zstd")
+        short = saved(map_arrow(d, _short_windows(words + 1, length), f"h1 long, h2 long, doc {kind}, th long, lo long, hi long"), "passage-short")
         again = short.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
         told = told.unionByName(short.join(again, ["h1", "h2"], "left_semi").select("doc", "th", "lo", "hi"))
-    return told.groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+        used.append(short)
+    out = saved(told.groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "passage-ranges")
+    dropped(*used)
+    return out
 
 
 def _joined(starts):

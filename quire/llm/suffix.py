@@ -17,9 +17,9 @@ def _types(s: np.ndarray) -> np.ndarray:
     n = len(s)
     up = np.empty(n, np.int8)
     up[-1] = 1
-    up[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1])
+    up[:-1] = (s[1:] > s[:-1]).astype(np.int8) - (s[1:] < s[:-1])
     if n > 1:
-        at = np.where(up != 0, np.arange(n), n)
+        at = np.where(up != 0, np.arange(n, dtype=np.int32), np.int32(n))
         up = up[np.minimum.accumulate(at[::-1])[::-1]]  # equal neighbours take the type of the next difference
     return up > 0
 
@@ -129,7 +129,7 @@ def suffix_array(s: np.ndarray, k: int | None = None) -> np.ndarray:
     is_lms[lms] = True
     order = sa[is_lms[sa]]
     if len(order) > 1:
-        place = np.zeros(n, np.int64)
+        place = np.zeros(n, np.int32)
         place[lms] = np.arange(len(lms))
         span = np.append(np.diff(lms) + 1, 1)  # a part reaches to the next one's first value
         a, b = order[:-1], order[1:]
@@ -156,20 +156,20 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, stop: int | None =
     n = len(s)
     before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    i = np.arange(n)
+    i = np.arange(n, dtype=np.int32)
     derived = np.zeros(n, bool)
     p = before[1:]
     derived[1:] = (p > 0) & (s[:-1] == s[np.maximum(p, 1) - 1])
-    far = np.full(n, n)
+    far = np.full(n, n, np.int32)
     if stop is not None:
         derived[1:] &= s[:-1] != stop
-        far = np.minimum.accumulate(np.where(s == stop, i, n)[::-1])[::-1]
+        far = np.minimum.accumulate(np.where(s == stop, i, np.int32(n))[::-1])[::-1]
     at = np.flatnonzero(~derived & (before >= 0))
     wide = np.zeros(n + 16, np.uint16)
     wide[:n] = s
-    ln = np.zeros(len(at), np.int64)
-    live = np.arange(len(at))
-    a, b = at.copy(), before[at]
+    ln = np.zeros(len(at), np.int32)
+    live = np.arange(len(at), dtype=np.int32)
+    a, b = at.astype(np.int32), before[at]
     limit = np.minimum(n - np.maximum(a, b), far[a] - a)
     packed = wide[:-3].astype(np.uint64)
     for t in (1, 2, 3):
@@ -185,8 +185,9 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, stop: int | None =
         live = live[(low == 4) & (ln[live] < limit[live])]
     ln = np.minimum(ln, limit)
     # a derived value is the nearest compared one to its left, less the distance
-    value = np.full(n, -1, np.int64)
-    value[at] = ln + at
+    del packed, wide, far
+    value = np.full(n, -1, np.int32)
+    value[at] = ln + a
     return np.clip(np.maximum.accumulate(value) - i, 0, most) if n else value
 
 
@@ -203,9 +204,9 @@ def repeated_starts(parts: list[bytes], length: int) -> list[np.ndarray]:
     s[-1] = 0
     sa = suffix_array(s, 258)
     lcp = common_prefixes(s, sa, length, 1)
-    rank = np.empty(total, np.int64)
-    rank[sa] = np.arange(total)
-    after = np.append(sa, -1)[rank + 1]
+    rank = np.empty(total, np.int32)
+    rank[sa] = np.arange(total, dtype=np.int32)
+    after = np.append(sa, np.int32(-1))[rank + 1]
     twice = (lcp >= length) | ((after >= 0) & (lcp[after] >= length))
     out = []
     for k, p in enumerate(parts):
