@@ -1,11 +1,14 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer of the pieces.
 
-The text is normalised first, by a function: the escape symbol, the dummy prefix, removal of
-extra spaces. A model file is compiled to what is composed with the normalised text on the fly:
+A model file is compiled to transducers that are composed with the text on the fly:
 
+* the normaliser: states for the text's start, inside and after a space, whose arcs put out the
+  escape symbol, the dummy prefix and single spaces (``normaliser``);
 * the pieces: a trie over symbols whose word ends emit a piece, weight minus its score for
-  unigram models. A symbol in no piece of its own passes at a penalty below every piece; a
-  lookup after the path gives its UTF-8 bytes (byte fallback) or the unknown piece;
+  unigram models;
+* byte fallback: arcs from UTF-8 bytes to byte pieces (``fallback``), whose composition with a symbol
+  in no piece of its own is an edge of the lattice with its pieces and a penalty below every
+  piece; without byte pieces the edge emits the unknown piece;
 * for BPE models, whose greedy merges no sum of scores ranks, the adjacency acceptor: a state
   per last piece, weight 0 to a next piece if merging the two pieces' symbols leaves exactly
   these two, else infinity. A segmentation is the BPE one if and only if all its neighbours
@@ -38,6 +41,7 @@ SPACE = "▁"
 CACHE = 150_000
 PAIRS = 300_000
 LONG_UNIT = 64
+EDGES = 20_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
@@ -76,6 +80,52 @@ def _fields(raw: bytes):
             raise ValueError("not a SentencePiece model")
 
 
+class Transducer:
+    """Arcs by state and symbol: next state, output, weight. The symbol None stands for every other one, which passes itself after the output."""
+
+    def __init__(self, arcs: dict[int, dict]):
+        self.arcs = arcs
+        # a state that only leads to itself maps symbols one by one: its arcs as a table of the whole alphabet
+        self.table = {q: {ord(a): "".join(o) for a, (_, o, _) in row.items() if a is not None}
+                      for q, row in arcs.items() if None in row and row[None][1] == () and all(t == q and not w for t, _, w in row.values())}
+
+    def compose(self, symbols, state: int) -> tuple[list, int, float]:
+        """The output, the last state and the weight of the path that reads ``symbols`` from ``state``."""
+        out: list = []
+        weight = 0.0
+        for k, a in enumerate(symbols):
+            if state in self.table:
+                out.extend(symbols[k:].translate(self.table[state]))
+                break
+            row = self.arcs[state]
+            arc = row.get(a)
+            state, put, w = row[None] if arc is None else arc
+            out.extend(put)
+            if arc is None:
+                out.append(a)
+            weight += w
+        return out, state, weight
+
+
+START, INSIDE, GAP = 0, 1, 2
+
+
+def normaliser(dummy: bool, squeeze: bool) -> Transducer:
+    """Spaces to escape symbols; with ``squeeze`` one between words and none around the text, with ``dummy`` one before it."""
+    lead = (SPACE,) if dummy else ()
+    if squeeze:
+        gap = {a: (GAP, (), 0.0) for a in (" ", SPACE)}
+        return Transducer({START: {**{a: (START, (), 0.0) for a in (" ", SPACE)}, None: (INSIDE, lead, 0.0)},
+                           INSIDE: {**gap, None: (INSIDE, (), 0.0)}, GAP: {**gap, None: (INSIDE, (SPACE,), 0.0)}})
+    inside = {**{a: (INSIDE, (SPACE,), 0.0) for a in (" ", SPACE)}, None: (INSIDE, (), 0.0)}
+    return Transducer({START: {**{a: (INSIDE, (*lead, SPACE), 0.0) for a in (" ", SPACE)}, None: (INSIDE, lead, 0.0)}, INSIDE: inside})
+
+
+def fallback(byte: list[int], penalty: float) -> Transducer:
+    """UTF-8 bytes to byte pieces; a symbol's first byte has the penalty, the others follow free."""
+    return Transducer({0: {b: (0, (i,), 0.0 if 0x80 <= b < 0xC0 else penalty) for b, i in enumerate(byte)}})
+
+
 class Pieces:
     """A compiled model: ``encode`` and ``decode`` of single texts."""
 
@@ -115,8 +165,12 @@ class Pieces:
                     node = node.setdefault(ch, {})
                 node[""] = i
                 self.space_led &= SPACE not in text.lstrip(SPACE)
-        self.fallback = min(self.byte) >= 0
+        self.has_bytes = min(self.byte) >= 0
         self.penalty = 10.0 - min((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
+        self.normal = normaliser(self.dummy, self.squeeze)
+        self.start = START if self.dummy or self.squeeze else INSIDE
+        self.bytes = fallback(self.byte, self.penalty)
+        self._edges: dict[str, tuple[list[int], float]] = {}
         self._pair: dict[int, bool] = {}
         self._merges: dict[int, list | None] = {}
         self._unit: dict[str, bytes] = {}
@@ -179,13 +233,24 @@ class Pieces:
     def _path(self, s: str) -> list[int]:
         return self._greedy_path(s) if self.kind == BPE else self._best_path(s)
 
-    def _fall(self, ch: str) -> list[int]:
-        return [self.byte[b] for b in ch.encode()] if self.fallback else [self.unknown]
+    def _edge(self, ch: str) -> tuple[list[int], float]:
+        """The edge over a symbol in no piece: what it emits, and its weight."""
+        got = self._edges.get(ch)
+        if got is None:
+            if len(self._edges) >= EDGES:
+                self._edges.clear()
+            if self.has_bytes:
+                ids, _, weight = self.bytes.compose(ch.encode(), 0)
+                got = ids, weight
+            else:
+                got = [self.unknown], self.penalty
+            self._edges[ch] = got
+        return got
 
     def _greedy_path(self, s: str) -> list[int]:
         """Every position is reached by one piece at finite weight: the last piece of the merged prefix."""
         n = len(s)
-        last, start = [-2] * (n + 1), [0] * (n + 1)
+        last, start, over = [-2] * (n + 1), [0] * (n + 1), {}
         last[0] = -1
         trie, pair, follows = self.trie, self._pair, self._follows
         for i in range(n):
@@ -201,18 +266,18 @@ class Pieces:
                     ok = pair.get((a << 24) + b)
                     if ok or (ok is None and follows(a, b)):
                         last[j], start[j] = b, i
-            if s[i] not in self.id:
-                last[i + 1], start[i + 1] = -1, i
+            if s[i] not in self.id:  # no piece ends here: the fallback's edge is the only one of finite weight
+                last[i + 1], start[i + 1], over[i + 1] = -1, i, self._edge(s[i])[0]
         out: list[list[int]] = []
         i = n
         while i:
-            out.append([last[i]] if last[i] >= 0 else self._fall(s[start[i]]))
+            out.append([last[i]] if last[i] >= 0 else over[i])
             i = start[i]
         return [x for part in reversed(out) for x in part]
 
     def _best_path(self, s: str) -> list[int]:
         n = len(s)
-        cost, start, by = [0.0] + [float("inf")] * n, [0] * (n + 1), [-1] * (n + 1)
+        cost, start, by, over = [0.0] + [float("inf")] * n, [0] * (n + 1), [-1] * (n + 1), {}
         for i in range(n):
             node, j = self.trie, i
             while j < n:
@@ -223,21 +288,24 @@ class Pieces:
                 b = node.get("")
                 if b is not None and cost[i] - self.scores[b] < cost[j]:
                     cost[j], start[j], by[j] = cost[i] - self.scores[b], i, b
-            if s[i] not in self.id and cost[i] + self.penalty < cost[i + 1]:
-                cost[i + 1], start[i + 1], by[i + 1] = cost[i] + self.penalty, i, -1
+            if s[i] not in self.id:
+                ids, weight = self._edge(s[i])
+                if cost[i] + weight < cost[i + 1]:
+                    cost[i + 1], start[i + 1], by[i + 1], over[i + 1] = cost[i] + weight, i, -1, ids
         out: list[list[int]] = []
         i = n
         while i:
-            out.append([by[i]] if by[i] >= 0 else self._fall(s[start[i]]))
+            out.append([by[i]] if by[i] >= 0 else over[i])
             i = start[i]
         path = [x for part in reversed(out) for x in part]
-        if not self.fallback:  # neighbouring unknown symbols are one unknown piece
+        if not self.has_bytes:  # neighbouring unknown symbols are one unknown piece
             path = [x for k, x in enumerate(path) if x != self.unknown or not k or path[k - 1] != self.unknown]
         return path
 
     # texts
 
     def normalised(self, text: str) -> str:
+        """The normal form as a plain function: what decoding is held against."""
         s = text.replace(SPACE, " ")
         if self.squeeze:
             s = re.sub(" +", " ", s).strip(" ")
@@ -245,17 +313,21 @@ class Pieces:
 
     def encode(self, text: str) -> bytes:
         """The piece ids as 32-bit integers."""
-        s = self.normalised(text)
+        state = self.start
         if not self.space_led:
-            return array("i", self._path(s.replace(" ", SPACE))).tobytes()
+            return array("i", self._path("".join(self.normal.compose(text, state)[0]))).tobytes()
         unit, old = self._unit, self._old  # two generations: what is in use outlives a full cache
         out = []
-        for u in _UNIT.findall(s):
+        for u in _UNIT.findall(text):
+            if state != INSIDE:
+                s, state, _ = self.normal.compose(u, state)
+                out.append(array("i", self._path("".join(s))).tobytes())
+                continue
             got = unit.get(u)
             if got is None:
                 got = old.get(u)
                 if got is None:
-                    got = array("i", self._path(u.replace(" ", SPACE))).tobytes()
+                    got = array("i", self._path("".join(self.normal.compose(u, INSIDE)[0]))).tobytes()
                 if len(u) <= LONG_UNIT:
                     if len(unit) >= CACHE:
                         self._old = old = unit
@@ -270,7 +342,7 @@ class Pieces:
 
 
 _NONE = float("-inf")
-_UNIT = re.compile(" +[^ ]*|[^ ]+")
+_UNIT = re.compile(f"[ {SPACE}]+[^ {SPACE}]*|[^ {SPACE}]+")  # units end inside a word, but for the text's last one
 _MODELS: dict[bytes, Pieces] = {}
 
 

@@ -93,6 +93,47 @@ def test_merges_equal_greedy_merging():
         assert [p.texts[i] for i in p._greedy_path(s)] == greedy(s)
 
 
+@pytest.mark.parametrize("dummy", [False, True])
+@pytest.mark.parametrize("squeeze", [False, True])
+def test_the_normaliser_is_the_plain_function(dummy, squeeze):
+    r = random.Random(7)
+    p = P.Pieces.__new__(P.Pieces)
+    p.dummy, p.squeeze = dummy, squeeze
+    t = P.normaliser(dummy, squeeze)
+    for _ in range(600):
+        s = "".join(r.choice("ab  ▁é\n") for _ in range(r.randint(0, 14)))
+        out, state, weight = t.compose(s, P.START)
+        assert "".join(out) == p.normalised(s).replace(" ", P.SPACE) and weight == 0
+        k = r.randint(0, len(s))  # read in two parts
+        a, mid, _ = t.compose(s[:k], P.START)
+        b, end, _ = t.compose(s[k:], mid)
+        assert a + b == out and end == state
+
+
+def test_fallback_edges_carry_bytes_and_one_penalty():
+    t = P.fallback(list(range(1000, 1256)), 7.0)
+    for ch in "aé日\U0001f600":
+        assert t.compose(ch.encode(), 0) == ([1000 + b for b in ch.encode()], 0, 7.0)
+    rows = [("<unk>", 0.0, P.UNKNOWN)] + [(f"<0x{b:02X}>", 0.0, P.BYTE) for b in range(256)] + [("a", -1.0, P.NORMAL), ("b", -2.0, P.NORMAL), ("ab", -1.5, P.NORMAL)]
+    for kind in (P.UNIGRAM, P.BPE):
+        p = P.Pieces(model(rows, kind))
+        assert np.frombuffer(p.encode("ab日b"), np.int32).tolist() == [259, *(1 + b for b in "日".encode()), 258]
+        assert p.decode(np.frombuffer(p.encode("ab日b"), np.int32).tolist()) == "ab日b"
+
+
+@pytest.mark.parametrize("dummy", [0, 1])
+def test_units_are_the_whole_path(dummy):
+    r = random.Random(2)
+    rows = [("<unk>", 0.0, P.UNKNOWN)] + [(w, -float(k), P.NORMAL) for k, w in enumerate(["▁a", "ab", "▁ab", "ba", "▁", "a", "b"])]
+    raw = model(rows, P.BPE, dummy)
+    p, whole = P.Pieces(raw), P.Pieces(raw)
+    assert p.space_led
+    whole.space_led = False
+    for _ in range(400):
+        s = "".join(r.choice("ab ▁x") for _ in range(r.randint(0, 12)))
+        assert p.encode(s) == whole.encode(s)
+
+
 def test_unsupported_models():
     with pytest.raises(ValueError):
         P.Pieces(model([("a", 0.0, 1)], 4))
