@@ -95,7 +95,7 @@ class Transducer:
         weight = 0.0
         for k, a in enumerate(symbols):
             if state in self.table:
-                out.extend(symbols[k:].translate(self.table[state]))
+                out += (symbols[k:] if k else symbols).translate(self.table[state])
                 break
             row = self.arcs[state]
             arc = row.get(a)
@@ -318,7 +318,7 @@ class Pieces:
             return array("i", self._path("".join(self.normal.compose(text, state)[0]))).tobytes()
         unit, old = self._unit, self._old  # two generations: what is in use outlives a full cache
         out = []
-        for u in _UNIT.findall(text):
+        for u in (_ANY_UNIT if SPACE in text else _UNIT).findall(text):
             if state != INSIDE:
                 s, state, _ = self.normal.compose(u, state)
                 out.append(array("i", self._path("".join(s))).tobytes())
@@ -342,7 +342,9 @@ class Pieces:
 
 
 _NONE = float("-inf")
-_UNIT = re.compile(f"[ {SPACE}]+[^ {SPACE}]*|[^ {SPACE}]+")  # units end inside a word, but for the text's last one
+# Units end inside a word, but for the text's last one; texts without the escape symbol take the faster pattern.
+_UNIT = re.compile(" +[^ ]*|[^ ]+")
+_ANY_UNIT = re.compile(f"[ {SPACE}]+[^ {SPACE}]*|[^ {SPACE}]+")
 _MODELS: dict[bytes, Pieces] = {}
 
 
