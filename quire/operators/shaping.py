@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import checkpoint_dir
+
 # ---------------------------------------------------------------------------
 # Training defaults.
 DEFAULT_SEED = 3407
@@ -80,7 +82,8 @@ def training_batches(
     epoch count ``ceil(budget / min(count, budget))`` is a scalar subquery, each id is expanded
     by a generator over ``sequence(0, epochs-1)`` (a single element for any table at least as
     large as the budget), and epoch ``e`` is ordered with seed ``seed+e``. Rows are chosen and
-    numbered on their ids alone; all other columns are joined to the chosen ids at the end.
+    numbered on their ids alone, which are written to the shared checkpoint folder first; all other
+    columns are joined to the chosen ids at the end.
     """
     per_step = int(batch_size) * int(grad_accum)
     budget = int(max_steps) * per_step
@@ -88,7 +91,9 @@ def training_batches(
         raise ValueError("training budget must be positive")
     # Only min(count, budget) matters: counting a limited plan lets every task stop early.
     told = F.coalesce(F.col(id_col), F.raise_error(F.lit(f"a sample has no {id_col}")).cast(df.schema[id_col].dataType))
-    ids = df.select(told.alias(id_col))
+    # the ids are derived once (decoding and chunking may stand above them) and counted, placed and numbered from there
+    checkpoint_dir(df.sparkSession)
+    ids = df.select(told.alias(id_col)).checkpoint(eager=True)
     n = ids.limit(budget).select(F.count(F.lit(1)).alias("n")).scalar()
     epochs = F.greatest(F.lit(1), F.ceil(F.lit(budget) / n).cast("int"))
     expanded = ids.withColumn("epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))
