@@ -317,6 +317,7 @@ class Pieces:
         if not self.space_led:
             return array("i", self._path("".join(self.normal.compose(text, state)[0]))).tobytes()
         unit, old = self._unit, self._old  # two generations: what is in use outlives a full cache
+        inside = self.normal.table.get(INSIDE)  # where the state leads to itself, composing is one look-up a symbol
         out = []
         for u in (_ANY_UNIT if SPACE in text else _UNIT).findall(text):
             if state != INSIDE:
@@ -327,7 +328,8 @@ class Pieces:
             if got is None:
                 got = old.get(u)
                 if got is None:
-                    got = array("i", self._path("".join(self.normal.compose(u, INSIDE)[0]))).tobytes()
+                    s = u.translate(inside) if inside is not None else "".join(self.normal.compose(u, INSIDE)[0])
+                    got = array("i", self._path(s)).tobytes()
                 if len(u) <= LONG_UNIT:
                     if len(unit) >= CACHE:
                         self._old = old = unit

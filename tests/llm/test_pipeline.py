@@ -70,5 +70,9 @@ def test_registered_queries_run_on_whole_tables(spark, name):
     table = {"op2_quotes": "conversations", "op10_embeddings": "embeddings"}.get(name, "documents")
     if name in ("op5_token_counts", "op9_warc"):
         assert rows
+    elif name == "op11_ranked_search":
+        items = spark.read.parquet(f"{SMALL}/benchmark.parquet").count()
+        assert sorted((r["item_id"], r["rank"]) for r in rows) == sorted({(r["item_id"], r["rank"]) for r in rows}) and len(rows) <= 50 * items
+        assert {r["rank"] for r in rows} == set(range(1, 51))
     else:
         assert len(rows) == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
