@@ -252,7 +252,7 @@ class Pieces:
         n = len(s)
         last, start, over = [-2] * (n + 1), [0] * (n + 1), {}
         last[0] = -1
-        trie, pair, follows = self.trie, self._pair, self._follows
+        trie, pair, follows, known = self.trie, self._pair, self._follows, self.id
         for i in range(n):
             a = last[i]
             node, j = trie, i
@@ -261,12 +261,11 @@ class Pieces:
                 if node is None:
                     break
                 j += 1
-                b = node.get("")
-                if b is not None and last[j] == -2:
+                if last[j] == -2 and (b := node.get("")) is not None:
                     ok = pair.get((a << 24) + b)
                     if ok or (ok is None and follows(a, b)):
                         last[j], start[j] = b, i
-            if s[i] not in self.id:  # no piece ends here: the fallback's edge is the only one of finite weight
+            if s[i] not in known:  # no piece ends here: the fallback's edge is the only one of finite weight
                 last[i + 1], start[i + 1], over[i + 1] = -1, i, self._edge(s[i])[0]
         out: list[list[int]] = []
         i = n
