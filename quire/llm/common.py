@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quire.session import checkpoint_dir, ship_package
@@ -40,10 +40,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Removes tables that ``saved`` returned, once nothing reads them any more."""
+    """Removes tables that ``saved`` returned, once nothing reads them any more.
+
+    Spark lets go of the shuffles and broadcasts of finished jobs when the driver collects its garbage.
+    Chains of small jobs leave much of both long before its heap is full, so it is asked to here.
+    """
     for df in tables:
         at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_at)
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def by_bytes(batch, column: str, limit: int = SLICE_BYTES):
@@ -101,31 +107,40 @@ def ready(df: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
-    """Connected components of undirected links ``(a, b)``: rows ``(id, component)``, the least id reachable.
+    """Connected components of undirected links ``(a, b)``: rows ``(id, component, n)``, the least id reachable and how many there are.
 
     Contraction: every vertex points to the least of itself and its neighbours, by a hash of
     their ids, and links are redrawn between what their ends point to. A star is one vertex after
     two rounds, a chain shrinks to the places of its hashes' minima, so rounds are few; each is
-    one grouped minimum and two equi-joins, and is written to the shared folder. A hub (a third of all links on one
+    one grouped minimum and two equi-joins in a single job that writes links and pointers to the
+    shared folder and counts, as it writes, the links that are left. A hub (a third of all links on one
     vertex) is combined before it is shuffled. When no link is left, the rounds' pointers are
-    followed and each group takes its least id.
+    followed and each group takes its least id; what the rounds wrote is removed.
     Vertices without a link are not returned; loops and repeated links are allowed.
     """
-    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    e = saved(edges.where(F.col("a") != F.col("b")).select(*ends).distinct(), name)
+    ends = lambda a, b: [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    first = e = saved(edges.where(F.col("a") != F.col("b")).select(*ends("a", "b")).distinct(), name)
     rounds = []
     by = lambda c: F.struct(F.xxhash64(F.lit(7), c).alias("h"), F.col(c).alias("p"))
     while True:
         both = e.select(F.col("a").alias("u"), by("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), by("a").alias("v")))
-        to = saved(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", by("u")).getField("p").alias("p")), name)
-        rounds.append(to)
+        to = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("v", by("u")).getField("p").alias("p"))
         left, right = to.select(F.col("u").alias("a"), F.col("p").alias("pa")), to.select(F.col("u").alias("b"), F.col("p").alias("pb"))
-        e = saved(e.join(left, "a").join(right, "b").where(F.col("pa") != F.col("pb")).select(
-            F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), name)
-        if e.isEmpty():
+        apart = Observation()
+        x = saved(e.join(left, "a").join(right, "b").select("a", "b", "pa", "pb").observe(
+            apart, F.count_if(F.col("pa") != F.col("pb")).alias("n")), name)
+        rounds.append(x)
+        if not apart.get["n"]:
             break
-    label = rounds[0].select(F.col("u").alias("id"), "p")
-    for to in rounds[1:]:
-        label = label.join(to.select(F.col("u").alias("p"), F.col("p").alias("q")), "p", "left").select("id", F.coalesce("q", "p").alias("p"))
-    low = label.groupBy("p").agg(F.min("id").alias("component"))
-    return label.join(low, "p").select("id", "component")
+        e = x.where("pa != pb").select(*ends("pa", "pb")).distinct()
+    label = None
+    for x in rounds:
+        # a vertex has one pointer, on each of its links
+        to = x.select(F.col("a").alias("u"), F.col("pa").alias("q")).unionByName(
+            x.select(F.col("b").alias("u"), F.col("pb").alias("q"))).groupBy("u").agg(F.min("q").alias("q"))
+        label = to.toDF("id", "p") if label is None else label.join(
+            to.withColumnRenamed("u", "p"), "p", "left").select("id", F.coalesce("q", "p").alias("p"))
+    label = saved(label, name)
+    dropped(first, *rounds)
+    low = label.groupBy("p").agg(F.min("id").alias("component"), F.count("*").alias("n"))
+    return label.join(low, "p").select("id", "component", "n")

@@ -160,7 +160,7 @@ def range_join(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
         "label", "size", "cell", "home", "node", "v", "n", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     joined = saved(p.groupBy("label", "size", "cell", "i", "j").applyInPandas(_join_blocks(cosine), "a long, b long, links long"), "vec-links")
     direct = joined.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    cc = components(joined.where("a != b").select("a", "b"), "vec-cc")
+    cc = components(joined.where("a != b").select("a", "b"), "vec-cc").select("id", "component")
     mine = node.join(direct, "node", "left").join(cc, node["node"] == cc["id"], "left").select(
         *alike, (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     linked = full.join(mine, alike).select("id", "n_links", "component_id")

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import by_bytes, components, map_arrow, pick, saved
+from quire.llm.common import by_bytes, components, dropped, map_arrow, pick, saved
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -335,6 +335,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     row = saved(every.select("id", "h1", "h2").join(texts, ["h1", "h2"]).select("id", "rep"), "dup-rows")
     first = texts.select("rep", "h1", "h2", F.col("least").alias("id"))
     sig = saved(every.where(F.octet_length("sig") > 0).join(first, ["h1", "h2", "id"]).select("rep", "sig", "bands").dropDuplicates(["rep"]), "dup-sigs")
+    dropped(every)
     bands = sig.select("rep", F.explode("bands").alias("band"))
     crowded = bands.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("band")
     member = saved(bands.join(crowded, "band", "left_semi"), "dup-bands")
@@ -365,9 +366,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
             sets.select(F.col("rep").alias("b"), F.col("s").alias("xb")), "b").where(_jaccard("xa", "xb") >= similarity).select("a", "b"), "dup-links")
         if found.isEmpty():
             break
+        if of is not None:
+            dropped(m)
         links = links.unionByName(found)
         of = _sized(links)
     found = saved(_rest_links(m, sig, sets, similarity, block), "dup-links")
+    dropped(member, sig, sets, *([] if of is None else [m]))
     if not found.isEmpty():
         of = _sized(links.unionByName(found))
     if of is None:
@@ -380,8 +384,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
 
 def _sized(links: DataFrame) -> DataFrame:
     """Rows ``rep, class, n``: the components of the links, with the texts in each."""
-    c = components(links, "dup-cc").select(F.col("id").alias("rep"), F.col("component").alias("class"))
-    return saved(c.join(c.groupBy("class").agg(F.count("*").alias("n")), "class").select("rep", "class", "n"), "dup-classes")
+    return saved(components(links, "dup-cc").toDF("rep", "class", "n"), "dup-classes")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from helpers import awkward, sentence
 
+from quire.llm import common
 from quire.llm import neardup as N
 from quire.llm.common import components
 
@@ -98,6 +99,20 @@ def test_signature_does_not_depend_on_the_batch():
         assert (N.signatures(x, np.ones(len(x)), np.zeros(len(x), int), 1)[0] == flat[k]).all()
 
 
+def test_a_round_of_components_is_one_job_and_leaves_no_table(spark, monkeypatch):
+    written, asked = [], []
+    monkeypatch.setattr(common, "saved", lambda df, name, save=common.saved: written.append(save(df, name)) or written[-1])
+    edges = spark.createDataFrame([(k, k + 1) for k in range(400)] + [(1000, 1000 + k) for k in range(5)] + [(5, 4), (None, 3)], "a long, b long")
+    for action in ("isEmpty", "count", "collect", "take"):
+        monkeypatch.setattr(type(edges), action, lambda df, *a, run=getattr(type(edges), action), **b: asked.append(df) or run(df, *a, **b))
+    cc = components(edges)
+    assert not asked and len(written) > 4  # nothing is run between the rounds' writes
+    there = [spark._jvm.java.io.File(t._saved_at.removeprefix("file:")).exists() for t in written]
+    assert there == [False] * (len(written) - 1) + [True]
+    rows = [tuple(r) for r in cc.collect()]
+    assert sorted(rows) == [(k, 0, 401) for k in range(401)] + [(1000 + k, 1000, 5) for k in range(5)]
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(159, 200), (7, 7), (3, 4), (None, 5)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
