@@ -12,7 +12,8 @@ A model file is compiled to transducers that are composed with the text on the f
 * for BPE models, whose greedy merges no sum of scores ranks, the adjacency acceptor: a state
   per last piece, weight 0 to a next piece if merging the two pieces' symbols leaves exactly
   these two, else infinity. A segmentation is the BPE one if and only if all its neighbours
-  pass, so the path of finite weight is unique.
+  pass, so the path of finite weight is unique. The trie has failure arcs there, so that a text
+  is read once and a position meets only the pieces that end at it.
 
 Encoding is the shortest path of the composition in the tropical semiring (least sum of
 weights). Where no piece joins a symbol to a space after it, paths split at spaces: the
@@ -40,6 +41,7 @@ from quire.llm.common import col, free_names, map_arrow, ready
 SPACE = "▁"
 CACHE = 150_000
 PAIRS = 300_000
+STEPS = 300_000
 LONG_UNIT = 64
 EDGES = 20_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -165,13 +167,17 @@ class Pieces:
                     node = node.setdefault(ch, {})
                 node[""] = i
                 self.space_led &= SPACE not in text.lstrip(SPACE)
+        self.size = list(map(len, self.texts))
+        self.symbols = {t for t in self.id if len(t) == 1}
         self.has_bytes = min(self.byte) >= 0
         self.penalty = 10.0 - min((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
         self.normal = normaliser(self.dummy, self.squeeze)
         self.start = START if self.dummy or self.squeeze else INSIDE
         self.bytes = fallback(self.byte, self.penalty)
+        self._automaton: tuple | None = None
         self._edges: dict[str, tuple[list[int], float]] = {}
-        self._pair: dict[int, bool] = {}
+        self._before: list[dict[int, bool]] = [{} for _ in self.texts]
+        self._pairs = self._steps = 0
         self._merges: dict[int, list | None] = {}
         self._unit: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -203,11 +209,13 @@ class Pieces:
         Both pieces merge on their own, whichever has the better merge first; they stay apart if at no time
         the merge across their border is the best one.
         """
-        key = (a << 24) + b
-        got = self._pair.get(key)
+        got = self._before[b].get(a)
         if got is None:
-            if len(self._pair) >= PAIRS:
-                self._pair.clear()
+            if self._pairs >= PAIRS:
+                for before in self._before:
+                    before.clear()
+                self._pairs = 0
+            self._pairs += 1
             right = self._history(b)
             left = self._history(a) if a >= 0 else None
             got = right is not None
@@ -225,7 +233,7 @@ class Pieces:
                         i += 1
                     else:
                         j += 1
-            self._pair[key] = got
+            self._before[b][a] = got
         return got
 
     # shortest paths
@@ -247,32 +255,76 @@ class Pieces:
             self._edges[ch] = got
         return got
 
+    def _suffixes(self) -> tuple[list[dict], list[int], list[int], list[int]]:
+        """The trie with failure arcs: per state its arcs, the state of its longest proper suffix and the longest
+        piece that ends there (-1: none); per piece the longest other piece that ends it."""
+        if self._automaton is None:
+            arcs, fail, ends, shorter = [{}], [0], [-1], [-1] * len(self.texts)
+            todo = [(self.trie, 0)]
+            for node, q in todo:  # by length of the states' strings, so that suffixes come first
+                for ch, child in node.items():
+                    if ch == "":
+                        continue
+                    t = arcs[q][ch] = len(arcs)
+                    f = fail[q]
+                    while f and ch not in arcs[f]:
+                        f = fail[f]
+                    f = arcs[f].get(ch, 0) if q else 0
+                    arcs.append({})
+                    fail.append(f)
+                    b = child.get("", -1)
+                    if b >= 0:
+                        shorter[b] = ends[f]
+                    ends.append(b if b >= 0 else ends[f])
+                    todo.append((child, t))
+            self._automaton = arcs, fail, ends, shorter
+        return self._automaton
+
     def _greedy_path(self, s: str) -> list[int]:
-        """Every position is reached by one piece at finite weight: the last piece of the merged prefix."""
-        n = len(s)
-        last, start, over = [-2] * (n + 1), [0] * (n + 1), {}
-        last[0] = -1
-        trie, pair, follows, known = self.trie, self._pair, self._follows, self.id
-        for i in range(n):
-            a = last[i]
-            node, j = trie, i
-            while j < n:
-                node = node.get(s[j])
-                if node is None:
+        """Every position is reached by one piece at finite weight: the last piece of the merged prefix. The pieces
+        that end there are met longest first, by the trie's failure arcs."""
+        arcs, fail, ends, shorter = self._suffixes()
+        before, follows, known, size = self._before, self._follows, self.id, self.size
+        outside = not self.symbols.issuperset(s)
+        last, over, q = [-1], {}, 0
+        for j, ch in enumerate(s, 1):
+            t = arcs[q].get(ch)
+            if t is None:
+                f = q
+                while t is None and f:
+                    f = fail[f]
+                    t = arcs[f].get(ch)
+                t = t or 0
+                if self._steps < STEPS:  # the next time it is one step
+                    self._steps += 1
+                    arcs[q][ch] = t
+            q = t
+            if outside and ch not in known:  # no piece ends here: the fallback's edge is the only one of finite weight
+                over[j] = self._edge(ch)[0]
+                last.append(-1)
+                continue
+            b = ends[q]
+            while b >= 0:
+                a = last[j - size[b]]
+                ok = before[b].get(a)
+                if ok or (ok is None and follows(a, b)):
                     break
-                j += 1
-                if last[j] == -2 and (b := node.get("")) is not None:
-                    ok = pair.get((a << 24) + b)
-                    if ok or (ok is None and follows(a, b)):
-                        last[j], start[j] = b, i
-            if s[i] not in known:  # no piece ends here: the fallback's edge is the only one of finite weight
-                last[i + 1], start[i + 1], over[i + 1] = -1, i, self._edge(s[i])[0]
-        out: list[list[int]] = []
-        i = n
-        while i:
-            out.append([last[i]] if last[i] >= 0 else over[i])
-            i = start[i]
-        return [x for part in reversed(out) for x in part]
+                b = shorter[b]
+            else:
+                b = -2
+            last.append(b)
+        out: list[int] = []
+        j = len(s)
+        while j:
+            b = last[j]
+            if b >= 0:
+                out.append(b)
+                j -= size[b]
+            else:
+                out += reversed(over[j])
+                j -= 1
+        out.reverse()
+        return out
 
     def _best_path(self, s: str) -> list[int]:
         n = len(s)
@@ -312,29 +364,34 @@ class Pieces:
 
     def encode(self, text: str) -> bytes:
         """The piece ids as 32-bit integers."""
-        state = self.start
         if not self.space_led:
-            return array("i", self._path("".join(self.normal.compose(text, state)[0]))).tobytes()
-        unit, old = self._unit, self._old  # two generations: what is in use outlives a full cache
-        inside = self.normal.table.get(INSIDE)  # where the state leads to itself, composing is one look-up a symbol
-        out = []
-        for u in (_ANY_UNIT if SPACE in text else _UNIT).findall(text):
-            if state != INSIDE:
-                s, state, _ = self.normal.compose(u, state)
-                out.append(array("i", self._path("".join(s))).tobytes())
-                continue
-            got = unit.get(u)
-            if got is None:
-                got = old.get(u)
+            return array("i", self._path("".join(self.normal.compose(text, self.start)[0]))).tobytes()
+        # units are keyed without the space before them; the first one has none, or starts in another state
+        alone = INSIDE in self.normal.table  # the state leads to itself: symbols but spaces stand for themselves
+        if text[:1] == " " or "  " in text or SPACE in text:
+            first, *rest = (_ANY_UNIT if SPACE in text else _UNIT).findall(text)
+            rest = [u[1:] for u in rest]
+        else:  # each space is alone and begins a unit
+            first, *rest = text.split(" ")
+        out = [array("i", self._path("".join(self.normal.compose(first, self.start)[0]))).tobytes()]
+        out += map(self._unit.get, rest)
+        if None in out:
+            unit, old = self._unit, self._old  # two generations: what is in use outlives a full cache
+            for k, u in enumerate(rest, 1):
+                if out[k] is not None:
+                    continue
+                got = unit.get(u)
                 if got is None:
-                    s = u.translate(inside) if inside is not None else "".join(self.normal.compose(u, INSIDE)[0])
-                    got = array("i", self._path(s)).tobytes()
-                if len(u) <= LONG_UNIT:
-                    if len(unit) >= CACHE:
-                        self._old = old = unit
-                        self._unit = unit = {}
-                    unit[u] = got
-            out.append(got)
+                    got = old.get(u)
+                    if got is None:
+                        s = SPACE + u if alone and u[:1] not in _SPACES else "".join(self.normal.compose(" " + u, INSIDE)[0])
+                        got = array("i", self._path(s)).tobytes()
+                    if len(u) < LONG_UNIT:
+                        if len(unit) >= CACHE:
+                            self._old = old = unit
+                            self._unit = unit = {}
+                        unit[u] = got
+                out[k] = got
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -343,6 +400,7 @@ class Pieces:
 
 
 _NONE = float("-inf")
+_SPACES = frozenset((" ", SPACE))
 # Units end inside a word, but for the text's last one; texts without the escape symbol take the faster pattern.
 _UNIT = re.compile(" +[^ ]*|[^ ]+")
 _ANY_UNIT = re.compile(f"[ {SPACE}]+[^ {SPACE}]*|[^ {SPACE}]+")

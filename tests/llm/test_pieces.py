@@ -93,6 +93,43 @@ def test_merges_equal_greedy_merging():
         assert [p.texts[i] for i in p._greedy_path(s)] == greedy(s)
 
 
+class Counted(str):
+    """A text that counts how often its symbols are read."""
+
+    read = 0
+
+    def __getitem__(self, k):
+        Counted.read += 1
+        return str.__getitem__(self, k)
+
+    def __iter__(self):
+        for ch in str.__iter__(self):
+            Counted.read += 1
+            yield ch
+
+
+def test_greedy_paths_read_a_symbol_a_bounded_number_of_times():
+    rows = [("<unk>", 0.0, P.UNKNOWN)] + [("a" * 2**k, -float(k), P.NORMAL) for k in range(7)]
+    p, n = P.Pieces(model(rows, P.BPE)), 640
+    Counted.read = 0
+    assert [p.texts[i] for i in p._greedy_path(Counted("a" * n))] == ["a" * 64] * 10
+    assert Counted.read <= 3 * n
+
+
+@pytest.mark.parametrize("limit", [0, 3, 10**6])
+def test_full_tables_change_no_path(limit, monkeypatch):
+    r = random.Random(8)
+    words = ["ab", "bc", "abc", "cab", "abcab", "aa", "aaaa", "ca", "bca", "bb", "cc"]
+    rows = [("<unk>", 0.0, P.UNKNOWN)] + [(w, -float(k), P.NORMAL) for k, w in enumerate(words)] + [(c, -100.0, P.NORMAL) for c in "abc"]
+    whole = P.Pieces(model(rows, P.BPE))
+    strings = ["".join(r.choice("abcx") for _ in range(r.randint(0, 14))) for _ in range(300)]
+    expected = [whole._greedy_path(s) for s in strings]
+    monkeypatch.setattr(P, "STEPS", limit)
+    monkeypatch.setattr(P, "PAIRS", limit)
+    p = P.Pieces(model(rows, P.BPE))
+    assert [p._greedy_path(s) for s in strings] == expected
+
+
 @pytest.mark.parametrize("dummy", [False, True])
 @pytest.mark.parametrize("squeeze", [False, True])
 def test_the_normaliser_is_the_plain_function(dummy, squeeze):
