@@ -100,38 +100,52 @@ def in_order(df: DataFrame, key: str) -> DataFrame:
         "place", F.col("offset") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "offset", "at")
 
 
-def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document beside its edited text: rows ``doc_id, text, n_chars, edited, next_id``.
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return pick(docs, doc_id=doc_id, text=text).where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
-    The edited text is the text with its last floor(n/3) code points replaced by the first as
-    many (or all) of the next document's, by descending id, the first after the last. Rows without
-    an id have no place in the order and are left out; of rows that repeat an id with other texts,
-    one (of least hash) stands in the order, and each is edited by what follows that one.
 
-    The texts are dealt by id once, for both the heads cut off and the texts they are put to.
-    """
-    d = pick(docs, doc_id=doc_id, text=text).where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def _edits(d: DataFrame, beside: str | None = None) -> DataFrame:
+    """``edited`` for rows ``doc_id, text`` of no nulls. With ``beside``, an array column of ``d``, also that column
+    and, as ``next_`` and its name, the next document's (of rows that repeat its id, the one of least hash)."""
+    keep = [beside] if beside else []
     ids = saved(d.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.length("text").cast("long").alias("n"))).alias("m"))
                 .select("doc_id", F.col("m.h").alias("h"), F.col("m.n").alias("n")), "edit-ids")
     o = saved(in_order(ids, "doc_id"), "edit-order")
     total = o.count()
     prior = o.select(F.pmod(F.col("place") + 1, F.lit(max(1, total))).alias("place"), F.col("doc_id").alias("before"), F.floor(F.col("n") / 3).alias("cut"))
     heads = o.select("place", F.col("doc_id").alias("of"), "h").join(prior, "place").select("of", "h", "before", "cut")
-    head = d.join(heads, d["doc_id"] == heads["of"]).where(F.xxhash64("text") - F.col("h") == 0).select(
-        "before", F.col("doc_id").alias("next_id"), F.expr("left(text, cast(cut as int))").alias("head"))
-    head = head.groupBy("before").agg(F.first("next_id").alias("next_id"), F.first("head").alias("head"))
+    head = d.join(heads, d["doc_id"] == heads["of"]).select(
+        "before", F.col("doc_id").alias("next_id"),
+        F.when(F.xxhash64("text") == F.col("h"), F.expr("left(text, cast(cut as int))")).alias("head"), *keep)
+    head = head.groupBy("before").agg(F.first("next_id").alias("next_id"), F.first("head", ignorenulls=True).alias("head"),
+                                      *(F.min_by(c, F.xxhash64(c)).alias("next_" + c) for c in keep))
     j = d.join(head, d["doc_id"] == head["before"], "left")
     return j.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.concat(
         F.expr("left(text, cast(length(text) - length(text) div 3 as int))"),
-        F.expr("left(head, cast(length(text) div 3 as int))")).alias("edited"), "next_id")
+        F.expr("left(head, cast(length(text) div 3 as int))")).alias("edited"), "next_id", *keep, *("next_" + c for c in keep))
+
+
+def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every document beside its edited text: rows ``doc_id, text, n_chars, edited, next_id``.
+
+    The edited text is the text with its last floor(n/3) code points replaced by the first as
+    many (or all) of the next document's, by descending id, the first after the last. Rows without
+    an id have no place in the order and are left out; of rows that repeat an id with other texts,
+    one (of least hash) stands in the order, and each is edited by what follows that one.
+
+    The texts are dealt by id once, for both the heads cut off and the texts they are put to.
+    """
+    return _edits(_texts(docs, doc_id, text))
 
 
 def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scale: int = SCALE, least: int = LEAST) -> DataFrame:
     """Fingerprints of all texts and their edited texts: rows ``doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next``."""
-    e = sketch(sketch(edited(docs, doc_id, text), "text", "a", scale, least), "edited", "b", scale, least)
-    e = saved(e.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "a", "b", "next_id"), "fingerprints")
-    nxt = e.groupBy("doc_id").agg(F.min_by("a", F.xxhash64("a")).alias("c")).select(F.col("doc_id").alias("nid"), "c")
-    return e.join(nxt, e["next_id"] == nxt["nid"], "left").select(
-        "doc_id", "n_chars", "edited_sha256", encoded(F.col("a")).alias("fingerprint"), encoded(F.col("b")).alias("edited_fingerprint"),
-        likeness(F.col("a"), F.col("b"), scale, least).alias("near_edited"), likeness(F.col("a"), F.col("c"), scale, least).alias("near_next"))
+    edited_fingerprint, near_edited, near_next``.
+
+    A text's sketch is dealt with it, and the next document's comes with its head, so nothing but ids is
+    written to the shared folder and no sketch is dealt a second time for the comparison.
+    """
+    e = sketch(_edits(sketch(_texts(docs, doc_id, text), "text", "a", scale, least), "a"), "edited", "b", scale, least)
+    return e.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), encoded(F.col("a")).alias("fingerprint"), encoded(F.col("b")).alias("edited_fingerprint"),
+        likeness(F.col("a"), F.col("b"), scale, least).alias("near_edited"), likeness(F.col("a"), F.col("next_a"), scale, least).alias("near_next"))

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import pytest
@@ -6,6 +7,7 @@ from helpers import awkward, sentence
 from pyspark.sql import functions as F
 
 from quire.llm import fingerprints as G
+from quire.session import checkpoint_dir
 
 
 def shingle_set(t):
@@ -78,3 +80,29 @@ def test_awkward_rows(spark):
     assert G.compared(docs.limit(0)).count() == 0
     alone = G.compared(docs.where("doc_id = 7")).first()
     assert alone["near_next"] == 1
+
+
+def test_the_shared_folder_gets_ids_alone(spark):
+    docs = spark.createDataFrame([(i, sentence(i, 300)) for i in range(40)], "doc_id long, text string")
+    folder = checkpoint_dir(spark)
+    there = set(os.listdir(folder))
+    assert len(G.compared(docs).collect()) == 40
+    written = [n for n in set(os.listdir(folder)) - there if n.startswith("quire-")]
+    assert written and all(t == "bigint" for n in written for _, t in spark.read.parquet(f"{folder}/{n}").dtypes)
+
+
+def test_repeated_ids_compare_with_one_text_of_the_next_id(spark):
+    rows = [(3, sentence(1, 200)), (2, sentence(1, 150) + " " + sentence(2, 60)), (2, sentence(3, 90)), (2, sentence(3, 90)), (2, ""), (1, sentence(4, 40)), (None, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    s = G.sketch(docs.where("doc_id = 2"), "text", "c")
+    stands = s.orderBy(F.xxhash64("text")).first()["text"]
+    c = s.select(F.min_by("c", F.xxhash64("c")).alias("c"))
+    likely = G.sketch(docs.where("doc_id = 3"), "text", "a").crossJoin(c).select(G.likeness(F.col("a"), F.col("c"))).first()[0]
+    got = G.compared(docs).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 2, 2, 2, 2, 3]
+    three, text = next(r for r in got if r["doc_id"] == 3), rows[0][1]
+    cut = len(text) // 3
+    assert three["near_next"] == likely
+    assert three["edited_sha256"] == hashlib.sha256((text[:len(text) - cut] + stands[:cut]).encode()).hexdigest()
+    e = G.edited(docs)
+    assert e.columns == ["doc_id", "text", "n_chars", "edited", "next_id"] and {(r["doc_id"], r["next_id"]) for r in e.collect()} == {(3, 2), (2, 1), (1, 3)}
